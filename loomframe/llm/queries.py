@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from importlib import import_module
 
-MODULES = ["topk", "url_filter", "sharding", "quality"]
+MODULES = ["topk", "url_filter", "sharding", "packing", "quality", "secret_scan", "bpe"]
 
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
