@@ -41,6 +41,16 @@ def text_or_empty(column: str = "text"):
     return F.coalesce(F.col(column), F.lit(""))
 
 
+def computed(df: DataFrame, columns: list[str]) -> DataFrame:
+    """df with columns computed once per row, below whatever filter follows.
+
+    A filter on a projected column is pushed below the projection with the column's expression in its place; inside
+    the lambdas of array functions that would evaluate it for every element. A generator of one row holds it back.
+    """
+    rest = [c for c in df.columns if c not in columns]
+    return df.select(*[F.col(f"`{c}`") for c in rest], F.inline(F.array(F.struct(*columns))))
+
+
 def row_numbers(df: DataFrame, keys: list[str], out: str = "rank") -> DataFrame:
     """Adds a gapless number from 0 within keys, without gathering a key in one task.
 

@@ -7,7 +7,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loomframe.llm.common import SPACE, table, text_or_empty
+from loomframe.llm.common import SPACE, computed, table, text_or_empty
 
 #: Rows of the sample from which costs and rejection rates are estimated: an upper bound, whatever the input's size.
 SAMPLE_ROWS = 2000
@@ -56,14 +56,15 @@ def text_features(docs: DataFrame, text: str = "text") -> DataFrame:
     same = "filter(_keys, (x, k) -> (k > 0 AND shiftright(x, _bits) = shiftright(_keys[greatest(k - 1, 0)], _bits)) OR (k < size(_keys) - 1 AND shiftright(x, _bits) = shiftright(_keys[least(k + 1, size(_keys) - 1)], _bits)))"
     out = out.withColumn("_at", F.expr(f"sort_array(transform({same}, x -> x & (shiftleft(1L, _bits) - 1)))"))
     covered = "aggregate(transform(_at, (x, k) -> CASE WHEN k < size(_at) - 1 THEN least(3L, _at[least(k + 1, size(_at) - 1)] - x) ELSE 3L END), 0L, (a, x) -> a + x)"
-    return out.withColumn("n_repeat_words", F.expr(covered)).drop("_words", "_bits", "_keys", "_at")
+    out = out.withColumn("n_repeat_words", F.expr(covered)).drop("_words", "_bits", "_keys", "_at")
+    return computed(out, ["n_words", "word_chars", "n_symbols", "n_lines", "n_dup_lines", "n_repeat_words"])
 
 
 def order_rules(features: DataFrame, rules: list[Rule]) -> list[Rule]:
     """Rules by rejections per cost on a bounded sample. The order changes the work, never the verdict."""
-    counts = features.limit(SAMPLE_ROWS).agg(F.count(F.lit(1)).alias("n"), *[F.count_if(F.expr(r.reject)).alias(r.name) for r in rules]).first()
-    n = max(1, counts["n"])
-    return sorted(rules, key=lambda r: (-(counts[r.name] + 0.5) / (n + 1) / r.cost, r.name))
+    # a limit at the top reads partitions one after another, until it has its rows
+    rows = features.select(*[F.expr(r.reject).alias(r.name) for r in rules]).limit(SAMPLE_ROWS).collect()
+    return sorted(rules, key=lambda r: (-(sum(x[r.name] for x in rows) + 0.5) / (len(rows) + 1) / r.cost, r.name))
 
 
 def cascade(rules: list[Rule]) -> Column:
