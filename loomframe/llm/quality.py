@@ -25,7 +25,7 @@ class Rule:
 #: The first two are the contract's base rules. The others reject what no clean prose shows.
 RULES = [
     Rule("too_few_words", "n_words < 50", 1.0),
-    Rule("symbol_heavy", "n_symbols * 10 > word_chars", 1.5),
+    Rule("symbol_heavy", "n_symbols * 20 > word_chars", 1.5),
     Rule("odd_word_length", "word_chars < 2 * n_words OR word_chars > 25 * n_words", 1.2),
     Rule("repeated_lines", "n_dup_lines * 10 > 6 * n_lines", 2.5),
     Rule("repeated_words", "100 * n_repeat_words > 50 * n_words", 8.0),
