@@ -16,8 +16,9 @@ from loomframe.llm.shingles import Hasher, mix, slices
 BANDS, ROWS = 40, 5
 #: Linked: 100 * intersection >= LEAST * union.
 LEAST = 75
-#: Members that are compared with a centre in one task group, and centres of a bucket in the first extra round.
-GROUP, CENTRES = 256, 16
+#: Members that are compared with a centre in one task group, centres of a bucket in the first extra round, and rounds
+#: in which a node is looked at in its largest bucket only.
+GROUP, CENTRES, NARROW = 256, 4, 3
 
 
 def super_minhash(sets: list[np.ndarray], m: int = BANDS * ROWS) -> np.ndarray:
@@ -80,7 +81,7 @@ def signatures(docs: DataFrame) -> DataFrame:
 
 
 def verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
-    """The pairs (a, b) whose full shingle sets are similar enough. texts: (node, text), one row per node.
+    """a, b, sim and linked of the pairs (a, b), from their full shingle sets. texts: (node, text), one row per node.
 
     Members b travel to their centre a with their texts. A centre with more than GROUP members is sent to several groups, so no
     group holds more than about GROUP texts.
@@ -96,7 +97,7 @@ def verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
         hasher = Hasher()
         key = centre = None
         for batch in batches:
-            out: tuple[list, list] = ([], [])
+            out: tuple[list, list, list, list] = ([], [], [], [])
             a, salt, role, node = (batch.column(i).to_pylist() for i in range(4))
             for first, data, edges in slices(batch.column(4)):
                 for i, own in enumerate(hasher.sets(data, edges), first):
@@ -104,12 +105,13 @@ def verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
                         key, centre = (a[i], salt[i]), own
                     elif key == (a[i], salt[i]):
                         both = len(np.intersect1d(centre, own, assume_unique=True))
-                        if 100 * both >= LEAST * (len(centre) + len(own) - both):
-                            out[0].append(a[i])
-                            out[1].append(node[i])
-            yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in out], ["a", "b"])
+                        union = len(centre) + len(own) - both
+                        for column, v in zip(out, (a[i], node[i], both / union, 100 * both >= LEAST * union)):
+                            column.append(v)
+            kinds = (pa.int64(), pa.int64(), pa.float64(), pa.bool_())
+            yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(out, kinds)], ["a", "b", "sim", "linked"])
 
-    return rows.mapInArrow(run, "a long, b long")
+    return rows.mapInArrow(run, "a long, b long, sim double, linked boolean")
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -140,33 +142,43 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     Nodes that share a band key are candidates. Each bucket compares its smallest node with all others, on the full sets.
     Where that leaves a bucket in more than one component, further members become centres, CENTRES at first and four times as many each
     round, and are compared with the bucket's members of other components, until the bucket is one component or all its members have
-    been centres. So no pair of a bucket goes untested unless links already join it, and no round emits a bucket's pairs wholesale.
+    been centres. Jaccard distance is a metric: members whose distances to the bucket's smallest node differ by more than a link allows
+    can't be linked and aren't compared. So no pair of a bucket goes untested unless links or that bound settle it.
     """
     thin = stored(signatures(docs), "signatures")
     nodes = thin.filter("node IS NOT NULL").groupBy("node").agg(F.min("doc_id").alias("id"), F.min(F.struct("_row", "keys")).alias("r"))
     bands = stored(nodes.select("node", F.col("r._row").alias("_row"), F.explode("r.keys").alias("key")), "bands")
     heads = bands.groupBy("key").agg(F.min("node").alias("a"), F.count(F.lit(1)).alias("n")).filter("n > 1")
-    shared = stored(bands.join(heads, "key"), "buckets")
+    # stored, so that the join deals out both sides itself and can split a hot bucket
+    shared = stored(bands.join(stored(heads, "heads"), "key"), "buckets")
     pairs = stored(shared.filter("a <> node").select("a", F.col("node").alias("b")).distinct(), "pairs")
     wanted = shared.select("node", "_row").distinct()
     texts = stored(docs.select("_row", "text").join(wanted, "_row").select("node", "text"), "texts")
-    links = stored(verified(pairs, texts), "links")
-    tested = pairs
-    most = CENTRES
+    tested = stored(verified(pairs, texts), "tested")
+    to_head = tested.select("a", F.col("b").alias("node"), "sim")
+    large = stored(shared.filter("n > 2").join(to_head, ["a", "node"], "left").select("key", "node", "n", F.coalesce("sim", F.lit(1.0)).alias("sim")), "large")
+    order = F.pmod(F.xxhash64("node"), F.lit(1 << 30))
+    most, turn = CENTRES, 0
     while True:
-        labels = components(links)
-        members = shared.filter("n > 2").join(labels, "node", "left").select("key", "node", "n", F.coalesce("label", "node").alias("label"))
+        labels = components(tested.filter("linked"))
+        members = large.join(labels, "node", "left").select("key", "node", "n", "sim", F.coalesce("label", "node").alias("label"))
         split = members.groupBy("key").agg(F.min("label").alias("l"), F.max("label").alias("h")).filter("l <> h").select("key")
         members = members.join(split, "key", "left_semi")
-        centres = members.filter(F.pmod(F.xxhash64("node", "key"), F.lit(1 << 30)) < F.lit(float(1 << 30)) * most / F.col("n")).select("key", F.col("node").alias("c"), F.col("label").alias("cl"))
-        crossing = members.join(centres, "key").filter("label <> cl").select(F.least("node", "c").alias("a"), F.greatest("node", "c").alias("b")).distinct()
+        open_ = members
+        if turn < NARROW:
+            home = members.groupBy("node").agg(F.max(F.struct("n", "key")).alias("m")).select("node", F.col("m.key").alias("key"))
+            open_ = members.join(home, ["node", "key"], "left_semi")
+        centres = members.filter(order < F.lit(float(1 << 30)) * most / F.col("n")).select("key", F.col("node").alias("c"), F.col("label").alias("cl"), F.col("sim").alias("cs"))
+        near = F.expr(f"label <> cl AND abs(sim - cs) <= {1 - LEAST / 100 + 1e-9}")
+        crossing = open_.join(centres, "key").filter(near).select(F.least("node", "c").alias("a"), F.greatest("node", "c").alias("b")).distinct()
         more = stored(crossing.join(tested, ["a", "b"], "left_anti"), "pairs")
         if not more.isEmpty():
-            links = stored(links.unionByName(verified(more, texts)), "links")
-            tested = tested.unionByName(more)
-        elif members.filter(F.col("n") > most).isEmpty():
+            tested = stored(tested.unionByName(verified(more, texts)), "tested")
+        elif turn >= NARROW and members.filter(F.col("n") > most).isEmpty():
             break
-        most *= 4
+        else:
+            turn = max(turn, NARROW - 1)
+        most, turn = most * 4, turn + 1
     named = nodes.select("node", "id").join(labels, "node", "left").select("node", "id", F.coalesce("label", "node").alias("label"))
     smallest = named.groupBy("label").agg(F.min("id").alias("component_id"), F.min(F.struct(F.col("id").isNull(), "id", "node")).alias("_first"))
     rows = thin.drop("keys", "check").join(named.select("node", "label"), "node", "left").join(smallest, "label", "left")

@@ -277,11 +277,13 @@ def repeated_starts(docs: DataFrame) -> DataFrame:
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     table_ = anchor_table(docs)
     seeds = table_.groupBy("seed").agg(F.count(F.lit(1)).alias("_n"), (F.min("ctx") != F.max("ctx")).alias("mixed")).filter("_n > 1").drop("_n")
+    # stored, so that the join deals out both sides itself and can split a hot seed
+    seeds = stored(seeds, "seeds")
     flagged = stored(table_.join(seeds, "seed"), "anchors")
     plain = flagged.filter("NOT mixed").select("_row", "lo", "hi")
     mixed = flagged.filter("mixed").drop("mixed")
     groups = mixed.groupBy("ctx").agg((F.count(F.lit(1)) > 1).alias("whole"), F.min(F.struct("_row", "pos")).alias("one"))
-    mixed = mixed.join(groups, "ctx").select("_row", "pos", "lo", "hi", "seed", "whole", (F.col("one") == F.struct("_row", "pos")).alias("one"))
+    mixed = mixed.join(stored(groups, "stretches"), "ctx").select("_row", "pos", "lo", "hi", "seed", "whole", (F.col("one") == F.struct("_row", "pos")).alias("one"))
     mixed = stored(mixed, "mixed")
     whole = mixed.filter("whole").select("_row", "lo", "hi")
     chosen = mixed.filter("one OR NOT whole")
@@ -310,9 +312,11 @@ def repeated_starts(docs: DataFrame) -> DataFrame:
     return plain.unionByName(whole).unionByName(covered).unionByName(single)
 
 
-def cut_passages(docs: DataFrame) -> DataFrame:
+def cut_passages(docs: DataFrame, as_text: bool = False) -> DataFrame:
     """Adds kept (binary: the bytes that stay), n_bytes, n_removed and n_spans to docs (_row, text and others).
 
+    as_text: kept is a string, without what a cut leaves of a character.
+
     Every byte of a window that also starts elsewhere goes, first occurrences included. Null texts count as empty; texts under
     WINDOW bytes stay whole; ranges of one text are gathered in one row, never those of several.
     """
@@ -335,13 +339,13 @@ def cut_passages(docs: DataFrame) -> DataFrame:
                     end = max(end, hi)
                 out.append(raw[end:])
                 left = b"".join(out)
-                for column, v in zip((kept, n_bytes, n_removed, n_spans), (left, len(raw), len(raw) - len(left), spans)):
+                for column, v in zip((kept, n_bytes, n_removed, n_spans), (left.decode(errors="ignore") if as_text else left, len(raw), len(raw) - len(left), spans)):
                     column.append(v)
             columns = [c for c, n in zip(batch.columns, names) if n != "_ranges"]
-            yield pa.RecordBatch.from_arrays([*columns, pa.array(kept, pa.binary()), *[pa.array(c, pa.int64()) for c in (n_bytes, n_removed, n_spans)]], [*[n for n in names if n != "_ranges"], "kept", "n_bytes", "n_removed", "n_spans"])
+            yield pa.RecordBatch.from_arrays([*columns, pa.array(kept, pa.string() if as_text else pa.binary()), *[pa.array(c, pa.int64()) for c in (n_bytes, n_removed, n_spans)]], [*[n for n in names if n != "_ranges"], "kept", "n_bytes", "n_removed", "n_spans"])
 
     schema = ", ".join(f"`{c}` {t}" for c, t in joined.dtypes if c != "_ranges")
-    return joined.mapInArrow(run, f"{schema}, kept binary, n_bytes long, n_removed long, n_spans long")
+    return joined.mapInArrow(run, f"{schema}, kept {'string' if as_text else 'binary'}, n_bytes long, n_removed long, n_spans long")
 
 
 def op6_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
