@@ -1,3 +1,26 @@
-"""Queries over the driver's tables and their SQL."""
-QUERIES: dict = {}
-ORACLES: dict = {}
+"""Queries over the driver's tables and the SQL that gives the same rows."""
+
+from __future__ import annotations
+
+from collections.abc import Callable
+from importlib import import_module
+
+QUERIES: dict[str, Callable] = {}
+ORACLES: dict[str, str] = {}
+
+
+def query(name: str, sql: str | None = None) -> Callable:
+    """Registers a function (spark, sf_dir) -> DataFrame under name, with its SQL."""
+
+    def add(f: Callable) -> Callable:
+        QUERIES[name] = f
+        if sql:
+            # as adapters.r6: a value half-way between two roundings goes up in both engines
+            ORACLES[name] = sql.replace(", 6) + 0.0", " + 1e-9, 6) + 0.0")
+        return f
+
+    return add
+
+
+for _module in ("frame_queries", "stat_queries", "mask_queries", "join_queries", "source_queries", "linear_queries", "graph_queries"):
+    import_module(f"loomframe.plans.{_module}")
