@@ -1 +1,234 @@
-""""""
+"""Queries of joins, component decisions and top-k."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from loomframe.operators import components as comp
+from loomframe.operators import frames
+from loomframe.operators import joins as op
+from loomframe.operators import masks
+from loomframe.plans.adapters import components, nodes, r6, rounded, run_signal, signal, sql, table, vectors
+from loomframe.plans.frame_queries import _CONCAT
+from loomframe.plans.mask_queries import _MAPS
+from loomframe.plans.registry import query
+from loomframe.plans.stat_queries import R, component_maps
+
+
+def images(spark, d):
+    return table(spark, d, "documents").select(F.concat(F.lit("d"), "doc_id").alias("stem"), "source")
+
+
+def sidecars(spark, d):
+    return table(spark, d, "labels").select(F.concat(F.lit("d"), "doc_id").alias("stem"), "quality")
+
+
+@query("J1_pair_sidecars", "SELECT 'd' || doc_id AS stem, source, quality FROM documents JOIN labels USING (doc_id)")
+def _(spark, d):
+    return op.pair_sidecars(images(spark, d), sidecars(spark, d))[0]
+
+
+@query("J1_missing_sidecars", "SELECT 'd' || doc_id AS stem, source FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM labels)")
+def _(spark, d):
+    return op.pair_sidecars(images(spark, d), sidecars(spark, d))[1]
+
+
+@query("J2_pair_ap_pa", "WITH a AS (SELECT o_custkey AS session, o_orderpriority AS run, min(o_orderkey) AS ap FROM orders WHERE o_orderstatus = 'F' GROUP BY 1, 2), p AS (SELECT o_custkey AS session, o_orderpriority AS run, min(o_orderkey) AS pa FROM orders WHERE o_orderstatus = 'O' GROUP BY 1, 2) SELECT session, run, ap, pa, CASE WHEN ap IS NULL THEN 'ap missing' WHEN pa IS NULL THEN 'pa missing' ELSE 'paired' END AS status FROM a FULL JOIN p USING (session, run)")
+def _(spark, d):
+    o = table(spark, d, "orders").filter("o_orderstatus IN ('F', 'O')")
+    side = F.when(F.col("o_orderstatus") == "F", "ap").otherwise("pa")
+    return op.pair_ap_pa(o.groupBy(F.col("o_custkey").alias("session"), F.col("o_orderpriority").alias("run"), side.alias("direction")).agg(F.min("o_orderkey").alias("path")))
+
+
+@query("J3_attach_filecount", "SELECT c_custkey AS series, n AS n_images FROM customer LEFT JOIN (SELECT o_custkey, count(*) AS n FROM orders WHERE o_orderstatus = 'P' GROUP BY 1) ON o_custkey = c_custkey")
+def _(spark, d):
+    counts = table(spark, d, "orders").filter("o_orderstatus = 'P'").groupBy(F.col("o_custkey").alias("series")).agg(F.count(F.lit(1)).alias("n_images"))
+    return op.attach_filecount(table(spark, d, "customer").select(F.col("c_custkey").alias("series")), counts)
+
+
+_KEEP = "lower(trim(classification)) = 'accepted'"
+
+
+@query("J4_manual_overrides", sql("components", f"SELECT component_id, CASE WHEN manual_reject THEN false WHEN component_id % 5 = 0 THEN true ELSE {_KEEP} END AS keep FROM components"))
+def _(spark, d):
+    c = masks.initial_keep(components(spark, d))
+    return op.manual_overrides(c.select("component_id", "keep"), c.filter("component_id % 5 = 0"), c.filter("manual_reject"))
+
+
+@query("J5_hand_reclassify", "SELECT doc_id AS component_id, rs OR (s AND NOT rn) AS is_signal, CASE WHEN NOT s AND NOT n THEN 'in neither list' WHEN s AND n THEN 'in both lists' WHEN rs AND rn THEN 'reclassified both ways' ELSE '' END AS problem FROM (SELECT doc_id, doc_id % 3 = 0 AS s, doc_id % 4 < 2 AS n, doc_id % 7 = 0 AS rs, doc_id % 11 = 0 AS rn FROM documents)")
+def _(spark, d):
+    i = table(spark, d, "documents").select(F.col("doc_id").alias("component_id"))
+    part = [i.filter(f"component_id % {m}") for m in ("3 = 0", "4 < 2", "7 = 0", "11 = 0")]
+    return op.hand_reclassify(i, *part)
+
+
+_NEAR = "near AS (SELECT a.node_id AS src, b.node_id AS dst, sqrt((a.x - b.x) ** 2 + (a.y - b.y) ** 2 + (a.z - b.z) ** 2) AS dist FROM nodes a JOIN nodes b ON abs(a.x - b.x) <= {0} AND sqrt((a.x - b.x) ** 2 + (a.y - b.y) ** 2 + (a.z - b.z) ** 2) <= {0})"
+
+
+@query("J6_near_pairs", sql("nodes", f"SELECT src, dst, {R('dist', 'dist')} FROM near", _NEAR.format(0.05)))
+def _(spark, d):
+    return rounded(op.near_pairs(nodes(spark, d), 0.05), "dist")
+
+
+def mm_nodes(spark, d):
+    return nodes(spark, d).withColumns({c: F.col(c) * 100 for c in "xyz"})
+
+
+@query("J7_pair_distance", sql("nodes", "SELECT least(src, dst) AS src, greatest(src, dst) AS dst, greatest(0, least(255, round_even(min(dist) * 100, 0)))::SMALLINT AS dist FROM near WHERE src <> dst GROUP BY 1, 2", _NEAR.format(0.08)))
+def _(spark, d):
+    return op.pair_distance(mm_nodes(spark, d), 8.0)
+
+
+_FC = "z AS (SELECT node_id, list_transform(ts, lambda v: (v - m) / CASE WHEN s > 0 THEN s ELSE 1 END) AS z FROM (SELECT node_id, ts, list_avg(ts) AS m, list_stddev_pop(ts) AS s FROM vectors)), fc AS (SELECT a.node_id AS src, b.node_id AS dst, list_dot_product(a.z, b.z) / 63 AS fc FROM z a JOIN z b ON a.node_id <> b.node_id)"
+
+
+@query("J8_functional_connectivity", sql("vectors", f"SELECT src, dst, {R('fc', 'fc')} FROM (SELECT *, row_number() OVER (PARTITION BY src ORDER BY fc DESC, dst) AS k FROM fc) WHERE k <= 6", _FC))
+def _(spark, d):
+    return rounded(op.functional_connectivity(vectors(spark, d), 6), "fc")
+
+
+@query("J8_connectivity_far", sql("vectors nodes", f"SELECT src, dst, {R('fc', 'fc')} FROM (SELECT *, row_number() OVER (PARTITION BY src ORDER BY fc DESC, dst) AS k FROM fc ANTI JOIN near USING (src, dst)) WHERE k <= 4", _FC + ", " + _NEAR.format(0.1)))
+def _(spark, d):
+    return rounded(op.functional_connectivity(vectors(spark, d), 4, exclude=op.near_pairs(nodes(spark, d), 0.1)), "fc")
+
+
+@query("J10_lookup_volume_priors", sql("nodes", f"SELECT n.node_id, t.network_id, {R('greatest(coalesce(p, 0.5::DOUBLE), 1e-6)', 'p')} FROM nodes n CROSS JOIN (SELECT DISTINCT label_id AS network_id FROM nodes) t LEFT JOIN (SELECT i, j, k, label_id, avg(abs(z)) AS p FROM nodes WHERE node_id % 2 = 0 GROUP BY ALL) v ON v.i = n.i AND v.j = n.j AND v.k = n.k AND v.label_id = t.network_id"))
+def _(spark, d):
+    n = nodes(spark, d)
+    volume = n.filter("node_id % 2 = 0").groupBy("i", "j", "k", F.col("label_id").alias("network_id")).agg(F.avg(F.abs("z")).alias("p"))
+    return rounded(op.lookup_volume_priors(n, volume, n.select(F.col("label_id").alias("network_id")).distinct()), "p")
+
+
+_ADJ = "adj AS (SELECT a.node_id AS src, b.node_id AS dst FROM nodes a JOIN nodes b ON a.label_id = b.label_id AND abs(a.i - b.i) + abs(a.j - b.j) + abs(a.k - b.k) = 1)"
+
+
+def adjacency(spark, d):
+    return op.voxel_adjacency(nodes(spark, d).withColumn("structure", F.col("label_id")))
+
+
+@query("J11_voxel_adjacency", sql("nodes", "SELECT src, dst FROM adj", _ADJ))
+def _(spark, d):
+    return adjacency(spark, d)
+
+
+@query("J12_apply_weights", sql("signal", f"SELECT dst AS node_id, frame, {R('sum(w * value) / sum(w)', 'value')} FROM signal JOIN (SELECT DISTINCT ps.l_suppkey AS src, (ps.l_partkey % 20) AS dst, 1 + ps.l_suppkey % 3 AS w FROM lineitem ps) ON src = node_id GROUP BY 1, 2"))
+def _(spark, d):
+    w = table(spark, d, "lineitem").select(F.col("l_suppkey").alias("src"), (F.col("l_partkey") % 20).alias("dst"), (1 + F.col("l_suppkey") % 3).alias("w")).distinct()
+    return rounded(op.apply_weights(signal(spark, d), w), "value")
+
+
+@query("J13_extract_runs", sql("run_signal", "SELECT run::VARCHAR AS run, CASE run WHEN 2 THEN 0 ELSE 1 END::INTEGER AS position, node_id, (frame - f0)::INTEGER AS frame, round(value - avg(value) OVER (PARTITION BY run, node_id), 6) + 0.0 AS value FROM run_signal JOIN x USING (run) WHERE run IN (0, 2)", _CONCAT))
+def _(spark, d):
+    s = run_signal(spark, d)
+    extent = frames.run_extent(s.groupBy("run").agg(F.countDistinct("frame").alias("n_frames"))).withColumn("run", F.col("run").cast("string"))
+    return rounded(op.extract_runs(frames.concat_runs(s), extent, ["2", "0"]).withColumn("frame", F.col("frame").cast("int")), "value")
+
+
+@query("J14_pair_directions")
+def _(spark, d):
+    v = nodes(spark, d).select(F.col("label_id").alias("series"), F.col("node_id").cast("int").alias("vol"), (1000 + F.col("node_id") % 3 * 500).alias("bval"), F.col("x").alias("bx"), F.col("y").alias("by"), F.col("z").alias("bz"))
+    return op.pair_directions(v.filter("vol % 2 = 0"), v.filter("vol % 2 = 1"))
+
+
+@query("J15_choose_fieldmap", "SELECT o_custkey AS session, o_orderkey AS run, CASE WHEN o_orderstatus = 'F' THEN o_orderpriority ELSE 'avg' END AS warp, CASE WHEN o_orderstatus = 'F' THEN 'scan' ELSE 'average' END AS source FROM orders")
+def _(spark, d):
+    o = table(spark, d, "orders").select(F.col("o_custkey").alias("session"), F.col("o_orderkey").alias("run"), "o_orderstatus", F.col("o_orderpriority").alias("warp"))
+    return op.choose_fieldmap(o.select("session", "run"), o.filter("o_orderstatus = 'F'"), "avg")
+
+
+_FILES = "SELECT o_custkey AS run, CASE o_orderkey % 3 WHEN 0 THEN 'clean' WHEN 1 THEN 'clean_v2' ELSE 'raw' END AS tag, o_orderkey::VARCHAR AS path FROM orders WHERE o_orderkey % 4 <> 0"
+
+
+def tagged(spark, d):
+    tag = F.when(F.col("o_orderkey") % 3 == 0, "clean").when(F.col("o_orderkey") % 3 == 1, "clean_v2").otherwise("raw")
+    return table(spark, d, "orders").filter("o_orderkey % 4 <> 0").select(F.col("o_custkey").alias("run"), tag.alias("tag"), F.col("o_orderkey").cast("string").alias("path"))
+
+
+@query("J16_resolve_input", f"WITH g AS (SELECT run, max(path) FILTER (tag = 'clean') AS exact, count(*) FILTER (starts_with(tag, 'clean_')) AS n, max(path) FILTER (starts_with(tag, 'clean_')) AS one FROM ({_FILES}) GROUP BY 1) SELECT run, CASE WHEN exact IS NOT NULL THEN exact WHEN n = 1 THEN one END AS path, CASE WHEN exact IS NOT NULL THEN 'exact' WHEN n = 1 THEN 'variant' WHEN n > 1 THEN 'ambiguous' ELSE 'missing' END AS status FROM g")
+def _(spark, d):
+    return op.resolve_input(tagged(spark, d), "clean")
+
+
+@query("J17_infer_fmap_run", "SELECT o_orderkey, CASE WHEN o_orderkey % 3 = 0 THEN (o_orderkey % 5)::VARCHAR WHEN o_orderkey % 3 = 1 THEN (o_custkey % 7)::VARCHAR ELSE '1' END AS run, o_orderkey % 3 = 2 AS warned FROM orders")
+def _(spark, d):
+    k = F.col("o_orderkey")
+    f = table(spark, d, "orders").select("o_orderkey", F.when(k % 3 == 0, (k % 5).cast("string")).alias("run"), F.when(k % 3 == 1, F.concat(F.lit("func/x_run-"), F.col("o_custkey") % 7, F.lit("_bold"))).otherwise("none").alias("intended_for"))
+    return op.infer_fmap_run(f).select("o_orderkey", "run", "warned")
+
+
+@query("J18_compare_edges", sql("nodes", f"SELECT max(abs(a - b)) AS max_diff, {R('avg(abs(a - b))', 'mean_diff')}, {R('avg((a = b)::INTEGER)', 'exact')}, {R('avg((abs(a - b) <= 1)::INTEGER)', 'within_1')} FROM (SELECT round_even(dist * 100, 0)::INTEGER AS a, floor(dist * 100)::INTEGER AS b FROM near WHERE src < dst)", _NEAR.format(0.08)))
+def _(spark, d):
+    exact = op.near_pairs(mm_nodes(spark, d), 8.0).filter("src < dst")
+    a, b = op.pair_distance(mm_nodes(spark, d), 8.0), exact.withColumn("dist", F.floor("dist").cast("int"))
+    return rounded(op.compare_edges(a.withColumn("dist", F.col("dist").cast("int")), b), "mean_diff", "exact", "within_1")
+
+
+@query("J19_find_runs_missing_input", f"WITH f AS ({_FILES}) SELECT c_custkey AS run FROM customer WHERE c_custkey NOT IN (SELECT run FROM f WHERE tag = 'clean') ORDER BY 1 LIMIT 12")
+def _(spark, d):
+    return op.find_runs_missing_input(table(spark, d, "customer").select(F.col("c_custkey").alias("run")), tagged(spark, d), "clean")
+
+
+@query("T2_argmin_row", "SELECT l_suppkey, min(l_orderkey) AS l_orderkey FROM lineitem JOIN (SELECT l_suppkey, min(l_extendedprice) AS l_extendedprice FROM lineitem GROUP BY 1) USING (l_suppkey, l_extendedprice) GROUP BY 1")
+def _(spark, d):
+    return op.argmin_row(table(spark, d, "lineitem"), "l_extendedprice", "l_orderkey", ["l_suppkey"])
+
+
+@query("T3_winner_take_all", sql("vectors", f"SELECT node_id, k::INTEGER AS network_id, {R('p', 'p')} FROM (SELECT node_id, c - 1 AS k, round(ts[c], 1) AS p, row_number() OVER (PARTITION BY node_id ORDER BY round(ts[c], 1) DESC, c) AS r FROM vectors, range(1, 11) q(c)) WHERE r = 1"))
+def _(spark, d):
+    s = vectors(spark, d).select("node_id", F.posexplode(F.slice("ts", 1, 10)).alias("network_id", "p")).withColumn("p", F.round("p", 1))
+    return rounded(op.winner_take_all(s), "p")
+
+
+@query("T6_ordered_series", "SELECT o_orderkey AS series, o_orderpriority AS acquisition_time FROM orders")
+def _(spark, d):
+    return op.ordered_series(table(spark, d, "orders").select(F.col("o_orderkey").alias("series"), F.col("o_orderpriority").alias("acquisition_time")))
+
+
+_LR = "log10(kappa / greatest(rho, 1e-8) + 1e-8)"
+_LIMIT = f"greatest(0.02, greatest(0.02, least(0.10 - 0.05 * {_LR}, 0.5)))"
+_DECIDED = f"k AS (SELECT *, {_KEEP} AS keep FROM components), q AS (SELECT coalesce(quantile_cont(r2, 0.5) FILTER (keep), 'inf'::DOUBLE) AS q FROM k), dec AS (SELECT component_id, manual_reject, keep AS initial, NOT keep AND kappa > rho AND r2 >= 0.1 AND r2 >= q AS rescued, keep AND r2 < {_LIMIT} AND ratio <= 1 AS killed FROM k, q)"
+
+
+def decided(spark, d):
+    c = masks.initial_keep(components(spark, d))
+    return comp.refine_components(c.withColumn("initial", F.col("keep")), reject=c.filter("manual_reject").select("component_id"))
+
+
+@query("L22_refine_components", sql("components", "SELECT component_id, (initial OR rescued) AND NOT killed AND NOT manual_reject AS keep, rescued, killed FROM dec", _DECIDED))
+def _(spark, d):
+    return decided(spark, d).select("component_id", "keep", "rescued", "killed")
+
+
+@query("A9_decision_summary", sql("components", "SELECT count(*) FILTER (initial) AS initial_accept, count(*) FILTER (NOT initial) AS initial_reject, count(*) FILTER (rescued) AS rescued, count(*) FILTER (killed) AS killed, count(*) FILTER (rescued OR killed) AS candidates, count(*) FILTER (initial <> f) AS changed, count(*) FILTER (f) AS final_accept FROM (SELECT *, (initial OR rescued) AND NOT killed AND NOT manual_reject AS f FROM dec)", _DECIDED))
+def _(spark, d):
+    return comp.decision_summary(decided(spark, d))
+
+
+@query("T4_rank_kill_candidates", sql("components", f"SELECT component_id, {R('p', 'priority')}, row_number() OVER (ORDER BY p DESC, component_id)::INTEGER AS position FROM (SELECT component_id, -({_LR} - avg({_LR}) OVER ()) / stddev_pop({_LR}) OVER () - (r2 - avg(r2) OVER ()) / stddev_pop(r2) OVER () + (variance_explained - avg(variance_explained) OVER ()) / stddev_pop(variance_explained) OVER () AS p FROM components)"))
+def _(spark, d):
+    return comp.rank_kill_candidates(components(spark, d)).select("component_id", r6("priority").alias("priority"), "position")
+
+
+_PRIORS = "mv AS (SELECT label_id AS network_id, c, avg(ts[c]) AS m FROM vectors, range(1, 65) r(c) GROUP BY 1, 2), pr AS (SELECT v.node_id, mv.network_id, sum(v.ts[mv.c] * mv.m) AS fc FROM vectors v CROSS JOIN mv GROUP BY 1, 2)"
+
+
+def priors(spark, d):
+    """node_id, network_id, fc: dot product of each node's vector with the mean vector of each label."""
+    long = vectors(spark, d).select("node_id", "label_id", F.posexplode("ts").alias("c", "v"))
+    mean = long.groupBy(F.col("label_id").alias("network_id"), "c").agg(F.avg("v").alias("m"))
+    return long.join(F.broadcast(mean), "c").groupBy("node_id", "network_id").agg(F.sum(F.col("v") * F.col("m")).alias("fc"))
+
+
+@query("L21_template_rho", sql("vectors", f"SELECT component_id, {R('max(abs(r))', 'rho')} FROM (SELECT component_id, network_id, corr(loading, fc) AS r FROM maps JOIN pr USING (node_id) GROUP BY 1, 2) GROUP BY 1", _MAPS + ", " + _PRIORS))
+def _(spark, d):
+    return rounded(comp.template_rho(component_maps(spark, d), priors(spark, d)), "rho")
+
+
+@query("L20_ridge_r2")
+def _(spark, d):
+    return rounded(comp.ridge_r2(component_maps(spark, d), priors(spark, d)), "r2")
+
+
+@query("L23_refine_by_template", sql("components", f"SELECT component_id, CASE WHEN r2 > 0.3 THEN true WHEN r2 < 0.1 THEN false ELSE {_KEEP} END AS keep FROM components"))
+def _(spark, d):
+    return comp.refine_by_template(masks.initial_keep(components(spark, d)), col="r2").select("component_id", "keep")
