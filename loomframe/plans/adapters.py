@@ -22,7 +22,7 @@ def rounded(df: DataFrame, *names: str) -> DataFrame:
 def signal(spark: SparkSession, sf_dir: str) -> DataFrame:
     """node_id, frame, value: ordered quantity per supplier and quarter (28 frames)."""
     t = table(spark, sf_dir, "lineitem")
-    frame = (F.year("l_shipdate") - 1992) * 4 + F.quarter("l_shipdate") - 1
+    frame = (F.year("l_shipdate") - 1995) * 4 + F.quarter("l_shipdate") - 1
     return t.groupBy(F.col("l_suppkey").alias("node_id"), frame.alias("frame")).agg(F.sum("l_quantity").alias("value"))
 
 
@@ -92,7 +92,7 @@ def components(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 #: The same tables as SQL.
 CTE = {
-    "signal": "signal AS (SELECT l_suppkey AS node_id, ((year(l_shipdate) - 1992) * 4 + quarter(l_shipdate) - 1)::INTEGER AS frame, sum(l_quantity) AS value FROM lineitem GROUP BY 1, 2)",
+    "signal": "signal AS (SELECT l_suppkey AS node_id, ((year(l_shipdate) - 1995) * 4 + quarter(l_shipdate) - 1)::INTEGER AS frame, sum(l_quantity) AS value FROM lineitem GROUP BY 1, 2)",
     "run_signal": "run_signal AS (SELECT ((day(ts) - 1) // 10)::INTEGER AS run, user_id AS node_id, day(ts)::INTEGER AS frame, avg(value) AS value FROM events GROUP BY 1, 2, 3)",
     "motion": "kinds AS (SELECT event_type, row_number() OVER (ORDER BY event_type) AS k FROM (SELECT DISTINCT event_type FROM events)), motion AS (SELECT 0 AS run, date_diff('day', DATE '2024-01-01', ts::DATE)::INTEGER AS frame, "
     + ", ".join(f"coalesce(avg(value) FILTER (k = {i}), 0.0) AS p{i}" for i in range(1, 6))

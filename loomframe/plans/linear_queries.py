@@ -1 +1,240 @@
-""""""
+"""Queries of regressions and fits."""
+
+from __future__ import annotations
+
+import numpy as np
+from pyspark.sql import functions as F
+
+from loomframe.operators import linear as op
+from loomframe.operators import stats
+
+from loomframe.operators.joins import near_pairs
+from loomframe.plans.adapters import echoes, nodes, r6, rounded, run_signal, signal, sql, vectors
+from loomframe.plans.join_queries import _NEAR
+from loomframe.plans.mask_queries import _MAPS
+from loomframe.plans.registry import query
+from loomframe.plans.stat_queries import R, component_maps
+
+FRAMES = 28
+
+
+def wide_signal(spark, d):
+    return op.to_vectors(signal(spark, d), FRAMES)
+
+
+def design(spark, d, k: int = 3) -> np.ndarray:
+    """frames x k: mean series of the nodes by residue class, a small table."""
+    rows = signal(spark, d).groupBy("frame", (F.col("node_id") % k).alias("c")).agg(F.avg("value").alias("v")).collect()
+    x = np.zeros((FRAMES, k))
+    for r in rows:
+        x[r["frame"], r["c"]] = r["v"]
+    return x - x.mean(0)
+
+
+def long(df, digits: bool = True):
+    return rounded(op.to_long(df), "value")
+
+
+_GSR = f"SELECT node_id, frame, {R('value - b * gs - a + m', 'value')}, {R('b', 'slope')} FROM j JOIN (SELECT node_id, regr_slope(value, gs) AS b, regr_intercept(value, gs) AS a, avg(value) AS m FROM j GROUP BY 1) USING (node_id)"
+
+
+@query("L1_global_signal_regression", sql("signal", _GSR, "g AS (SELECT frame, avg(value) AS gs FROM signal GROUP BY 1), j AS (SELECT * FROM signal JOIN g USING (frame))"))
+def _(spark, d):
+    return rounded(op.global_signal_regression(signal(spark, d)), "value", "slope")
+
+
+@query("L2_mean_signal_regression", sql("signal", f"SELECT node_id, {R('b', 'beta')}, {R('b * b * vx', 'explained')}, {R('coalesce(b * b * vx / nullif(vy, 0), 0.0)', 'r2')} FROM (SELECT node_id, sum(x * y) / sum(x * x) AS b, var_samp(x) AS vx, var_samp(y) AS vy FROM j GROUP BY 1)", "g AS (SELECT frame, gs - avg(gs) OVER () AS x FROM (SELECT frame, avg(value) AS gs FROM signal GROUP BY 1)), j AS (SELECT node_id, x, y FROM (SELECT node_id, frame, value - avg(value) OVER (PARTITION BY node_id) AS y FROM signal) JOIN g USING (frame))"))
+def _(spark, d):
+    return rounded(op.mean_signal_regression(signal(spark, d)), "beta", "explained", "r2")
+
+
+@query("L3_compartment_components")
+def _(spark, d):
+    basis, values = op.compartment_components(signal(spark, d), FRAMES, signal(spark, d).filter("node_id % 2 = 0"))
+    # the projector doesn't depend on the vectors' signs
+    return rounded(op.mixing_table(spark, basis @ basis.T), "value")
+
+
+@query("L4_condition_design")
+def _(spark, d):
+    basis = op.condition_design(design(spark, d, 5))
+    return rounded(op.mixing_table(spark, basis @ basis.T), "value")
+
+
+@query("L5_nuisance_regression")
+def _(spark, d):
+    return long(op.nuisance_regression(wide_signal(spark, d), design(spark, d), np.arange(FRAMES) % 7 != 3))
+
+
+@query("L6_extra_axial_mask", sql("signal", "SELECT node_id FROM signal GROUP BY 1 HAVING 100 * stddev_samp(value) / avg(value) > 12 AND node_id % 3 <> 0"))
+def _(spark, d):
+    s = signal(spark, d)
+    return op.extra_axial_mask(stats.temporal_sd_percent(s), s.select("node_id").distinct().filter("node_id % 3 = 0"), 12.0)
+
+
+@query("L7_variance_decomposition")
+def _(spark, d):
+    x = design(spark, d, 6)
+    out = op.variance_decomposition(wide_signal(spark, d), x, [1, 4], x[:, :1] ** 2 / 1e4, op.highpass_matrix(FRAMES, 5.0))
+    return rounded(out, *[c for c in out.columns if c != "node_id"])
+
+
+@query("L8_regress_out")
+def _(spark, d):
+    return long(op.regress_out(wide_signal(spark, d), design(spark, d)))
+
+
+@query("L9_remove_components")
+def _(spark, d):
+    return long(op.remove_components(wide_signal(spark, d), design(spark, d, 5), [0, 3]))
+
+
+@query("L10_tissue_signal_regression")
+def _(spark, d):
+    x = design(spark, d, 2)
+    return rounded(op.tissue_signal_regression(wide_signal(spark, d), x[:, 0], x[:, 1]).select("node_id", "ratio"), "ratio")
+
+
+@query("L11_noise_sd_map")
+def _(spark, d):
+    return rounded(op.noise_sd_map(wide_signal(spark, d), design(spark, d, 5), [1, 2]), "sd")
+
+
+@query("L12_component_beta_maps")
+def _(spark, d):
+    return rounded(op.component_beta_maps(wide_signal(spark, d), design(spark, d)), "loading")
+
+
+def spatial_maps(spark, d):
+    """component_id, node_id, loading: three indicator-like maps over the signal's nodes."""
+    n = signal(spark, d).select("node_id").distinct()
+    return n.select("node_id", F.posexplode(F.array((F.col("node_id") % 2).cast("double"), (F.col("node_id") % 3).cast("double"), F.lit(1.0))).alias("component_id", "loading"))
+
+
+@query("L13_dual_regression")
+def _(spark, d):
+    return rounded(op.dual_regression(spatial_maps(spark, d), signal(spark, d), FRAMES), "loading")
+
+
+def near_weights(spark, d, mm: float = 0.08, sigma: float = 0.05):
+    return op.gaussian_weights(near_pairs(nodes(spark, d), mm), sigma)
+
+
+@query("L14_alignment_weights")
+def _(spark, d):
+    long_ = vectors(spark, d).select("node_id", F.posexplode(F.slice("ts", 1, 16)).alias("dim", "value"))
+    group = long_.join(vectors(spark, d).select("node_id", "label_id"), "node_id").groupBy("label_id", "dim").agg(F.avg("value").alias("value"))
+    other = vectors(spark, d).select("node_id", "label_id").join(group, "label_id").select("dim", "node_id", "value")
+    return rounded(op.alignment_weights(long_, other, near_weights(spark, d)), "w")
+
+
+@query("L15_vn_concat", sql("run_signal", f"SELECT run, node_id, frame, {R('(value - m) / greatest(coalesce(s, 0) / a, 0.001)', 'value')} FROM run_signal JOIN (SELECT *, avg(s) OVER (PARTITION BY run) AS a FROM (SELECT run, node_id, avg(value) AS m, stddev_samp(value) AS s FROM run_signal GROUP BY 1, 2)) USING (run, node_id)"))
+def _(spark, d):
+    return rounded(op.vn_concat(run_signal(spark, d)), "value")
+
+
+@query("L16_beta_z")
+def _(spark, d):
+    return rounded(op.beta_z(wide_signal(spark, d), design(spark, d)), "beta", "z")
+
+
+@query("L17_normalise_to_input", sql("vectors", f"SELECT component_id, node_id, {R('(l - avg(l) OVER w) / stddev_samp(l) OVER w * stddev_samp(loading) OVER w + avg(loading) OVER w', 'loading')} FROM (SELECT component_id, node_id, loading, loading * (1 + node_id % 3) AS l FROM maps WHERE component_id < 8) WINDOW w AS (PARTITION BY component_id)", _MAPS))
+def _(spark, d):
+    m = component_maps(spark, d).filter("component_id < 8")
+    return rounded(op.normalise_to_input(m.withColumn("loading", F.col("loading") * (1 + F.col("node_id") % 3)), m), "loading")
+
+
+@query("L18_pca_dimensionality")
+def _(spark, d):
+    return rounded(op.pca_dimensionality(signal(spark, d), FRAMES), "laplace", "bic", "aic", "mdl")
+
+
+@query("L19_variance_normalise")
+def _(spark, d):
+    return long(op.variance_normalise(signal(spark, d), FRAMES, 3))
+
+
+@query("W10_poly_detrend")
+def _(spark, d):
+    return long(op.poly_detrend(wide_signal(spark, d), FRAMES, 2))
+
+
+@query("W11_gaussian_highpass")
+def _(spark, d):
+    return long(op.gaussian_highpass(wide_signal(spark, d), FRAMES, 5.0))
+
+
+@query("L24_near_signal_regression", sql("vectors nodes", f"SELECT node_id, frame, {R('value - avg(value) OVER w - coalesce(b, 0) * (x - avg(x) OVER w)', 'value')} FROM j JOIN (SELECT node_id, regr_slope(value, x) AS b FROM j GROUP BY 1) USING (node_id) WINDOW w AS (PARTITION BY node_id) UNION ALL SELECT node_id, frame, {R('value', 'value')} FROM s JOIN nodes USING (node_id) WHERE label_id < 4", _NEAR.format(0.08) + ", s AS (SELECT node_id, c - 1 AS frame, ts[c] AS value FROM vectors, range(1, 65) r(c)), x AS (SELECT src AS node_id, frame, avg(value) AS x FROM near JOIN nodes n ON n.node_id = src AND n.label_id >= 4 JOIN s ON s.node_id = dst GROUP BY 1, 2), j AS (SELECT * FROM s JOIN x USING (node_id, frame))"))
+def _(spark, d):
+    n = nodes(spark, d).withColumn("is_cortex", F.col("label_id") < 4)
+    return rounded(op.near_signal_regression(op.to_long(vectors(spark, d)), n, 0.08), "value")
+
+
+@query("L26_fc_fingerprints")
+def _(spark, d):
+    v = vectors(spark, d)
+    refs = np.array([r["ts"] for r in v.orderBy("node_id").limit(10).collect()])
+    return rounded(op.fc_fingerprints(v, refs).select("node_id", F.posexplode("fp").alias("ref", "value")), "value")
+
+
+@query("L27_map_regression", sql("nodes", f"SELECT node_id, {R('x - (SELECT regr_intercept(x, y) FROM nodes) - (SELECT regr_slope(x, y) FROM nodes) * y', 'x')} FROM nodes"))
+def _(spark, d):
+    return rounded(op.map_regression(nodes(spark, d).select("node_id", "x", "y"), "x", "y").select("node_id", "x"), "x")
+
+
+_W = _NEAR.format(0.08) + ", w AS (SELECT src, dst, exp(-dist * dist / (2 * 0.05 * 0.05)) AS w FROM near)"
+_SMOOTH = "(SELECT src AS node_id, sum(w * {0}) / sum(w) AS {1} FROM w JOIN {2} ON node_id = dst GROUP BY 1)"
+
+
+@query("G14_smooth", sql("nodes", f"SELECT node_id, {R('v', 'value')} FROM {_SMOOTH.format('x', 'v', 'nodes')}", _W))
+def _(spark, d):
+    return rounded(op.smooth(nodes(spark, d).select("node_id", F.col("x").alias("value")), near_weights(spark, d)), "value")
+
+
+@query("G14_smooth_masked", sql("nodes", f"SELECT node_id, {R('v', 'value')} FROM {_SMOOTH.format('x', 'v', '(SELECT * FROM nodes WHERE label_id < 6)')}", _W))
+def _(spark, d):
+    n = nodes(spark, d)
+    return rounded(op.smooth(n.select("node_id", F.col("x").alias("value")), near_weights(spark, d), n.filter("label_id < 6")), "value")
+
+
+@query("L28_reference_bias", sql("nodes", f"SELECT node_id, {R('x - a + b', 'value')} FROM nodes JOIN {_SMOOTH.format('x', 'a', 'nodes')} USING (node_id) JOIN {_SMOOTH.format('y', 'b', 'nodes')} USING (node_id)", _W))
+def _(spark, d):
+    n = nodes(spark, d)
+    return rounded(op.reference_bias(n.select("node_id", F.col("x").alias("value")), n.select("node_id", F.col("y").alias("value")), near_weights(spark, d)), "value")
+
+
+@query("L29_bias_field", sql("nodes", f"SELECT node_id, {R('v', 'value')} FROM q WHERE v >= (SELECT avg(v) - stddev_samp(v) / 2 FROM q)", _W + f", p AS (SELECT node_id, v / avg(v) OVER () AS v FROM (SELECT node_id, sqrt(abs(x * y)) AS v FROM nodes)), q AS (SELECT node_id, v / s AS v FROM p JOIN {_SMOOTH.format('v', 's', 'p')} USING (node_id))"))
+def _(spark, d):
+    n = nodes(spark, d)
+    return rounded(op.bias_field(n.select("node_id", F.col("x").alias("value")), n.select("node_id", F.col("y").alias("value")), near_weights(spark, d)), "value")
+
+
+@query("L30_mass_univariate_glm")
+def _(spark, d):
+    x = design(spark, d)
+    return rounded(op.mass_univariate_glm(wide_signal(spark, d), x, np.array([[1, 0, 0], [1, -1, 0]])), "cope", "varcope", "t", "z")
+
+
+@query("L31_fixed_effects", sql("run_signal", f"SELECT 0 AS contrast, node_id, {R('sum(m / v) / sum(1 / v)', 'cope')}, {R('1 / sum(1 / v)', 'varcope')}, sum(n)::BIGINT AS dof FROM (SELECT run, node_id, avg(value) AS m, var_samp(value) AS v, count(*) - 1 AS n FROM run_signal GROUP BY 1, 2) WHERE v > 0 GROUP BY 2 HAVING count(*) = 3"))
+def _(spark, d):
+    c = run_signal(spark, d).groupBy("run", "node_id").agg(F.avg("value").alias("cope"), F.var_samp("value").alias("varcope"), (F.count(F.lit(1)) - 1).alias("dof")).withColumn("contrast", F.lit(0))
+    return rounded(op.fixed_effects(c, 3), "cope", "varcope")
+
+
+_T2 = "f AS (SELECT node_id, regr_slope(ln(value), -te) AS r, regr_intercept(ln(value), -te) AS a FROM echoes WHERE value > 0 GROUP BY 1), t AS (SELECT node_id, exp(a) AS s0, CASE WHEN r > 0 THEN 1 / r END AS t2s FROM f)"
+
+
+@query("L32_t2star_fit", sql("echoes", f"SELECT node_id, {R('ln(s0)', 'ln_s0')}, {R('t2s', 't2s')} FROM t WHERE t2s IS NULL OR t2s < 1000", _T2))
+def _(spark, d):
+    return op.t2star_fit(echoes(spark, d)).filter("t2s IS NULL OR t2s < 1000").select("node_id", r6(F.log("s0")).alias("ln_s0"), r6("t2s").alias("t2s"))
+
+
+@query("L33_optimal_combination", sql("echoes", f"SELECT node_id, {R('sum(te * exp(-te / t2s) * value) / sum(te * exp(-te / t2s))', 'value')} FROM echoes JOIN t USING (node_id) WHERE t2s IS NOT NULL GROUP BY 1", _T2))
+def _(spark, d):
+    e = echoes(spark, d)
+    return rounded(op.optimal_combination(e, op.t2star_fit(e)), "value")
+
+
+@query("L34_exclusive_regression")
+def _(spark, d):
+    return rounded(op.exclusive_regression(spatial_maps(spark, d), signal(spark, d), FRAMES), "value")
