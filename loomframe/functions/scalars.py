@@ -77,8 +77,9 @@ def te_units(te: Column, target: str = "s") -> Column:
 
 def format_g(x: Column, digits: int = 5) -> Column:
     """F10. Significant digits, trailing zeros dropped, exponents outside 1e-4..10^digits."""
-    exponent = F.floor(F.log10(F.abs(x)))
-    fixed = F.round(x * F.pow(F.lit(10.0), digits - 1 - exponent)) / F.pow(F.lit(10.0), digits - 1 - exponent)
+    wanted = F.pow(F.lit(10.0), digits - 1 - F.floor(F.log10(F.abs(x))))
+    fixed = F.round(x * wanted) / wanted
+    exponent = F.floor(F.log10(F.abs(fixed)) + 1e-12)  # rounding may have added a digit
     text = F.regexp_replace(F.regexp_replace(F.format_string(f"%.{digits + 4}f", fixed), r"(\.[0-9]*?)0+$", "$1"), r"\.$", "")
     wide = F.regexp_replace(F.regexp_replace(F.format_string(f"%.{digits - 1}e", x), r"(\.[0-9]*?)0+e", "$1e"), r"\.e", "e")
     return F.when(x == 0, "0").when((exponent < -4) | (exponent >= digits), wide).otherwise(text)

@@ -22,5 +22,5 @@ def query(name: str, sql: str | None = None) -> Callable:
     return add
 
 
-for _module in ("frame_queries", "stat_queries", "mask_queries", "join_queries", "source_queries", "linear_queries", "graph_queries"):
+for _module in ("frame_queries", "stat_queries", "mask_queries", "join_queries", "source_queries", "linear_queries", "graph_queries", "stream_queries"):
     import_module(f"loomframe.plans.{_module}")

@@ -71,7 +71,7 @@ def name_components(raw: DataFrame) -> DataFrame:
 
 def read_matrix_text(spark: SparkSession, path: str, columns: int) -> DataFrame:
     """S5. frame, p1..pn of white-space separated numbers, a line for each frame; another number of columns is an error."""
-    lines = spark.read.text(path, wholetext=True).select(F.posexplode(F.split(F.trim("value"), "\n")).alias("frame", "line"))
+    lines = spark.read.text(path, wholetext=True).select(F.posexplode(F.split(F.regexp_replace("value", r"\s+$", ""), "\n")).alias("frame", "line"))
     return parse_matrix(lines, columns)
 
 
@@ -100,7 +100,7 @@ def read_edges(edges: DataFrame, nodes: DataFrame) -> DataFrame:
 
 def parse_label_lut(texts: DataFrame) -> DataFrame:
     """S8. label_id, name, r, g, b, a of two-line records: the name, then five numbers."""
-    lines = texts.select(F.posexplode(F.split(F.trim("text"), "\n")).alias("pos", "line"))
+    lines = texts.select(F.posexplode(F.split(F.regexp_replace("text", r"\s+$", ""), "\n")).alias("pos", "line"))
     pairs = lines.groupBy(F.floor(F.col("pos") / 2).alias("k")).agg(F.max(F.when(F.col("pos") % 2 == 0, F.col("line"))).alias("name"), F.max(F.when(F.col("pos") % 2 == 1, F.split(F.trim("line"), r"\s+"))).alias("n"))
     number = lambda i: F.col("n")[i].cast("int")
     return pairs.select(number(0).alias("label_id"), "name", *[number(i + 1).alias(c) for i, c in enumerate("rgba")])
