@@ -16,9 +16,8 @@ from loomframe.llm.shingles import Hasher, mix, slices
 BANDS, ROWS = 40, 5
 #: Linked: 100 * intersection >= LEAST * union.
 LEAST = 75
-#: Members that are compared with a centre in one task group, centres of a bucket in the first extra round, and rounds
-#: in which a node is looked at in its largest bucket only.
-GROUP, CENTRES, NARROW = 256, 4, 3
+#: Members that are compared with a centre in one task group, centres of a bucket in the first extra round, and classes of shingles.
+GROUP, CENTRES, CLASSES = 256, 16, 64
 
 
 def super_minhash(sets: list[np.ndarray], m: int = BANDS * ROWS) -> np.ndarray:
@@ -114,6 +113,28 @@ def verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     return rows.mapInArrow(run, "a long, b long, sim double, linked boolean")
 
 
+def shared_counts(texts: DataFrame) -> DataFrame:
+    """node, size, rest of texts (node, text): its shingles that another of these nodes has too, counted by CLASSES classes of their hash."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hasher = Hasher()
+        for batch in batches:
+            for first, data, edges in slices(batch.column(1)):
+                sets = hasher.sets(data, edges)
+                node = np.repeat(batch.column(0).slice(first, len(sets)).to_numpy(), [len(x) for x in sets])
+                yield pa.RecordBatch.from_arrays([pa.array(_signed(np.concatenate(sets))), pa.array(node)], ["shingle", "node"])
+
+    rows = texts.select("node", "text").mapInArrow(run, "shingle long, node long")
+    class_ = F.pmod("shingle", F.lit(CLASSES))
+    # one row for a shingle that a single node has; all others are what the totals leave
+    alone = rows.groupBy("shingle").agg(F.min("node").alias("node"), F.max("node").alias("last")).filter("node = last")
+    counts = rows.groupBy("node", class_.alias("c")).agg(F.count(F.lit(1)).alias("n")).unionByName(alone.groupBy("node", class_.alias("c")).agg((-F.count(F.lit(1))).alias("n")))
+    counts = counts.groupBy("node", "c").agg(F.sum("n").alias("n"), F.sum(F.greatest("n", F.lit(0))).alias("all"))
+    entry = F.map_from_entries(F.collect_list(F.struct("c", "n"))).alias("m")
+    rest = F.expr(f"transform(sequence(0L, {CLASSES - 1}L), c -> cast(coalesce(m[c], 0L) AS int))")
+    return counts.groupBy("node").agg(entry, F.sum("all").alias("size")).select("node", "size", rest.alias("rest"))
+
+
 def components(links: DataFrame) -> DataFrame:
     """(node, label) of every node of links (a, b): label is the smallest node that it reaches.
 
@@ -140,10 +161,11 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     aside). Rows without words have n_shingles 0 and are components of their own. kept: doc_id equals component_id, null equal to null.
 
     Nodes that share a band key are candidates. Each bucket compares its smallest node with all others, on the full sets.
-    Where that leaves a bucket in more than one component, further members become centres, CENTRES at first and four times as many each
-    round, and are compared with the bucket's members of other components, until the bucket is one component or all its members have
-    been centres. Jaccard distance is a metric: members whose distances to the bucket's smallest node differ by more than a link allows
-    can't be linked and aren't compared. So no pair of a bucket goes untested unless links or that bound settle it.
+    Where that leaves a bucket in more than one component, CENTRES further members are compared with the members of other components
+    whose largest bucket it is, and at last every pair of a bucket that is still in two components, unless an exact bound
+    excludes the link. Jaccard distance is a metric: members whose distances to the bucket's smallest node differ by more than a link allows
+    aren't linked. And an intersection holds no shingle that only one of the nodes in question has, and of each class of
+    shingles at most as many as the node with fewer has. So no pair of a bucket goes untested unless links or these bounds settle it.
     """
     thin = stored(signatures(docs), "signatures")
     nodes = thin.filter("node IS NOT NULL").groupBy("node").agg(F.min("doc_id").alias("id"), F.min(F.struct("_row", "keys")).alias("r"))
@@ -157,28 +179,32 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     tested = stored(verified(pairs, texts), "tested")
     to_head = tested.select("a", F.col("b").alias("node"), "sim")
     large = stored(shared.filter("n > 2").join(to_head, ["a", "node"], "left").select("key", "node", "n", F.coalesce("sim", F.lit(1.0)).alias("sim")), "large")
+    facts = None
     order = F.pmod(F.xxhash64("node"), F.lit(1 << 30))
-    most, turn = CENTRES, 0
-    while True:
+    for last in (False, True):
         labels = components(tested.filter("linked"))
         members = large.join(labels, "node", "left").select("key", "node", "n", "sim", F.coalesce("label", "node").alias("label"))
         split = members.groupBy("key").agg(F.min("label").alias("l"), F.max("label").alias("h")).filter("l <> h").select("key")
-        members = members.join(split, "key", "left_semi")
-        open_ = members
-        if turn < NARROW:
+        members = stored(members.join(split, "key", "left_semi"), "members")
+        if members.isEmpty():
+            break
+        if facts is None:
+            facts = stored(shared_counts(texts.join(members.select("node").distinct(), "node", "left_semi")), "facts")
+        members = members.join(facts, "node")
+        open_, centres = members, members
+        if not last:
             home = members.groupBy("node").agg(F.max(F.struct("n", "key")).alias("m")).select("node", F.col("m.key").alias("key"))
             open_ = members.join(home, ["node", "key"], "left_semi")
-        centres = members.filter(order < F.lit(float(1 << 30)) * most / F.col("n")).select("key", F.col("node").alias("c"), F.col("label").alias("cl"), F.col("sim").alias("cs"))
-        near = F.expr(f"label <> cl AND abs(sim - cs) <= {1 - LEAST / 100 + 1e-9}")
+            centres = members.filter(order < F.lit(float(1 << 30)) * CENTRES / F.col("n"))
+        centres = centres.select("key", F.col("node").alias("c"), F.col("label").alias("cl"), F.col("sim").alias("cs"), F.col("rest").alias("cr"), F.col("size").alias("cz"))
+        common = "aggregate(zip_with(rest, cr, (x, y) -> least(x, y)), 0, (s, x) -> s + x)"
+        near = f"label <> cl AND abs(sim - cs) <= {1 - LEAST / 100 + 1e-9} AND {100 + LEAST} * {common} >= {LEAST} * (size + cz)" + (" AND node < c" if last else "")
         crossing = open_.join(centres, "key").filter(near).select(F.least("node", "c").alias("a"), F.greatest("node", "c").alias("b")).distinct()
         more = stored(crossing.join(tested, ["a", "b"], "left_anti"), "pairs")
         if not more.isEmpty():
             tested = stored(tested.unionByName(verified(more, texts)), "tested")
-        elif turn >= NARROW and members.filter(F.col("n") > most).isEmpty():
-            break
-        else:
-            turn = max(turn, NARROW - 1)
-        most, turn = most * 4, turn + 1
+    else:
+        labels = components(tested.filter("linked"))
     named = nodes.select("node", "id").join(labels, "node", "left").select("node", "id", F.coalesce("label", "node").alias("label"))
     smallest = named.groupBy("label").agg(F.min("id").alias("component_id"), F.min(F.struct(F.col("id").isNull(), "id", "node")).alias("_first"))
     rows = thin.drop("keys", "check").join(named.select("node", "label"), "node", "left").join(smallest, "label", "left")

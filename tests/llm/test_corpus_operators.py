@@ -84,11 +84,12 @@ def brute_near(rows):
         w = (t or "").encode().lower().split()
         sets.append({tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))} if w else set())
     label = list(range(len(rows)))
-    for _ in rows:
-        for i, a in enumerate(sets):
-            for j, b in enumerate(sets):
-                if a and b and 100 * len(a & b) >= 75 * len(a | b):
-                    label[i] = label[j] = min(label[i], label[j])
+    links = [(i, j) for i, a in enumerate(sets) for j, b in enumerate(sets) if i < j and a and b and 100 * len(a & b) >= 75 * len(a | b)]
+    before = None
+    while before != label:
+        before = list(label)
+        for i, j in links:
+            label[i] = label[j] = min(label[i], label[j])
     out = []
     for i, (d, _) in enumerate(rows):
         ids = [rows[j][0] for j in range(len(rows)) if label[j] == label[i] and rows[j][0] is not None]
@@ -109,6 +110,23 @@ def test_near_duplicates(spark):
     assert near_dedup.drop_near_duplicates(docs.limit(0)).count() == 0
 
 
+def test_a_large_group_of_edited_copies(spark):
+    """Similarities on both sides of the threshold: stars, further centres and exact bounds together find what brute force finds."""
+    rng = random.Random(8)
+    base = words(rng, 60).split()
+    rows = []
+    for i in range(160):
+        x = list(base)
+        for _ in range(rng.choice((1, 1, 2, 2, 3, 4))):
+            x[rng.randrange(len(x))] = f"w{rng.randrange(40)}"
+        rows.append((i, " ".join(x)))
+    spark.createDataFrame(rows, "doc_id long, text string").write.mode("overwrite").parquet("/tmp/loom_group/documents.parquet")
+    got = near_dedup.op5_near_duplicates(spark, "/tmp/loom_group").collect()
+    want = brute_near(rows)
+    assert 1 < len({c for _, _, c, _ in want}) < 160
+    assert sorted((str(r.doc_id), r.n_shingles, str(r.component_id), r.kept) for r in got) == want
+
+
 def test_super_minhash_estimates_similarity():
     rng = np.random.default_rng(1)
     a = rng.integers(0, 1 << 63, 3000).astype(np.uint64)
