@@ -14,9 +14,7 @@ from loomframe.operators.linear import _blocks
 
 def settled(df: DataFrame) -> DataFrame:
     """df computed once; the lineage is cut by a checkpoint if the session names a folder for it, else by a persisted copy."""
-    if df.sparkSession.conf.get("spark.checkpoint.dir", None) or df.sparkSession.sparkContext.getConf().get("spark.checkpoint.dir"):
-        return df.checkpoint()
-    return df.persist()
+    return df.checkpoint() if df.sparkSession.sparkContext.getCheckpointDir() else df.persist()
 
 
 def topk_edges(fc: DataFrame, n: int, density: float) -> DataFrame:
