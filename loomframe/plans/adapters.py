@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 
@@ -35,22 +35,16 @@ def run_signal(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def motion(spark: SparkSession, sf_dir: str) -> DataFrame:
     """run, frame, p1..p6: mean event value per day of each event type, and of all. One run."""
-    t = table(spark, sf_dir, "events").withColumn("k", F.dense_rank().over(_types()))
+    t = table(spark, sf_dir, "events")
     day = F.datediff(F.to_date("ts"), F.lit("2024-01-01").cast("date")).alias("frame")
     parts = [F.coalesce(F.avg(F.when(F.col("k") == i, F.col("value"))), F.lit(0.0)).alias(f"p{i}") for i in range(1, 6)]
-    return table(spark, sf_dir, "events").join(event_types(t), "event_type").groupBy(F.lit(0).alias("run"), day).agg(*parts, F.avg("value").alias("p6"))
-
-
-def _types():
-    from pyspark.sql import Window
-
-    return Window.orderBy("event_type")
+    return t.join(F.broadcast(event_types(t)), "event_type").groupBy(F.lit(0).alias("run"), day).agg(*parts, F.avg("value").alias("p6"))
 
 
 def event_types(t: DataFrame) -> DataFrame:
     """event_type, k: the few types, numbered in order."""
     kinds = t.select("event_type").distinct()
-    return kinds.withColumn("k", F.row_number().over(_types()))
+    return kinds.withColumn("k", F.row_number().over(Window.orderBy("event_type")))
 
 
 def echoes(spark: SparkSession, sf_dir: str) -> DataFrame:

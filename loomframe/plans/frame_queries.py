@@ -123,9 +123,9 @@ def _(spark, d):
     return rounded(op.demean_regressors(motion(spark, d)), *P)
 
 
-@query("P7_censor", sql("run_signal motion", "SELECT node_id, frame, round(value, 6) + 0.0 AS value FROM run_signal WHERE frame IN (SELECT frame FROM f WHERE fd < 60)", f"f AS (SELECT frame, {_FD} AS fd FROM motion)"))
+@query("P7_censor", sql("run_signal motion", "SELECT node_id, frame, round(value, 6) + 0.0 AS value FROM run_signal WHERE frame IN (SELECT frame FROM f WHERE fd < 1000)", f"f AS (SELECT frame, {_FD} AS fd FROM motion)"))
 def _(spark, d):
-    out = op.censor(run_signal(spark, d), op.framewise_displacement(motion(spark, d)), 60.0)
+    out = op.censor(run_signal(spark, d), op.framewise_displacement(motion(spark, d)), 1000.0)
     return rounded(out, "value").select("node_id", "frame", "value")
 
 

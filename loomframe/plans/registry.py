@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from importlib import import_module
 
 QUERIES: dict[str, Callable] = {}
 ORACLES: dict[str, str] = {}
@@ -20,7 +19,3 @@ def query(name: str, sql: str | None = None) -> Callable:
         return f
 
     return add
-
-
-for _module in ("frame_queries", "stat_queries", "mask_queries", "join_queries", "source_queries", "linear_queries", "graph_queries", "stream_queries"):
-    import_module(f"loomframe.plans.{_module}")

@@ -31,13 +31,13 @@ def _(spark, d):
     return spark.read.parquet(f"{at}/out/series").select("series", "role")
 
 
-@query("R2_censor_stream", sql("motion", f"SELECT run, frame, round({_FD}, 6) + 0.0 AS fd, {_FD} < 60 AS keep FROM motion"))
+@query("R2_censor_stream", sql("motion", f"SELECT run, frame, round({_FD}, 6) + 0.0 AS fd, {_FD} < 1000 AS keep FROM motion"))
 def _(spark, d):
     at = scratch(spark)
     m = motion(spark, d).withColumns({"run": F.col("run").cast("int"), "frame": F.col("frame").cast("int"), "ts": F.timestamp_seconds(F.lit(1704067200) + F.col("frame") * 86400)}).select("run", "frame", "ts", *MOTION)
     m.coalesce(1).write.parquet(f"{at}/in")
     stream = spark.readStream.schema(m.schema).parquet(f"{at}/in")
-    out = intake.censor_stream(stream, 60.0)
+    out = intake.censor_stream(stream, 1000.0)
     out.writeStream.format("parquet").option("path", f"{at}/out").option("checkpointLocation", f"{at}/marks").outputMode("append").trigger(availableNow=True).start().awaitTermination()
     return rounded(spark.read.schema("run int, frame int, fd double, keep boolean").parquet(f"{at}/out"), "fd")
 

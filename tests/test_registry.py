@@ -5,7 +5,7 @@ import math
 import duckdb
 import pytest
 
-from loomframe.plans import registry
+from loomframe.plans import catalog
 
 SF = "/root/testdata/sf0.001"
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
@@ -27,15 +27,15 @@ def plain(v):
     return str(v)
 
 
-@pytest.mark.parametrize("name", sorted(registry.QUERIES))
+@pytest.mark.parametrize("name", sorted(catalog.QUERIES))
 def test_query(spark, db, name):
-    df = registry.QUERIES[name](spark, SF)
+    df = catalog.QUERIES[name](spark, SF)
     columns = sorted(df.columns)
     rows = sorted(repr([plain(v) for v in r]) for r in df.select(*columns).collect())
-    if name not in registry.ORACLES:
+    if name not in catalog.ORACLES:
         assert rows
         return
-    rel = db.sql(registry.ORACLES[name])
+    rel = db.sql(catalog.ORACLES[name])
     assert sorted(rel.columns) == columns
     names = ", ".join(f'"{c}"' for c in columns)
-    assert rows == sorted(repr([plain(v) for v in r]) for r in db.sql(f"SELECT {names} FROM ({registry.ORACLES[name]}) q").fetchall())
+    assert rows == sorted(repr([plain(v) for v in r]) for r in db.sql(f"SELECT {names} FROM ({catalog.ORACLES[name]}) q").fetchall())
