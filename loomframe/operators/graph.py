@@ -17,9 +17,14 @@ def settled(df: DataFrame) -> DataFrame:
     return df.checkpoint() if df.sparkSession.sparkContext.getCheckpointDir() else df.persist()
 
 
+def most_edges(n: int, density: float) -> int:
+    """Edges that each of n nodes keeps at a density."""
+    return min(max(ceil(n * density), 1), n)
+
+
 def topk_edges(fc: DataFrame, n: int, density: float) -> DataFrame:
     """T1. src, dst, w: each node's k = ceil(n * density) largest positive edges, both directions."""
-    k = min(max(ceil(n * density), 1), n)
+    k = most_edges(n, density)
     best = F.row_number().over(Window.partitionBy("src").orderBy(F.desc("fc"), "dst"))
     top = fc.filter("src <> dst AND fc > 0").withColumn("k", best).filter(F.col("k") <= k).select("src", "dst", F.col("fc").alias("w"))
     return top.union(top.select("dst", "src", "w")).groupBy("src", "dst").agg(F.max("w").alias("w"))
@@ -28,7 +33,7 @@ def topk_edges(fc: DataFrame, n: int, density: float) -> DataFrame:
 def density_graphs(fc: DataFrame, n: int, densities: list[float]) -> DataFrame:
     """G1. density, src < dst, w. Edges are ranked once; each density takes its first k."""
     spark = fc.sparkSession
-    table = F.broadcast(spark.createDataFrame([(d, min(max(ceil(n * d), 1), n)) for d in densities], "density double, most int"))
+    table = F.broadcast(spark.createDataFrame([(d, most_edges(n, d)) for d in densities], "density double, most int"))
     best = F.row_number().over(Window.partitionBy("src").orderBy(F.desc("fc"), "dst"))
     top = fc.filter("src <> dst AND fc > 0").withColumn("k", best).join(table, F.col("k") <= F.col("most"))
     return top.groupBy("density", F.least("src", "dst").alias("src"), F.greatest("src", "dst").alias("dst")).agg(F.max("fc").alias("w"))

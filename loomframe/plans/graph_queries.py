@@ -14,23 +14,26 @@ from loomframe.plans.stat_queries import R
 _TOP = "top AS (SELECT src, dst, fc FROM (SELECT *, row_number() OVER (PARTITION BY src ORDER BY fc DESC, dst) AS k FROM fc WHERE fc > 0) WHERE k <= {0})"
 
 
-def fc(spark, d, k: int):
-    return functional_connectivity(vectors(spark, d), k)
+def fc(spark, d, density: float):
+    """The number of nodes, and for each node as many of its strongest edges as the density asks for."""
+    v = vectors(spark, d)
+    n = v.count()
+    return functional_connectivity(v, op.most_edges(n, density)), n
 
 
 @query("T1_topk_edges", sql("vectors", f"SELECT src, dst, {R('max(fc)', 'w')} FROM (SELECT src, dst, fc FROM top UNION ALL SELECT dst, src, fc FROM top) GROUP BY 1, 2", _FC + ", " + _TOP.format(5)))
 def _(spark, d):
-    return rounded(op.topk_edges(fc(spark, d, 8), 500, 0.01), "w")
+    return rounded(op.topk_edges(*fc(spark, d, 0.01), 0.01), "w")
 
 
 @query("G1_density_graphs", sql("vectors", f"SELECT density, least(src, dst) AS src, greatest(src, dst) AS dst, {R('max(fc)', 'w')} FROM (SELECT *, row_number() OVER (PARTITION BY src ORDER BY fc DESC, dst) AS k FROM fc WHERE fc > 0) JOIN (VALUES (0.004::DOUBLE, 2), (0.01::DOUBLE, 5)) v(density, most) ON k <= most GROUP BY 1, 2, 3", _FC))
 def _(spark, d):
-    return rounded(op.density_graphs(fc(spark, d, 5), 500, [0.004, 0.01]), "w")
+    return rounded(op.density_graphs(*fc(spark, d, 0.01), [0.004, 0.01]), "w")
 
 
 @query("G2_communities")
 def _(spark, d):
-    return op.communities(op.topk_edges(fc(spark, d, 5), 500, 0.01), 6)
+    return op.communities(op.topk_edges(*fc(spark, d, 0.01), 0.01), 6)
 
 
 @query("G3_drop_small", sql("nodes", "SELECT density, node_id, CASE WHEN count(*) OVER (PARTITION BY density, community) < 6 THEN 0 ELSE community END AS community FROM (SELECT label_id AS density, node_id, i + 20 AS community FROM nodes)"))

@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from loomframe.functions import scalars
 from loomframe.operators import graph, joins, masks
+from loomframe.plans import catalog
 from loomframe.plans.adapters import nodes
 from loomframe.sources import readers
 
@@ -108,3 +109,19 @@ def test_readers_round_trip(spark, tmp_path):
     assert [(r.session, r.run, r.length) for r in readers.list_runs(spark, str(tmp_path), 2).collect()] == [(2, 10, 3)]
     (tmp_path / "side.json").write_text('{"RepetitionTime": 1.5}')
     assert readers.read_sidecars(spark, str(tmp_path / "side.json")).first().tr == 1.5
+
+
+def test_densities_follow_the_number_of_nodes(spark, tmp_path):
+    import numpy as np
+
+    x = np.random.default_rng(3).normal(size=(1200, 64))
+    spark.createDataFrame([(i, [float(v) for v in r], i % 10) for i, r in enumerate(x)], "vec_id long, embedding array<float>, label int").write.parquet(f"{tmp_path}/embeddings.parquet")
+    fc = np.corrcoef(x.astype("float32"))
+    np.fill_diagonal(fc, -1)
+    order = np.argsort(-fc, axis=1)
+    want = {k: {(min(i, int(j)), max(i, int(j))) for i in range(1200) for j in order[i, :k]} for k in (5, 12)}
+    got = {(r.src, r.dst) for r in catalog.QUERIES["T1_topk_edges"](spark, str(tmp_path)).collect()}
+    assert got == want[12] | {(b, a) for a, b in want[12]}
+    graphs = catalog.QUERIES["G1_density_graphs"](spark, str(tmp_path)).collect()
+    assert {(r.src, r.dst) for r in graphs if r.density == 0.004} == want[5]
+    assert {(r.src, r.dst) for r in graphs if r.density == 0.01} == want[12]
