@@ -25,13 +25,16 @@ SENSITIVE = {
     "password": 2.0, "passwd": 2.0, "pwd": 2.0, "passphrase": 2.0, "secret": 2.0, "apikey": 2.0, "privatekey": 2.0, "secretkey": 2.0,
     "accesskey": 2.0, "signingkey": 1.8, "encryptionkey": 1.8, "token": 1.6, "authtoken": 2.0, "credential": 1.6, "credentials": 1.6, "bearer": 1.5, "auth": 0.8, "key": 0.6,
 }
-PLACEHOLDER = re.compile(r"example|changeme|placeholder|your|dummy|xxxx|\*\*\*|<[^>]*>|\$\{|\{\{|^(?:none|null|true|false|undefined)$", re.IGNORECASE)
+PLACEHOLDER = re.compile(r"example|changeme|placeholder|your|dummy|xxxx|\*\*\*|<[^<>]*>|\$\{|\{\{|^(?:none|null|true|false|undefined)$", re.IGNORECASE)
 #: A literal with at least this score is a secret.
 LEAST_SCORE = 3.0
+_PLACEHOLDER_AT = re.compile(f"(?={PLACEHOLDER.pattern})", re.IGNORECASE)
 
-_NAME = re.compile(r"([A-Za-z_][A-Za-z0-9_.\-]{0,63})[\"'\])]?[ \t]{0,8}$")
-_VALUE = re.compile(r"""(?:[:=>]{0,2})[ \t]{0,8}(?:"([^"\n]{1,512})"|'([^'\n]{1,512})'|([^\s"',;(){}\[\]<>]{1,512}))""")
-_OPERATOR = re.compile(r"[:=]")
+#: A name up to its operator, and the literal after it. Runs are possessive and begin at their first character, so time stays linear.
+_ASSIGNED = re.compile(r"""(?<![A-Za-z0-9_.\-])[0-9.\-]*+([A-Za-z_][A-Za-z0-9_.\-]*+)["'\])]?[ \t]*+[:=]""")
+_VALUE = re.compile(r"""[:=>]{0,2}[ \t]*+(?:"([^"\n]++)"|'([^'\n]++)'|([^\s"',;(){}\[\]<>]))""")
+_BARE = re.compile(r"""[^\s"',;(){}\[\]<>]++""")
+_WORD = re.compile(r"[A-Za-z_][A-Za-z0-9_.\-]*+")
 _PART = re.compile(r"[A-Z]+(?![a-z])|[A-Z]?[a-z]+|[0-9]+")
 
 
@@ -53,46 +56,75 @@ def name_score(name: str) -> float:
 
 
 def literal_score(value: str) -> float:
-    """0 to 2: length, mixed character kinds and entropy; placeholders and words get less than nothing."""
+    """0 to 2: mixed character kinds and entropy; short literals and placeholders get less than nothing."""
     if len(value) < 8 or PLACEHOLDER.search(value):
         return -9.0
-    counts = Counter(value)
-    entropy = -sum(c / len(value) * math.log2(c / len(value)) for c in counts.values())
-    kinds = sum(bool(re.search(p, value)) for p in ("[a-z]", "[A-Z]", "[0-9]", "[^A-Za-z0-9]"))
-    return min(1.0, entropy / 3.5) + (0.5 if kinds >= 2 else -0.5) + (0.5 if re.search("[0-9]", value) else 0.0)
-
-
-def pairs(text: str) -> Iterator[tuple[str, str, int, int, bool]]:
-    """(name, value, start, end, quoted) of every assignment-like place of source or configuration text."""
-    for m in _OPERATOR.finditer(text):
-        name = _NAME.search(text, max(0, m.start() - 80), m.start())
+    return _counts_score(Counter(value))
+
+
+def _counts_score(counts: Counter) -> float:
+    n, characters = counts.total(), "".join(counts)
+    entropy = -sum(c / n * math.log2(c / n) for c in counts.values())
+    kinds = sum(bool(re.search(p, characters)) for p in ("[a-z]", "[A-Z]", "[0-9]", "[^A-Za-z0-9]"))
+    return min(1.0, entropy / 3.5) + (0.5 if kinds >= 2 else -0.5) + (0.5 if re.search("[0-9]", characters) else 0.0)
+
+
+def tail_scores(text: str, starts: list[int], end: int) -> dict[int, float]:
+    """literal_score of text[start:end] for each start; each character is counted once."""
+    if len(starts) == 1:
+        return {starts[0]: literal_score(text[starts[0] : end])}
+    held = max((m.start() for m in _PLACEHOLDER_AT.finditer(text, min(starts), end)), default=-1)
+    counts: Counter = Counter()
+    out, at = {}, end
+    for s in sorted(starts, reverse=True):
+        counts.update(text[s:at])
+        at = s
+        out[s] = literal_score(text[s:end]) if end - s < 16 else -9.0 if held >= s else _counts_score(counts)
+    return out
+
+
+def pairs(text: str) -> Iterator[tuple[str, int, int, bool]]:
+    """(name, start, end, quoted) of the literal at every assignment-like place of source or configuration text."""
+    until = 0
+    for m in _ASSIGNED.finditer(text):
         value = _VALUE.match(text, m.end())
-        if name and value:
-            g = 1 if value[1] is not None else 2 if value[2] is not None else 3
-            yield name[1], value[g], value.start(g), value.end(g), g < 3
+        if not value:
+            continue
+        if value[3] is None:
+            g = 1 if value[1] is not None else 2
+            yield m[1], value.start(g), value.end(g), True
+        else:
+            # operators within one bare literal share its end
+            if value.start(3) >= until:
+                until = _BARE.match(text, value.start(3)).end()
+            yield m[1], value.start(3), until, False
 
 
 def scored_literals(text: str) -> list[tuple[int, int, float]]:
     """(start, end, score) of literals; one that a sensitive name gets through a constant counts under that name."""
-    constants: dict[str, tuple[str, int, int]] = {}
-    best: dict[tuple[int, int], float] = {}
-    for name, value, start, end, quoted in pairs(text):
+    constants: dict[str, tuple[int, int]] = {}
+    names: dict[tuple[int, int], float] = {}
+    for name, start, end, quoted in pairs(text):
         score = name_score(name)
-        known = None if quoted else constants.get(value)
+        known = None
+        if constants and not quoted and (word := _WORD.match(text, start, end)) and word.end() == end:
+            known = constants.get(word[0])
         if known:
-            value, start, end = known
+            start, end = known
         if quoted or known:
-            constants[name] = (value, start, end)
+            constants[name] = (start, end)
         if score:
-            found = score + literal_score(value)
-            best[start, end] = max(best.get((start, end), found), found)
-    return [(s, e, x) for (s, e), x in sorted(best.items())]
+            names[start, end] = max(names.get((start, end), 0), score)
+    starts: dict[int, list[int]] = {}
+    for s, e in names:
+        starts.setdefault(e, []).append(s)
+    return sorted((s, e, names[s, e] + x) for e, every in starts.items() for s, x in tail_scores(text, every, e).items())
 
 
 def find_secrets(text: str) -> tuple[list[tuple[int, int, str]], list[tuple[int, int, str]]]:
-    """(base spans, spans that the method adds): literals of LEAST_SCORE that overlap no base span."""
+    """(base spans, spans that the method adds): literals of LEAST_SCORE that no base span contains."""
     base = base_spans(text)
-    extra = [(s, e, "literal") for s, e, x in scored_literals(text) if x >= LEAST_SCORE and not any(a < e and s < b for a, b, _ in base)] if ("=" in text or ":" in text) else []
+    extra = [(s, e, "literal") for s, e, x in scored_literals(text) if x >= LEAST_SCORE and not any(a <= s and e <= b for a, b, _ in base)] if ("=" in text or ":" in text) else []
     return base, extra
 
 

@@ -111,6 +111,45 @@ def test_secret_literals_and_constants():
     assert secret_scan.mask_secrets('password="abcdefgh99"') == '[secret]"'
 
 
+def masked(text):
+    return secret_scan.mask_secrets(text)
+
+
+@pytest.mark.parametrize("n", [500, 520, 3_000])
+def test_secret_literals_are_whole(n):
+    literal = ("Zq8+Lm2/Xy7-" * n)[:n]
+    assert masked(f'signing_key = "{literal}" end') == 'signing_key = "[secret]" end'
+    assert masked(f"signing_key = {literal} end") == "signing_key = [secret] end"
+    assert masked(f"K = '{literal}'\nclient_credential = K\n") == "K = '[secret]'\nclient_credential = K\n"
+
+
+def test_secret_literal_that_a_base_span_cuts():
+    assert masked('password = "Abcd1234!efgh5678" end') == '[secret]" end'
+    assert secret_scan.find_secrets('password = "Abcd1234!efgh5678"')[1] == [(12, 29, "literal")]
+
+
+def test_secret_after_many_blanks():
+    blanks = " " * 30
+    assert masked(f'signing_key{blanks}={blanks}"zq81jsnd72hsk2!"') == f'signing_key{blanks}={blanks}"[secret]"'
+    assert masked(f"{'long_' * 20}signing_key = 'zq81jsnd72hsk2!'") == f"{'long_' * 20}signing_key = '[secret]'"
+
+
+def test_secret_tails_score_as_literals():
+    for text in ("key:token:abc=secret:Zq8/Lm2-Xy7.Zq9?auth:example:pwd:q8w7e6r5t4", "a:none key:undefined", "key:xxxxx:key:xxxyyyyyyyyyyyyyyyyy"):
+        starts = [0, *[i + 1 for i, c in enumerate(text[:-1]) if c in ":="]]
+        assert secret_scan.tail_scores(text, starts, len(text)) == pytest.approx({s: secret_scan.literal_score(text[s:]) for s in starts})
+
+
+@pytest.mark.parametrize("unit", ["key:", "key=", "a" , "-", "key ", "key\t=", "password=<", '"key:', "key: 'x=", "k="])
+def test_secret_scan_is_linear(unit):
+    import time
+
+    began = time.process_time()
+    masked('secret = "' + unit * (400_000 // len(unit)))
+    masked('secret = "' + (unit * (400_000 // len(unit))).replace('"', "") + '"')
+    assert time.process_time() - began < 10
+
+
 @pytest.fixture(scope="module")
 def tokenizer():
     from tokenizers import Tokenizer
