@@ -5,6 +5,7 @@ from __future__ import annotations
 import hashlib
 import math
 import re
+from bisect import bisect_left
 from collections import Counter
 from collections.abc import Iterator
 
@@ -28,6 +29,9 @@ SENSITIVE = {
 PLACEHOLDER = re.compile(r"example|changeme|placeholder|your|dummy|xxxx|\*\*\*|<[^<>]*>|\$\{|\{\{|^(?:none|null|true|false|undefined)$", re.IGNORECASE)
 #: A literal with at least this score is a secret.
 LEAST_SCORE = 3.0
+#: From this length on a random literal is a secret under the weakest names too.
+LONG = 20
+_MIXED = re.compile(r"[A-Za-z](?=[0-9])|[0-9](?=[A-Za-z])")
 _PLACEHOLDER_AT = re.compile(f"(?={PLACEHOLDER.pattern})", re.IGNORECASE)
 
 #: A name up to its operator, and the literal after it. Runs are possessive and begin at their first character, so time stays linear.
@@ -56,17 +60,19 @@ def name_score(name: str) -> float:
 
 
 def literal_score(value: str) -> float:
-    """0 to 2: mixed character kinds and entropy; short literals and placeholders get less than nothing."""
+    """0 to 2.5: mixed character kinds, entropy and, for long ones, digits among letters; short literals and placeholders get less than nothing."""
     if len(value) < 8 or PLACEHOLDER.search(value):
         return -9.0
-    return _counts_score(Counter(value))
+    return _counts_score(Counter(value), sum(1 for _ in _MIXED.finditer(value)))
 
 
-def _counts_score(counts: Counter) -> float:
+def _counts_score(counts: Counter, mixed: int) -> float:
+    """mixed: places where a letter and a digit meet."""
     n, characters = counts.total(), "".join(counts)
     entropy = -sum(c / n * math.log2(c / n) for c in counts.values())
     kinds = sum(bool(re.search(p, characters)) for p in ("[a-z]", "[A-Z]", "[0-9]", "[^A-Za-z0-9]"))
-    return min(1.0, entropy / 3.5) + (0.5 if kinds >= 2 else -0.5) + (0.5 if re.search("[0-9]", characters) else 0.0)
+    random = n >= LONG and entropy >= 3.0 and mixed >= n / 10
+    return min(1.0, entropy / 3.5) + (0.5 if kinds >= 2 else -0.5) + (0.5 if re.search("[0-9]", characters) else 0.0) + (0.5 if random else 0.0)
 
 
 def tail_scores(text: str, starts: list[int], end: int) -> dict[int, float]:
@@ -74,12 +80,13 @@ def tail_scores(text: str, starts: list[int], end: int) -> dict[int, float]:
     if len(starts) == 1:
         return {starts[0]: literal_score(text[starts[0] : end])}
     held = max((m.start() for m in _PLACEHOLDER_AT.finditer(text, min(starts), end)), default=-1)
+    meet = [m.start() for m in _MIXED.finditer(text, min(starts), end)]
     counts: Counter = Counter()
     out, at = {}, end
     for s in sorted(starts, reverse=True):
         counts.update(text[s:at])
         at = s
-        out[s] = literal_score(text[s:end]) if end - s < 16 else -9.0 if held >= s else _counts_score(counts)
+        out[s] = literal_score(text[s:end]) if end - s < 16 else -9.0 if held >= s else _counts_score(counts, len(meet) - bisect_left(meet, s))
     return out
 
 

@@ -134,6 +134,14 @@ def test_secret_after_many_blanks():
     assert masked(f"{'long_' * 20}signing_key = 'zq81jsnd72hsk2!'") == f"{'long_' * 20}signing_key = '[secret]'"
 
 
+@pytest.mark.parametrize("name", [*secret_scan.SENSITIVE, "stripe_key", "ssh_key", "licenseKey", "MASTER_KEY", "authtoken"])
+def test_every_sensitive_name_counts(name):
+    literal = "q7Rz2mW9xK4tB8vN3pL6sD1fG5hJ0yC7uE2aT9iO"
+    for text in (f'{name} = "{literal}"', f"my_{name}: {literal}"):
+        assert literal not in masked(text) and "[secret]" in masked(text)
+    assert name not in ("key", "auth") or masked(f'{name} = "user-profile-settings-v2-of-2024"') == f'{name} = "user-profile-settings-v2-of-2024"'
+
+
 def test_secret_tails_score_as_literals():
     for text in ("key:token:abc=secret:Zq8/Lm2-Xy7.Zq9?auth:example:pwd:q8w7e6r5t4", "a:none key:undefined", "key:xxxxx:key:xxxyyyyyyyyyyyyyyyyy"):
         starts = [0, *[i + 1 for i, c in enumerate(text[:-1]) if c in ":="]]
