@@ -122,7 +122,7 @@ def near_weights(spark, d, mm: float = 0.08, sigma: float = 0.05):
 
 @query("L14_alignment_weights")
 def _(spark, d):
-    long_ = vectors(spark, d).select("node_id", F.posexplode(F.slice("ts", 1, 16)).alias("dim", "value"))
+    long_ = vectors(spark, d).select("node_id", F.posexplode("ts").alias("dim", "value"))
     group = long_.join(vectors(spark, d).select("node_id", "label_id"), "node_id").groupBy("label_id", "dim").agg(F.avg("value").alias("value"))
     other = vectors(spark, d).select("node_id", "label_id").join(group, "label_id").select("dim", "node_id", "value")
     return rounded(op.alignment_weights(long_, other, near_weights(spark, d)), "w")
