@@ -87,6 +87,15 @@ def test_boosted_stumps_separate_formats():
     assert trees.threshold({}) == float("inf")
 
 
+def test_pii_fit_counts_every_candidate_in_any_order(spark):
+    rows = [(f"order {i} of 2024-{i % 12 + 1:02d}-11 {i:05d}",) for i in range(6_000)] + [(f"call +1 (644) 555-{i:04d} now",) for i in range(1_000)]
+    fits = [pii.fit(spark.createDataFrame(r, "text string").repartition(n), "text") for r, n in ((rows, 3), (rows[::-1], 1))]
+    fits += [pii.fit(spark.createDataFrame(r, "text string").coalesce(1), "text") for r in (rows, rows[::-1])]
+    assert len({(tuple(trees.margin), least) for trees, least in fits}) == 1
+    # the first 6,000 candidates have no positive label; only the later format gives a threshold
+    assert fits[0][1] < float("inf")
+
+
 def brute_secrets(text):
     text = text or ""
     found = [(m.start(), 0, m.end(), "assign") for m in re.finditer(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", text, re.I | re.A) if len(m[2]) >= 8]
