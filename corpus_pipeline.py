@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loomframe.llm.common import stored, table
+from loomframe.llm.common import numbered, stored, table
 from loomframe.llm.near_dedup import drop_near_duplicates
 from loomframe.llm.packing import best_fit_packing
 from loomframe.llm.quality import keep_good
@@ -39,8 +39,7 @@ def passage_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     Cuts are made on bytes. Where one falls inside a character, what remains of that character goes as well. Documents without any text
     left stay, with an empty text.
     """
-    numbered = docs.select(*COLUMNS).withColumn("_row", F.monotonically_increasing_id())
-    return _with_length(cut_passages(numbered, as_text=True).withColumn("text", F.col("kept")))
+    return _with_length(cut_passages(numbered(docs.select(*COLUMNS)), as_text=True).withColumn("text", F.col("kept")))
 
 
 def secrets_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -37,6 +37,11 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def numbered(df: DataFrame) -> DataFrame:
+    """df, stored, with a number for each row as the column _row: later jobs read the numbers, however they split the files."""
+    return stored(df.withColumn("_row", F.monotonically_increasing_id()), "numbered")
+
+
 def text_or_empty(column: str = "text"):
     return F.coalesce(F.col(column), F.lit(""))
 

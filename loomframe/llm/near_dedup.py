@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loomframe.llm.common import stored, table
+from loomframe.llm.common import numbered, stored, table
 from loomframe.llm.shingles import Hasher, mix, slices
 
 #: A pair at similarity 0.75 shares none of 40 bands of 5 rows with probability 2e-5, at 0.8 with 1e-7.
@@ -213,19 +213,16 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
 
 
 def drop_near_duplicates(docs: DataFrame) -> DataFrame:
-    """One row of docs from each component, with all columns: the one of the smallest doc_id; of repeated rows, the first.
-
-    docs must be a stored table: its rows are numbered by their place in it.
-    """
-    numbered = docs.withColumn("_row", F.monotonically_increasing_id())
-    found = stored(near_duplicates(numbered.select("_row", "doc_id", "text")), "near")
+    """One row of docs from each component, with all columns: the one of the smallest doc_id; of repeated rows, the first."""
+    rows = numbered(docs)
+    found = stored(near_duplicates(rows.select("_row", "doc_id", "text")), "near")
     group = F.coalesce(F.col("label").cast("string"), F.concat(F.lit("row "), F.col("_row")))
     best = found.groupBy(group.alias("g")).agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "_row")).alias("m"))
-    return numbered.join(best.select(F.col("m._row").alias("_row")), "_row", "left_semi").drop("_row")
+    return rows.join(best.select(F.col("m._row").alias("_row")), "_row", "left_semi").drop("_row")
 
 
 def op5_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents").select("doc_id", "text").withColumn("_row", F.monotonically_increasing_id())
+    docs = numbered(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return near_duplicates(docs).select("doc_id", "n_shingles", "component_id", "kept")
 
 

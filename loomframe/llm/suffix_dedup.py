@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from loomframe.llm.anchors import SEED, WINDOW, Prefix, anchors
-from loomframe.llm.common import stored, table
+from loomframe.llm.common import numbered, stored, table
 from loomframe.llm.shingles import slices
 
 REACH = WINDOW - SEED
@@ -349,7 +349,7 @@ def cut_passages(docs: DataFrame, as_text: bool = False) -> DataFrame:
 
 
 def op6_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents").select("doc_id", "text").withColumn("_row", F.monotonically_increasing_id())
+    docs = numbered(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return cut_passages(docs).select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
 
 

@@ -200,3 +200,37 @@ def test_anchors_of_long_texts_do_not_depend_on_the_step(monkeypatch):
     monkeypatch.setattr(anchors, "STEP", 333)
     parts = anchors.anchors(anchors.Prefix(data), np.array([0, 900, len(data)]))
     assert all((a == b).all() for a, b in zip(whole, parts))
+
+
+@pytest.mark.parametrize("place", ["op5", "near_dedup", "op6", "passages"])
+def test_row_numbers_stay_when_the_splits_change(spark, monkeypatch, place):
+    import corpus_pipeline
+    from loomframe.llm import near_dedup, suffix_dedup
+    from loomframe.llm.common import table
+
+    class Seen(Exception):
+        pass
+
+    def caught(docs, **_):
+        raise Seen(docs)
+
+    for module, name in ((near_dedup, "near_duplicates"), (suffix_dedup, "cut_passages"), (corpus_pipeline, "cut_passages")):
+        monkeypatch.setattr(module, name, caught)
+    sf = "/root/testdata/sf0.001"
+    docs = table(spark, sf, "documents")
+    run = {
+        "op5": lambda: near_dedup.op5_near_duplicates(spark, sf),
+        "near_dedup": lambda: near_dedup.drop_near_duplicates(docs),
+        "op6": lambda: suffix_dedup.op6_suffix_dedup(spark, sf),
+        "passages": lambda: corpus_pipeline.passage_stage(spark, docs, sf),
+    }[place]
+    with pytest.raises(Seen) as seen:
+        run()
+    frame = seen.value.args[0]
+    before = sorted(map(tuple, frame.select("_row", "text").collect()), key=str)
+    size = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "16k")
+    try:
+        assert sorted(map(tuple, frame.select("_row", "text").collect()), key=str) == before
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", size)
