@@ -3,89 +3,125 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from hashlib import blake2b
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from loomframe.llm.common import numbered, stored, table
-from loomframe.llm.shingles import Hasher, mix, slices
+from loomframe.llm.common import Workspace, numbered, spread_join, stored, table
+from loomframe.llm.shingles import Shingles, common, mix, shingled
 
 #: A pair at similarity 0.75 shares none of 40 bands of 5 rows with probability 2e-5, at 0.8 with 1e-7.
 BANDS, ROWS = 40, 5
 #: Linked: 100 * intersection >= LEAST * union.
 LEAST = 75
-#: Members that are compared with a centre in one task group, centres of a bucket in the first extra round, and classes of shingles.
-GROUP, CENTRES, CLASSES = 256, 16, 64
+#: Members that are compared with a centre in one task group, and shingles whose permutations are drawn together.
+GROUP, DRAWN = 256, 1 << 17
 
 
-def super_minhash(sets: list[np.ndarray], m: int = BANDS * ROWS) -> np.ndarray:
-    """Signatures (len(sets) x m) of sets of 64-bit hashes.
+class Signature:
+    """SuperMinHash signatures (n x m) of n sets of 64-bit hashes, which are added set by set or in parts of a set.
 
     Every element draws a random permutation of the m places step by step. At step j it offers j (and a random fraction) to its
-    j-th place, which keeps its smallest offer. All elements of all sets take step j together; a set stops as soon as no
-    place can still get a smaller offer, which takes few steps for sets larger than m.
+    j-th place, which keeps its smallest offer. All elements that are added together take step j together; a set stops as soon as no
+    place can still get a smaller offer, which takes few steps for sets larger than m, and for parts of a set that come later.
     """
-    n = len(sets)
-    best = np.full(n * m, np.iinfo(np.uint64).max, np.uint64)
-    owner = np.repeat(np.arange(n), [len(s) for s in sets])
-    element = np.concatenate(sets) if n else np.empty(0, np.uint64)
-    places = np.tile(np.arange(m, dtype=np.uint8), (len(element), 1))
-    for j in range(m):
-        if not len(element):
-            break
-        draw = mix(element + np.uint64((j * 0xD1B54A32D192ED03 + 0x632BE59BD9B4E019) % (1 << 64)))
-        k = j + ((draw & np.uint64(0xFFFFFFFF)) * np.uint64(m - j) >> np.uint64(32)).astype(np.int64)
-        at = np.arange(len(element))
-        chosen = places[at, k]
-        places[at, k] = places[:, j]
-        offer = (np.uint64(j) << np.uint64(48)) | (mix(draw) >> np.uint64(16))
-        np.minimum.at(best, owner * m + chosen, offer)
-        if j < 12 or j % 8 == 0:
-            open_ = (best.reshape(n, m).max(1) >> np.uint64(48)) > j
-            going = open_[owner]
-            if not going.all():
-                owner, element, places = owner[going], element[going], places[going]
-    return best.reshape(n, m)
+
+    def __init__(self, n: int, m: int = BANDS * ROWS):
+        self.n, self.m = n, m
+        self.best = np.full(n * m, np.iinfo(np.uint64).max, np.uint64)
+
+    def add(self, owner: np.ndarray, element: np.ndarray) -> None:
+        for at in range(0, len(element), DRAWN):
+            self._draw(owner[at : at + DRAWN], element[at : at + DRAWN])
+
+    def _draw(self, owner: np.ndarray, element: np.ndarray) -> None:
+        m, best = self.m, self.best
+        places = np.tile(np.arange(m, dtype=np.uint8), (len(element), 1))
+        for j in range(m):
+            if not len(element):
+                break
+            draw = mix(element + np.uint64((j * 0xD1B54A32D192ED03 + 0x632BE59BD9B4E019) % (1 << 64)))
+            k = j + ((draw & np.uint64(0xFFFFFFFF)) * np.uint64(m - j) >> np.uint64(32)).astype(np.int64)
+            at = np.arange(len(element))
+            chosen = places[at, k]
+            places[at, k] = places[:, j]
+            offer = (np.uint64(j) << np.uint64(48)) | (mix(draw) >> np.uint64(16))
+            np.minimum.at(best, owner * m + chosen, offer)
+            if j < 12 or j % 8 == 0:
+                open_ = (best.reshape(self.n, m).max(1) >> np.uint64(48)) > j
+                going = open_[owner]
+                if not going.all():
+                    owner, element, places = owner[going], element[going], places[going]
+
+    def values(self) -> np.ndarray:
+        return self.best.reshape(self.n, self.m)
+
+
+def super_minhash(sets: list[np.ndarray], m: int = BANDS * ROWS) -> np.ndarray:
+    """Signatures (len(sets) x m) of sets of 64-bit hashes."""
+    out = Signature(len(sets), m)
+    if sets:
+        out.add(np.repeat(np.arange(len(sets)), [len(s) for s in sets]), np.concatenate(sets))
+    return out.values()
 
 
 def _signed(x: np.ndarray) -> np.ndarray:
     return x.view(np.int64)
 
 
+def band_keys(signature: np.ndarray) -> np.ndarray:
+    sig = signature.reshape(len(signature), BANDS, ROWS)
+    band = np.zeros(sig.shape[:2], np.uint64) + np.arange(1, BANDS + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+    for r in range(ROWS):
+        band = mix(band ^ sig[:, :, r]) * np.uint64(0x2545F4914F6CDD1D)
+    return _signed(band)
+
+
 def signatures(docs: DataFrame) -> DataFrame:
-    """_row, doc_id, n_shingles, node (hash of the set; null for an empty one), check (a second hash) and keys (one per band)."""
+    """_row, doc_id, n_shingles, digest and keys (one per band).
+
+    digest is 128 cryptographic bits of the words (of their keys), null without words. Rows that have the same set by other words have
+    other digests but the same signature, and meet in every band.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hasher = Hasher()
-        names = ["_row", "doc_id", "n_shingles", "node", "check", "keys"]
+        names = ["_row", "doc_id", "n_shingles", "digest", "keys"]
         for batch in batches:
-            for first, data, edges in slices(batch.column(2)):
-                sets = hasher.sets(data, edges)
-                full = [i for i, s in enumerate(sets) if len(s)]
-                sig = super_minhash([sets[i] for i in full]).reshape(len(full), BANDS, ROWS)
-                band = np.zeros((len(full), BANDS), np.uint64) + np.arange(1, BANDS + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
-                for r in range(ROWS):
-                    band = mix(band ^ sig[:, :, r]) * np.uint64(0x2545F4914F6CDD1D)
-                node, check, keys = [None] * len(sets), [None] * len(sets), [None] * len(sets)
-                for i, b in zip(full, band):
-                    total = np.add.reduce(mix(sets[i]))
-                    other = np.add.reduce(mix(sets[i] ^ np.uint64(0xA0761D6478BD642F)))
-                    node[i], check[i], keys[i] = int(_signed(mix(np.array([total])))[0]), int(_signed(np.array([other]))[0]), _signed(b)
+            for first, sets, words in shingled(batch.column(2)):
+                full = [i for i, w in enumerate(words) if len(w)]
+                sig = Signature(len(full))
+                sizes, digest, keys = [0] * len(sets), [None] * len(sets), [None] * len(sets)
+                owner, element = [], []
+                for k, i in enumerate(full):
+                    digest[i] = blake2b(np.ascontiguousarray(words[i]), digest_size=16).digest()
+                    pieces = sets[i].pieces()
+                    for distinct, hashes in sets[i].parts(pieces):
+                        sizes[i] += len(distinct)
+                        if pieces > 1:
+                            sig.add(np.full(len(hashes), k), hashes)
+                        else:
+                            owner.append(np.full(len(hashes), k))
+                            element.append(hashes)
+                if owner:
+                    sig.add(np.concatenate(owner), np.concatenate(element))
+                for i, b in zip(full, band_keys(sig.values())):
+                    keys[i] = b
                 part = batch.slice(first, len(sets))
-                yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array([len(s) for s in sets], pa.int64()), pa.array(node, pa.int64()), pa.array(check, pa.int64()), pa.array(keys, pa.list_(pa.int64()))], names)
+                yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(sizes, pa.int64()), pa.array(digest, pa.binary()), pa.array(keys, pa.list_(pa.int64()))], names)
 
-    return docs.select("_row", "doc_id", "text").mapInArrow(run, "_row long, doc_id long, n_shingles long, node long, check long, keys array<long>")
+    return docs.select("_row", "doc_id", "text").mapInArrow(run, "_row long, doc_id long, n_shingles long, digest binary, keys array<long>")
 
 
-def verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
-    """a, b, sim and linked of the pairs (a, b), from their full shingle sets. texts: (node, text), one row per node.
+def verified(pairs: DataFrame, texts: DataFrame, space: Workspace) -> DataFrame:
+    """a, b and linked of the pairs (a, b), from their full shingle sets. texts: (node, text), one row per node.
 
     Members b travel to their centre a with their texts. A centre with more than GROUP members is sent to several groups, so no
-    group holds more than about GROUP texts.
+    group holds more than about GROUP texts, of which a task keeps two at a time. Shingles are compared by their words' keys.
     """
-    salts = pairs.groupBy("a").agg(F.ceil(F.count(F.lit(1)) / GROUP).cast("int").alias("salts"))
+    salts = space.stored(pairs.groupBy("a").agg(F.ceil(F.count(F.lit(1)) / GROUP).cast("int").alias("salts")), "salts")
     members = pairs.join(salts, "a").select("a", F.pmod(F.xxhash64("b"), F.col("salts")).cast("int").alias("salt"), F.lit(1).alias("role"), F.col("b").alias("node"))
     centres = salts.select("a", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt"), F.lit(0).alias("role"), F.col("a").alias("node"))
     rows = members.unionByName(centres).join(texts, "node").select("a", "salt", "role", "node", "text")
@@ -93,132 +129,155 @@ def verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     rows = rows.repartition(parts, "a", "salt").sortWithinPartitions("a", "salt", "role")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hasher = Hasher()
         key = centre = None
         for batch in batches:
-            out: tuple[list, list, list, list] = ([], [], [], [])
+            out: tuple[list, list, list] = ([], [], [])
             a, salt, role, node = (batch.column(i).to_pylist() for i in range(4))
-            for first, data, edges in slices(batch.column(4)):
-                for i, own in enumerate(hasher.sets(data, edges), first):
+            for first, sets, _ in shingled(batch.column(4)):
+                for i, own in enumerate(sets, first):
                     if role[i] == 0:
                         key, centre = (a[i], salt[i]), own
                     elif key == (a[i], salt[i]):
-                        both = len(np.intersect1d(centre, own, assume_unique=True))
-                        union = len(centre) + len(own) - both
-                        for column, v in zip(out, (a[i], node[i], both / union, 100 * both >= LEAST * union)):
+                        x, y, both = common(centre, own)
+                        for column, v in zip(out, (a[i], node[i], 100 * both >= LEAST * (x + y - both))):
                             column.append(v)
-            kinds = (pa.int64(), pa.int64(), pa.float64(), pa.bool_())
-            yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(out, kinds)], ["a", "b", "sim", "linked"])
+            kinds = (pa.int64(), pa.int64(), pa.bool_())
+            yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(out, kinds)], ["a", "b", "linked"])
 
-    return rows.mapInArrow(run, "a long, b long, sim double, linked boolean")
+    return rows.mapInArrow(run, "a long, b long, linked boolean")
 
 
-def shared_counts(texts: DataFrame) -> DataFrame:
-    """node, size, rest of texts (node, text): its shingles that another of these nodes has too, counted by CLASSES classes of their hash."""
+def shingle_rows(texts: DataFrame) -> DataFrame:
+    """shingle (a hash), node of texts (node, text): one row for each distinct shingle of a node."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hasher = Hasher()
         for batch in batches:
-            for first, data, edges in slices(batch.column(1)):
-                sets = hasher.sets(data, edges)
-                node = np.repeat(batch.column(0).slice(first, len(sets)).to_numpy(), [len(x) for x in sets])
-                yield pa.RecordBatch.from_arrays([pa.array(_signed(np.concatenate(sets))), pa.array(node)], ["shingle", "node"])
-
-    rows = texts.select("node", "text").mapInArrow(run, "shingle long, node long")
-    class_ = F.pmod("shingle", F.lit(CLASSES))
-    # one row for a shingle that a single node has; all others are what the totals leave
-    alone = rows.groupBy("shingle").agg(F.min("node").alias("node"), F.max("node").alias("last")).filter("node = last")
-    counts = rows.groupBy("node", class_.alias("c")).agg(F.count(F.lit(1)).alias("n")).unionByName(alone.groupBy("node", class_.alias("c")).agg((-F.count(F.lit(1))).alias("n")))
-    counts = counts.groupBy("node", "c").agg(F.sum("n").alias("n"), F.sum(F.greatest("n", F.lit(0))).alias("all"))
-    entry = F.map_from_entries(F.collect_list(F.struct("c", "n"))).alias("m")
-    rest = F.expr(f"transform(sequence(0L, {CLASSES - 1}L), c -> cast(coalesce(m[c], 0L) AS int))")
-    return counts.groupBy("node").agg(entry, F.sum("all").alias("size")).select("node", "size", rest.alias("rest"))
-
-
-def components(links: DataFrame) -> DataFrame:
+            for first, sets, _ in shingled(batch.column(1)):
+                for i, own in enumerate(sets, first):
+                    for _, hashes in own.parts(own.pieces()):
+                        h = np.unique(hashes)
+                        yield pa.RecordBatch.from_arrays([pa.array(_signed(h)), pa.array(np.full(len(h), batch.column(0)[i].as_py(), np.int64))], ["shingle", "node"])
+
+    return texts.select("node", "text").mapInArrow(run, "shingle long, node long")
+
+
+def components(links: DataFrame, space: Workspace) -> DataFrame:
     """(node, label) of every node of links (a, b): label is the smallest node that it reaches.
 
     Each round every node takes the smallest label among its neighbours, then its label's label; labels are written
-    to the shared folder after each round.
+    to the shared folder after each round. A label that many nodes have is dealt to several tasks.
     """
-    edges = stored(links.select("a", "b").unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b"))), "links")
-    labels = stored(edges.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("near")).select("node", F.least("node", "near").alias("label")), "labels")
+    edges = space.stored(links.select("a", "b").unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b"))), "links")
+    labels = space.stored(edges.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("near")).select("node", F.least("node", "near").alias("label")), "labels")
     while True:
         heard = edges.join(labels, edges["b"] == labels["node"]).groupBy(F.col("a").alias("node")).agg(F.min("label").alias("heard"))
-        lower = labels.join(heard, "node").select("node", F.col("label").alias("old"), F.least("label", "heard").alias("label"))
+        lower = space.stored(labels.join(heard, "node").select("node", F.col("label").alias("old"), F.least("label", "heard").alias("label")), "lower")
         up = labels.select(F.col("node").alias("label"), F.col("label").alias("up"))
-        jumped = stored(lower.join(up, "label").select("node", "old", F.least("label", "up").alias("label")), "labels")
+        jumped = space.stored(spread_join(lower, up, ["label"]).select("node", "old", F.least("label", "up").alias("label")), "labels")
         done = jumped.filter("old <> label").isEmpty()
         labels = jumped.select("node", "label")
         if done:
             return labels
 
 
+def needed(size: Column) -> Column:
+    """Shingles that a set of this size shares with any that it is linked with: LEAST / 100 of its own."""
+    return F.ceil(size * F.lit(LEAST) / 100)
+
+
+def open_pairs(open_: DataFrame, texts: DataFrame, space: Workspace) -> DataFrame:
+    """(a, b): every pair of the open nodes (node, size, label) with different labels that can be linked, by exact bounds; and no pair twice.
+
+    A linked pair shares at least LEAST / 100 of either set, and 2 * LEAST / (100 + LEAST) of the smaller one. So
+    1. a node goes when fewer of its shingles than that occur under another label too; this is repeated, as fewer nodes are left;
+    2. each node's remaining shingles are ranked, the rarest first, in one order for all; a linked pair has its first common shingle
+       among the first of either, as many as can be missing, plus one; for the smaller of the two sets fewer can be missing.
+    Nodes meet in an equi-join on these few rare shingles. A shingle that all share, as on pages of one template, is rare to none of
+    them unless they share all they may miss.
+    """
+    nodes = space.stored(open_, "open")
+    rows = space.stored(shingle_rows(texts.join(nodes.select("node"), "node", "left_semi")), "shingles")
+    while True:
+        held = rows.join(nodes.select("node", "label"), "node")
+        known = held.groupBy("shingle").agg(F.count(F.lit(1)).alias("n"), F.min("label").alias("lo"), F.max("label").alias("hi")).filter("lo <> hi").select("shingle", "n")
+        known = space.stored(known, "known")
+        # both sides are stored tables, so that a hot shingle's rows can be split
+        rows = space.stored(rows.join(known, "shingle").select("shingle", "node", "n"), "shingles")
+        left = nodes.join(rows.groupBy("node").agg(F.count(F.lit(1)).alias("rest")), "node").filter(F.col("rest") >= needed(F.col("size")))
+        left = space.stored(left.select("node", "size", "label", "rest"), "open")
+        before, after = nodes.count(), left.count()
+        nodes = left.drop("rest")
+        if before - after <= before / 20:
+            break
+        rows = space.stored(rows.join(nodes.select("node"), "node", "left_semi").select("shingle", "node"), "shingles")
+    rank = F.row_number().over(Window.partitionBy("node").orderBy("n", "shingle"))
+    first = rows.join(left, "node").withColumn("rank", rank)
+    # hashes of two shingles of a node could be equal; one more place for the rounding of the share
+    most = F.col("rest") - needed(F.col("size")) + 2
+    fewer = F.col("rest") - F.ceil(F.col("size") * F.lit(2 * LEAST) / (100 + LEAST)) + 2
+    first = space.stored(first.filter(F.col("rank") <= most).select("shingle", "node", "size", "label", "rest", "rank", (F.col("rank") <= fewer).alias("small")), "first")
+    s = first.filter("small").select("shingle", *[F.col(c).alias(f"s_{c}") for c in ("node", "size", "label", "rest", "rank")])
+    t = first.select("shingle", *[F.col(c).alias(f"t_{c}") for c in ("node", "size", "label", "rest", "rank")])
+    fits = f"s_label <> t_label AND (s_size < t_size OR (s_size = t_size AND s_node < t_node)) AND 100 * s_size >= {LEAST} * t_size"
+    # behind the common shingle at these ranks at most so many more can be shared
+    reach = f"{100 + LEAST} * (least(s_rest - s_rank, t_rest - t_rank) + least(s_rank, t_rank) + 1) >= {LEAST} * (s_size + t_size)"
+    return s.join(t, "shingle").filter(f"{fits} AND {reach}").select(F.least("s_node", "t_node").alias("a"), F.greatest("s_node", "t_node").alias("b")).distinct()
+
+
 def near_duplicates(docs: DataFrame) -> DataFrame:
-    """_row, doc_id, n_shingles, component_id, kept of every row of docs (_row, doc_id, text).
+    """_row, doc_id, n_shingles, component_id, kept, lead of every row of docs (_row, doc_id, text).
 
-    Rows with the same shingle set are one node; component_id is the smallest doc_id of the nodes that links connect (nulls
-    aside). Rows without words have n_shingles 0 and are components of their own. kept: doc_id equals component_id, null equal to null.
+    Rows with the same words are one node; component_id is the smallest doc_id of the nodes that links connect (nulls
+    aside). Rows without words (null texts too) have n_shingles 0 and are components of their own. kept: doc_id equals component_id, null
+    equal to null. lead marks one row of each component: the one with the smallest doc_id, then the smallest _row. An empty table gives an
+    empty table; a text of any length is cut into words and shingles piece by piece.
 
     Nodes that share a band key are candidates. Each bucket compares its smallest node with all others, on the full sets.
-    Where that leaves a bucket in more than one component, CENTRES further members are compared with the members of other components
-    whose largest bucket it is, and at last every pair of a bucket that is still in two components, unless an exact bound
-    excludes the link. Jaccard distance is a metric: members whose distances to the bucket's smallest node differ by more than a link allows
-    aren't linked. And an intersection holds no shingle that only one of the nodes in question has, and of each class of
-    shingles at most as many as the node with fewer has. So no pair of a bucket goes untested unless links or these bounds settle it.
+    Where that leaves a bucket in more than one component, ``open_pairs`` gives the pairs among the nodes of such buckets that exact
+    bounds don't exclude, and they are compared too. So no pair of a bucket goes untested unless links or bounds settle it, and no bucket's
+    pairs are ever listed.
     """
-    thin = stored(signatures(docs), "signatures")
-    nodes = thin.filter("node IS NOT NULL").groupBy("node").agg(F.min("doc_id").alias("id"), F.min(F.struct("_row", "keys")).alias("r"))
-    bands = stored(nodes.select("node", F.col("r._row").alias("_row"), F.explode("r.keys").alias("key")), "bands")
-    heads = bands.groupBy("key").agg(F.min("node").alias("a"), F.count(F.lit(1)).alias("n")).filter("n > 1")
-    # stored, so that the join deals out both sides itself and can split a hot bucket
-    shared = stored(bands.join(stored(heads, "heads"), "key"), "buckets")
-    pairs = stored(shared.filter("a <> node").select("a", F.col("node").alias("b")).distinct(), "pairs")
-    wanted = shared.select("node", "_row").distinct()
-    texts = stored(docs.select("_row", "text").join(wanted, "_row").select("node", "text"), "texts")
-    tested = stored(verified(pairs, texts), "tested")
-    to_head = tested.select("a", F.col("b").alias("node"), "sim")
-    large = stored(shared.filter("n > 2").join(to_head, ["a", "node"], "left").select("key", "node", "n", F.coalesce("sim", F.lit(1.0)).alias("sim")), "large")
-    facts = None
-    order = F.pmod(F.xxhash64("node"), F.lit(1 << 30))
-    for last in (False, True):
-        labels = components(tested.filter("linked"))
-        members = large.join(labels, "node", "left").select("key", "node", "n", "sim", F.coalesce("label", "node").alias("label"))
+    with Workspace(docs.sparkSession) as space:
+        thin = space.stored(signatures(docs), "signatures")
+        worded = thin.filter("digest IS NOT NULL")
+        nodes = space.stored(worded.groupBy("digest").agg(F.min("_row").alias("node"), F.min("doc_id").alias("id"), F.min("n_shingles").alias("size")), "nodes")
+        bands = worded.join(nodes.select(F.col("node").alias("_row")), "_row", "left_semi").select(F.col("_row").alias("node"), F.explode("keys").alias("key"))
+        bands = space.stored(bands, "bands")
+        heads = bands.groupBy("key").agg(F.min("node").alias("a"), F.count(F.lit(1)).alias("n")).filter("n > 1").drop("n")
+        # stored, so that the join deals out both sides itself and can split a hot bucket
+        shared = space.stored(bands.join(space.stored(heads, "heads"), "key"), "buckets")
+        pairs = space.stored(shared.filter("a <> node").select("a", F.col("node").alias("b")).distinct(), "pairs")
+        texts = space.stored(docs.select(F.col("_row").alias("node"), "text").join(shared.select("node").distinct(), "node", "left_semi"), "texts")
+        tested = space.stored(verified(pairs, texts, space), "tested")
+        links = tested.filter("linked")
+        labels = components(links, space)
+        members = shared.select("key", "node").join(labels, "node", "left").select("key", "node", F.coalesce("label", "node").alias("label"))
+        members = space.stored(members, "members")
         split = members.groupBy("key").agg(F.min("label").alias("l"), F.max("label").alias("h")).filter("l <> h").select("key")
-        members = stored(members.join(split, "key", "left_semi"), "members")
-        if members.isEmpty():
-            break
-        if facts is None:
-            facts = stored(shared_counts(texts.join(members.select("node").distinct(), "node", "left_semi")), "facts")
-        members = members.join(facts, "node")
-        open_, centres = members, members
-        if not last:
-            home = members.groupBy("node").agg(F.max(F.struct("n", "key")).alias("m")).select("node", F.col("m.key").alias("key"))
-            open_ = members.join(home, ["node", "key"], "left_semi")
-            centres = members.filter(order < F.lit(float(1 << 30)) * CENTRES / F.col("n"))
-        centres = centres.select("key", F.col("node").alias("c"), F.col("label").alias("cl"), F.col("sim").alias("cs"), F.col("rest").alias("cr"), F.col("size").alias("cz"))
-        common = "aggregate(zip_with(rest, cr, (x, y) -> least(x, y)), 0, (s, x) -> s + x)"
-        near = f"label <> cl AND abs(sim - cs) <= {1 - LEAST / 100 + 1e-9} AND {100 + LEAST} * {common} >= {LEAST} * (size + cz)" + (" AND node < c" if last else "")
-        crossing = open_.join(centres, "key").filter(near).select(F.least("node", "c").alias("a"), F.greatest("node", "c").alias("b")).distinct()
-        more = stored(crossing.join(tested, ["a", "b"], "left_anti"), "pairs")
-        if not more.isEmpty():
-            tested = stored(tested.unionByName(verified(more, texts)), "tested")
-    else:
-        labels = components(tested.filter("linked"))
-    named = nodes.select("node", "id").join(labels, "node", "left").select("node", "id", F.coalesce("label", "node").alias("label"))
-    smallest = named.groupBy("label").agg(F.min("id").alias("component_id"), F.min(F.struct(F.col("id").isNull(), "id", "node")).alias("_first"))
-    rows = thin.drop("keys", "check").join(named.select("node", "label"), "node", "left").join(smallest, "label", "left")
-    component = F.when(F.col("n_shingles") == 0, F.col("doc_id")).otherwise(F.col("component_id"))
-    return rows.select("_row", "doc_id", "n_shingles", component.alias("component_id"), "label", "node").withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
+        unsettled = members.join(space.stored(split, "split"), "key").select("node", "label").distinct()
+        if not unsettled.isEmpty():
+            more = space.stored(open_pairs(unsettled.join(nodes.select("node", "size"), "node"), texts, space).join(tested, ["a", "b"], "left_anti"), "pairs")
+            if not more.isEmpty():
+                found = space.stored(verified(more, texts, space).filter("linked"), "tested")
+                labels = components(links.unionByName(found), space)
+        named = space.stored(nodes.select("digest", "node", "id").join(labels, "node", "left").select("digest", "id", F.coalesce("label", "node").alias("label")), "named")
+        smallest = space.stored(named.groupBy("label").agg(F.min("id").alias("component_id")), "smallest")
+        named = space.stored(spread_join(named, smallest, ["label"]).select("digest", "label", "component_id"), "named")
+        rows = space.stored(spread_join(worded.select("_row", "doc_id", "n_shingles", "digest"), named, ["digest"]).drop("digest"), "rows")
+        leads = rows.groupBy("label").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "_row")).alias("m")).select(F.col("m._row").alias("_row"), F.lit(True).alias("lead"))
+        rows = rows.drop("label").join(leads, "_row", "left").na.fill({"lead": False})
+        alone = thin.filter("digest IS NULL").select("_row", "doc_id", "n_shingles", F.col("doc_id").alias("component_id"), F.lit(True).alias("lead"))
+        return stored(rows.unionByName(alone).select("_row", "doc_id", "n_shingles", "component_id", F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"), "lead"), "near")
 
 
 def drop_near_duplicates(docs: DataFrame) -> DataFrame:
-    """One row of docs from each component, with all columns: the one of the smallest doc_id; of repeated rows, the first."""
+    """One row of docs from each component, with all columns: the one of the smallest doc_id; of repeated rows, the first.
+
+    Rows without words stay, each of them. Columns besides doc_id and text may have any name but _row.
+    """
     rows = numbered(docs)
-    found = stored(near_duplicates(rows.select("_row", "doc_id", "text")), "near")
-    group = F.coalesce(F.col("label").cast("string"), F.concat(F.lit("row "), F.col("_row")))
-    best = found.groupBy(group.alias("g")).agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "_row")).alias("m"))
-    return rows.join(best.select(F.col("m._row").alias("_row")), "_row", "left_semi").drop("_row")
+    found = near_duplicates(rows.select("_row", "doc_id", "text"))
+    return rows.join(found.filter("lead").select("_row"), "_row", "left_semi").drop("_row")
 
 
 def op5_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -1,20 +1,23 @@
-"""Word shingles of many texts at once, as 64-bit hashes."""
+"""Word shingles of many texts at once, kept as the words' own bytes."""
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from hashlib import blake2b
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 
 from loomframe.llm.bpe import utf8_buffers
 
 WIDTH = 5
-#: Bytes of text that are hashed at once.
+#: Bytes of text that are cut into words at once.
 SLICE_BYTES = 1 << 20
-_M = np.uint64(0x9E3779B97F4A7C15)
-_BASE = 0x2545F4914F6CDD1D
-_BASE_INVERSE = pow(_BASE, -1, 1 << 64)
+#: Bytes of a word's key: words under KEY bytes stand in it with their length, longer ones as a digest of KEY - 1 bytes.
+KEY = 16
+#: Shingles of one text that are looked at together; a text with more is taken in classes of their hashes.
+TOGETHER = 1 << 18
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -24,70 +27,119 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-_BYTE = mix(np.arange(1, 257, dtype=np.uint64) * _M)
-
-
-def _powers(base: int, n: int) -> np.ndarray:
-    out = np.full(n, base, np.uint64)
-    out[0] = 1
-    return np.multiply.accumulate(out)
-
-
-class Hasher:
-    def __init__(self, width: int = WIDTH):
-        self.width = width
-        self.up = self.down = np.ones(1, np.uint64)
-
-    def _grow(self, n: int) -> None:
-        if len(self.up) < n:
-            n = max(n, SLICE_BYTES + 1)
-            self.up, self.down = _powers(_BASE, n), _powers(_BASE_INVERSE, n)
-
-    def words(self, data: np.ndarray, edges: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """(text number, hash) of every word: A-Z in lower case, split at ASCII white space. edges: where texts begin, and the end."""
-        n = len(data)
-        if not n:
-            return np.empty(0, np.int64), np.empty(0, np.uint64)
-        self._grow(n + 1)
-        data = np.where((data >= 65) & (data <= 90), data + np.uint8(32), data)
-        blank = (data == 32) | ((data >= 9) & (data <= 13))
-        begin, stop = ~blank, ~blank
-        begin[1:] &= blank[:-1]
-        stop[:-1] &= blank[1:]
-        inner = edges[(edges > 0) & (edges < n)]
-        begin[inner] |= ~blank[inner]
-        stop[inner - 1] |= ~blank[inner - 1]
-        s, e = np.flatnonzero(begin), np.flatnonzero(stop) + 1
-        total = np.zeros(n + 1, np.uint64)
-        np.cumsum(_BYTE[data] * self.up[:n], out=total[1:])
-        h = (total[e] - total[s]) * self.down[s]
-        return np.searchsorted(edges, s, "right") - 1, mix(h + (e - s).astype(np.uint64) * _M)
-
-    def sets(self, data: np.ndarray, edges: np.ndarray) -> list[np.ndarray]:
-        """The sorted distinct shingle hashes of each text; one for a text with 1 to width - 1 words, none without words."""
-        text, word = self.words(data, edges)
-        n = len(edges) - 1
-        first = np.searchsorted(text, np.arange(n + 1))
-        w = self.width
-        if len(word) >= w:
-            h = word[: len(word) - w + 1].copy()
-            for k in range(1, w):
-                h = mix(h * _M + word[k : len(word) - w + 1 + k])
-        else:
-            h = np.empty(0, np.uint64)
-        out = []
-        for a, b in zip(first[:-1].tolist(), first[1:].tolist()):
-            if b - a >= w:
-                out.append(np.unique(h[a : b - w + 1]))
-            elif b > a:
-                x = np.uint64(b - a)
-                x = mix(np.array([x]))
-                for v in word[a:b]:
-                    x = mix(x * _M + v)
-                out.append(x)
-            else:
-                out.append(np.empty(0, np.uint64))
-        return out
+def _blank(data: np.ndarray) -> np.ndarray:
+    return (data == 32) | ((data >= 9) & (data <= 13))
+
+
+def _keys(data: np.ndarray, edges: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(text number, key) of the words of data."""
+    n = len(data)
+    if not n:
+        return np.empty(0, np.int64), np.empty((0, KEY), np.uint8)
+    data = np.where((data >= 65) & (data <= 90), data + np.uint8(32), data)
+    blank = _blank(data)
+    begin, stop = ~blank, ~blank
+    begin[1:] &= blank[:-1]
+    stop[:-1] &= blank[1:]
+    inner = edges[(edges > 0) & (edges < n)]
+    begin[inner] |= ~blank[inner]
+    stop[inner - 1] |= ~blank[inner - 1]
+    s, e = np.flatnonzero(begin), np.flatnonzero(stop) + 1
+    size = e - s
+    key = np.zeros((len(s), KEY), np.uint8)
+    padded = np.concatenate([data, np.zeros(KEY, np.uint8)])
+    words = np.ndarray((n, KEY), np.uint8, padded, strides=(1, 1))[s]
+    key[:, : KEY - 1] = np.where(np.arange(KEY - 1) < size[:, None], words[:, : KEY - 1], 0)
+    key[:, KEY - 1] = np.minimum(size, KEY)
+    for i in np.flatnonzero(size >= KEY).tolist():
+        key[i, : KEY - 1] = np.frombuffer(blake2b(data[s[i] : e[i]].tobytes(), digest_size=KEY - 1).digest(), np.uint8)
+    return np.searchsorted(edges, s, "right") - 1, key
+
+
+def word_keys(data: np.ndarray, edges: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(text number, key) of every word of the texts that edges cut data into: A-Z in lower case, split at ASCII white space.
+
+    Different words have different keys: the bytes and the length of a word under KEY bytes, a 120-bit cryptographic digest of a longer one.
+    A long text is cut into words a piece at a time, at white space.
+    """
+    if len(data) <= 2 * SLICE_BYTES or len(edges) > 2:
+        return _keys(data, edges)
+    texts, keys, at = [], [], 0
+    while at < len(data):
+        end = min(len(data), at + SLICE_BYTES)
+        while end < len(data):
+            gap = np.flatnonzero(_blank(data[end : end + SLICE_BYTES]))
+            if len(gap):
+                end += int(gap[0])
+                break
+            end = min(len(data), end + SLICE_BYTES)
+        text, key = _keys(data[at:end], np.array([0, end - at]))
+        texts.append(text)
+        keys.append(key)
+        at = end
+    return np.concatenate(texts), np.concatenate(keys)
+
+
+def _hashes(keys: np.ndarray) -> np.ndarray:
+    """A 64-bit hash of each word."""
+    two = np.ascontiguousarray(keys).view(np.uint64).reshape(-1, 2)
+    return mix(mix(two[:, 0] + np.uint64(0x632BE59BD9B4E019)) ^ (two[:, 1] * np.uint64(0x9E3779B97F4A7C15)))
+
+
+class Shingles:
+    """The distinct shingles of one text: runs of WIDTH words, or all words of a text with fewer.
+
+    ``parts`` gives them as (fixed-size binary array of the words' keys, hashes), in pieces without a shingle in two of them. Shingles of different
+    texts can be compared piece by piece: pieces of the same number hold the same classes if both sets are cut into the same number.
+    """
+
+    def __init__(self, keys: np.ndarray):
+        self.keys = keys
+        n = len(keys)
+        if 0 < n < WIDTH:
+            self.keys = np.concatenate([keys, np.zeros((WIDTH - n, KEY), np.uint8)])
+        h = _hashes(self.keys)
+        rows = max(0, len(self.keys) - WIDTH + 1)
+        out = h[:rows].copy()
+        for k in range(1, WIDTH):
+            out = mix(out * np.uint64(0x9E3779B97F4A7C15) + h[k : rows + k])
+        self.hashes = out
+
+    def pieces(self) -> int:
+        return max(1, -(-len(self.hashes) // TOGETHER))
+
+    def parts(self, pieces: int) -> Iterator[tuple[pa.Array, np.ndarray]]:
+        wide = WIDTH * KEY
+        flat = np.ascontiguousarray(self.keys).reshape(-1)
+        rows = np.ndarray((len(self.hashes), wide), np.uint8, flat, strides=(KEY, 1)) if len(self.hashes) else np.empty((0, wide), np.uint8)
+        for p in range(pieces):
+            at = np.flatnonzero(self.hashes % np.uint64(pieces) == p) if pieces > 1 else None
+            some = np.ascontiguousarray(rows if at is None else rows[at])
+            encoded = pa.Array.from_buffers(pa.binary(wide), len(some), [None, pa.py_buffer(some)]).dictionary_encode()
+            distinct, which = encoded.dictionary, encoded.indices.to_numpy()
+            hashes = np.empty(len(distinct), np.uint64)
+            hashes[which] = self.hashes if at is None else self.hashes[at]
+            yield distinct, hashes
+
+
+def common(a: Shingles, b: Shingles) -> tuple[int, int, int]:
+    """(size of a, size of b, size of the intersection), compared by the words' keys."""
+    sizes = [0, 0, 0]
+    pieces = max(a.pieces(), b.pieces())
+    for (x, _), (y, _) in zip(a.parts(pieces), b.parts(pieces)):
+        sizes[0] += len(x)
+        sizes[1] += len(y)
+        sizes[2] += (pc.sum(pc.is_in(y, value_set=x)).as_py() or 0) if len(x) and len(y) else 0
+    return sizes[0], sizes[1], sizes[2]
+
+
+def shingled(texts: pa.Array) -> Iterator[tuple[int, list[Shingles], list[np.ndarray]]]:
+    """(first row, shingles of each text, keys of each text's words) of runs of whole texts of about SLICE_BYTES."""
+    for first, data, edges in slices(texts):
+        text, keys = word_keys(data, edges)
+        at = np.searchsorted(text, np.arange(len(edges)))
+        words = [keys[a:b] for a, b in zip(at[:-1].tolist(), at[1:].tolist())]
+        yield first, [Shingles(w) for w in words], words
 
 
 def slices(texts: pa.Array) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
@@ -95,6 +147,6 @@ def slices(texts: pa.Array) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
     data, offsets = utf8_buffers(texts)
     i, n = 0, len(offsets) - 1
     while i < n:
-        j = min(n, max(i + 1, int(np.searchsorted(offsets, offsets[i] + SLICE_BYTES))))
+        j = min(n, max(i + 1, int(np.searchsorted(offsets, offsets[i] + SLICE_BYTES, "right")) - 1))
         yield i, data[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i]
         i = j
