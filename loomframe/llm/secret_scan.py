@@ -1,13 +1,14 @@
-"""Secrets: base rules, and literals assigned to sensitive names, with constants propagated."""
+"""Secrets: base rules, and literals that a lexer finds assigned to sensitive names, with constants propagated."""
 
 from __future__ import annotations
 
-import hashlib
 import math
 import re
-from bisect import bisect_left
+from bisect import bisect_left, bisect_right
 from collections import Counter
 from collections.abc import Iterator
+from dataclasses import dataclass, field
+from itertools import accumulate
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -34,11 +35,28 @@ LONG = 20
 _MIXED = re.compile(r"[A-Za-z](?=[0-9])|[0-9](?=[A-Za-z])")
 _PLACEHOLDER_AT = re.compile(f"(?={PLACEHOLDER.pattern})", re.IGNORECASE)
 
-#: A name up to its operator, and the literal after it. Runs are possessive and begin at their first character, so time stays linear.
-_ASSIGNED = re.compile(r"""(?<![A-Za-z0-9_.\-])[0-9.\-]*+([A-Za-z_][A-Za-z0-9_.\-]*+)["'\])]?[ \t]*+[:=]""")
-_VALUE = re.compile(r"""[:=>]{0,2}[ \t]*+(?:"([^"\n]++)"|'([^'\n]++)'|([^\s"',;(){}\[\]<>]))""")
+#: What the lexer stops at: a name before an operator, an opening quote (with a prefix, or escaped), a comment, a tag with text. Runs are
+#: possessive and begin at their first character, so time stays linear.
+_EVENT = re.compile(
+    r"""(?<![\w.\-])(?<!\w')[0-9.\-]*+(?P<name>[A-Za-z_][\w.\-]*+)[\])]?[ \t]*+(?P<op>:=|=>|={1,3}|:)"""
+    r"""|(?<!\w)(?:[rRbBuUfF]{1,2}+(?=["']))?(?P<quote>\"{3}|'{3}|\\?["']|`)"""
+    r"""|(?P<line>(?<!\S)(?:\#|//|--[ ])|^[ \t]*+;)|(?P<block>(?<![\w:/])/\*)"""
+    r"""|<(?P<tag>[A-Za-z_][\w.\-]*+)>(?P<inner>[^<>\n]++)</""",
+    re.ASCII | re.MULTILINE,
+)
+#: After a quoted key; after a name and a colon, when a type and the value follow; between the parts of a concatenation.
+_AFTER_KEY = re.compile(r"[\])]?[ \t]*+(:=|=>|={1,3}|:)")
+_TYPED = re.compile(r"[ \t]*+[A-Za-z_][\w.\[\], |]*+=(?!=)", re.ASCII)
+_LAST = re.compile(r"[\w.]+(?=[\], |]*=\Z)", re.ASCII)
+_LEAD = re.compile(r"[ \t(]*+(?:\\?\r?\n[ \t(]*+)?")
+_JOIN = re.compile(r"[ \t\r\n\\)(]*+(?:\+|\.\.?)[ \t\r\n\\(]*+|[ \t]++|(?<=[\"'])(?=[\"'])")
+_JOIN_OPEN = re.compile(r"[ \t\r\n\\)(]*+(?:\+|\.\.?)[ \t\r\n\\(]*+|[ \t\r\n\\]++|(?<=[\"'])(?=[\"'])")
+_QUOTE = re.compile(r"""(?:[rRbBuUfF]{1,2}+(?=["']))?(\"{3}|'{3}|\\?["']|`)""")
+_END = {'"': re.compile(r'(?:[^"\\\n]|\\.)*+"'), "'": re.compile(r"(?:[^'\\\n]|\\.)*+'"), "`": re.compile(r"[^`\n]*+`"), '\\"': re.compile(r'[^"\\\n]*+\\"'), "\\'": re.compile(r"[^'\\\n]*+\\'")}
+#: A block of YAML text: its indented lines.
+_FOLDED = re.compile(r"[ \t]*+[|>][+-]?[0-9]?[ \t]*+\r?\n((?:[ \t]++[^\n]*+(?:\n|\Z))++)")
 _BARE = re.compile(r"""[^\s"',;(){}\[\]<>]++""")
-_WORD = re.compile(r"[A-Za-z_][A-Za-z0-9_.\-]*+")
+_REFERENCE = re.compile(r"[A-Za-z_][\w.\-]*+", re.ASCII)
 _PART = re.compile(r"[A-Z]+(?![a-z])|[A-Z]?[a-z]+|[0-9]+")
 
 
@@ -90,55 +108,202 @@ def tail_scores(text: str, starts: list[int], end: int) -> dict[int, float]:
     return out
 
 
-def pairs(text: str) -> Iterator[tuple[str, int, int, bool]]:
-    """(name, start, end, quoted) of the literal at every assignment-like place of source or configuration text."""
-    until = 0
-    for m in _ASSIGNED.finditer(text):
-        value = _VALUE.match(text, m.end())
-        if not value:
-            continue
-        if value[3] is None:
-            g = 1 if value[1] is not None else 2
-            yield m[1], value.start(g), value.end(g), True
-        else:
-            # operators within one bare literal share its end
-            if value.start(3) >= until:
-                until = _BARE.match(text, value.start(3)).end()
-            yield m[1], value.start(3), until, False
+@dataclass
+class Assignment:
+    """A name and the expression it gets: pieces of literals (start, end), and names. A comparison or a comment defines no constant."""
+
+    name: str
+    at: int
+    defines: bool
+    pieces: list[tuple[int, int]] = field(default_factory=list)
+    names: list[str] = field(default_factory=list)
+    quoted: bool = True
+
+
+class Lexer:
+    """Assignments of source and configuration text, in one pass.
+
+    Strings (one line, triple, back-quoted, escaped quotes inside another string), comments, typed and chained assignments, quoted keys,
+    concatenations, YAML blocks and tags with text are told apart. A quote opens a string only where a word doesn't end, so that apostrophes of prose
+    don't; one that isn't closed is an ordinary character, and so are its like up to the line's end. What a string holds is lexed in its turn.
+    """
+
+    def __init__(self, text: str):
+        self.text, self.out = text, []
+        self.dead: dict[str, int] = {}
+        todo = [(0, len(text), False)]
+        while todo:
+            todo += self._region(*todo.pop())
+
+    def _string(self, at: int, end: int) -> tuple[int, int, int] | None:
+        """(start, end, place after) of the string whose quote stands at a place."""
+        m = _QUOTE.match(self.text, at, end)
+        if not m or self.dead.get(m[1], -1) > at:
+            return None
+        if len(m[1]) == 3:
+            close = self.text.find(m[1], m.end(), end)
+            if close >= 0:
+                return m.end(), close, close + 3
+            self.dead[m[1]] = end
+            return None
+        close = _END[m[1]].match(self.text, m.end(), end)
+        if close and not (close.end() < end and (self.text[close.end()].isalnum() or self.text[close.end()] == "_")):
+            return m.end(), close.end() - len(m[1]), close.end()
+        line = self.text.find("\n", m.end(), end)
+        # where it isn't closed, no quote of the kind opens a string on the rest of the line
+        self.dead[m[1]] = m.end() if close else line if line >= 0 else end
+        return None
+
+    def _expression(self, into: Assignment, at: int, end: int) -> tuple[int, list[tuple[int, int]]]:
+        """Reads the terms of an expression; the place after them, and the strings that it holds."""
+        strings = []
+        lead = _LEAD.match(self.text, at, end)
+        at, joint = lead.end(), _JOIN_OPEN if "(" in lead[0] else _JOIN
+        while True:
+            if found := self._string(at, end):
+                into.pieces.append(found[:2])
+                strings.append(found[:2])
+                after = found[2]
+            elif (word := _REFERENCE.match(self.text, at, end)) and not self.text.startswith("(", word.end()):
+                # a longer bare literal that begins like a name isn't one
+                if word.end() < end and self.text[word.end()] != "+" and _BARE.match(self.text, word.end(), word.end() + 1):
+                    break
+                into.names.append(word[0].rstrip("."))
+                after = word.end()
+            else:
+                break
+            join = joint.match(self.text, after, end)
+            at = after
+            if not join or not (self.text[join.start() : join.end()].strip(" \t\r\n\\()") or _QUOTE.match(self.text, join.end(), end)):
+                break
+            at = join.end()
+        return at, strings
+
+    def _assign(self, name: str, start: int, op: str, at: int, end: int, comment: bool) -> tuple[int, list[tuple[int, int]]]:
+        text = self.text
+        also = None
+        if op == ":" and (typed := _TYPED.match(text, at, end)):
+            # a type, or (after a word of prose) the name itself
+            op, at, also = "=", typed.end(), _LAST.search(typed[0])[0]
+        into = Assignment(name, start, not comment and op not in ("==", "==="))
+        if op == ":" and (block := _FOLDED.match(text, at, end)):
+            lead = re.match(r"[ \t]*", text[text.rfind("\n", 0, start) + 1 : start])[0]
+            stop = block.start(1)
+            for line in block[1].splitlines(True):
+                if line.strip() and len(line) - len(line.lstrip(" \t")) <= len(lead):
+                    break
+                stop += len(line)
+            into.pieces.append((block.start(1), stop))
+            self.out.append(into)
+            return stop, []
+        after, strings = self._expression(into, at, end)
+        if not strings:
+            begin = _LEAD.match(text, at, end).end()
+            bare = _BARE.match(text, begin, end) if begin >= self.until else None
+            if bare:
+                self.until = bare.end()
+            if not bare and begin >= self.until or text.startswith("//", begin):
+                return at, []
+            into.pieces, into.quoted = [(begin, self.until)], False
+            after = at
+        self.out.append(into)
+        if also:
+            self.out.append(Assignment(also, at, into.defines, into.pieces, into.names, into.quoted))
+        return after, strings
+
+    def _region(self, start: int, end: int, comment: bool) -> list[tuple[int, int, bool]]:
+        text, at, note = self.text, start, end if comment else -1
+        self.until, self.dead = 0, {}
+        inner: list[tuple[int, int, bool]] = []
+        key = None
+        while m := _EVENT.search(text, at, end):
+            inside = m.start() < note
+            strings: list[tuple[int, int]] = []
+            if m["name"]:
+                at, strings = self._assign(m["name"], m.start("name"), m["op"], m.end(), end, inside)
+            elif m["quote"]:
+                found = self._string(m.start(), end)
+                if not found:
+                    at = m.end() if len(m["quote"]) < 3 else m.start("quote") + 1
+                    continue
+                at = found[2]
+                key = _AFTER_KEY.match(text, at, end)
+                if key and found[1] - found[0] <= 200 and "\n" not in text[found[0] : found[1]]:
+                    at, strings = self._assign(text[found[0] : found[1]], found[0], key[1], key.end(), end, inside)
+                else:
+                    strings = [found[:2]]
+            elif m["tag"]:
+                self.out.append(Assignment(m["tag"], m.start(), False, [m.span("inner")]))
+                at = m.end("inner")
+            elif m["line"]:
+                line = text.find("\n", m.end(), end)
+                note, at = max(note, line if line >= 0 else end), m.end()
+            else:
+                close = text.find("*/", m.end(), end)
+                note, at = max(note, close if close >= 0 else m.end()), m.end()
+            inner += [(a, b, inside) for a, b in strings if b - a >= 10 and ("=" in text[a:b] or ":" in text[a:b])]
+        return inner
 
 
 def scored_literals(text: str) -> list[tuple[int, int, float]]:
-    """(start, end, score) of literals; one that a sensitive name gets through a constant counts under that name."""
-    constants: dict[str, tuple[int, int]] = {}
-    names: dict[tuple[int, int], float] = {}
-    for name, start, end, quoted in pairs(text):
-        score = name_score(name)
-        known = None
-        if constants and not quoted and (word := _WORD.match(text, start, end)) and word.end() == end:
-            known = constants.get(word[0])
-        if known:
-            start, end = known
-        if quoted or known:
-            constants[name] = (start, end)
-        if score:
-            names[start, end] = max(names.get((start, end), 0), score)
-    starts: dict[int, list[int]] = {}
-    for s, e in names:
-        starts.setdefault(e, []).append(s)
-    return sorted((s, e, names[s, e] + x) for e, every in starts.items() for s, x in tail_scores(text, every, e).items())
+    """(start, end, score) of literals; one that a sensitive name gets through constants, in any order, counts under that name."""
+    found = Lexer(text).out
+    own = [name_score(a.name) for a in found]
+    if not any(own):
+        return []
+    defined: dict[str, list[int]] = {}
+    for i in sorted((i for i, a in enumerate(found) if a.defines and (a.quoted or a.names)), key=lambda i: found[i].at):
+        defined.setdefault(found[i].name, []).append(i)
+    best = [0.0] * len(found)
+    # the best names first, so that a constant is reached once
+    for i in sorted((i for i, x in enumerate(own) if x), key=lambda i: -own[i]):
+        todo, score = [i], own[i]
+        while todo:
+            k = todo.pop()
+            if best[k] >= score:
+                continue
+            best[k] = score
+            for name in found[k].names:
+                if every := defined.get(name):
+                    # the definition before the use, else the first one
+                    before = bisect_left(every, found[k].at, key=lambda j: found[j].at)
+                    todo.append(every[before - 1 if before else 0])
+    out: dict[tuple[int, int], float] = {}
+    bare: dict[int, dict[int, float]] = {}
+    for a, score in zip(found, best):
+        if not score or not a.pieces or (a.names and not a.quoted and any(n in defined for n in a.names)):
+            continue
+        if a.quoted:
+            span = a.pieces[0][0], a.pieces[-1][1]
+            out[span] = max(out.get(span, 0), score + literal_score("".join(text[s:e] for s, e in a.pieces)))
+        else:
+            (s, e), held = a.pieces[0], bare.setdefault(a.pieces[0][1], {})
+            held[s] = max(held.get(s, 0), score)
+    for e, held in bare.items():
+        for s, x in tail_scores(text, list(held), e).items():
+            out[s, e] = max(out.get((s, e), 0), held[s] + x)
+    return sorted((s, e, x) for (s, e), x in out.items())
 
 
 def find_secrets(text: str) -> tuple[list[tuple[int, int, str]], list[tuple[int, int, str]]]:
     """(base spans, spans that the method adds): literals of LEAST_SCORE that no base span contains."""
     base = base_spans(text)
-    extra = [(s, e, "literal") for s, e, x in scored_literals(text) if x >= LEAST_SCORE and not any(a <= s and e <= b for a, b, _ in base)] if ("=" in text or ":" in text) else []
-    return base, extra
+    if "=" not in text and ":" not in text and "</" not in text:
+        return base, []
+    starts, reach = [s for s, _, _ in base], [*accumulate((e for _, e, _ in base), max)]
+
+    def held(s: int, e: int) -> bool:
+        before = bisect_right(starts, s)
+        return before > 0 and reach[before - 1] >= e
+
+    return base, [(s, e, "literal") for s, e, x in scored_literals(text) if x >= LEAST_SCORE and not held(s, e)]
 
 
 def scan_secrets(docs: DataFrame) -> DataFrame:
     """doc_id, base and spans (arrays of s, e, kind) of every row; null texts count as empty.
 
-    A text is scanned where it stands; nothing is shuffled, and repeated rows are scanned alike.
+    A text is scanned where it stands, whole and in linear time; nothing is shuffled, repeated rows are scanned alike, and an empty table gives
+    an empty table. Other columns of docs aren't read.
     """
     span = "array<struct<s:int,e:int,kind:string>>"
 
@@ -173,7 +338,7 @@ def mask_secrets(text: str | None, mark: str = "[secret]") -> str | None:
 
 
 def redact_secrets(docs: DataFrame, text: str = "text") -> DataFrame:
-    """docs, all rows and columns, with the secrets in text replaced by a mark."""
+    """docs, all rows and columns whatever their names, with the secrets in text replaced by a mark; null texts stay null."""
     at = docs.columns.index(text)
     names = docs.columns
 
