@@ -2,98 +2,169 @@
 
 from __future__ import annotations
 
+import re
+import time
+from collections.abc import Iterable
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loomframe.llm.common import SPACE, computed, table, text_or_empty
+from loomframe.llm.common import SPACE, Sheltered, computed, table
 
-#: Rows of the sample from which costs and rejection rates are estimated: an upper bound, whatever the input's size.
-SAMPLE_ROWS = 2000
+#: Rows of the sample on which costs and rejection rates are measured: an upper bound, whatever the input's size.
+SAMPLE_ROWS = 1000
+#: Fixed characters of the contract: white space between words, and symbols.
+BLANKS, SYMBOLS = " \t\n\x0b\x0c\r", "#*$%&|<>"
+#: The class of white space as an SQL literal has it.
+_SPACE = SPACE.replace("\\", "\\\\")
 
 
 @dataclass(frozen=True)
 class Rule:
-    """reject: SQL over the features below; needs: the features it reads; cost: relative cost of computing them."""
+    """reject: SQL over features; needs: the features that it reads."""
 
     name: str
     reject: str
-    cost: float
+    needs: tuple[str, ...]
 
 
-#: The first two are the contract's base rules. The others reject what no clean prose shows.
+#: The first and the last are the contract's base rules. The others reject what no clean prose shows.
 RULES = [
-    Rule("too_few_words", "n_words < 50", 1.0),
-    Rule("symbol_heavy", "n_symbols * 20 > word_chars", 1.5),
-    Rule("odd_word_length", "word_chars < 2 * n_words OR word_chars > 25 * n_words", 1.2),
-    Rule("repeated_lines", "n_dup_lines * 10 > 6 * n_lines", 2.5),
-    Rule("repeated_words", "100 * n_repeat_words > 50 * n_words", 8.0),
+    Rule("too_few_words", "n_words < 50", ("n_words",)),
+    Rule("symbol_heavy", "n_symbols * 20 > word_chars", ("n_symbols", "word_chars")),
+    Rule("odd_word_length", "word_chars < 2 * n_words OR word_chars > 25 * n_words", ("n_words", "word_chars")),
+    Rule("repeated_lines", "n_dup_lines * 10 > 6 * n_lines", ("n_dup_lines", "n_lines")),
+    Rule("repeated_words", "100 * n_repeat_words > 50 * n_words", ("n_words", "n_repeat_words")),
 ]
 BASE = ("too_few_words", "repeated_words")
+OUTPUT = ("n_words", "word_chars", "n_symbols", "n_lines", "n_dup_lines", "n_repeat_words")
+
+
+def _let(name: str, value: str, body: str) -> str:
+    """body with a name for value, which is computed once: a lambda over one element."""
+    return f"element_at(transform(array({value}), {name} -> {body}), 1)"
+
+
+_PLACE = "cast(keys[{0}] & (shiftleft(1L, bits) - 1) AS int)"
+_EQUAL = " AND ".join(f"_words[{_PLACE.format('k')} + {j}] = _words[{_PLACE.format('k - 1')} + {j}]" for j in range(3))
+#: Upper bits: a hash of the window; the lower bits (2 ** bits > number of words): its place.
+_KEYS = "sort_array(transform(sequence(0, size(_words) - 3), i -> shiftleft(xxhash64(_words[i], _words[i + 1], _words[i + 2]), bits) | cast(i AS bigint)))"
+#: 1: the window has the words of the one before in the order of keys; 2: only its hash.
+_SAME = f"transform(sequence(1, size(keys) - 1), k -> CASE WHEN shiftright(keys[k], bits) <> shiftright(keys[k - 1], bits) THEN 0 WHEN {_EQUAL} THEN 1 ELSE 2 END)"
+_TWICE = f"transform(filter(sequence(0, size(keys) - 1), k -> (k > 0 AND same[k - 1] = 1) OR (k < size(same) AND same[k] = 1)), k -> {_PLACE.format('k')})"
+#: The same by windows sorted by their words, so that equal ones stand side by side.
+_SORTED = "sort_array(transform(sequence(0, size(_words) - 3), i -> struct(_words[i] AS a, _words[i + 1] AS b, _words[i + 2] AS c, i AS i)))"
+_TWICE_SORTED = _let("w", _SORTED, "transform(filter(w, (x, k) -> " + " OR ".join(f"({edge} AND x.a = w[k {step}].a AND x.b = w[k {step}].b AND x.c = w[k {step}].c)" for edge, step in (("k > 0", "- 1"), ("k < size(w) - 1", "+ 1"))) + "), x -> x.i)")
+#: Words in windows at these places.
+_COVERED = _let("at", f"sort_array(CASE WHEN array_contains(same, 2) THEN {_TWICE_SORTED} ELSE {_TWICE} END)", "aggregate(transform(at, (x, k) -> CASE WHEN k < size(at) - 1 THEN least(3, at[k + 1] - x) ELSE 3 END), 0L, (a, x) -> a + x)")
+
+#: SQL of each feature over _t (the text, not null) and the features that it names; those with an underscore are steps on the way.
+FEATURES: dict[str, tuple[tuple[str, ...], str]] = {
+    "_words": ((), f"filter(split(_t, '{_SPACE}+'), w -> w <> '')"),
+    "_lines": ((), r"filter(split(_t, '\\n'), x -> x RLIKE '[^\\x20\\x09-\\x0D]')"),
+    "n_words": (("_words",), "cast(size(_words) AS bigint)"),
+    "word_chars": ((), f"cast(length(translate(_t, '{BLANKS}', '')) AS bigint)"),
+    "n_symbols": ((), f"cast(length(_t) - length(translate(_t, '{SYMBOLS}', '')) AS bigint)"),
+    "n_lines": (("_lines",), "cast(size(_lines) AS bigint)"),
+    "n_dup_lines": (("_lines",), "cast(size(_lines) - size(array_distinct(_lines)) AS bigint)"),
+    "n_repeat_words": (("_words",), "CASE WHEN size(_words) < 4 THEN 0L ELSE " + _let("bits", "length(bin(size(_words)))", _let("keys", _KEYS, _let("same", _SAME, f"CASE WHEN array_max(same) = 0 THEN 0L ELSE {_COVERED} END"))) + " END"),
+}
+
+
+def with_features(df: DataFrame, names: Iterable[str], text: str) -> DataFrame:
+    """df and the features named of its column text that it doesn't have yet, with the steps on the way.
+
+    Each layer of features is computed once a row, behind a generator, so that it is evaluated neither again for what is built on it nor for
+    rows that a filter above has dropped.
+    """
+    wanted: list[str] = []
+
+    def want(name: str) -> None:
+        if name not in df.columns and name not in wanted:
+            for n in FEATURES[name][0]:
+                want(n)
+            wanted.append(name)
+
+    for name in names:
+        want(name)
+    while wanted:
+        layer = [n for n in wanted if not any(d in wanted for d in FEATURES[n][0])]
+        df = computed(df.withColumns({n: F.expr(re.sub(r"\b_t\b", f"coalesce({text}, '')", FEATURES[n][1])) for n in layer}), layer)
+        wanted = [n for n in wanted if n not in layer]
+    return df
 
 
 def text_features(docs: DataFrame, text: str = "text") -> DataFrame:
     """Adds n_words, word_chars, n_symbols, n_lines, n_dup_lines and n_repeat_words (long) of the whole text.
 
-    Null texts count as empty. Words in 3-word windows that occur twice or more are found by sorting one long per
-    window (upper bits: hash of the window; lower bits: its index), so the work is n log n in the words of a text.
+    Null texts count as empty. Windows of three words that occur twice or more are found by sorting one long per
+    window (upper bits: hash of the window; lower bits: its place) and comparing the words of neighbours. Where two different windows
+    share a hash, which long texts can have, the windows of that text are sorted by their words instead. The work is n log n in a text's words.
+    """
+    held = Sheltered(docs, {})
+    return held.outside(with_features(held.inside, OUTPUT, held.own[docs.columns.index(text)]), {n: n for n in OUTPUT})
+
+
+def measure_rules(docs: DataFrame, rules: list[Rule], text: str = "text") -> list[tuple[Rule, float, float]]:
+    """(rule, seconds, share rejected) of every rule by itself, on the first SAMPLE_ROWS rows that are read.
+
+    Seconds are those of a job that computes what the rule needs, less those of a job that only reads the texts.
     """
-    t = F.coalesce(F.col(text), F.lit(""))
-    out = docs.withColumn("_words", F.filter(F.split(t, f"{SPACE}+"), lambda w: w != ""))
-    out = out.withColumn("_lines", F.filter(F.split(t, "\n"), lambda x: x.rlike("[^\\x20\\x09-\\x0D]")))
-    out = out.withColumns({
-        "n_words": F.size("_words").cast("long"),
-        "word_chars": F.length(F.array_join("_words", "")).cast("long"),
-        "n_symbols": (F.length(t) - F.length(F.regexp_replace(t, r"[#*$%&|<>]", ""))).cast("long"),
-        "n_lines": F.size("_lines").cast("long"),
-        "n_dup_lines": (F.size("_lines") - F.size(F.array_distinct("_lines"))).cast("long"),
-    }).drop("_lines")
-    # bits for the index: 2 ** _bits > number of words
-    out = out.withColumn("_bits", F.length(F.bin(F.size("_words"))))
-    window = "transform(sequence(0, size(_words) - 3), i -> (shiftleft(xxhash64(_words[i], _words[i + 1], _words[i + 2]), _bits) | cast(i as bigint)))"
-    out = out.withColumn("_keys", F.expr(f"CASE WHEN size(_words) >= 4 THEN sort_array({window}) ELSE cast(array() as array<bigint>) END"))
-    same = "filter(_keys, (x, k) -> (k > 0 AND shiftright(x, _bits) = shiftright(_keys[greatest(k - 1, 0)], _bits)) OR (k < size(_keys) - 1 AND shiftright(x, _bits) = shiftright(_keys[least(k + 1, size(_keys) - 1)], _bits)))"
-    out = out.withColumn("_at", F.expr(f"sort_array(transform({same}, x -> x & (shiftleft(1L, _bits) - 1)))"))
-    covered = "aggregate(transform(_at, (x, k) -> CASE WHEN k < size(_at) - 1 THEN least(3L, _at[least(k + 1, size(_at) - 1)] - x) ELSE 3L END), 0L, (a, x) -> a + x)"
-    out = out.withColumn("n_repeat_words", F.expr(covered)).drop("_words", "_bits", "_keys", "_at")
-    return computed(out, ["n_words", "word_chars", "n_symbols", "n_lines", "n_dup_lines", "n_repeat_words"])
-
-
-def order_rules(features: DataFrame, rules: list[Rule]) -> list[Rule]:
-    """Rules by rejections per cost on a bounded sample. The order changes the work, never the verdict."""
-    # a limit at the top reads partitions one after another, until it has its rows
-    rows = features.select(*[F.expr(r.reject).alias(r.name) for r in rules]).limit(SAMPLE_ROWS).collect()
-    return sorted(rules, key=lambda r: (-(sum(x[r.name] for x in rows) + 0.5) / (len(rows) + 1) / r.cost, r.name))
+    sample = docs.select(F.col(f"`{text}`").alias("_sample")).limit(SAMPLE_ROWS)
+
+    def timed(df: DataFrame, value: str) -> tuple[float, int, int]:
+        began = time.perf_counter()
+        n, hits = df.agg(F.count(F.lit(1)), F.coalesce(F.sum(F.expr(value).cast("long")), F.lit(0))).first()
+        return time.perf_counter() - began, n, hits
+
+    base = min(timed(sample, "length(_sample)")[0] for _ in range(2))
+    out = []
+    for r in rules:
+        seconds, n, hits = timed(with_features(sample, r.needs, "_sample"), r.reject)
+        out.append((r, max(seconds - base, 1e-3), (hits + 0.5) / (n + 1)))
+    return out
+
+
+def order_rules(docs: DataFrame, rules: list[Rule], text: str = "text") -> list[Rule]:
+    """Rules by rejections per second on a bounded sample. The order changes the work, never the verdict."""
+    return [r for r, *_ in sorted(measure_rules(docs, rules, text), key=lambda m: (-m[2] / m[1], m[0].name))]
 
 
 def cascade(rules: list[Rule]) -> Column:
-    """Name of the first rule that rejects, null if none does; later rules of the cascade aren't evaluated."""
+    """True for rows that no rule rejects. Rules are tried in order, and those behind the first that rejects aren't evaluated."""
     out = None
     for r in rules:
-        out = F.when(F.expr(r.reject), F.lit(r.name)) if out is None else out.when(F.expr(r.reject), F.lit(r.name))
-    return out
+        out = F.when(F.expr(r.reject), False) if out is None else out.when(F.expr(r.reject), False)
+    return F.lit(True) if out is None else out.otherwise(True)
 
 
-def quality_rules(docs: DataFrame, rules: list[Rule] | None = None) -> DataFrame:
-    """Adds the features, base_failed, failed_rule and kept to every row of docs.
+def quality_rules(docs: DataFrame, rules: list[Rule] | None = None, text: str = "text") -> DataFrame:
+    """Adds the features, base_failed and kept to every row of docs.
 
-    Empty and null texts fail ``too_few_words``; an empty table gives an empty table; repeated rows are judged alike;
-    columns of docs with a feature's name are replaced.
+    All features are reported, so all are computed for every row and the order of the rules saves next to nothing here; ``keep_good`` is where it
+    does. Empty and null texts fail ``too_few_words``; an empty table gives an empty table; repeated rows are judged alike; texts may have any
+    length; columns of docs may have any name, and those with the name of an added one are replaced.
     """
-    rules = rules or RULES
-    features = text_features(docs)
-    ordered = order_rules(text_features(docs.select("text")), rules)
-    judged = features.withColumn("failed_rule", cascade(ordered))
+    rules = RULES if rules is None else rules
+    held = Sheltered(docs, {})
+    featured = with_features(held.inside, OUTPUT, held.own[docs.columns.index(text)])
     base = " OR ".join(f"({r.reject})" for r in RULES if r.name in BASE)
-    return judged.withColumns({"base_failed": F.expr(base), "kept": F.col("failed_rule").isNull()})
+    kept = cascade(order_rules(docs, rules, text))
+    return held.outside(featured, {n: n for n in OUTPUT} | {"base_failed": F.expr(base), "kept": kept})
 
 
-def keep_good(docs: DataFrame) -> DataFrame:
-    """The rows of docs that no rule rejects, with the columns of docs."""
-    own = [f"_own{i}" for i in range(len(docs.columns))]
-    inside = docs.select(*[F.col(f"`{c}`").alias(o) for c, o in zip(docs.columns, own)], text_or_empty().alias("text"))
-    return quality_rules(inside).filter("kept").select(*[F.col(o).alias(c) for c, o in zip(docs.columns, own)])
+def keep_good(docs: DataFrame, rules: list[Rule] | None = None, text: str = "text") -> DataFrame:
+    """The rows of docs that no rule rejects, with the columns of docs, whatever their names.
+
+    A filter for each rule, the best in rejections per second first; what a rule needs is computed for the rows that still stand.
+    Edge cases are those of ``quality_rules``.
+    """
+    held = Sheltered(docs, {})
+    left = held.inside
+    for r in order_rules(docs, RULES if rules is None else rules, text):
+        left = with_features(left, r.needs, held.own[docs.columns.index(text)]).filter(~F.expr(r.reject))
+    return held.outside(left, {})
 
 
 def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -252,4 +252,4 @@ def test_quality_order_does_not_change_verdicts(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet")
     a = quality.quality_rules(docs, quality.RULES).filter("kept").count()
     b = quality.quality_rules(docs, quality.RULES[::-1]).filter("kept").count()
-    assert a == b and json.dumps([r.name for r in quality.order_rules(quality.text_features(docs), quality.RULES)])
+    assert a == b and len(quality.order_rules(docs, quality.RULES)) == 5
