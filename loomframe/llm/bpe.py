@@ -6,6 +6,7 @@ import hashlib
 import json
 import re
 from collections.abc import Callable, Iterator
+from dataclasses import dataclass
 from functools import lru_cache
 
 import numpy as np
@@ -14,10 +15,10 @@ from pyspark.sql import DataFrame, SparkSession
 
 from loomframe.llm.common import table
 
-#: A chunk ends at a word's end where the rolling hash of the last bytes has CUT_BITS zero bits (about 2 kB on average) ...
-HASH_BYTES, CUT_BITS = 8, 8
-#: ... and a worker forgets its chunks when they hold so many bytes.
-CACHE_BYTES = 24 << 20
+#: A chunk ends where the rolling hash of the last bytes has CUT_BITS zero bits (about 2 kB on average), wherever that is ...
+HASH_BYTES, CUT_BITS = 8, 11
+#: ... and a worker keeps two generations of chunks of so many bytes each; the older one goes when the younger one is full.
+CACHE_BYTES = 12 << 20
 #: Bytes of text that are hashed at once.
 SLICE_BYTES = 4 << 20
 #: Texts with other characters than these go through the tokenizers library itself, chunk by chunk.
@@ -95,45 +96,126 @@ def utf8_buffers(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 
 
 def cut_points(data: np.ndarray) -> np.ndarray:
-    """Where chunks of data begin, apart from 0: content-defined, and only where any tokenization has a boundary.
-
-    Candidates are the spaces that stand between two printable ASCII characters: the pretokenizer always splits before such a space,
-    whatever stands further away, so ids of chunks that are cut there join exactly as re-encoding the joint gives them.
-    Of these, a hash of the HASH_BYTES before a candidate takes one in 2 ** CUT_BITS.
-    """
+    """Where chunks of data begin, apart from 0: content-defined, at any character. A hash of the HASH_BYTES before a place takes one in 2 ** CUT_BITS."""
     n = len(data)
     if n < 2 * HASH_BYTES:
         return np.empty(0, np.int64)
-    printable = (data > 0x20) & (data < 0x7F)
-    safe = np.flatnonzero((data[1:-1] == 0x20) & printable[:-2] & printable[2:]) + 1
-    safe = safe[safe >= HASH_BYTES]
-    window = np.ndarray((n - HASH_BYTES + 1,), "<u8", data, strides=(1,))[safe - HASH_BYTES]
+    window = np.ndarray((n - HASH_BYTES,), "<u8", data, strides=(1,))
     window = (window ^ (window >> np.uint64(29))) * np.uint64(0x9E3779B97F4A7C15)
-    return safe[window >> np.uint64(64 - CUT_BITS) == 0]
+    at = np.flatnonzero(window >> np.uint64(64 - CUT_BITS) == 0) + HASH_BYTES
+    return at[(data[at] & 0xC0) != 0x80]
+
+
+#: Where every tokenization splits, whatever stands around: before white space that follows a printable ASCII character.
+_SAFE = re.compile(rb"(?<=[\x21-\x7E])[\x20\t\r\n]")
+_SAFE_LAST = re.compile(rb"(?s).*[\x21-\x7E](?=[\x20\t\r\n])")
+
+
+@dataclass
+class Chunk:
+    """ids and decoded text of a chunk that was encoded by itself, and its certain part, from ids[head] to ids[tail] (bytes first to last):
+    between two places where every tokenization splits. A chunk without two such places has no certain part."""
+
+    ids: np.ndarray
+    decoded: bytes
+    head: int
+    tail: int
+    first: int
+    last: int
 
 
 class ChunkCoder:
-    """Encodes texts chunk by chunk; a chunk that was met before, in any text of the task, isn't encoded again."""
+    """Encodes texts chunk by chunk; a chunk that was met before, in any text of this worker, isn't encoded again.
 
-    def __init__(self, bpe: ByteBPE, decode: bool = False):
-        self.bpe, self.decode, self.known, self.held = bpe, decode, {}, 0
-        self.encoded = self.reused = 0
+    Chunks end anywhere, so the ids around a join of two chunks can be others than those of the text. They are repaired: the window around the join grows, to
+    the left and to the right, until at both ends it reaches a place where every tokenization splits; outside of it the chunks' own ids are
+    exact, and the window is encoded anew. A chunk without such a place goes into the window whole. Windows are kept like chunks.
+    """
 
-    def _chunk(self, raw: bytes) -> tuple[np.ndarray, bytes]:
-        got = self.known.get(raw)
+    def __init__(self, bpe: ByteBPE, decode: bool = False):
+        self.bpe, self.decode = bpe, decode
+        self.young: dict = {}
+        self.old: dict = {}
+        self.held = self.encoded = self.reused = self.repaired = 0
+
+    def _kept(self, key: tuple | bytes, make: Callable[[], tuple[object, int]]) -> object:
+        got = self.young.get(key)
+        if got is not None:
+            self.reused += 1
+            return got
+        got = self.old.get(key)
         if got is None:
-            ids = self.bpe.encode(raw.decode())
-            got = (np.array(ids, np.uint32), self.bpe.decode(ids) if self.decode else b"")
+            got, size = make()
             self.encoded += 1
-            self.held += len(raw) + got[0].nbytes + len(got[1]) + 200
-            if self.held > CACHE_BYTES:
-                self.known.clear()
-                self.held = 0
-            self.known[raw] = got
         else:
             self.reused += 1
+            size = 400
+        self.held += size
+        if self.held > CACHE_BYTES:
+            self.young, self.old, self.held = {}, self.young, size
+        self.young[key] = got
         return got
 
+    def _code(self, raw: bytes) -> tuple[list[int], bytes]:
+        ids = self.bpe.encode(raw.decode())
+        return ids, self.bpe.decode(ids) if self.decode else b""
+
+    def _window(self, raw: bytes) -> tuple[np.ndarray, bytes]:
+        def make() -> tuple[object, int]:
+            ids, decoded = self._code(raw)
+            return (np.array(ids, np.uint32), decoded), len(raw) * 3 + 300
+
+        return self._kept((raw,), make)
+
+    def _chunk(self, raw: bytes) -> Chunk:
+        def make() -> tuple[object, int]:
+            ids, decoded = self._code(raw)
+            a, b = _SAFE.search(raw), _SAFE_LAST.match(raw)
+            out = Chunk(np.array(ids, np.uint32), decoded, 0, 0, 0, 0)
+            if a and b.end() > a.start():
+                edges = np.cumsum([0, *[len(self.bpe.table[i]) for i in ids]])
+                head, tail = np.searchsorted(edges, (a.start(), b.end())).tolist()
+                # an end between two ids; bytes that an id doesn't hold as they are leave the chunk without a certain part
+                if edges[-1] == len(raw) and edges[head] == a.start() and edges[tail] == b.end():
+                    out.head, out.tail, out.first, out.last = head, tail, a.start(), b.end()
+            return out, len(raw) * 3 + 500
+
+        return self._kept(raw, make)
+
+    def _joined(self, chunks: list[bytes]) -> tuple[np.ndarray, bytes]:
+        if len(chunks) == 1:
+            one = self._chunk(chunks[0])
+            return one.ids, one.decoded
+        ids: list[np.ndarray] = []
+        decoded: list[bytes] = []
+        window = b""
+
+        def close() -> None:
+            nonlocal window
+            if window:
+                got = self._window(window)
+                ids.append(got[0])
+                decoded.append(got[1])
+                self.repaired += 1
+            window = b""
+
+        for k, raw in enumerate(chunks):
+            chunk = self._chunk(raw)
+            left, right = k == 0, k == len(chunks) - 1
+            if chunk.tail == chunk.head:
+                window += raw
+                continue
+            # the text's own ends need no repair
+            head, first = (0, 0) if left else (chunk.head, chunk.first)
+            tail, last = (len(chunk.ids), len(raw)) if right else (chunk.tail, chunk.last)
+            window += raw[:first]
+            close()
+            ids.append(chunk.ids[head:tail])
+            decoded.append(raw[first:last] if self.decode else b"")
+            window = raw[last:]
+        close()
+        return np.concatenate(ids) if ids else np.empty(0, np.uint32), b"".join(decoded)
+
     def texts(self, column: pa.Array) -> Iterator[tuple[np.ndarray, bytes]]:
         """(ids, decoded text) of each text, in order."""
         data, offsets = utf8_buffers(column)
@@ -148,14 +230,19 @@ class ChunkCoder:
                 start, end = int(offsets[k]) - base, int(offsets[k + 1]) - base
                 inner = cuts[np.searchsorted(cuts, start, "right") : np.searchsorted(cuts, end)].tolist()
                 edges = [start, *inner, end]
-                got = [self._chunk(part[a:b].tobytes()) for a, b in zip(edges, edges[1:]) if b > a]
-                if len(got) == 1:
-                    yield got[0]
+                if end > start:
+                    yield self._joined([part[a:b].tobytes() for a, b in zip(edges, edges[1:])])
                 else:
-                    yield (np.concatenate([g[0] for g in got]) if got else np.empty(0, np.uint32), b"".join([g[1] for g in got]))
+                    yield np.empty(0, np.uint32), b""
             i = j
 
 
+@lru_cache(maxsize=4)
+def coder(path: str, decode: bool) -> ChunkCoder:
+    """One for each file and worker process: what a task has encoded, later tasks of the worker find."""
+    return ChunkCoder(load(path), decode)
+
+
 def map_tokens(docs: DataFrame, rows: Callable, schema: str, path: str | None = None, decode: bool = False) -> DataFrame:
     """Runs rows(doc_ids, [(ids, decoded), ...]) -> list of columns over batches of (doc_id, text)."""
     path = path or default_path()
@@ -165,19 +252,23 @@ def map_tokens(docs: DataFrame, rows: Callable, schema: str, path: str | None =
     out = to_arrow_schema(_parse_datatype_string(schema))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        coder = ChunkCoder(load(path), decode)
+        shared = coder(path, decode)
         for batch in batches:
             step = 500
             for a in range(0, batch.num_rows, step):
                 part = batch.slice(a, step)
-                columns = rows(part.column(0).to_pylist(), coder.texts(part.column(1)))
+                columns = rows(part.column(0).to_pylist(), shared.texts(part.column(1)))
                 yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, out)], schema=out)
 
     return docs.select("doc_id", "text").mapInArrow(run, schema)
 
 
 def bpe_digests(docs: DataFrame, path: str | None = None) -> DataFrame:
-    """doc_id, n_tokens, ids_sha256, decoded_sha256 of every row; null texts are encoded as empty texts (no ids)."""
+    """doc_id, n_tokens, ids_sha256, decoded_sha256 of every row.
+
+    Null and empty texts have no ids; repeated rows are encoded alike; an empty table gives an empty table; texts may have any length. Other
+    columns of docs aren't read.
+    """
 
     def rows(doc_ids: list, coded: Iterator[tuple[np.ndarray, bytes]]) -> list[list]:
         n, ids_sha, text_sha = [], [], []

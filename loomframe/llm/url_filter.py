@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loomframe.llm.common import table
+from loomframe.llm.common import Sheltered, stored, table
 
 #: Fixed values of the op3 contract: (host, path, verdict).
 CONTRACT_RULES = [
@@ -19,9 +19,9 @@ CONTRACT_RULES = [
 SHORT_BITS = 32
 
 
-def split_url(url: Column) -> tuple[Column, Column]:
-    """(host, path): empty for a null url and for one without ``://``."""
-    rest = F.when(F.instr(url, "://") > 0, F.expr("substring(_url, instr(_url, '://') + 3)")).otherwise(F.lit(""))
+def split_url(url: str) -> tuple[Column, Column]:
+    """(host, path) of a column of urls: empty for a null url and for one without ``://``."""
+    rest = F.expr(f"CASE WHEN instr({url}, '://') > 0 THEN substring({url}, instr({url}, '://') + 3) ELSE '' END")
     authority = F.regexp_extract(rest, r"\A([^/?#]*)", 1)
     upper, lower = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
     return F.translate(authority, upper, lower), F.regexp_extract(rest, r"\A[^/?#]*([^?#]*)", 1)
@@ -41,28 +41,30 @@ def url_filter(pages: DataFrame, rules: DataFrame, url: str = "url", default: st
     rules has host, path and verdict; a rule fits its host and all subdomains when the path starts with its path. Of
     the fitting rules the one with the most characters wins, then the longer host, then ``block``. Rows without a fitting rule get
     ``default`` and a null rule. Null urls and urls without ``://`` have empty host and path; repeated rows stay
-    repeated; columns of pages keep their names (host, path, rule and verdict are replaced).
+    repeated; an empty table (or no rules) gives what it must; urls may have any length. Columns of pages keep their names, whatever these
+    are, but host, path, rule and verdict are replaced.
 
     Each *distinct* (host, path) is expanded into the (host suffix, path prefix) expressions of the shapes
     (labels, path length) that occur among the rules, so the expansion is bounded by the number of different shapes
-    and not by the url. Expressions meet the rules in an equi-join on a short digest prefix; the full digest confirms.
+    and not by the url. Expressions meet the rules in an equi-join on a short digest prefix; the full digest confirms. The verdicts of
+    distinct urls are stored before they meet the pages again, so that the join can split a url that many pages have.
     """
-    pages = pages.withColumn("_url", F.col(url))
-    host, path = split_url(F.col("_url"))
-    pages = pages.withColumns({"host": host, "path": path}).drop("_url")
+    held = Sheltered(pages, {"_url": F.col(f"`{url}`")})
+    host, path = split_url("_url")
+    split = held.inside.withColumns({"_host": host, "_path": path}).drop("_url")
     ranked = F.struct(F.length(F.concat("host", "path")).alias("n"), F.length("host").alias("h"), (F.col("verdict") == "block").alias("b"), F.concat("host", "path").alias("rule"), "verdict")
     known = rules.filter(F.col("host").isNotNull() & F.col("path").isNotNull()).withColumns({"full": _digest(F.col("host"), F.col("path")), "best": ranked})
     known = known.groupBy("full").agg(F.max("best").alias("best")).withColumn("short", _short(F.col("full")))
-    shapes = [tuple(r) for r in rules.select(F.size(F.split("host", "\\.")).alias("n"), F.length("path").alias("m")).dropna().distinct().orderBy("n", "m").collect()]
-    seen = pages.select("host", "path").distinct()
-    labels = F.split("host", "\\.")
-    expressions = [F.when((F.size(labels) >= n) & (F.length("path") >= m), F.struct(F.array_join(F.slice(labels, F.greatest(F.size(labels) - n + 1, F.lit(1)), n), ".").alias("h"), F.substring("path", 1, m).alias("p"))) for n, m in shapes]
-    if not expressions:
-        return pages.withColumns({"rule": F.lit(None).cast("string"), "verdict": F.lit(default)})
-    expanded = seen.select("host", "path", F.explode(F.array_compact(F.array(*expressions))).alias("e")).withColumn("full", _digest(F.col("e.h"), F.col("e.p"))).withColumn("short", _short(F.col("full"))).drop("e")
+    shapes = [list(r) for r in rules.select(F.size(F.split("host", "\\.")).alias("n"), F.length("path").alias("m")).dropna().distinct().orderBy("n", "m").collect()]
+    labels = F.split("_host", "\\.")
+    every = F.from_json(F.lit(str(shapes)), "array<array<int>>")
+    fits = F.filter(every, lambda x: (F.size("_labels") >= x[0]) & (F.length("_path") >= x[1]))
+    form = F.transform(fits, lambda x: F.struct(F.array_join(F.slice("_labels", F.size("_labels") - x[0] + 1, x[0]), ".").alias("h"), F.substring(F.col("_path"), F.lit(1), x[1]).alias("p")))
+    seen = split.select("_host", "_path").distinct().withColumn("_labels", labels)
+    expanded = seen.select("_host", "_path", F.explode(form).alias("e")).withColumn("full", _digest(F.col("e.h"), F.col("e.p"))).withColumn("short", _short(F.col("full"))).drop("e")
     hit = expanded.alias("x").join(known.alias("k"), (F.col("x.short") == F.col("k.short")) & (F.col("x.full") == F.col("k.full")))
-    judged = hit.groupBy(F.col("x.host").alias("host"), F.col("x.path").alias("path")).agg(F.max("k.best").alias("_best"))
-    return pages.join(judged, ["host", "path"], "left").withColumns({"rule": F.col("_best.rule"), "verdict": F.coalesce("_best.verdict", F.lit(default))}).drop("_best")
+    judged = stored(hit.groupBy(F.col("x._host").alias("_host"), F.col("x._path").alias("_path")).agg(F.max("k.best").alias("_best")), "verdicts")
+    return held.outside(split.join(judged, ["_host", "_path"], "left"), {"host": "_host", "path": "_path", "rule": F.col("_best.rule"), "verdict": F.coalesce("_best.verdict", F.lit(default))})
 
 
 def op3_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
