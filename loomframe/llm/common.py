@@ -111,16 +111,20 @@ def spread_join(left: DataFrame, right: DataFrame, keys: list[str], how: str = "
     return a.join(b, [*keys, "_salt"], how).drop("_salt")
 
 
-def row_numbers(df: DataFrame, keys: list[str], out: str = "rank") -> DataFrame:
-    """Adds a gapless number from 0 within keys, without gathering a key in one task.
+def placed(df: DataFrame, name: str) -> DataFrame:
+    """df, stored, with the place of each row (task that stored it, and number in it) as the column _at."""
+    return stored(df.withColumn("_at", F.monotonically_increasing_id()), name)
 
-    Each row's place is stored with it; rows are numbered inside (task that stored them, keys), and a task's offset comes from the
-    counts of the tasks before it. The rows of a key and task are bounded by the size of a task; the counts are one row per
-    key and task.
+
+def row_numbers(rows: DataFrame, keys: list[str], out: str = "rank") -> DataFrame:
+    """Adds to a table from ``placed`` a gapless number from 0 within keys, without gathering a key in one task.
+
+    Rows are numbered inside (task that stored them, keys), and a task's offset comes from the counts of the tasks before it. The rows
+    of a key and task are bounded by the size of a task; the counts are one row per key and task.
     """
     from pyspark.sql import Window as W
 
-    tagged = stored(df.withColumn("_at", F.monotonically_increasing_id()), "tagged").withColumn("_part", F.shiftright("_at", 33))
+    tagged = rows.withColumn("_part", F.shiftright("_at", 33))
     counts = tagged.groupBy("_part", *keys).agg(F.count(F.lit(1)).alias("_n"))
     before = W.partitionBy(*keys).orderBy("_part").rowsBetween(W.unboundedPreceding, -1)
     offsets = counts.withColumn("_before", F.coalesce(F.sum("_n").over(before), F.lit(0))).drop("_n")

@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
 from loomframe.llm.bpe import map_tokens
-from loomframe.llm.common import row_numbers, stored, table
+from loomframe.llm.common import placed, row_numbers, table
 
 CAPACITY = 2048
 END_ID = 0
@@ -90,7 +90,8 @@ def plan(histogram: dict[int, int], capacity: int = CAPACITY) -> list[Run]:
 def token_pieces(docs: DataFrame, path: str | None = None, capacity: int = CAPACITY) -> DataFrame:
     """doc_id, piece, start, length, ids_crc32 of the ids of every row followed by id 0.
 
-    Only rows with more than capacity ids are cut; then the first piece takes the remainder. Null texts count as empty (one id).
+    Only rows with more than capacity ids are cut; then the first piece takes the remainder. Null and empty texts have one id, repeated rows the
+    same pieces; an empty table gives an empty table; texts may have any length. Other columns of docs aren't read.
     """
 
     def rows(doc_ids: list, coded: Iterator[tuple[np.ndarray, bytes]]) -> list[list]:
@@ -139,7 +140,7 @@ def best_fit_packing(docs: DataFrame, path: str | None = None, capacity: int = C
     The driver sees the number of pieces of each length (at most capacity numbers) and plans with them; rows get their
     place by their rank among the pieces of their length. Repeated rows and ids are packed as often as they occur.
     """
-    pieces = stored(token_pieces(docs, path, capacity), "pieces")
+    pieces = placed(token_pieces(docs, path, capacity), "pieces")
     histogram = {r["length"]: r["count"] for r in pieces.groupBy("length").count().collect()}
     return assign(row_numbers(pieces, ["length"]), plan(histogram, capacity))
 

@@ -7,7 +7,7 @@ from collections import defaultdict
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loomframe.llm.common import row_numbers, stored, table, text_or_empty
+from loomframe.llm.common import placed, row_numbers, table, text_or_empty
 
 #: A leaf of the tree: (region, rack, shard, weight).
 Leaf = tuple[str, str, int, float]
@@ -58,26 +58,26 @@ def hash_tree_shard(df: DataFrame, key: Column, tree: list[Leaf], out: str = "sh
             leaves[f"{region}/{rack}"][str(shard)] += weight
     if not regions:
         raise ValueError("the tree has no leaf with a positive weight")
-    df = df.withColumn("_root", F.lit("root"))
-    df = _level(df, key, "_root", {"root": dict(regions)}, "_region")
-    df = _level(df, key, "_region", racks, "_rack")
-    return _level(df, key, "_rack", leaves, "_leaf").withColumn(out, F.col("_leaf").cast("int")).drop("_root", "_region", "_rack", "_leaf")
+    df = df.withColumn("_tree_root", F.lit("root"))
+    df = _level(df, key, "_tree_root", {"root": dict(regions)}, "_tree_region")
+    df = _level(df, key, "_tree_region", racks, "_tree_rack")
+    return _level(df, key, "_tree_rack", leaves, "_tree_leaf").withColumn(out, F.col("_tree_leaf").cast("int")).drop("_tree_root", "_tree_region", "_tree_rack", "_tree_leaf")
 
 
 def shard_documents(docs: DataFrame, shards: int = 40) -> DataFrame:
     """doc_id, size, text_crc32, law, shard, slot and grown_shard of every document; law is ``key``.
 
     Null texts have size 16 and the checksum of the empty text; null and repeated doc_ids are hashed like others, so
-    repeated ids share a shard. slot numbers a shard's rows from 0 without gathering a shard in one task. Other
-    columns of docs are not read.
+    repeated ids share a shard. slot numbers a shard's rows from 0 without gathering a shard in one task. An empty table gives an empty
+    table; texts may have any length; other columns of docs are not read.
     """
     text = text_or_empty()
     thin = docs.select("doc_id", (F.octet_length(text) + 16).cast("long").alias("size"), F.crc32(F.encode(text, "UTF-8")).alias("text_crc32"))
     key = F.col("doc_id")
     thin = hash_tree_shard(thin, key, standard_tree(shards))
     thin = hash_tree_shard(thin, key, standard_tree(shards + 1), "grown_shard")
-    placed = row_numbers(stored(thin, "shards"), ["shard"], "slot")
-    return placed.select("doc_id", "size", "text_crc32", F.lit("key").alias("law"), "shard", "slot", "grown_shard")
+    slots = row_numbers(placed(thin, "shards"), ["shard"], "slot")
+    return slots.select("doc_id", "size", "text_crc32", F.lit("key").alias("law"), "shard", "slot", "grown_shard")
 
 
 def op4_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
