@@ -19,6 +19,8 @@ BANDS, ROWS = 40, 5
 LEAST = 75
 #: Members that are compared with a centre in one task group, and shingles whose permutations are drawn together.
 GROUP, DRAWN = 256, 1 << 17
+#: Classes of shingles that are counted for a bound.
+CLASSES = 64
 
 
 class Signature:
@@ -97,10 +99,9 @@ def signatures(docs: DataFrame) -> DataFrame:
                 owner, element = [], []
                 for k, i in enumerate(full):
                     digest[i] = blake2b(np.ascontiguousarray(words[i]), digest_size=16).digest()
-                    pieces = sets[i].pieces()
-                    for distinct, hashes in sets[i].parts(pieces):
-                        sizes[i] += len(distinct)
-                        if pieces > 1:
+                    for size, hashes in sets[i].distinct():
+                        sizes[i] += size
+                        if sets[i].pieces() > 1:
                             sig.add(np.full(len(hashes), k), hashes)
                         else:
                             owner.append(np.full(len(hashes), k))
@@ -154,7 +155,7 @@ def shingle_rows(texts: DataFrame) -> DataFrame:
         for batch in batches:
             for first, sets, _ in shingled(batch.column(1)):
                 for i, own in enumerate(sets, first):
-                    for _, hashes in own.parts(own.pieces()):
+                    for _, hashes in own.distinct():
                         h = np.unique(hashes)
                         yield pa.RecordBatch.from_arrays([pa.array(_signed(h)), pa.array(np.full(len(h), batch.column(0)[i].as_py(), np.int64))], ["shingle", "node"])
 
@@ -185,18 +186,18 @@ def needed(size: Column) -> Column:
     return F.ceil(size * F.lit(LEAST) / 100)
 
 
-def open_pairs(open_: DataFrame, texts: DataFrame, space: Workspace) -> DataFrame:
-    """(a, b): every pair of the open nodes (node, size, label) with different labels that can be linked, by exact bounds; and no pair twice.
+def rare_shingles(open_: DataFrame, rows: DataFrame, space: Workspace) -> DataFrame:
+    """The rarest shingles of each open node (node, size, label) that can still be linked with one of another label: shingle, node, size, label, rest, rank,
+    small, classes. rows: (shingle, node).
 
     A linked pair shares at least LEAST / 100 of either set, and 2 * LEAST / (100 + LEAST) of the smaller one. So
     1. a node goes when fewer of its shingles than that occur under another label too; this is repeated, as fewer nodes are left;
-    2. each node's remaining shingles are ranked, the rarest first, in one order for all; a linked pair has its first common shingle
-       among the first of either, as many as can be missing, plus one; for the smaller of the two sets fewer can be missing.
-    Nodes meet in an equi-join on these few rare shingles. A shingle that all share, as on pages of one template, is rare to none of
-    them unless they share all they may miss.
+    2. each node's remaining shingles (rest of them) are ranked, the rarest first, in one order for all; a linked pair has its first common shingle
+       among the first of either, as many as can be missing, plus one; for the smaller of the two sets (small) fewer can be missing.
+    classes counts the rest by CLASSES classes of their hashes.
     """
     nodes = space.stored(open_, "open")
-    rows = space.stored(shingle_rows(texts.join(nodes.select("node"), "node", "left_semi")), "shingles")
+    rows = space.stored(rows.join(nodes.select("node"), "node", "left_semi"), "shingles")
     while True:
         held = rows.join(nodes.select("node", "label"), "node")
         known = held.groupBy("shingle").agg(F.count(F.lit(1)).alias("n"), F.min("label").alias("lo"), F.max("label").alias("hi")).filter("lo <> hi").select("shingle", "n")
@@ -210,18 +211,33 @@ def open_pairs(open_: DataFrame, texts: DataFrame, space: Workspace) -> DataFram
         if before - after <= before / 20:
             break
         rows = space.stored(rows.join(nodes.select("node"), "node", "left_semi").select("shingle", "node"), "shingles")
+    counts = rows.groupBy("node", F.pmod("shingle", F.lit(CLASSES)).alias("c")).agg(F.count(F.lit(1)).cast("int").alias("m"))
+    entry = F.map_from_entries(F.collect_list(F.struct("c", "m")))
+    classes = counts.groupBy("node").agg(entry.alias("e")).select("node", F.expr(f"transform(sequence(0L, {CLASSES - 1}L), c -> coalesce(e[c], 0))").alias("classes"))
     rank = F.row_number().over(Window.partitionBy("node").orderBy("n", "shingle"))
     first = rows.join(left, "node").withColumn("rank", rank)
-    # hashes of two shingles of a node could be equal; one more place for the rounding of the share
+    # one more place than the theorem asks for, as two shingles of a node could have one hash
     most = F.col("rest") - needed(F.col("size")) + 2
     fewer = F.col("rest") - F.ceil(F.col("size") * F.lit(2 * LEAST) / (100 + LEAST)) + 2
-    first = space.stored(first.filter(F.col("rank") <= most).select("shingle", "node", "size", "label", "rest", "rank", (F.col("rank") <= fewer).alias("small")), "first")
-    s = first.filter("small").select("shingle", *[F.col(c).alias(f"s_{c}") for c in ("node", "size", "label", "rest", "rank")])
-    t = first.select("shingle", *[F.col(c).alias(f"t_{c}") for c in ("node", "size", "label", "rest", "rank")])
+    first = first.filter(F.col("rank") <= most).withColumn("small", F.col("rank") <= fewer).join(classes, "node")
+    return space.stored(first.select("shingle", "node", "size", "label", "rest", "rank", "small", "classes"), "first")
+
+
+def all_pairs(first: DataFrame) -> DataFrame:
+    """(a, b): every pair of different labels that can be linked, by exact bounds; and no pair twice.
+
+    Nodes meet in an equi-join on their rare shingles. A shingle that all share, as on pages of one template, is rare to none of them unless they share
+    all they may miss. Of each class of shingles no more are common than the node with fewer has.
+    """
+    names = ("node", "size", "label", "rest", "rank", "classes")
+    s = first.filter("small").select("shingle", *[F.col(c).alias(f"s_{c}") for c in names])
+    t = first.select("shingle", *[F.col(c).alias(f"t_{c}") for c in names])
     fits = f"s_label <> t_label AND (s_size < t_size OR (s_size = t_size AND s_node < t_node)) AND 100 * s_size >= {LEAST} * t_size"
-    # behind the common shingle at these ranks at most so many more can be shared
-    reach = f"{100 + LEAST} * (least(s_rest - s_rank, t_rest - t_rank) + least(s_rank, t_rank) + 1) >= {LEAST} * (s_size + t_size)"
-    return s.join(t, "shingle").filter(f"{fits} AND {reach}").select(F.least("s_node", "t_node").alias("a"), F.greatest("s_node", "t_node").alias("b")).distinct()
+    # behind the common shingle at these ranks at most so many more can be shared; two more as two shingles could have one hash
+    reach = f"{100 + LEAST} * (least(s_rest - s_rank, t_rest - t_rank) + least(s_rank, t_rank) + 2) >= {LEAST} * (s_size + t_size)"
+    shared = "aggregate(zip_with(s_classes, t_classes, (x, y) -> least(x, y)), 0, (n, x) -> n + x)"
+    near = f"{100 + LEAST} * ({shared} + 2) >= {LEAST} * (s_size + t_size)"
+    return s.join(t, "shingle").filter(f"{fits} AND {reach} AND {near}").select(F.least("s_node", "t_node").alias("a"), F.greatest("s_node", "t_node").alias("b")).distinct()
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
@@ -233,9 +249,9 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     empty table; a text of any length is cut into words and shingles piece by piece.
 
     Nodes that share a band key are candidates. Each bucket compares its smallest node with all others, on the full sets.
-    Where that leaves a bucket in more than one component, ``open_pairs`` gives the pairs among the nodes of such buckets that exact
-    bounds don't exclude, and they are compared too. So no pair of a bucket goes untested unless links or bounds settle it, and no bucket's
-    pairs are ever listed.
+    Where that leaves a bucket in more than one component, ``all_pairs`` gives the pairs among the nodes of such buckets that exact bounds don't
+    exclude, and they are compared too. So no pair of a bucket goes untested unless links or bounds settle it, and no bucket's pairs are
+    ever listed.
     """
     with Workspace(docs.sparkSession) as space:
         thin = space.stored(signatures(docs), "signatures")
@@ -249,17 +265,19 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
         pairs = space.stored(shared.filter("a <> node").select("a", F.col("node").alias("b")).distinct(), "pairs")
         texts = space.stored(docs.select(F.col("_row").alias("node"), "text").join(shared.select("node").distinct(), "node", "left_semi"), "texts")
         tested = space.stored(verified(pairs, texts, space), "tested")
-        links = tested.filter("linked")
+        links = tested.filter("linked").select("a", "b")
         labels = components(links, space)
         members = shared.select("key", "node").join(labels, "node", "left").select("key", "node", F.coalesce("label", "node").alias("label"))
         members = space.stored(members, "members")
         split = members.groupBy("key").agg(F.min("label").alias("l"), F.max("label").alias("h")).filter("l <> h").select("key")
-        unsettled = members.join(space.stored(split, "split"), "key").select("node", "label").distinct()
+        unsettled = space.stored(members.join(space.stored(split, "split"), "key").select("node", "label").distinct(), "unsettled")
         if not unsettled.isEmpty():
-            more = space.stored(open_pairs(unsettled.join(nodes.select("node", "size"), "node"), texts, space).join(tested, ["a", "b"], "left_anti"), "pairs")
+            rows = space.stored(shingle_rows(texts.join(unsettled.select("node"), "node", "left_semi")), "shingles")
+            first = rare_shingles(unsettled.join(nodes.select("node", "size"), "node"), rows, space)
+            more = space.stored(all_pairs(first).join(tested.select("a", "b"), ["a", "b"], "left_anti"), "pairs")
             if not more.isEmpty():
                 found = space.stored(verified(more, texts, space).filter("linked"), "tested")
-                labels = components(links.unionByName(found), space)
+                labels = components(links.unionByName(found.select("a", "b")), space)
         named = space.stored(nodes.select("digest", "node", "id").join(labels, "node", "left").select("digest", "id", F.coalesce("label", "node").alias("label")), "named")
         smallest = space.stored(named.groupBy("label").agg(F.min("id").alias("component_id")), "smallest")
         named = space.stored(spread_join(named, smallest, ["label"]).select("digest", "label", "component_id"), "named")

@@ -86,50 +86,88 @@ def _hashes(keys: np.ndarray) -> np.ndarray:
     return mix(mix(two[:, 0] + np.uint64(0x632BE59BD9B4E019)) ^ (two[:, 1] * np.uint64(0x9E3779B97F4A7C15)))
 
 
+def _chained(h: np.ndarray) -> np.ndarray:
+    """A hash of each run of WIDTH words."""
+    rows = max(0, len(h) - WIDTH + 1)
+    out = h[:rows].copy()
+    for k in range(1, WIDTH):
+        out = mix(out * np.uint64(0x9E3779B97F4A7C15) + h[k : rows + k])
+    return out
+
+
 class Shingles:
     """The distinct shingles of one text: runs of WIDTH words, or all words of a text with fewer.
 
-    ``parts`` gives them as (fixed-size binary array of the words' keys, hashes), in pieces without a shingle in two of them. Shingles of different
-    texts can be compared piece by piece: pieces of the same number hold the same classes if both sets are cut into the same number.
+    They are looked at in ``pieces`` (classes of their hashes, one for most texts), without a shingle in two of them. Equal hashes are only a guess:
+    wherever shingles are held for equal, their words' keys are compared, and if two of one hash differ, all are told apart by their keys.
     """
 
-    def __init__(self, keys: np.ndarray):
+    def __init__(self, keys: np.ndarray, hashes: np.ndarray | None = None):
+        if 0 < len(keys) < WIDTH:
+            keys, hashes = np.concatenate([keys, np.zeros((WIDTH - len(keys), KEY), np.uint8)]), None
         self.keys = keys
-        n = len(keys)
-        if 0 < n < WIDTH:
-            self.keys = np.concatenate([keys, np.zeros((WIDTH - n, KEY), np.uint8)])
-        h = _hashes(self.keys)
-        rows = max(0, len(self.keys) - WIDTH + 1)
-        out = h[:rows].copy()
-        for k in range(1, WIDTH):
-            out = mix(out * np.uint64(0x9E3779B97F4A7C15) + h[k : rows + k])
-        self.hashes = out
+        self.hashes = _chained(_hashes(keys)) if hashes is None else hashes
 
     def pieces(self) -> int:
         return max(1, -(-len(self.hashes) // TOGETHER))
 
-    def parts(self, pieces: int) -> Iterator[tuple[pa.Array, np.ndarray]]:
-        wide = WIDTH * KEY
+    def rows(self, at: np.ndarray) -> np.ndarray:
+        """The keys of the shingles at these places."""
         flat = np.ascontiguousarray(self.keys).reshape(-1)
-        rows = np.ndarray((len(self.hashes), wide), np.uint8, flat, strides=(KEY, 1)) if len(self.hashes) else np.empty((0, wide), np.uint8)
+        return np.ndarray((len(self.hashes), WIDTH * KEY), np.uint8, flat, strides=(KEY, 1))[at] if len(at) else np.empty((0, WIDTH * KEY), np.uint8)
+
+    def part(self, p: int, pieces: int) -> tuple[np.ndarray, np.ndarray, bool]:
+        """(hashes, places, certain) of piece p, by rising hash: one place for each hash, and whether equal hashes were equal shingles."""
+        h, at = self.hashes, None
+        if pieces > 1:
+            at = np.flatnonzero(h % np.uint64(pieces) == p)
+            h = h[at]
+        order = np.argsort(h)
+        h = h[order]
+        at = order if at is None else at[order]
+        same = np.flatnonzero(h[1:] == h[:-1]) if len(h) > 1 else np.empty(0, np.int64)
+        certain = not len(same) or bool((self.rows(at[same]) == self.rows(at[same + 1])).all())
+        if len(same):
+            stays = np.ones(len(h), bool)
+            stays[same + 1] = False
+            h, at = h[stays], at[stays]
+        return h, at, certain
+
+    def by_keys(self, p: int, pieces: int) -> tuple[pa.Array, np.ndarray]:
+        """(fixed-size binary array of the keys, hashes) of the distinct shingles of piece p, told apart by their keys."""
+        wide = WIDTH * KEY
+        at = np.flatnonzero(self.hashes % np.uint64(pieces) == p)
+        encoded = pa.Array.from_buffers(pa.binary(wide), len(at), [None, pa.py_buffer(np.ascontiguousarray(self.rows(at)))]).dictionary_encode()
+        hashes = np.empty(len(encoded.dictionary), np.uint64)
+        hashes[encoded.indices.to_numpy()] = self.hashes[at]
+        return encoded.dictionary, hashes
+
+    def distinct(self) -> Iterator[tuple[int, np.ndarray]]:
+        """(number of shingles, their hashes) of each piece."""
+        pieces = self.pieces()
         for p in range(pieces):
-            at = np.flatnonzero(self.hashes % np.uint64(pieces) == p) if pieces > 1 else None
-            some = np.ascontiguousarray(rows if at is None else rows[at])
-            encoded = pa.Array.from_buffers(pa.binary(wide), len(some), [None, pa.py_buffer(some)]).dictionary_encode()
-            distinct, which = encoded.dictionary, encoded.indices.to_numpy()
-            hashes = np.empty(len(distinct), np.uint64)
-            hashes[which] = self.hashes if at is None else self.hashes[at]
-            yield distinct, hashes
+            h, _, certain = self.part(p, pieces)
+            if not certain:
+                h = self.by_keys(p, pieces)[1]
+            yield len(h), h
 
 
 def common(a: Shingles, b: Shingles) -> tuple[int, int, int]:
     """(size of a, size of b, size of the intersection), compared by the words' keys."""
     sizes = [0, 0, 0]
     pieces = max(a.pieces(), b.pieces())
-    for (x, _), (y, _) in zip(a.parts(pieces), b.parts(pieces)):
-        sizes[0] += len(x)
-        sizes[1] += len(y)
-        sizes[2] += (pc.sum(pc.is_in(y, value_set=x)).as_py() or 0) if len(x) and len(y) else 0
+    for p in range(pieces):
+        (x, i, sure), (y, j, safe) = a.part(p, pieces), b.part(p, pieces)
+        if sure and safe:
+            both, m, n = np.intersect1d(x, y, assume_unique=True, return_indices=True)
+            if not len(both) or (a.rows(i[m]) == b.rows(j[n])).all():
+                for k, v in enumerate((len(x), len(y), len(both))):
+                    sizes[k] += v
+                continue
+        u, v = a.by_keys(p, pieces)[0], b.by_keys(p, pieces)[0]
+        sizes[0] += len(u)
+        sizes[1] += len(v)
+        sizes[2] += (pc.sum(pc.is_in(v, value_set=u)).as_py() or 0) if len(u) and len(v) else 0
     return sizes[0], sizes[1], sizes[2]
 
 
@@ -137,9 +175,10 @@ def shingled(texts: pa.Array) -> Iterator[tuple[int, list[Shingles], list[np.nda
     """(first row, shingles of each text, keys of each text's words) of runs of whole texts of about SLICE_BYTES."""
     for first, data, edges in slices(texts):
         text, keys = word_keys(data, edges)
-        at = np.searchsorted(text, np.arange(len(edges)))
-        words = [keys[a:b] for a, b in zip(at[:-1].tolist(), at[1:].tolist())]
-        yield first, [Shingles(w) for w in words], words
+        chained = _chained(_hashes(keys)) if len(keys) else np.empty(0, np.uint64)
+        at = np.searchsorted(text, np.arange(len(edges))).tolist()
+        spans = list(zip(at[:-1], at[1:]))
+        yield first, [Shingles(keys[a:b], chained[a : max(a, b - WIDTH + 1)]) for a, b in spans], [keys[a:b] for a, b in spans]
 
 
 def slices(texts: pa.Array) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
