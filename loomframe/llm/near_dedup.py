@@ -18,7 +18,7 @@ BANDS, ROWS = 40, 5
 #: Linked: 100 * intersection >= LEAST * union.
 LEAST = 75
 #: Members that are compared with a centre in one task group, and shingles whose permutations are drawn together.
-GROUP, DRAWN = 256, 1 << 17
+GROUP, DRAWN = 64, 1 << 17
 #: Classes of shingles that are counted for a bound.
 CLASSES = 64
 
