@@ -29,11 +29,12 @@ def _name(c: Column) -> str:
 
 
 def parse_entities(name: Column) -> tuple[Column, Column]:
-    """F3. (map of key-value parts, suffix) of a file name; only the first dash of a part separates."""
+    """F3. (map of key-value parts, suffix) of a file name; only the first dash of a part separates, and of a repeated entity the last one wins."""
     parts = F.split(F.regexp_replace(name, r"\.nii\.gz$", ""), "_")
     pairs = F.filter(F.slice(parts, 1, F.greatest(F.size(parts) - 1, F.lit(0))), lambda p: p.contains("-"))
     entry = F.transform(pairs, lambda p: F.struct(F.substring_index(p, "-", 1).alias("key"), F.substring(p, F.instr(p, "-") + 1, F.length(p)).alias("value")))
-    return F.map_from_entries(entry), F.element_at(parts, -1)
+    last = F.filter(entry, lambda e, i: ~F.exists(F.slice(entry, i + 2, F.greatest(F.size(entry) - i - 1, F.lit(0))), lambda later: later["key"] == e["key"]))
+    return F.map_from_entries(last), F.element_at(parts, -1)
 
 
 def run_group_key(name: Column) -> Column:

@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from loomframe.functions.scalars import clip, log_ratio
+from loomframe.operators.frames import in_total_order
 from loomframe.operators.joins import manual_overrides
+from loomframe.operators.stats import outer_sums, wide_maps
 
 
 def ridge_r2(maps: DataFrame, priors: DataFrame, lam: float = 10.0) -> DataFrame:
@@ -16,22 +18,26 @@ def ridge_r2(maps: DataFrame, priors: DataFrame, lam: float = 10.0) -> DataFrame
     solved on the driver, and R2 has a closed form in these sums.
     """
     import numpy as np
+    import pyarrow as pa
 
-    k = [r["network_id"] for r in priors.select("network_id").distinct().orderBy("network_id").collect()]
-    wide = priors.groupBy("node_id").pivot("network_id", k).agg(F.first("fc")).na.fill(0.0).select("node_id", *[F.col(f"`{n}`").alias(f"w{i}") for i, n in enumerate(k)])
-    pairs = [(i, j) for i in range(len(k)) for j in range(i, len(k))]
-    sums = wide.agg(*[F.sum(F.col(f"w{i}") * F.col(f"w{j}")).alias(f"g{i}_{j}") for i, j in pairs]).first()
-    g = np.zeros((len(k), len(k)))
-    for i, j in pairs:
-        g[i, j] = g[j, i] = sums[f"g{i}_{j}"]
+    k, wide = wide_maps(priors, "network_id", "fc")
+    g = outer_sums(wide, "a", "a")
     inverse = np.linalg.inv(g + lam * np.eye(len(k)))
-    m = maps.join(wide, "node_id").groupBy("component_id").agg(F.sum("loading").alias("s"), F.sum(F.col("loading") ** 2).alias("ss"), F.count(F.lit(1)).alias("n"), *[F.sum(F.col("loading") * F.col(f"w{i}")).alias(f"q{i}") for i in range(len(k))])
-    beta = [sum((F.col(f"q{j}") * float(inverse[i, j]) for j in range(len(k))), F.lit(0.0)) for i in range(len(k))]
-    m = m.withColumns({f"b{i}": b for i, b in enumerate(beta)})
-    fit = sum((F.col(f"b{i}") * F.col(f"q{i}") for i in range(len(k))), F.lit(0.0))
-    quad = sum((F.col(f"b{i}") * F.col(f"b{j}") * float(g[i, j]) for i in range(len(k)) for j in range(len(k))), F.lit(0.0))
-    r2 = 1 - (F.col("ss") - 2 * fit + quad) / (F.col("ss") - F.col("s") ** 2 / F.col("n"))
-    return m.select("component_id", F.greatest(F.coalesce(F.when(~F.isnan(r2), r2), F.lit(0.0)), F.lit(0.0)).alias("r2"))
+    m = maps.join(wide, "node_id").select("component_id", "loading", F.posexplode("a").alias("i", "w"))
+    q = m.groupBy("component_id", "i").agg(F.sum(F.col("loading") * F.col("w")).alias("q")).groupBy("component_id").agg(F.transform(F.array_sort(F.collect_list(F.struct("i", "q"))), lambda x: x["q"]).alias("q"))
+    sums = maps.join(wide.select("node_id"), "node_id", "left_semi").groupBy("component_id").agg(F.sum("loading").alias("s"), F.sum(F.col("loading") ** 2).alias("ss"), F.count(F.lit(1)).cast("double").alias("n"))
+
+    def fit(batches):
+        for batch in batches:
+            if batch.num_rows:
+                x = batch.column(1).flatten().to_numpy(zero_copy_only=False).reshape(batch.num_rows, -1)
+                s, ss, n = (batch.column(c).to_numpy(zero_copy_only=False) for c in (2, 3, 4))
+                beta = x @ inverse.T
+                with np.errstate(divide="ignore", invalid="ignore"):
+                    r2 = 1 - (ss - 2 * (beta * x).sum(1) + np.einsum("ri,ij,rj->r", beta, g, beta)) / (ss - s**2 / n)
+                yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(np.maximum(np.where(np.isfinite(r2), r2, 0.0), 0.0))], ["component_id", "r2"])
+
+    return q.join(sums, "component_id").select("component_id", "q", "s", "ss", "n").mapInArrow(fit, f"component_id {dict(maps.dtypes)['component_id']}, r2 double")
 
 
 def template_rho(maps: DataFrame, priors: DataFrame) -> DataFrame:
@@ -47,8 +53,7 @@ def rank_kill_candidates(components: DataFrame, weights: tuple[float, float, flo
     s = c.agg(*[F.avg(n).alias(f"m_{n}") for n, _ in names], *[F.stddev_pop(n).alias(f"s_{n}") for n, _ in names])
     z = sum((w * (F.col(n) - F.col(f"m_{n}")) / F.when(F.col(f"s_{n}") > 0, F.col(f"s_{n}")).otherwise(1.0) for n, w in names), F.lit(0.0))
     out = c.crossJoin(F.broadcast(s)).withColumn("priority", z)
-    # the ranking is over one row per candidate component, of which a run has hundreds at most
-    return out.withColumn("position", F.row_number().over(Window.orderBy(F.desc("priority"), "component_id"))).select(*components.columns, "priority", "position")
+    return in_total_order(out, [F.desc("priority"), F.asc("component_id")]).withColumnRenamed("_position", "position").select(*components.columns, "priority", "position")
 
 
 def refine_components(

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+import tempfile
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -128,7 +129,7 @@ def run_extent(runs: DataFrame) -> DataFrame:
 def scan_index(frames: DataFrame) -> DataFrame:
     """W13. scan: 1..R in (session, run) order; numbered on the few distinct runs, then joined."""
     runs = frames.select("session", "run").distinct().withColumn("scan", F.row_number().over(Window.orderBy("session", "run")))
-    return frames.join(F.broadcast(runs), ["session", "run"])
+    return frames.join(runs, ["session", "run"])
 
 
 def renumber(labels: DataFrame, col: str = "label") -> DataFrame:
@@ -159,11 +160,40 @@ def echo_size_trend(files: DataFrame) -> DataFrame:
     return step.unionByName(ends.filter("n > 1 AND a <= b").select("series", F.lit(0).alias("echo"), F.lit("first not larger than the last").alias("warning")))
 
 
+def settled(df: DataFrame) -> DataFrame:
+    """df computed once, its lineage cut: a checkpoint in the folder that the session names. A local session without one gets a folder of its own."""
+    spark = df.sparkSession
+    context = spark.sparkContext
+    if not context.getCheckpointDir():
+        folder = spark.conf.get("spark.checkpoint.dir", None) or context.getConf().get("spark.checkpoint.dir")
+        if not folder and not context.master.startswith("local["):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        context.setCheckpointDir(folder or tempfile.mkdtemp(prefix="spark-", dir="/tmp"))
+    return df.checkpoint()
+
+
+def in_total_order(df: DataFrame, order: list[Column], value: str | None = None) -> DataFrame:
+    """Adds _position (from 1, in the order given) and, for a value, _before: its sum over all rows before. The order must be total.
+
+    Rows are dealt to ranges and numbered inside them; a range's offsets come from the counts and sums of the ranges before it, of which there are as
+    many as shuffle partitions. No task gets all rows.
+    """
+    parts = settled(df.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("_at", F.monotonically_increasing_id())).withColumn("_part", F.shiftright("_at", 33))
+    amount = F.col(value) if value else F.lit(0.0)
+    earlier = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    sums = parts.groupBy("_part").agg(F.count(F.lit(1)).alias("_n"), F.sum(amount).alias("_s"))
+    offsets = sums.select("_part", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_n0"), F.coalesce(F.sum("_s").over(earlier), F.lit(0.0)).alias("_s0"))
+    inside = Window.partitionBy("_part").orderBy("_at")
+    out = parts.withColumns({"_position": F.row_number().over(inside), "_before": F.coalesce(F.sum(amount).over(inside.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0.0))}).join(offsets, "_part")
+    out = out.withColumns({"_position": (F.col("_position") + F.col("_n0")).cast("int"), "_before": F.col("_before") + F.col("_s0")}).drop("_at", "_part", "_n0", "_s0")
+    return out if value else out.drop("_before")
+
+
 def cumulative_cap(df: DataFrame, value: str, score: str, key: str, cap: float) -> DataFrame:
     """W17. kept: rows by falling score while the sum before them is within cap of the total; all if the total isn't positive."""
     total = df.agg(F.sum(value).alias("_total"))
-    before = F.coalesce(F.sum(value).over(Window.orderBy(F.desc(score), key).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0.0))
-    return df.crossJoin(F.broadcast(total)).withColumn("kept", (F.col("_total") <= 0) | (before <= cap * F.col("_total"))).drop("_total")
+    placed = in_total_order(df, [F.desc(score), F.asc(key)], value)
+    return placed.crossJoin(F.broadcast(total)).withColumn("kept", (F.col("_total") <= 0) | (F.col("_before") <= cap * F.col("_total"))).drop("_total", "_before", "_position")
 
 
 def spaced_baselines(frames: DataFrame, b_max: int, distance: int) -> DataFrame:
@@ -189,13 +219,17 @@ def concat_runs(signal: DataFrame) -> DataFrame:
     """U1. Demeaned runs on one time axis: global_frame counts over all runs in order, scan numbers the runs."""
     runs = signal.select("run", "frame").distinct().groupBy("run").agg(F.count(F.lit(1)).alias("n_frames"), F.min("frame").alias("f0"))
     extent = run_extent(runs).withColumn("scan", F.row_number().over(Window.orderBy("run")))
-    placed = demean_runs(signal).join(F.broadcast(extent.join(runs.select("run", "f0"), "run")), "run")
+    placed = demean_runs(signal).join(extent.join(runs.select("run", "f0"), "run"), "run")
     return placed.select("scan", "node_id", (F.col("start") + F.col("frame") - F.col("f0")).cast("int").alias("global_frame"), "value")
 
 
+def frames_of(extent: DataFrame) -> DataFrame:
+    """extent with one row for each frame of a run, as global_frame: ranges become equal keys. Empty runs have none."""
+    some = extent.filter("stop > start")
+    return some.withColumn("global_frame", F.explode(F.sequence(F.col("start").cast("int"), (F.col("stop") - 1).cast("int"))))
+
+
 def split_runs(concat: DataFrame, extent: DataFrame, means: DataFrame) -> DataFrame:
     """U2. The concatenation cut back into runs, with each node's run mean added again."""
-    runs = F.broadcast(extent)
-    hit = (F.col("global_frame") >= F.col("start")) & (F.col("global_frame") < F.col("stop"))
-    cut = concat.join(runs, hit).select("run", "node_id", (F.col("global_frame") - F.col("start")).alias("frame"), "value")
+    cut = concat.join(frames_of(extent), "global_frame").select("run", "node_id", (F.col("global_frame") - F.col("start")).alias("frame"), "value")
     return cut.join(means, ["run", "node_id"]).withColumn("value", F.col("value") + F.col("mean")).drop("mean")

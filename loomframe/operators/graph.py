@@ -9,12 +9,9 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from loomframe.operators.frames import in_total_order, settled
 from loomframe.operators.linear import _blocks
-
-
-def settled(df: DataFrame) -> DataFrame:
-    """df computed once; the lineage is cut by a checkpoint if the session names a folder for it, else by a persisted copy."""
-    return df.checkpoint() if df.sparkSession.sparkContext.getCheckpointDir() else df.persist()
+from loomframe.operators.stats import outer_sums, wide_maps
 
 
 def most_edges(n: int, density: float) -> int:
@@ -25,7 +22,7 @@ def most_edges(n: int, density: float) -> int:
 def topk_edges(fc: DataFrame, n: int, density: float) -> DataFrame:
     """T1. src, dst, w: each node's k = ceil(n * density) largest positive edges, both directions."""
     k = most_edges(n, density)
-    best = F.row_number().over(Window.partitionBy("src").orderBy(F.desc("fc"), "dst"))
+    best = F.row_number().over(Window.partitionBy("src").orderBy(F.desc(F.round("fc", 9)), "dst"))
     top = fc.filter("src <> dst AND fc > 0").withColumn("k", best).filter(F.col("k") <= k).select("src", "dst", F.col("fc").alias("w"))
     return top.union(top.select("dst", "src", "w")).groupBy("src", "dst").agg(F.max("w").alias("w"))
 
@@ -34,22 +31,32 @@ def density_graphs(fc: DataFrame, n: int, densities: list[float]) -> DataFrame:
     """G1. density, src < dst, w. Edges are ranked once; each density takes its first k."""
     spark = fc.sparkSession
     table = F.broadcast(spark.createDataFrame([(d, most_edges(n, d)) for d in densities], "density double, most int"))
-    best = F.row_number().over(Window.partitionBy("src").orderBy(F.desc("fc"), "dst"))
+    best = F.row_number().over(Window.partitionBy("src").orderBy(F.desc(F.round("fc", 9)), "dst"))
     top = fc.filter("src <> dst AND fc > 0").withColumn("k", best).join(table, F.col("k") <= F.col("most"))
     return top.groupBy("density", F.least("src", "dst").alias("src"), F.greatest("src", "dst").alias("dst")).agg(F.max("fc").alias("w"))
 
 
-def communities(edges: DataFrame, rounds: int = 10) -> DataFrame:
-    """G2. node_id, community by weighted synchronous label propagation, ties to the lowest label; edges (src, dst, w) in both directions."""
+def communities(edges: DataFrame) -> DataFrame:
+    """G2. node_id, community by weighted label propagation; edges (src, dst, w) in both directions.
+
+    A node would take the label of most weight among its neighbours (the lowest of equals) if it has more weight than its own label. In each
+    round, of neighbours that would, only the one of the smallest hash does. So the weight inside communities grows with every round, and
+    the propagation ends when no node gains, whatever the graph.
+    """
     labels = edges.select(F.col("src").alias("node_id")).distinct().withColumn("community", F.col("node_id"))
-    for _ in range(rounds):
-        votes = edges.join(labels.select(F.col("node_id").alias("dst"), "community"), "dst").groupBy(F.col("src").alias("node_id"), "community").agg(F.sum("w").alias("w"))
-        new = votes.groupBy("node_id").agg(F.max_by("community", F.struct(F.round("w", 9), -F.col("community"))).alias("new"))
-        both = settled(labels.join(new, "node_id").select("node_id", F.col("community").alias("old"), F.col("new").alias("community")))
-        labels = both.select("node_id", "community")
-        if both.filter("old <> community").isEmpty():
-            break
-    return labels
+    turn = 0
+    while True:
+        votes = edges.join(labels.select(F.col("node_id").alias("dst"), "community"), "dst").groupBy(F.col("src").alias("node_id"), "community").agg(F.round(F.sum("w"), 9).alias("w"))
+        best = votes.groupBy("node_id").agg(F.max_by(F.struct("community", "w"), F.struct("w", -F.col("community"))).alias("b"))
+        own = labels.join(votes.withColumnRenamed("w", "own"), ["node_id", "community"], "left").select("node_id", "community", F.coalesce("own", F.lit(0.0)).alias("own"))
+        wish = own.join(best, "node_id").filter("b.w > own").select("node_id", F.col("b.community").alias("to"), F.xxhash64("node_id", F.lit(turn)).alias("h"))
+        wish = settled(wish)
+        if wish.isEmpty():
+            return labels
+        rival = edges.filter("src <> dst").select("src", "dst").join(wish.select(F.col("node_id").alias("dst"), F.col("h").alias("oh")), "dst").groupBy(F.col("src").alias("node_id")).agg(F.min(F.struct("oh", "dst")).alias("r"))
+        moves = wish.join(rival, "node_id", "left").filter(F.col("r").isNull() | (F.struct("h", "node_id") < F.col("r"))).select("node_id", "to")
+        labels = settled(labels.join(moves, "node_id", "left").select("node_id", F.coalesce("to", "community").alias("community")))
+        turn += 1
 
 
 def drop_small(membership: DataFrame, n: int) -> DataFrame:
@@ -143,48 +150,90 @@ def _contrast(x: np.ndarray, label: np.ndarray) -> float:
     return float((own - s.max(1)).mean()) if s.shape[1] > 1 else 0.0
 
 
-def split_patch(features: DataFrame, bounds: DataFrame, least: int = 5, dims: int = 64, seed: int = 7) -> DataFrame:
-    """G8, G9. patch, node_id, part, k, contrast: each patch (bounded by construction) is projected to dims, clustered for every k up
-    to its ceiling, and keeps the k of the best mean contrast between the own and the best other centre."""
+def _edge_lists(nodes: pd.DataFrame, links: pd.DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """Places (in the sorted nodes) of the ends of each link."""
+    ids = nodes["node_id"].to_numpy()
+    return np.searchsorted(ids, links["src"].to_numpy(np.int64)), np.searchsorted(ids, links["dst"].to_numpy(np.int64))
+
+
+def _diffused(label: np.ndarray, src: np.ndarray, dst: np.ndarray, lam: float, rounds: int) -> np.ndarray:
+    """Labels after (I + lam L + 1e-6) U = labels, argmax, until stable; by conjugate gradients over the edges, so that no n x n matrix exists."""
+    n = len(label)
+    degree = np.bincount(src, minlength=n).astype(float)
+
+    def times(u: np.ndarray) -> np.ndarray:
+        pulled = np.zeros_like(u)
+        np.add.at(pulled, src, u[dst])
+        return u * (1 + 1e-6) + lam * (degree[:, None] * u - pulled)
+
+    for _ in range(rounds):
+        want = np.eye(label.max() + 1)[label]
+        u, r = want.copy(), want - times(want)
+        p, rr = r.copy(), (r * r).sum(0)
+        for _ in range(10 * n + 50):
+            if rr.max(initial=0) < 1e-20:
+                break
+            q = times(p)
+            step = rr / np.maximum((p * q).sum(0), 1e-300)
+            u, r = u + step * p, r - step * q
+            new = (r * r).sum(0)
+            p, rr = r + new / np.maximum(rr, 1e-300) * p, new
+        # rounded, so that equal shares fall to the first label
+        found = np.round(u, 9).argmax(1)
+        if (found == label).all():
+            break
+        label = found
+    return label
+
+
+def _inside(parts: DataFrame, edges: DataFrame) -> DataFrame:
+    """place, src, dst: edges between nodes of one patch."""
+    p = parts.select("node_id", "patch")
+    return edges.join(p.select(F.col("node_id").alias("src"), "patch"), "src").join(p.select(F.col("node_id").alias("dst"), F.col("patch").alias("q")), "dst").filter("patch = q").select(F.col("patch").alias("place"), "src", "dst")
 
-    def one(rows: pd.DataFrame) -> pd.DataFrame:
-        rows = rows.sort_values("node_id")
-        x = np.stack(rows["ts"].to_numpy()).astype(float)
-        x = x - x.mean(0)
-        u, s, _ = np.linalg.svd(x, full_matrices=False)
-        x = u[:, :dims] * s[:dims]
+
+def split_patch(features: DataFrame, bounds: DataFrame, edges: DataFrame, least: int = 8, dims: int = 64, lam: float = 1.0, rounds: int = 5, seed: int = 7, most_nodes: int = 50_000) -> DataFrame:
+    """G8, G9. patch, node_id, part, k, contrast: each patch is projected to dims, clustered for every k up to its ceiling (parts of least nodes), the
+    labels are diffused over its edges, and the k of the best mean contrast between the own and the best other centre stays, on all features.
+
+    A patch is one task group, so it must be small enough for one task: patches come from ``connected_patches``; one of more than most_nodes
+    nodes is an error.
+    """
+    size = features.groupBy("patch").agg(F.count(F.lit(1)).alias("_n"))
+    checked = F.when(F.col("_n") <= most_nodes, F.col("k_max")).otherwise(F.raise_error(F.concat(F.lit("a patch has too many nodes: "), F.col("_n").cast("string"))).cast("int"))
+    held = features.join(bounds.select("patch", "k_max").join(size, "patch").select("patch", checked.alias("k_max")), "patch").select("patch", "node_id", "ts", "k_max")
+
+    def one(rows: pd.DataFrame, links: pd.DataFrame) -> pd.DataFrame:
+        rows = rows.sort_values("node_id").reset_index(drop=True)
+        full = np.stack(rows["ts"].to_numpy()).astype(float)
+        x = full
+        if full.shape[1] > dims:
+            centred = full - full.mean(0)
+            _, axes = np.linalg.eigh(centred.T @ centred)
+            x = centred @ axes[:, ::-1][:, :dims]
+        src, dst = _edge_lists(rows, links)
         best = (0.0, np.zeros(len(x), int))
-        for k in range(2, int(rows["k_max"].iloc[0]) + 1):
-            label = _kmeans(x, min(k, len(x)), seed, least)
-            if label.max() > 0 and (c := _contrast(x, label)) > best[0]:
+        for k in range(2, min(int(rows["k_max"].iloc[0]), len(x) // least) + 1):
+            label = np.unique(_diffused(_kmeans(x, k, seed, least), src, dst, lam, rounds), return_inverse=True)[1]
+            if label.max() > 0 and (c := _contrast(full, label)) > best[0]:
                 best = (c, label)
         return pd.DataFrame({"patch": rows["patch"], "node_id": rows["node_id"], "part": best[1], "k": best[1].max() + 1, "contrast": best[0]})
 
-    return features.join(F.broadcast(bounds.select("patch", "k_max")), "patch").select("patch", "node_id", "ts", "k_max").groupBy("patch").applyInPandas(one, "patch long, node_id long, part int, k int, contrast double")
+    return held.groupBy("patch").cogroup(_inside(features, edges).groupBy("place")).applyInPandas(one, "patch long, node_id long, part int, k int, contrast double")
 
 
 def diffuse_labels(parts: DataFrame, edges: DataFrame, lam: float = 1.0, rounds: int = 5) -> DataFrame:
-    """G10. Within a patch: (I + lam L + 1e-6) U = labels, argmax, until stable. parts: patch, node_id, part."""
-    p = parts.select("patch", "node_id", "part")
-    inside = edges.join(p.select(F.col("node_id").alias("src"), "patch"), "src").join(p.select(F.col("node_id").alias("dst"), F.col("patch").alias("q")), "dst").filter("patch = q").select(F.col("patch").alias("place"), "src", "dst")
+    """G10. Within a patch: (I + lam L + 1e-6) U = labels, argmax, until stable. parts: patch, node_id, part. A patch is one task group."""
 
     def one(nodes: pd.DataFrame, links: pd.DataFrame) -> pd.DataFrame:
         nodes = nodes.sort_values("node_id").reset_index(drop=True)
-        at = {v: i for i, v in enumerate(nodes["node_id"])}
-        a = np.zeros((len(nodes), len(nodes)))
-        for s, t in zip(links["src"], links["dst"]):
-            a[at[s], at[t]] = 1
-        m = np.eye(len(a)) * (1 + 1e-6) + lam * (np.diag(a.sum(1)) - a)
-        label = nodes["part"].to_numpy(int)
-        for _ in range(rounds):
-            u = np.linalg.solve(m, np.eye(label.max() + 1)[label]) if len(label) else label
-            new = u.argmax(1)
-            if (new == label).all():
-                break
-            label = new
+        if not len(nodes):
+            return nodes[["patch", "node_id", "part"]]
+        label = _diffused(nodes["part"].to_numpy(int), *_edge_lists(nodes, links), lam, rounds)
         return nodes.assign(part=label)[["patch", "node_id", "part"]]
 
-    return p.groupBy("patch").cogroup(inside.groupBy("place")).applyInPandas(one, "patch long, node_id long, part int")
+    p = parts.select("patch", "node_id", "part")
+    return p.groupBy("patch").cogroup(_inside(p, edges).groupBy("place")).applyInPandas(one, "patch long, node_id long, part int")
 
 
 def dilate(mask: DataFrame, edges: DataFrame, rounds: int = 1) -> DataFrame:
@@ -211,10 +260,11 @@ def boundary_table(parcels: DataFrame, edges: DataFrame, gradient: DataFrame) ->
     return j.join(g, "src").join(h, "dst").groupBy("a", "b").agg(F.avg((F.col("gs") + F.col("gd")) / 2).alias("g"))
 
 
-def merge_parcels(parcels: DataFrame, edges: DataFrame, gradient: DataFrame, least: int, threshold: float, rounds: int = 10) -> DataFrame:
+def merge_parcels(parcels: DataFrame, edges: DataFrame, gradient: DataFrame, least: int, threshold: float) -> DataFrame:
     """G12. node_id, parcel. In each round a parcel that is too small, or has a boundary below the threshold, joins the neighbour of its weakest
-    boundary; of a mutual or chained choice only moves to a smaller id count, so a round can't swap. Ends without a move."""
-    for _ in range(rounds):
+    boundary; of a mutual or chained choice only moves to a smaller id count, so a round can't swap. Each round with a move leaves fewer parcels; it ends
+    without a move."""
+    while True:
         b = boundary_table(parcels, edges, gradient)
         both = b.union(b.select("b", "a", "g"))
         weakest = both.groupBy("a").agg(F.min_by("b", F.struct("g", "b")).alias("b"), F.min("g").alias("g"))
@@ -226,8 +276,7 @@ def merge_parcels(parcels: DataFrame, edges: DataFrame, gradient: DataFrame, lea
         new = settled(parcels.join(moves, "parcel", "left").select("node_id", F.col("parcel").alias("old"), F.coalesce("to", "parcel").alias("parcel")))
         parcels = new.select("node_id", "parcel")
         if new.filter("old <> parcel").isEmpty():
-            break
-    return parcels
+            return parcels
 
 
 def local_gradient(vectors: DataFrame, edges: DataFrame) -> DataFrame:
@@ -264,8 +313,8 @@ def largest_component(mask: DataFrame, edges: DataFrame) -> DataFrame:
 
 def assign_parcels(parts: DataFrame, labels: DataFrame, networks: DataFrame) -> DataFrame:
     """G18. node_id, parcel, name: parcels numbered over (patch, part), named after their most frequent network and place among its parcels."""
-    ids = parts.select("patch", "part").distinct().withColumn("parcel", F.row_number().over(Window.orderBy("patch", "part")))
-    j = parts.join(F.broadcast(ids), ["patch", "part"])
+    ids = in_total_order(parts.select("patch", "part").distinct(), [F.asc("patch"), F.asc("part")]).withColumnRenamed("_position", "parcel")
+    j = parts.join(ids, ["patch", "part"])
     votes = j.join(labels, "node_id").groupBy("parcel", "label_id").agg(F.count(F.lit(1)).alias("n"))
     modal = votes.groupBy("parcel").agg(F.max_by("label_id", F.struct("n", -F.col("label_id"))).alias("network_id")).join(networks, "network_id")
     named = modal.withColumn("name", F.concat("name", F.lit("_"), F.row_number().over(Window.partitionBy("network_id").orderBy("parcel")).cast("string")))
@@ -300,21 +349,13 @@ def ridge_fusion(vectors: DataFrame, priors: DataFrame, near: DataFrame | None =
     W (X y) = (W X) y: the K network series are one aggregate over the sources, each target needs K products; connectivity
     of near sources is taken out by a correction over near pairs. The n x n matrix never exists.
     """
-    nets = [r["network_id"] for r in priors.select("network_id").distinct().orderBy("network_id").collect()]
+    nets, wide = wide_maps(priors, "network_id", "fc")
     k = len(nets)
     z = _blocks(vectors, _zscores, "z")
-    wide = priors.groupBy("node_id").pivot("network_id", nets).agg(F.first("fc")).na.fill(0.0).select("node_id", F.array(*[F.col(f"`{n}`") for n in nets]).alias("a"))
     j = wide.join(z, "node_id")
-    pairs = j.select(F.posexplode("a").alias("i", "x"), "a").select("i", F.posexplode("a").alias("j", "y"), "x").groupBy("i", "j").agg(F.sum(F.col("x") * F.col("y")).alias("g")).collect()
-    g = np.zeros((k, k))
-    for r in pairs:
-        g[r["i"], r["j"]] = r["g"]
-    inverse = np.linalg.inv(g + lam * np.eye(k))
-    series = j.select(F.posexplode("a").alias("i", "x"), "z").select("i", "x", F.posexplode("z").alias("t", "v")).groupBy("i", "t").agg(F.sum(F.col("x") * F.col("v")).alias("s")).collect()
-    t = 1 + max(r["t"] for r in series)
-    ax = np.zeros((k, t))
-    for r in series:
-        ax[r["i"], r["t"]] = r["s"]
+    inverse = np.linalg.inv(outer_sums(j, "a", "a") + lam * np.eye(k))
+    ax = outer_sums(j, "a", "z")
+    t = ax.shape[1]
     wx = inverse @ ax / max(t - 1, 1)
     beta = _blocks(vectors, lambda y: _zscores(y) @ wx.T, "b")
     if near is not None:

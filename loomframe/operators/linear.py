@@ -11,13 +11,25 @@ from pyspark.sql import functions as F
 
 from loomframe.functions.scalars import t_to_z
 from loomframe.operators.joins import near_pairs
-from loomframe.operators.stats import global_signal, gram, scalar
+from loomframe.operators.stats import global_signal, gram, outer_sums, scalar, wide_maps
 
 
 def to_vectors(signal: DataFrame, frames: int) -> DataFrame:
-    """node_id, ts: one array per node in frame order; missing cells are 0."""
-    cells = F.map_from_entries(F.collect_list(F.struct("frame", "value")))
-    return signal.groupBy("node_id").agg(cells.alias("m")).select("node_id", F.transform(F.sequence(F.lit(0), F.lit(frames - 1)), lambda f: F.coalesce(F.col("m")[f], F.lit(0.0))).alias("ts"))
+    """node_id, ts: one array per node in frame order; missing cells are 0, of a cell that occurs twice the last one stands."""
+    cells = signal.filter(F.col("value").isNotNull()).groupBy("node_id").agg(F.array_sort(F.collect_list(F.struct(F.col("frame").cast("int").alias("frame"), F.col("value").cast("double").alias("value")))).alias("v"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            flat = batch.column(1).flatten()
+            row = np.repeat(np.arange(batch.num_rows), np.diff(batch.column(1).offsets.to_numpy()))
+            frame = flat.field("frame").to_numpy(zero_copy_only=False)
+            inside = (frame >= 0) & (frame < frames)
+            out = np.zeros((batch.num_rows, frames))
+            out[row[inside], frame[inside]] = flat.field("value").to_numpy(zero_copy_only=False)[inside]
+            lists = pa.ListArray.from_arrays(pa.array(np.arange(0, out.size + 1, frames, dtype=np.int32)), pa.array(out.ravel()))
+            yield pa.RecordBatch.from_arrays([batch.column(0), lists], ["node_id", "ts"])
+
+    return cells.mapInArrow(run, f"node_id {dict(signal.dtypes)['node_id']}, ts array<double>")
 
 
 def to_long(vectors: DataFrame, col: str = "ts") -> DataFrame:
@@ -171,23 +183,18 @@ def component_beta_maps(vectors: DataFrame, mixing: np.ndarray) -> DataFrame:
 def dual_regression(maps: DataFrame, signal: DataFrame, frames: int, weights: DataFrame | None = None) -> DataFrame:
     """L13. component_id, node_id, loading. Stage 1: weighted spatial regression of every frame on the maps, by sums over nodes.
     Stage 2: the demeaned data on the normalised series."""
-    k = [r["component_id"] for r in maps.select("component_id").distinct().orderBy("component_id").collect()]
-    wide = maps.groupBy("node_id").pivot("component_id", k).agg(F.first("loading")).select("node_id", *[F.col(f"`{c}`").alias(f"m{i}") for i, c in enumerate(k)]).na.fill(0.0)
-    wide = wide.withColumn("w", F.lit(1.0)) if weights is None else wide.join(weights.select("node_id", "w"), "node_id")
-    pairs = [(i, j) for i in range(len(k)) for j in range(i, len(k))]
-    s = wide.agg(*[F.sum(F.col("w") * F.col(f"m{i}") * F.col(f"m{j}")).alias(f"g{i}_{j}") for i, j in pairs]).first()
-    g = np.zeros((len(k), len(k)))
-    for i, j in pairs:
-        g[i, j] = g[j, i] = s[f"g{i}_{j}"]
-    rows = signal.join(wide, "node_id").groupBy("frame").agg(*[F.sum(F.col("w") * F.col(f"m{i}") * F.col("value")).alias(f"q{i}") for i in range(len(k))]).collect()
-    series = np.zeros((frames, len(k)))
-    inverse = np.linalg.pinv(g)
-    for r in rows:
-        series[r["frame"]] = inverse @ np.array([r[f"q{i}"] for i in range(len(k))])
+    k, wide = wide_maps(maps, "component_id", "loading")
+    if weights is not None:
+        wide = wide.join(weights.select("node_id", "w"), "node_id").select("node_id", "a", F.transform("a", lambda x: x * F.col("w")).alias("wa"))
+    weighted = "a" if weights is None else "wa"
+    vectors = to_vectors(signal, frames)
+    # sums over nodes: maps x maps, frames x maps
+    inverse = np.linalg.pinv(outer_sums(wide, weighted, "a"))
+    series = outer_sums(vectors.join(wide, "node_id"), "ts", weighted) @ inverse.T
     sd = series.std(0, ddof=1)
     series = (series - series.mean(0)) / np.maximum(sd, 1e-5)
     second = np.linalg.pinv(series)
-    out = _blocks(to_vectors(signal, frames), lambda y: (y - y.mean(1, keepdims=True)) @ second.T, "b").select("node_id", F.posexplode("b").alias("at", "loading"))
+    out = _blocks(vectors, lambda y: (y - y.mean(1, keepdims=True)) @ second.T, "b").select("node_id", F.posexplode("b").alias("at", "loading"))
     return out.select(F.element_at(F.array(*[F.lit(c) for c in k]), F.col("at") + 1).alias("component_id"), "node_id", "loading")
 
 
@@ -235,20 +242,32 @@ def normalise_to_input(betas: DataFrame, maps: DataFrame) -> DataFrame:
 
 
 def dimensionality_scores(values: np.ndarray, n: int) -> list[tuple[int, float, float, float, float]]:
-    """(k, laplace, bic, aic, mdl) for each number of dimensions, from falling eigenvalues and the number of samples."""
+    """(k, laplace, bic, aic, mdl) for each number of dimensions, from falling eigenvalues and the number of samples.
+
+    Scores are those that the analysed pipelines rank by, which are not the textbook's in two places: the curvature term counts with its full
+    positive weight (both of its sums), and AIC and MDL are of the likelihood of what lies beyond k alone. The scale is left as it is.
+    """
     from math import lgamma, log, pi
 
     v = np.maximum(np.asarray(values, float), 1e-12)
     d, out = len(v), []
+    pu, curve = 0.0, 0.0
     for k in range(1, d):
-        noise = v[k:].mean()
-        ll = -n / 2 * (np.log(v[:k]).sum() + (d - k) * log(noise))
-        params = d * k - k * (k + 1) / 2
-        pu = -k * log(2) + sum(lgamma((d - i) / 2) - (d - i) / 2 * log(pi) for i in range(k))
-        hat = np.append(v[:k], np.full(d - k, noise))
-        az = sum(log(abs((1 / hat[j] - 1 / hat[i]) * (v[i] - v[j])) + 1e-300) + log(n) for i in range(k) for j in range(i + 1, d))
-        laplace = pu + ll + (params + k) / 2 * log(2 * pi) - az / 2 - k / 2 * log(n)
-        out.append((k, float(laplace), float(ll - (params + k) / 2 * log(n)), float(-2 * ll + 2 * params), float(-ll + params / 2 * log(n))))
+        rest = v[k:]
+        noise = rest.mean()
+        # uniform prior over the frames of k axes
+        pu += lgamma((d - k + 1) / 2) - (d - k + 1) / 2 * log(pi) - log(2)
+        gaps = v[k - 1] - rest
+        own = 1 / noise - 1 / v[k - 1]
+        # terms of the k-th axis against all behind it; those that aren't positive don't count
+        curve += float(np.log(gaps[gaps > 0]).sum()) + (log(own) * len(rest) if own > 0 else 0.0)
+        m = d * k - k * (k + 1) / 2
+        spread, kept = -n / 2 * (d - k) * log(noise), -n / 2 * float(np.log(v[:k]).sum())
+        laplace = pu + spread + curve + kept + (m + k) / 2 * log(2 * pi) - k / 2 * log(n)
+        bic = kept + spread - (m + k) / 2 * log(n)
+        beyond = float(np.log(rest).mean()) - log(noise)
+        free = 1 + d * k + 0.5 * (k - 1)
+        out.append((k, laplace, bic, -2 * n * (d - k) * beyond + 2 * free, -n * (d - k) * beyond + 0.5 * free * log(n)))
     return out
 
 
@@ -395,15 +414,10 @@ def optimal_combination(echoes: DataFrame, t2s: DataFrame) -> DataFrame:
 def exclusive_regression(maps: DataFrame, signal: DataFrame, frames: int) -> DataFrame:
     """L34. component_id, frame, value: for each component the other maps are regressed out of its map and of the data; the series is the
     regression of what is left of the data on what is left of the map. By sums over nodes: a K x K Gram and K x frames products."""
-    k = [r["component_id"] for r in maps.select("component_id").distinct().orderBy("component_id").collect()]
-    wide = maps.groupBy("node_id").pivot("component_id", k).agg(F.first("loading")).select("node_id", *[F.col(f"`{c}`").alias(f"m{i}") for i, c in enumerate(k)]).na.fill(0.0)
-    pairs = [(i, j) for i in range(len(k)) for j in range(i, len(k))]
-    s = wide.agg(*[F.sum(F.col(f"m{i}") * F.col(f"m{j}")).alias(f"g{i}_{j}") for i, j in pairs]).first()
-    g = np.zeros((len(k), len(k)))
-    for i, j in pairs:
-        g[i, j] = g[j, i] = s[f"g{i}_{j}"]
-    inverse = np.linalg.pinv(g)
-    q = signal.join(wide, "node_id").groupBy("frame").agg(*[F.sum(F.col(f"m{i}") * F.col("value")).alias(f"q{i}") for i in range(len(k))])
+    k, wide = wide_maps(maps, "component_id", "loading")
+    inverse = np.linalg.pinv(outer_sums(wide, "a", "a"))
     # the partial regression coefficient of a map beside all others is its coefficient in the joint regression
-    series = [sum((F.col(f"q{j}") * float(inverse[i, j]) for j in range(len(k))), F.lit(0.0)) for i in range(len(k))]
-    return q.select("frame", F.explode(F.array(*[F.struct(F.lit(c).alias("component_id"), v.alias("value")) for c, v in zip(k, series)])).alias("s")).select("s.component_id", "frame", "s.value")
+    series = outer_sums(to_vectors(signal, frames).join(wide, "node_id"), "ts", "a") @ inverse.T
+    rows = [(c, t, float(series[t, i])) for i, c in enumerate(k) for t in range(len(series))]
+    kind = dict(maps.dtypes)["component_id"]
+    return maps.sparkSession.createDataFrame(rows, f"component_id {kind}, frame int, value double")

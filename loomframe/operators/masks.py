@@ -7,13 +7,13 @@ from pyspark.sql import functions as F
 
 #: Ordered rules of series classification: (role, regular expression over the description, reason).
 SERIES_RULES = [
-    ("ignore", r"(localizer|scout|phoenix|utm_source)", "ignored by pattern"),
-    ("t1w", r"(t1w|mprage|/en/)", "T1-weighted"),
-    ("t2w", r"(t2w|space|/fr/)", "T2-weighted"),
-    ("ap", r"(_ap|/de/)", "field map AP"),
-    ("pa", r"(_pa|/es/1)", "field map PA"),
-    ("sbref", r"(sbref|\.html)", "single-band reference"),
-    ("rest", r"(rest|bold|/es/)", "resting run"),
+    ("ignore", r"(localizer|scout|phoenix)", "ignored by pattern"),
+    ("t1w", r"(t1w|mprage)", "T1-weighted"),
+    ("t2w", r"(t2w|space)", "T2-weighted"),
+    ("ap", r"_ap", "field map AP"),
+    ("pa", r"_pa", "field map PA"),
+    ("sbref", r"sbref", "single-band reference"),
+    ("rest", r"(rest|bold)", "resting run"),
 ]
 #: Fixed labels of a kept component.
 KEPT_LABELS = ("accepted", "provisionalaccept")

@@ -38,10 +38,10 @@ def snr_maps(maps: DataFrame) -> DataFrame:
 
 
 def modal_value(df: DataFrame, col: str, position: str, keys: list[str] | None = None) -> DataFrame:
-    """A5, A13. The most frequent value (per key); of equally frequent ones that which was met first."""
+    """A5, A13. The most frequent value (per key); of equally frequent ones that which was met first, then the smallest."""
     keys = keys or []
     counts = df.filter(F.col(col).isNotNull()).groupBy(*keys, col).agg(F.count(F.lit(1)).alias("n"), F.min(position).alias("first"))
-    best = F.max_by(col, F.struct("n", -F.col("first"))).alias(col)
+    best = F.min_by(col, F.struct(-F.col("n"), "first", col)).alias(col)
     return counts.groupBy(*keys).agg(best)
 
 
@@ -149,34 +149,68 @@ def validate_echo_groups(series: DataFrame, n_echoes: int, min_bytes: float, tru
 
 
 def gram(signal: DataFrame) -> DataFrame:
-    """A22. i, j, g: products of frames summed over nodes, i <= j. Each partition multiplies its nodes' matrix; partial sums are added."""
+    """A22. i, j, g: products of frames summed over the nodes that have both, i <= j. Null values count as missing.
+
+    Each partition adds up one matrix over its nodes and gives it out once; partial sums are added.
+    """
     import numpy as np
     import pyarrow as pa
 
-    vec = signal.groupBy("node_id").agg(F.array_sort(F.collect_list(F.struct("frame", "value"))).alias("v"))
+    known = signal.filter(F.col("value").isNotNull())
+    vec = known.groupBy("node_id").agg(F.collect_list(F.struct(F.col("frame").cast("int").alias("frame"), F.col("value").cast("double").alias("value"))).alias("v"))
 
     def run(batches):
-        total: dict[tuple[int, int], float] = {}
+        total, both = np.zeros((0, 0)), np.zeros((0, 0))
         for batch in batches:
-            rows = batch.column(0).to_pylist()
-            if not rows:
+            cells = batch.column(0)
+            if not len(cells):
                 continue
-            t = 1 + max(x["frame"] for r in rows for x in r)
-            m = np.zeros((len(rows), t))
-            for k, r in enumerate(rows):
-                for x in r:
-                    m[k, x["frame"]] = x["value"]
-            g = m.T @ m
-            seen = np.flatnonzero(m.any(0)).tolist()
-            for a, i in enumerate(seen):
-                for j in seen[a:]:
-                    total[i, j] = total.get((i, j), 0.0) + g[i, j]
-        if total:
-            yield pa.RecordBatch.from_arrays([pa.array([k[0] for k in total], pa.int32()), pa.array([k[1] for k in total], pa.int32()), pa.array(list(total.values()))], ["i", "j", "g"])
+            flat = cells.flatten()
+            frame, value = flat.field("frame").to_numpy(zero_copy_only=False), flat.field("value").to_numpy(zero_copy_only=False)
+            row = np.repeat(np.arange(len(cells)), np.diff(cells.offsets.to_numpy()))
+            t = max(len(total), 1 + int(frame.max(initial=-1)))
+            m, seen = np.zeros((len(cells), t)), np.zeros((len(cells), t))
+            np.add.at(m, (row, frame), value)
+            seen[row, frame] = 1
+            if t > len(total):
+                total, both = (np.pad(x, (0, t - len(x))) for x in (total, both))
+            total, both = total + m.T @ m, both + seen.T @ seen
+        i, j = np.nonzero(np.triu(both))
+        yield pa.RecordBatch.from_arrays([pa.array(i.astype(np.int32)), pa.array(j.astype(np.int32)), pa.array(total[i, j])], ["i", "j", "g"])
 
     return vec.select("v").mapInArrow(run, "i int, j int, g double").groupBy("i", "j").agg(F.sum("g").alias("g"))
 
 
+def outer_sums(rows: DataFrame, left: str, right: str):
+    """The matrix of sums over rows of left[i] * right[j], two array columns of fixed lengths, on the driver. One partial matrix a partition; the driver
+    gets one number for each cell."""
+    import numpy as np
+    import pyarrow as pa
+
+    def run(batches):
+        total = None
+        for batch in batches:
+            if batch.num_rows:
+                a, b = (batch.column(k).flatten().to_numpy(zero_copy_only=False).reshape(batch.num_rows, -1) for k in (0, 1))
+                total = a.T @ b if total is None else total + a.T @ b
+        if total is not None:
+            i, j = np.indices(total.shape)
+            yield pa.RecordBatch.from_arrays([pa.array(i.ravel().astype(np.int32)), pa.array(j.ravel().astype(np.int32)), pa.array(total.ravel())], ["i", "j", "g"])
+
+    cells = rows.select(F.col(left).cast("array<double>").alias("l"), F.col(right).cast("array<double>").alias("r")).mapInArrow(run, "i int, j int, g double").groupBy("i", "j").agg(F.sum("g").alias("g")).collect()
+    out = np.zeros((1 + max(r["i"] for r in cells), 1 + max(r["j"] for r in cells)))
+    for r in cells:
+        out[r["i"], r["j"]] = r["g"]
+    return out
+
+
+def wide_maps(maps: DataFrame, key: str, value: str) -> tuple[list, DataFrame]:
+    """(the keys in order, node_id with an array of the node's values in that order, 0 where it has none)."""
+    keys = [r[key] for r in maps.select(key).distinct().orderBy(key).collect()]
+    filled = maps.groupBy("node_id").pivot(key, keys).agg(F.first(value)).na.fill(0.0)
+    return keys, filled.select("node_id", F.array(*[F.col(f"`{k}`").cast("double") for k in keys]).alias("a"))
+
+
 def residual_variance_ratio(stages: DataFrame, columns: list[str], original: str) -> DataFrame:
     """A23. Per node the variance of each stage's column over the original's; undefined ones are 0."""
     v = stages.groupBy("node_id").agg(*[F.var_samp(c).alias(c) for c in [original, *columns]])

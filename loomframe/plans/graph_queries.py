@@ -11,7 +11,7 @@ from loomframe.plans.join_queries import _ADJ, _FC, _NEAR, adjacency, priors
 from loomframe.plans.registry import query
 from loomframe.plans.stat_queries import R
 
-_TOP = "top AS (SELECT src, dst, fc FROM (SELECT *, row_number() OVER (PARTITION BY src ORDER BY fc DESC, dst) AS k FROM fc WHERE fc > 0) WHERE k <= {0})"
+_TOP = "top AS (SELECT src, dst, fc FROM (SELECT *, row_number() OVER (PARTITION BY src ORDER BY fc DESC, dst) AS k FROM fc WHERE fc > 0) WHERE k <= (SELECT greatest(ceil(count(*) * {0}::DOUBLE), 1) FROM vectors))"
 
 
 def fc(spark, d, density: float):
@@ -21,19 +21,19 @@ def fc(spark, d, density: float):
     return functional_connectivity(v, op.most_edges(n, density)), n
 
 
-@query("T1_topk_edges", sql("vectors", f"SELECT src, dst, {R('max(fc)', 'w')} FROM (SELECT src, dst, fc FROM top UNION ALL SELECT dst, src, fc FROM top) GROUP BY 1, 2", _FC + ", " + _TOP.format(5)))
+@query("T1_topk_edges", sql("vectors", f"SELECT src, dst, {R('max(fc)', 'w')} FROM (SELECT src, dst, fc FROM top UNION ALL SELECT dst, src, fc FROM top) GROUP BY 1, 2", _FC + ", " + _TOP.format(0.01)))
 def _(spark, d):
     return rounded(op.topk_edges(*fc(spark, d, 0.01), 0.01), "w")
 
 
-@query("G1_density_graphs", sql("vectors", f"SELECT density, least(src, dst) AS src, greatest(src, dst) AS dst, {R('max(fc)', 'w')} FROM (SELECT *, row_number() OVER (PARTITION BY src ORDER BY fc DESC, dst) AS k FROM fc WHERE fc > 0) JOIN (VALUES (0.004::DOUBLE, 2), (0.01::DOUBLE, 5)) v(density, most) ON k <= most GROUP BY 1, 2, 3", _FC))
+@query("G1_density_graphs", sql("vectors", f"SELECT density, least(src, dst) AS src, greatest(src, dst) AS dst, {R('max(fc)', 'w')} FROM (SELECT *, row_number() OVER (PARTITION BY src ORDER BY fc DESC, dst) AS k FROM fc WHERE fc > 0) JOIN (SELECT density, greatest(ceil((SELECT count(*) FROM vectors) * density), 1) AS most FROM (VALUES (0.004::DOUBLE), (0.01::DOUBLE)) v(density)) ON k <= most GROUP BY 1, 2, 3", _FC))
 def _(spark, d):
     return rounded(op.density_graphs(*fc(spark, d, 0.01), [0.004, 0.01]), "w")
 
 
 @query("G2_communities")
 def _(spark, d):
-    return op.communities(op.topk_edges(*fc(spark, d, 0.01), 0.01), 6)
+    return op.communities(op.topk_edges(*fc(spark, d, 0.01), 0.01))
 
 
 @query("G3_drop_small", sql("nodes", "SELECT density, node_id, CASE WHEN count(*) OVER (PARTITION BY density, community) < 6 THEN 0 ELSE community END AS community FROM (SELECT label_id AS density, node_id, i + 20 AS community FROM nodes)"))
@@ -72,8 +72,9 @@ def _(spark, d):
 
 
 def parts(spark, d):
-    v = vectors(spark, d).select(F.col("label_id").cast("long").alias("patch"), "node_id", "ts")
-    return op.split_patch(v, op.k_bounds(v.withColumn("area", F.lit(1.0)), 4, 12, 1.0))
+    patches = op.connected_patches(labels(spark, d).withColumn("label_id", F.col("label_id") % 2 + 1), adjacency(spark, d)).select("node_id", "patch")
+    v = vectors(spark, d).select("node_id", "ts").join(patches, "node_id")
+    return op.split_patch(v, op.k_bounds(v.withColumn("area", F.lit(1.0)), 4, 8, 1.0), adjacency(spark, d), 4)
 
 
 @query("G8_split_patch")

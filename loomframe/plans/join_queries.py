@@ -173,9 +173,9 @@ def _(spark, d):
     return op.argmin_row(table(spark, d, "lineitem"), "l_extendedprice", "l_orderkey", ["l_suppkey"])
 
 
-@query("T3_winner_take_all", sql("vectors", f"SELECT node_id, k::INTEGER AS network_id, {R('p', 'p')} FROM (SELECT node_id, c - 1 AS k, round(ts[c], 1) AS p, row_number() OVER (PARTITION BY node_id ORDER BY round(ts[c], 1) DESC, c) AS r FROM vectors, range(1, 11) q(c)) WHERE r = 1"))
+@query("T3_winner_take_all", sql("vectors", f"SELECT node_id, k::INTEGER AS network_id, {R('p', 'p')} FROM (SELECT node_id, c - 1 AS k, round(ts[c], 1) AS p, row_number() OVER (PARTITION BY node_id ORDER BY round(ts[c], 1) DESC, c) AS r FROM vectors, range(1, 65) q(c)) WHERE r = 1"))
 def _(spark, d):
-    s = vectors(spark, d).select("node_id", F.posexplode(F.slice("ts", 1, 10)).alias("network_id", "p")).withColumn("p", F.round("p", 1))
+    s = vectors(spark, d).select("node_id", F.posexplode("ts").alias("network_id", "p")).withColumn("p", F.round("p", 1))
     return rounded(op.winner_take_all(s), "p")
 
 

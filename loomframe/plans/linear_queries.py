@@ -138,9 +138,9 @@ def _(spark, d):
     return rounded(op.beta_z(wide_signal(spark, d), design(spark, d)), "beta", "z")
 
 
-@query("L17_normalise_to_input", sql("vectors", f"SELECT component_id, node_id, {R('(l - avg(l) OVER w) / stddev_samp(l) OVER w * stddev_samp(loading) OVER w + avg(loading) OVER w', 'loading')} FROM (SELECT component_id, node_id, loading, loading * (1 + node_id % 3) AS l FROM maps WHERE component_id < 8) WINDOW w AS (PARTITION BY component_id)", _MAPS))
+@query("L17_normalise_to_input", sql("vectors", f"SELECT component_id, node_id, {R('(l - avg(l) OVER w) / stddev_samp(l) OVER w * stddev_samp(loading) OVER w + avg(loading) OVER w', 'loading')} FROM (SELECT component_id, node_id, loading, loading * (1 + node_id % 3) AS l FROM maps) WINDOW w AS (PARTITION BY component_id)", _MAPS))
 def _(spark, d):
-    m = component_maps(spark, d).filter("component_id < 8")
+    m = component_maps(spark, d)
     return rounded(op.normalise_to_input(m.withColumn("loading", F.col("loading") * (1 + F.col("node_id") % 3)), m), "loading")
 
 
@@ -224,9 +224,9 @@ def _(spark, d):
 _T2 = "f AS (SELECT node_id, regr_slope(ln(value), -te) AS r, regr_intercept(ln(value), -te) AS a FROM echoes WHERE value > 0 GROUP BY 1), t AS (SELECT node_id, exp(a) AS s0, CASE WHEN r > 0 THEN 1 / r END AS t2s FROM f)"
 
 
-@query("L32_t2star_fit", sql("echoes", f"SELECT node_id, {R('ln(s0)', 'ln_s0')}, {R('t2s', 't2s')} FROM t WHERE t2s IS NULL OR t2s < 1000", _T2))
+@query("L32_t2star_fit", sql("echoes", f"SELECT node_id, {R('ln(s0)', 'ln_s0')}, {R('1 / t2s', 'rate')} FROM t", _T2))
 def _(spark, d):
-    return op.t2star_fit(echoes(spark, d)).filter("t2s IS NULL OR t2s < 1000").select("node_id", r6(F.log("s0")).alias("ln_s0"), r6("t2s").alias("t2s"))
+    return op.t2star_fit(echoes(spark, d)).select("node_id", r6(F.log("s0")).alias("ln_s0"), r6(1 / F.col("t2s")).alias("rate"))
 
 
 @query("L33_optimal_combination", sql("echoes", f"SELECT node_id, {R('sum(te * exp(-te / t2s) * value) / sum(te * exp(-te / t2s))', 'value')} FROM echoes JOIN t USING (node_id) WHERE t2s IS NOT NULL GROUP BY 1", _T2))

@@ -12,8 +12,18 @@ from loomframe.plans.adapters import components, echoes, nodes, r6, rounded, run
 from loomframe.plans.registry import query
 from loomframe.plans.stat_queries import R, component_maps
 
-SERIES_SQL = "CASE " + " ".join(f"WHEN regexp_matches(lower(url), '{p}') THEN '{r}'" for r, p, _ in op.SERIES_RULES) + " ELSE 'unknown' END"
-REASON_SQL = "CASE " + " ".join(f"WHEN regexp_matches(lower(url), '{p}') THEN '{w}'" for _, p, w in op.SERIES_RULES) + " ELSE 'no rule matched' END"
+#: Rules for the urls of pages, which stand for descriptions of series in the queries.
+URL_RULES = [
+    ("ignore", r"utm_source", "ignored by pattern"),
+    ("t1w", r"/en/", "T1-weighted"),
+    ("t2w", r"/fr/", "T2-weighted"),
+    ("ap", r"/de/", "field map AP"),
+    ("pa", r"/es/1", "field map PA"),
+    ("sbref", r"\.html", "single-band reference"),
+    ("rest", r"/es/", "resting run"),
+]
+SERIES_SQL = "CASE " + " ".join(f"WHEN regexp_matches(lower(url), '{p}') THEN '{r}'" for r, p, _ in URL_RULES) + " ELSE 'unknown' END"
+REASON_SQL = "CASE " + " ".join(f"WHEN regexp_matches(lower(url), '{p}') THEN '{w}'" for _, p, w in URL_RULES) + " ELSE 'no rule matched' END"
 
 
 @query("P1_map_math", sql("signal", f"SELECT node_id, {R('greatest(0.0, least(100.0, a / b))', 'value')} FROM (SELECT node_id, avg(value) AS a, avg(value) FILTER (frame % 2 = 0) AS b FROM signal GROUP BY 1)"))
@@ -59,14 +69,14 @@ def _(spark, d):
     return op.select_structures(s, names, [4, 12])
 
 
-@query("P10_nonzero_nodes", sql("run_signal", "SELECT node_id FROM run_signal WHERE run = 0 GROUP BY 1 HAVING max(value) - min(value) > 0"))
+@query("P10_nonzero_nodes", sql("run_signal", "SELECT node_id FROM run_signal GROUP BY 1 HAVING max(value) - min(value) > 0"))
 def _(spark, d):
-    return op.nonzero_nodes(run_signal(spark, d).filter("run = 0"))
+    return op.nonzero_nodes(run_signal(spark, d))
 
 
 @query("P11_classify_series", f"SELECT page_id, {SERIES_SQL} AS role, {REASON_SQL} AS reason FROM pages")
 def _(spark, d):
-    return op.classify_series(table(spark, d, "pages").select("page_id", F.col("url").alias("description"))).select("page_id", "role", "reason")
+    return op.classify_series(table(spark, d, "pages").select("page_id", F.col("url").alias("description")), URL_RULES).select("page_id", "role", "reason")
 
 
 @query("P12_initial_keep", sql("components", "SELECT component_id, lower(trim(classification)) IN ('accepted', 'provisionalaccept') AS keep FROM components"))
@@ -89,7 +99,7 @@ def _(spark, d):
 
 @query("P15_check_series", f"WITH s AS (SELECT page_id % 200 AS series, {SERIES_SQL} AS role, length(html) AS bytes, length(url) AS volumes FROM pages) SELECT series, 'too small' AS problem FROM s WHERE bytes < 2000 UNION ALL SELECT series, 'unknown role' FROM s WHERE role = 'unknown' UNION ALL SELECT series, 'number used twice' FROM s GROUP BY 1 HAVING count(*) > 1 UNION ALL SELECT min(series), 'too many t1w' FROM s WHERE role = 't1w' HAVING count(*) > 2")
 def _(spark, d):
-    s = op.classify_series(table(spark, d, "pages").select("page_id", F.col("url").alias("description"), "html"))
+    s = op.classify_series(table(spark, d, "pages").select("page_id", F.col("url").alias("description"), "html"), URL_RULES)
     return op.check_series(s.select((F.col("page_id") % 200).alias("series"), "role", F.length("html").alias("bytes"), F.length("description").alias("volumes")), 2000, None, {"t1w": 2})
 
 
@@ -220,6 +230,18 @@ def _(spark, d):
     return t.select("doc_id", F.array_join(fn.pe_to_vector(F.col("d")).cast("array<string>"), ",").alias("v"), fn.pe_to_axis(F.col("d")).alias("axis"))
 
 
+@query("F8_pe_to_axis", f"SELECT doc_id, CASE WHEN {_DIR} = 'j-' THEN '-y' ELSE 'y' END AS axis FROM documents")
+def _(spark, d):
+    dirs = F.array(*[F.lit(x) for x in (*op.PHASE_DIRECTIONS, "x")])
+    t = table(spark, d, "documents").select("doc_id", F.element_at(dirs, (1 + F.col("doc_id") % 7).cast("int")).alias("d"))
+    return t.select("doc_id", fn.pe_to_axis(F.col("d")).alias("axis"))
+
+
+@query("F14_clip", f"SELECT o_orderkey, {R('greatest(50000.0::DOUBLE, least(o_totalprice, 200000.0))', 'price')} FROM orders")
+def _(spark, d):
+    return table(spark, d, "orders").select("o_orderkey", r6(fn.clip(F.col("o_totalprice"), 50_000.0, 200_000.0)).alias("price"))
+
+
 @query("F9_te_units", "SELECT l_orderkey, CASE WHEN a < b THEN round(a * f, 6) + 0.0 END AS te1, CASE WHEN a < b THEN round(b * f, 6) + 0.0 END AS te2 FROM (SELECT l_orderkey, min(l_quantity) AS a, max(l_quantity) AS b, CASE WHEN max(l_quantity) > 1 THEN 0.001::DOUBLE ELSE 1 END AS f FROM lineitem GROUP BY 1)")
 def _(spark, d):
     t = table(spark, d, "lineitem").groupBy("l_orderkey").agg(F.array(F.min("l_quantity"), F.max("l_quantity")).alias("te"))

@@ -8,7 +8,7 @@ from loomframe.operators.joins import near_pairs
 from loomframe.operators.masks import classify_series
 from loomframe.plans.adapters import nodes, rounded, signal, sql, table
 from loomframe.plans.join_queries import _NEAR
-from loomframe.plans.mask_queries import REASON_SQL, SERIES_SQL
+from loomframe.plans.mask_queries import REASON_SQL, SERIES_SQL, URL_RULES
 from loomframe.plans.registry import query
 from loomframe.sources import readers, sinks
 
@@ -75,4 +75,4 @@ def _(spark, d):
 
 @query("S12_write_manifest", f"SELECT page_id AS series, role, CASE WHEN role IN ('ignore', 'unknown') THEN NULL ELSE 'out/' || role || '/series_' || page_id END AS destination, reason FROM (SELECT page_id, {SERIES_SQL} AS role, {REASON_SQL} AS reason FROM pages)")
 def _(spark, d):
-    return sinks.manifest(classify_series(table(spark, d, "pages").select(F.col("page_id").alias("series"), F.col("url").alias("description"))), "out")
+    return sinks.manifest(classify_series(table(spark, d, "pages").select(F.col("page_id").alias("series"), F.col("url").alias("description")), URL_RULES), "out")

@@ -33,7 +33,7 @@ def _(spark, d):
     return rounded(op.snr_maps(m), "cov", "tsnr", "cnr")
 
 
-@query("A5_modal_value", "SELECT l_suppkey, l_linenumber FROM (SELECT l_suppkey, l_linenumber, row_number() OVER (PARTITION BY l_suppkey ORDER BY count(*) DESC, min(l_orderkey)) AS k FROM lineitem GROUP BY 1, 2) WHERE k = 1")
+@query("A5_modal_value", "SELECT l_suppkey, l_linenumber FROM (SELECT l_suppkey, l_linenumber, row_number() OVER (PARTITION BY l_suppkey ORDER BY count(*) DESC, min(l_orderkey), l_linenumber) AS k FROM lineitem GROUP BY 1, 2) WHERE k = 1")
 def _(spark, d):
     return op.modal_value(table(spark, d, "lineitem"), "l_linenumber", "l_orderkey", ["l_suppkey"])
 
@@ -82,7 +82,7 @@ def _(spark, d):
     return rounded(op.group_average(maps, 1.5), "mean", "sd")
 
 
-@query("A13_group_mode", "SELECT l_partkey AS node_id, l_linenumber AS label FROM (SELECT l_partkey, l_linenumber, row_number() OVER (PARTITION BY l_partkey ORDER BY count(*) DESC, min(l_orderkey)) AS k FROM lineitem GROUP BY 1, 2) WHERE k = 1")
+@query("A13_group_mode", "SELECT l_partkey AS node_id, l_linenumber AS label FROM (SELECT l_partkey, l_linenumber, row_number() OVER (PARTITION BY l_partkey ORDER BY count(*) DESC, min(l_orderkey), l_linenumber) AS k FROM lineitem GROUP BY 1, 2) WHERE k = 1")
 def _(spark, d):
     t = table(spark, d, "lineitem").select(F.col("l_partkey").alias("node_id"), F.col("l_linenumber").alias("label"), "l_orderkey")
     return op.modal_value(t, "label", "l_orderkey", ["node_id"])
@@ -159,8 +159,8 @@ def _(spark, d):
     return rounded(op.normalise_by_mean(n, n.filter("label_id < 5"), "x").select("node_id", "x"), "x")
 
 
-@query("A25_stack_modalities", sql("vectors", f"SELECT modality, map::INTEGER AS map, node_id, {R('value / s * (1 + modality / 2.0) * (SELECT s FROM q WHERE modality = 0)', 'value')} FROM m JOIN q USING (modality)", "m AS (SELECT (c - 1) % 3 AS modality, c - 1 AS map, node_id, ts[c] AS value FROM vectors, range(1, 9) r(c)), q AS (SELECT modality, avg(s) AS s FROM (SELECT modality, map, stddev_samp(value) AS s FROM m GROUP BY 1, 2) GROUP BY 1)"))
+@query("A25_stack_modalities", sql("vectors", f"SELECT modality, map::INTEGER AS map, node_id, {R('value / s * (1 + modality / 2.0) * (SELECT s FROM q WHERE modality = 0)', 'value')} FROM m JOIN q USING (modality)", "m AS (SELECT (c - 1) % 3 AS modality, c - 1 AS map, node_id, ts[c] AS value FROM vectors, range(1, 65) r(c)), q AS (SELECT modality, avg(s) AS s FROM (SELECT modality, map, stddev_samp(value) AS s FROM m GROUP BY 1, 2) GROUP BY 1)"))
 def _(spark, d):
-    m = vectors(spark, d).select("node_id", F.posexplode(F.slice("ts", 1, 8)).alias("map", "value")).withColumn("modality", (F.col("map") % 3).cast("long"))
+    m = vectors(spark, d).select("node_id", F.posexplode("ts").alias("map", "value")).withColumn("modality", (F.col("map") % 3).cast("long"))
     w = spark.createDataFrame([(i, 1 + i / 2.0) for i in range(3)], "modality long, weight double")
     return rounded(op.stack_modalities(m, w).select("modality", "map", "node_id", "value"), "value")

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from loomframe.operators.frames import MOTION, framewise_displacement
 from loomframe.plans.adapters import motion, rounded, sql
 from loomframe.plans.frame_queries import _FD
-from loomframe.plans.mask_queries import SERIES_SQL
+from loomframe.plans.mask_queries import SERIES_SQL, URL_RULES
 from loomframe.plans.registry import query
 from loomframe.sources import readers, sinks
 from loomframe.streaming import intake
@@ -19,6 +19,8 @@ from loomframe.streaming import intake
 def scratch(spark) -> str:
     """A new folder that driver and executors share; a local session may use its own disk."""
     shared = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
+    if not shared and not spark.sparkContext.master.startswith("local["):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
     return f"{shared or tempfile.mkdtemp(prefix='spark-', dir='/tmp')}/{uuid.uuid4().hex}"
 
 
@@ -27,7 +29,7 @@ def _(spark, d):
     at = scratch(spark)
     t = spark.read.parquet(f"{d}/pages.parquet").select(F.col("page_id").alias("series"), F.col("url").alias("description"), F.length("html").cast("long").alias("bytes"), F.lit(1).alias("volumes"))
     t.write.parquet(f"{at}/in")
-    intake.intake_sessions(spark, f"{at}/in", t.schema.simpleString()[len("struct<") : -1].replace(":", " "), f"{at}/out", f"{at}/marks")
+    intake.intake_sessions(spark, f"{at}/in", t.schema.simpleString()[len("struct<") : -1].replace(":", " "), f"{at}/out", f"{at}/marks", rules=URL_RULES)
     return spark.read.parquet(f"{at}/out/series").select("series", "role")
 
 
@@ -55,7 +57,7 @@ def _(spark, d):
     fd = rounded(framewise_displacement(motion(spark, d)), "fd").select((F.col("frame") % 3 + 1).alias("session"), "frame", "fd")
     for s in (1, 2, 3):
         sinks.write_incremental(fd.filter(F.col("session") == s), at, s)
-    return spark.read.parquet(at)
+    return spark.read.schema("frame int, fd double, session int").parquet(at)
 
 
 @query("S14_run_metadata", "SELECT 'rows' AS key, count(*)::VARCHAR AS value FROM lineitem UNION ALL SELECT 'tr', '2.0'")

@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 
 #: Fixed column names that producers of component tables use, and the name here.
 COMPONENT_NAMES = {"Component": "component", "kappa": "kappa", "rho": "rho", "classification": "classification", "variance explained": "variance_explained", "countsigFT2": "n_voxels"}
+#: Fixed names of the older layout.
+OLD_COMPONENT_NAMES = {"Kappa": "kappa", "Rho": "rho", "Classification": "classification"}
 
 
 def require_columns(df: DataFrame, names: list[str]) -> DataFrame:
@@ -58,15 +60,31 @@ def parse_sidecars(sidecars: DataFrame) -> DataFrame:
 
 
 def read_components(spark: SparkSession, path: str) -> DataFrame:
-    """S4. Component tables as TSV with a header, columns renamed, component_id from the trailing digits."""
+    """S4. Component tables, columns renamed, component_id from the trailing digits, in its order: TSV with a header (of the current or of the older
+    names), or a JSON object with an entry for each component."""
+    if path.endswith(".json"):
+        return parse_components(spark.read.text(path, wholetext=True).select(F.col("value").alias("body")))
     return name_components(spark.read.csv(path, sep="\t", header=True))
 
 
 def name_components(raw: DataFrame) -> DataFrame:
-    out = raw.withColumnsRenamed({k: v for k, v in COMPONENT_NAMES.items() if k in raw.columns})
+    old = {k: v for k, v in OLD_COMPONENT_NAMES.items() if k in raw.columns and v not in raw.columns}
+    out = raw.withColumnsRenamed({k: v for k, v in COMPONENT_NAMES.items() if k in raw.columns} | old)
     require_columns(out, ["component", "kappa", "rho", "classification"])
-    number = F.regexp_extract("component", r"(\d+)$", 1).cast("int")
-    return out.withColumns({"component_id": number, "kappa": F.col("kappa").cast("double"), "rho": F.col("rho").cast("double")})
+    number = F.regexp_extract("component", r"(\d+)$", 1)
+    checked = F.when(number != "", number.cast("int")).otherwise(F.raise_error(F.concat(F.lit("no component number in "), F.col("component"))).cast("int"))
+    return out.withColumns({"component_id": checked, "kappa": F.col("kappa").cast("double"), "rho": F.col("rho").cast("double")}).orderBy("component_id")
+
+
+def parse_components(bodies: DataFrame) -> DataFrame:
+    """Components of JSON objects (body): keys that begin with ica_ and end in a number, with their metrics."""
+    entry = "map<string,struct<classification:string,kappa:double,rho:double,`variance explained`:double,`normalized variance explained`:double>>"
+    # other keys of the object hold anything; only those of components are read as one
+    keys = F.filter(F.json_object_keys("body"), lambda k: k.rlike(r"^ica_.*[0-9]$"))
+    rows = bodies.select("body", F.explode(keys).alias("component"))
+    one = F.from_json(F.expr("to_json(variant_get(parse_json(body), concat('$[\"', component, '\"]'), 'variant'))"), entry[len("map<string,") : -1])
+    named = rows.select("component", one.alias("e")).select("component", "e.classification", "e.kappa", "e.rho", F.col("e.`variance explained`").alias("variance_explained"), F.col("e.`normalized variance explained`").alias("normalised_variance"))
+    return name_components(named)
 
 
 def read_matrix_text(spark: SparkSession, path: str, columns: int) -> DataFrame:

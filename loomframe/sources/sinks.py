@@ -31,5 +31,7 @@ def write_manifest(series: DataFrame, path: str, prefix: str) -> None:
 
 
 def write_incremental(df: DataFrame, path: str, start_session: int) -> None:
-    """S13. From session 1 everything is written anew; later sessions are added."""
-    df.write.mode("overwrite" if start_session <= 1 else "append").parquet(path)
+    """S13. From session 1 everything is written anew; a later start replaces the sessions that df has and leaves the others, so that a repeated write
+    adds nothing. df has a column session."""
+    writer = df.write.mode("overwrite").partitionBy("session")
+    (writer if start_session <= 1 else writer.option("partitionOverwriteMode", "dynamic")).parquet(path)

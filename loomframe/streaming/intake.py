@@ -12,22 +12,25 @@ from loomframe.operators.frames import MOTION, RADIUS
 from loomframe.operators.masks import check_series, classify_series
 
 
-def intake_sessions(spark: SparkSession, source: str, schema: str, out: str, checkpoint: str, min_bytes: float = 0.0) -> None:
+def intake_sessions(spark: SparkSession, source: str, schema: str, out: str, checkpoint: str, min_bytes: float = 0.0, rules: list[tuple[str, str, str]] | None = None) -> None:
     """R1. Series files that weren't seen before are classified, checked and appended once; runs until all available files are in.
 
-    A batch with violations writes them beside the manifest and appends nothing of it.
+    Series with a violation go to the violations, with the reason; all others of the batch are appended. A series that an earlier batch
+    has taken in is a violation too. Rules of classification are ``rules``, else the protocol's.
     """
 
     def batch(df: DataFrame, number: int) -> None:
         df = df.persist()
         try:
-            series = classify_series(df)
-            bad = check_series(series, min_bytes, None, {}).filter("problem <> 'unknown role'").withColumn("batch", F.lit(number))
-            if bad.isEmpty():
-                # a batch that is repeated after a failure replaces its own folder
-                series.write.mode("overwrite").parquet(f"{out}/series/batch={number}")
-            else:
-                bad.write.mode("overwrite").parquet(f"{out}/violations/batch={number}")
+            series = classify_series(df, rules)
+            bad = check_series(series, min_bytes, None, {}).filter("problem <> 'unknown role'")
+            if number:
+                # what this batch wrote before a failure doesn't count
+                earlier = spark.read.schema(f"series {dict(df.dtypes)['series']}, batch int").parquet(f"{out}/series").filter(F.col("batch") < number)
+                bad = bad.unionByName(series.join(earlier.select("series").distinct(), "series", "left_semi").select("series", F.lit("already taken in").alias("problem")).distinct())
+            # a batch that is repeated after a failure replaces its own folders
+            bad.write.mode("overwrite").parquet(f"{out}/violations/batch={number}")
+            series.join(bad.select("series").distinct(), "series", "left_anti").write.mode("overwrite").parquet(f"{out}/series/batch={number}")
         finally:
             df.unpersist()
 
