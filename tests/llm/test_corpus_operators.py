@@ -44,9 +44,9 @@ def brute_passages(rows, w=200):
 
 
 @pytest.mark.parametrize("seed", [1, 2])
-def test_passages(spark, seed):
+def test_passages(spark, seed, tmp_path):
     rows = passages(seed)
-    path = f"/tmp/loom_suffix{seed}"
+    path = str(tmp_path)
     spark.createDataFrame(rows, "doc_id long, text string").repartition(3).write.mode("overwrite").parquet(f"{path}/documents.parquet")
     got = suffix_dedup.op6_suffix_dedup(spark, path).collect()
     assert sorted((str(r.doc_id), r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in got) == brute_passages(rows)
@@ -98,19 +98,19 @@ def brute_near(rows):
     return sorted(out)
 
 
-def test_near_duplicates(spark):
+def test_near_duplicates(spark, tmp_path):
     rows = near_rows()
-    spark.createDataFrame(rows, "doc_id long, text string").write.mode("overwrite").parquet("/tmp/loom_near/documents.parquet")
-    got = near_dedup.op5_near_duplicates(spark, "/tmp/loom_near").collect()
+    spark.createDataFrame(rows, "doc_id long, text string").write.mode("overwrite").parquet(f"{tmp_path}/documents.parquet")
+    got = near_dedup.op5_near_duplicates(spark, str(tmp_path)).collect()
     assert sorted((str(r.doc_id), r.n_shingles, str(r.component_id), r.kept) for r in got) == brute_near(rows)
-    docs = spark.read.parquet("/tmp/loom_near/documents.parquet")
+    docs = spark.read.parquet(f"{tmp_path}/documents.parquet")
     kept = near_dedup.drop_near_duplicates(docs)
     assert kept.columns == docs.columns
     assert kept.filter("text = 'a b'").count() == 1 and kept.filter("lower(text) = 'a b c'").count() == 1
     assert near_dedup.drop_near_duplicates(docs.limit(0)).count() == 0
 
 
-def test_a_large_group_of_edited_copies(spark):
+def test_a_large_group_of_edited_copies(spark, tmp_path):
     """Similarities on both sides of the threshold: stars, further centres and exact bounds together find what brute force finds."""
     rng = random.Random(8)
     base = words(rng, 60).split()
@@ -120,8 +120,8 @@ def test_a_large_group_of_edited_copies(spark):
         for _ in range(rng.choice((1, 1, 2, 2, 3, 4))):
             x[rng.randrange(len(x))] = f"w{rng.randrange(40)}"
         rows.append((i, " ".join(x)))
-    spark.createDataFrame(rows, "doc_id long, text string").write.mode("overwrite").parquet("/tmp/loom_group/documents.parquet")
-    got = near_dedup.op5_near_duplicates(spark, "/tmp/loom_group").collect()
+    spark.createDataFrame(rows, "doc_id long, text string").write.mode("overwrite").parquet(f"{tmp_path}/documents.parquet")
+    got = near_dedup.op5_near_duplicates(spark, str(tmp_path)).collect()
     want = brute_near(rows)
     assert 1 < len({c for _, _, c, _ in want}) < 160
     assert sorted((str(r.doc_id), r.n_shingles, str(r.component_id), r.kept) for r in got) == want
@@ -196,12 +196,121 @@ def test_anchors_of_long_texts_do_not_depend_on_the_step(monkeypatch):
     from loomframe.llm import anchors
 
     data = np.frombuffer((words(random.Random(4), 3000) + "z" * 700).encode(), np.uint8)
-    whole = anchors.anchors(anchors.Prefix(data), np.array([0, 900, len(data)]))
+    whole = anchors.anchors(data, np.array([0, 900, len(data)]))
     monkeypatch.setattr(anchors, "STEP", 333)
-    parts = anchors.anchors(anchors.Prefix(data), np.array([0, 900, len(data)]))
+    parts = anchors.anchors(data, np.array([0, 900, len(data)]))
     assert all((a == b).all() for a, b in zip(whole, parts))
 
 
+def thue_morse(n):
+    return "".join("ab"[bin(i).count("1") % 2] for i in range(n))
+
+
+def test_words_that_polynomial_hashes_confuse_stay_apart(spark, tmp_path):
+    a = thue_morse(1024)
+    b = a.translate(str.maketrans("ab", "ba"))
+    rows = [(1, f"one two {a} three four"), (2, f"one two {b} three four")]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    assert all(r.kept and r.component_id == r.doc_id for r in near_dedup.op5_near_duplicates(spark, str(tmp_path)).collect())
+    rows = [(1, "x" * 50 + a + "y" * 200), (2, "z" * 50 + b + "w" * 200)]
+    spark.createDataFrame(rows, "doc_id long, text string").write.mode("overwrite").parquet(f"{tmp_path}/documents.parquet")
+    got = suffix_dedup.op6_suffix_dedup(spark, str(tmp_path)).collect()
+    assert sorted((str(r.doc_id), r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in got) == brute_passages(rows)
+
+
+def test_passages_with_one_hot_line_in_narrow_ranges(spark, tmp_path, monkeypatch):
+    """A line of 64 to 199 bytes in most texts, with other text around it: its strings are dealt to several ranges, with exact neighbours across them."""
+    monkeypatch.setattr(suffix_dedup, "RANGE_STRINGS", 40)
+    rng = random.Random(9)
+    line = words(rng, 40)[:150]
+    tails = [words(rng, 12) for _ in range(6)]
+    rows = [(i, words(rng, rng.randint(5, 30)) + line + rng.choice(tails)[: rng.randint(20, 60)] + words(rng, 20)) for i in range(150)]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    got = suffix_dedup.op6_suffix_dedup(spark, str(tmp_path)).collect()
+    want = brute_passages(rows)
+    assert sum(r[2] for r in want) > 0
+    assert sorted((str(r.doc_id), r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in got) == want
+
+
+def test_cut_passages_keeps_clashing_columns(spark):
+    docs = spark.createDataFrame([(i, "abc " * 90, "mine", "x") for i in range(3)], "_row long, text string, kept string, _ranges string")
+    out = suffix_dedup.cut_passages(docs)
+    assert out.columns == ["_row", "text", "_ranges", "kept", "n_bytes", "n_removed", "n_spans"]
+    assert {r.n_removed for r in out.collect()} == {360}
+
+
+def test_shingles_in_pieces_are_the_same(monkeypatch):
+    from loomframe.llm import shingles
+
+    rng = random.Random(6)
+    a, b = words(rng, 900), words(rng, 300)
+    texts = [(a + " " + b).encode(), (b + " " + a[:2000]).encode()]
+    sets = [{tuple(t.split()[i : i + 5]) for i in range(len(t.split()) - 4)} for t in texts]
+    want = (len(sets[0]), len(sets[1]), len(sets[0] & sets[1]))
+
+    def made():
+        return [shingles.Shingles(shingles.word_keys(np.frombuffer(t, np.uint8), np.array([0, len(t)]))[1]) for t in texts]
+
+    assert shingles.common(*made()) == want
+    monkeypatch.setattr(shingles, "TOGETHER", 100)
+    monkeypatch.setattr(shingles, "SLICE_BYTES", 700)
+    assert shingles.common(*made()) == want and made()[0].pieces() > 5
+    # hashes that clash: shingles are told apart by their keys
+    monkeypatch.setattr(shingles, "_chained", lambda h: np.arange(max(0, len(h) - 4)).astype(np.uint64) % np.uint64(7))
+    assert shingles.common(*made()) == want
+
+
+def test_many_pages_of_one_template_are_settled_without_all_pairs(spark, tmp_path):
+    """Pages that share 70 % with each other: none is linked, and no join lists their pairs."""
+    rng = random.Random(12)
+    template = words(rng, 120)
+    rows = [(i, template + " " + " ".join(f"u{i}x{k}" for k in range(45))) for i in range(1500)]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    got = near_dedup.op5_near_duplicates(spark, str(tmp_path))
+    assert got.filter("kept AND component_id = doc_id").count() == 1500
+
+
+def test_shards_have_sizes_and_checksums(spark):
+    import zlib
+
+    texts = {i: t for i, t in enumerate(["", "a", "é日𝒳", "x" * 5000])} | {9: None}
+    docs = spark.createDataFrame([(i, t, "mine") for i, t in texts.items()], "doc_id long, text string, shard string")
+    for r in sharding.shard_documents(docs).collect():
+        raw = (texts[r.doc_id] or "").encode()
+        assert (r["size"], r.text_crc32) == (len(raw) + 16, zlib.crc32(raw)) and 0 <= r.shard < 40 and r.law == "key"
+    assert sharding.shard_documents(docs.limit(0)).count() == 0
+
+
+def test_top_k_of_repeated_rows_clusters_and_large_numbers(spark, monkeypatch):
+    monkeypatch.setattr(topk, "SHARD_ROWS", 64)
+    rng = np.random.default_rng(4)
+    centres = rng.integers(-500, 500, (6, 5))
+    x = centres[rng.integers(0, 6, 900)] + rng.integers(-9, 9, (900, 5))
+    x[:300] = x[0]
+    rows = [(i, v.tolist()) for i, v in enumerate(x)] + [(5, x[5].tolist())]
+    v = spark.createDataFrame(rows, "vec_id long, v array<long>")
+    got = topk.top_k(v, v.filter("vec_id % 100 = 0"), 5).collect()
+    for q in range(0, 900, 100):
+        want = sorted(((-int(np.dot(x[q], w)), i) for i, w in rows if i != q))[:5]
+        assert [(r.score, r.vec_id) for r in sorted(got, key=lambda r: r["rank"]) if r.query_id == q] == [(-s, i) for s, i in want]
+    big = spark.createDataFrame([(0, [2**30, 1]), (1, [2**30, 3]), (2, [2**30, 2])], "vec_id long, v array<long>")
+    assert [r.score for r in sorted(topk.top_k(big, big.filter("vec_id = 0"), 2).collect(), key=lambda r: r["rank"])] == [2**60 + 3, 2**60 + 2]
+
+
+def test_oracles_agree(spark):
+    import duckdb
+    from loomframe.llm.queries import ORACLES, QUERIES
+
+    sf = "/root/testdata/sf0.001"
+    con = duckdb.connect()
+    for t in ("documents", "embeddings", "pages"):
+        con.sql(f"CREATE VIEW {t} AS SELECT * FROM '{sf}/{t}.parquet'")
+    for name, sql in ORACLES.items():
+        df = QUERIES[name](spark, sf)
+        columns = ", ".join(sorted(df.columns))
+        assert sorted(map(str, map(tuple, df.select(*sorted(df.columns)).collect()))) == sorted(map(str, con.sql(f"SELECT {columns} FROM ({sql})").fetchall())), name
+
+
 @pytest.mark.parametrize("place", ["op5", "near_dedup", "op6", "passages"])
 def test_row_numbers_stay_when_the_splits_change(spark, monkeypatch, place):
     import corpus_pipeline
