@@ -19,8 +19,8 @@ BANDS, ROWS = 40, 5
 LEAST = 75
 #: Members that are compared with a centre in one task group, and shingles whose permutations are drawn together.
 GROUP, DRAWN = 64, 1 << 17
-#: Classes of shingles that are counted for a bound.
-CLASSES = 64
+#: Classes of shingles that are counted for a bound, and rarer shingles that go with one.
+CLASSES, RARER = 64, 64
 
 
 class Signature:
@@ -188,13 +188,13 @@ def needed(size: Column) -> Column:
 
 def rare_shingles(open_: DataFrame, rows: DataFrame, space: Workspace) -> DataFrame:
     """The rarest shingles of each open node (node, size, label) that can still be linked with one of another label: shingle, node, size, label, rest, rank,
-    small, classes. rows: (shingle, node).
+    small, rarer, classes. rows: (shingle, node).
 
     A linked pair shares at least LEAST / 100 of either set, and 2 * LEAST / (100 + LEAST) of the smaller one. So
     1. a node goes when fewer of its shingles than that occur under another label too; this is repeated, as fewer nodes are left;
     2. each node's remaining shingles (rest of them) are ranked, the rarest first, in one order for all; a linked pair has its first common shingle
        among the first of either, as many as can be missing, plus one; for the smaller of the two sets (small) fewer can be missing.
-    classes counts the rest by CLASSES classes of their hashes.
+    rarer has the shingles ranked before, up to RARER of them (else null); classes counts the rest by CLASSES classes of their hashes.
     """
     nodes = space.stored(open_, "open")
     rows = space.stored(rows.join(nodes.select("node"), "node", "left_semi"), "shingles")
@@ -219,8 +219,10 @@ def rare_shingles(open_: DataFrame, rows: DataFrame, space: Workspace) -> DataFr
     # one more place than the theorem asks for, as two shingles of a node could have one hash
     most = F.col("rest") - needed(F.col("size")) + 2
     fewer = F.col("rest") - F.ceil(F.col("size") * F.lit(2 * LEAST) / (100 + LEAST)) + 2
-    first = first.filter(F.col("rank") <= most).withColumn("small", F.col("rank") <= fewer).join(classes, "node")
-    return space.stored(first.select("shingle", "node", "size", "label", "rest", "rank", "small", "classes"), "first")
+    first = first.filter(F.col("rank") <= most).withColumn("small", F.col("rank") <= fewer)
+    rarer = F.collect_list("shingle").over(Window.partitionBy("node").orderBy("n", "shingle").rowsBetween(-RARER, -1))
+    first = first.withColumn("rarer", F.when(F.col("rank") <= RARER + 1, rarer)).join(classes, "node")
+    return space.stored(first.select("shingle", "node", "size", "label", "rest", "rank", "small", "rarer", "classes"), "first")
 
 
 def all_pairs(first: DataFrame) -> DataFrame:
@@ -229,15 +231,17 @@ def all_pairs(first: DataFrame) -> DataFrame:
     Nodes meet in an equi-join on their rare shingles. A shingle that all share, as on pages of one template, is rare to none of them unless they share
     all they may miss. Of each class of shingles no more are common than the node with fewer has.
     """
-    names = ("node", "size", "label", "rest", "rank", "classes")
+    names = ("node", "size", "label", "rest", "rank", "rarer", "classes")
     s = first.filter("small").select("shingle", *[F.col(c).alias(f"s_{c}") for c in names])
     t = first.select("shingle", *[F.col(c).alias(f"t_{c}") for c in names])
     fits = f"s_label <> t_label AND (s_size < t_size OR (s_size = t_size AND s_node < t_node)) AND 100 * s_size >= {LEAST} * t_size"
-    # behind the common shingle at these ranks at most so many more can be shared; two more as two shingles could have one hash
-    reach = f"{100 + LEAST} * (least(s_rest - s_rank, t_rest - t_rank) + least(s_rank, t_rank) + 2) >= {LEAST} * (s_size + t_size)"
+    # of a pair's common shingles the first one counts: behind it there are no more than so many; two more as two shingles could have one hash
+    reach = f"{100 + LEAST} * (least(s_rest - s_rank, t_rest - t_rank) + 3) >= {LEAST} * (s_size + t_size)"
     shared = "aggregate(zip_with(s_classes, t_classes, (x, y) -> least(x, y)), 0, (n, x) -> n + x)"
     near = f"{100 + LEAST} * ({shared} + 2) >= {LEAST} * (s_size + t_size)"
-    return s.join(t, "shingle").filter(f"{fits} AND {reach} AND {near}").select(F.least("s_node", "t_node").alias("a"), F.greatest("s_node", "t_node").alias("b")).distinct()
+    # a pair that has met on a rarer shingle needn't meet again; where that isn't known, distinct sees to it
+    once = "(s_rarer IS NULL OR t_rarer IS NULL OR NOT arrays_overlap(s_rarer, t_rarer))"
+    return s.join(t, "shingle").filter(f"{fits} AND {reach} AND {once} AND {near}").select(F.least("s_node", "t_node").alias("a"), F.greatest("s_node", "t_node").alias("b")).distinct()
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
