@@ -147,6 +147,9 @@ def _features(before: Column, m: Column, mail: bool) -> Column:
         "context": F.when(before.rlike(CONTEXT), 2).when(before.rlike(THINGS), 1).otherwise(0),
         "first": F.when(lead == 0, 0).when(lead <= 3, 1).when(lead == 4, 2).otherwise(3) if not mail else (m.rlike(r"[A-Za-z0-9]\.[A-Za-z]{2,}")).cast("int"),
     }
+    if mail:
+        # what an address holds in digits says nothing
+        values |= dict.fromkeys(("digits", "groups", "separator"), F.lit(0))
     cell = F.lit(0)
     for name, size in FEATURES.items():
         cell = cell * size + values[name]

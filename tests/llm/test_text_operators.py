@@ -77,7 +77,7 @@ def test_pii_redaction_removes_base_spans(spark):
 
 
 def pii_rows():
-    return real() + [(10_000 + i, f"Please call +1 (6{i % 10}4) 555-{1000 + i} or write to user{i}@mail{i % 9}.example.com; card {card(i)} was used.") for i in range(300)]
+    return real() + [(10_000 + i, f"{'Please call' if i % 2 else 'Then came'} +1 (6{i % 10}4) 555-{1000 + i} {'or write to' if i % 3 else 'and'} user{i}@mail{i % 9}.example.com; {'card' if i % 2 else 'of'} {card(i)} was used.") for i in range(300)]
 
 
 @pytest.fixture(scope="module")
