@@ -89,7 +89,16 @@ def _(spark, d):
     return long(op.remove_components(wide_signal(spark, d), design(spark, d, 5), [0, 3]))
 
 
-@query("L10_tissue_signal_regression")
+#: Every node's series without gaps (v), and the two classes' mean series without their means.
+_TISSUE = f"""f AS (SELECT unnest(range({FRAMES}))::INTEGER AS frame),
+full_ AS (SELECT n.node_id, f.frame, coalesce(s.value, 0)::DOUBLE AS v FROM (SELECT DISTINCT node_id FROM signal) n CROSS JOIN f LEFT JOIN signal s ON s.node_id = n.node_id AND s.frame = f.frame),
+means AS (SELECT frame, avg(value) FILTER (node_id % 2 = 0) AS a, avg(value) FILTER (node_id % 2 = 1) AS b FROM signal GROUP BY 1),
+x AS (SELECT f.frame, coalesce(a, 0) - avg(coalesce(a, 0)) OVER () AS a, coalesce(b, 0) - avg(coalesce(b, 0)) OVER () AS b FROM f LEFT JOIN means USING (frame)),
+g AS (SELECT sum(a * a) AS aa, sum(a * b) AS ab, sum(b * b) AS bb FROM x),
+y AS (SELECT node_id, count(*) * var_pop(v) AS vv, sum(a * v) AS av, sum(b * v) AS bv FROM full_ JOIN x USING (frame) GROUP BY 1)"""
+
+
+@query("L10_tissue_signal_regression", sql("signal", f"SELECT node_id, {R('1 - (av * (bb * av - ab * bv) + bv * (aa * bv - ab * av)) / (aa * bb - ab * ab) / nullif(vv, 0)', 'ratio')} FROM y, g", _TISSUE))
 def _(spark, d):
     x = design(spark, d, 2)
     return rounded(op.tissue_signal_regression(wide_signal(spark, d), x[:, 0], x[:, 1]).select("node_id", "ratio"), "ratio")
@@ -170,7 +179,14 @@ def _(spark, d):
     return rounded(op.near_signal_regression(op.to_long(vectors(spark, d)), n, 0.08), "value")
 
 
-@query("L26_fc_fingerprints")
+#: Centred unit vectors, and those of the first ten nodes as references.
+_UNIT = """c AS (SELECT node_id, list_transform(ts, lambda e: e - m) AS c FROM (SELECT *, list_avg(ts) AS m FROM vectors)),
+u AS (SELECT node_id, list_transform(c, lambda e: e / n) AS u FROM (SELECT *, sqrt(list_dot_product(c, c)) + 1e-8 AS n FROM c)),
+r AS (SELECT (row_number() OVER (ORDER BY node_id) - 1)::INTEGER AS ref, u AS r FROM u ORDER BY node_id LIMIT 10),
+p AS (SELECT node_id, ref, list_dot_product(u, r) AS v FROM u, r)"""
+
+
+@query("L26_fc_fingerprints", sql("vectors", f"SELECT node_id, ref, {R('v / (sqrt(sum(v * v) OVER (PARTITION BY node_id)) + 1e-8)', 'value')} FROM p", _UNIT))
 def _(spark, d):
     v = vectors(spark, d)
     refs = np.array([r["ts"] for r in v.orderBy("node_id").limit(10).collect()])
