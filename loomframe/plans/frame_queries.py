@@ -14,47 +14,47 @@ _ABS = " + ".join
 _FD = "coalesce(" + _ABS(f"abs({p} - {_LAG.format(p)})" for p in P[3:]) + " + 50 * (" + _ABS(f"abs({p} - {_LAG.format(p)})" for p in P[:3]) + "), 0.0)"
 
 
-@query("W1_framewise_displacement", sql("motion", f"SELECT run, frame, round({_FD}, 6) + 0.0 AS fd FROM motion"))
+@query("W1_framewise_displacement", sql("motion", f"SELECT run, frame, round({_FD} + 1e-9, 6) + 0.0 AS fd FROM motion"))
 def _(spark, d):
     return rounded(op.framewise_displacement(motion(spark, d)), "fd")
 
 
-@query("W2_fd_from_derivatives", sql("motion", "SELECT run, frame, round(coalesce(" + _ABS(f"abs({p} - {_LAG.format(p)})" for p in P[:3]) + " + 50 * pi() / 180 * (" + _ABS(f"abs({p} - {_LAG.format(p)})" for p in P[3:]) + "), 0.0), 6) + 0.0 AS fd FROM motion"))
+@query("W2_fd_from_derivatives", sql("motion", "SELECT run, frame, round(coalesce(" + _ABS(f"abs({p} - {_LAG.format(p)})" for p in P[:3]) + " + 50 * pi() / 180 * (" + _ABS(f"abs({p} - {_LAG.format(p)})" for p in P[3:]) + "), 0.0) + 1e-9, 6) + 0.0 AS fd FROM motion"))
 def _(spark, d):
     return rounded(op.fd_from_derivatives(motion(spark, d)), "fd")
 
 
-@query("W3_backward_difference", sql("signal", "SELECT node_id, frame, round(coalesce(value - lag(value) OVER (PARTITION BY node_id ORDER BY frame), 0.0), 6) + 0.0 AS d_value FROM signal"))
+@query("W3_backward_difference", sql("signal", "SELECT node_id, frame, round(coalesce(value - lag(value) OVER (PARTITION BY node_id ORDER BY frame), 0.0) + 1e-9, 6) + 0.0 AS d_value FROM signal"))
 def _(spark, d):
     return rounded(op.backward_difference(signal(spark, d), ["value"], ["node_id"]), "d_value").select("node_id", "frame", "d_value")
 
 
-@query("W4_central_difference", sql("signal", "SELECT node_id, frame, round(coalesce(CASE WHEN b IS NULL THEN a - value WHEN a IS NULL THEN value - b ELSE (a - b) / 2 END, 0.0), 6) + 0.0 AS d_value FROM (SELECT *, lag(value) OVER w AS b, lead(value) OVER w AS a FROM signal WINDOW w AS (PARTITION BY node_id ORDER BY frame))"))
+@query("W4_central_difference", sql("signal", "SELECT node_id, frame, round(coalesce(CASE WHEN b IS NULL THEN a - value WHEN a IS NULL THEN value - b ELSE (a - b) / 2 END, 0.0) + 1e-9, 6) + 0.0 AS d_value FROM (SELECT *, lag(value) OVER w AS b, lead(value) OVER w AS a FROM signal WINDOW w AS (PARTITION BY node_id ORDER BY frame))"))
 def _(spark, d):
     return rounded(op.central_difference(signal(spark, d), ["value"], ["node_id"]), "d_value").select("node_id", "frame", "d_value")
 
 
-@query("W5_dvars", sql("signal", "SELECT frame, round(CASE WHEN frame = (SELECT min(frame) FROM per) THEN 0.0 ELSE rms - (SELECT quantile_cont(rms, 0.5) FROM per) END, 6) + 0.0 AS dvars FROM per", "d AS (SELECT frame, value - lag(value) OVER (PARTITION BY node_id ORDER BY frame) AS d FROM signal), per AS (SELECT frame, sqrt(avg(d * d)) AS rms FROM d GROUP BY frame)"))
+@query("W5_dvars", sql("signal", "SELECT frame, round(CASE WHEN frame = (SELECT min(frame) FROM per) THEN 0.0 ELSE rms - (SELECT quantile_cont(rms, 0.5) FROM per) END + 1e-9, 6) + 0.0 AS dvars FROM per", "d AS (SELECT frame, value - lag(value) OVER (PARTITION BY node_id ORDER BY frame) AS d FROM signal), per AS (SELECT frame, sqrt(avg(d * d)) AS rms FROM d GROUP BY frame)"))
 def _(spark, d):
     return rounded(op.dvars(signal(spark, d)), "dvars")
 
 
-@query("W6_demean_runs", sql("run_signal", "SELECT run, node_id, frame, round(value - avg(value) OVER (PARTITION BY run, node_id), 6) + 0.0 AS value FROM run_signal"))
+@query("W6_demean_runs", sql("run_signal", "SELECT run, node_id, frame, round(value - avg(value) OVER (PARTITION BY run, node_id) + 1e-9, 6) + 0.0 AS value FROM run_signal"))
 def _(spark, d):
     return rounded(op.demean_runs(run_signal(spark, d)), "value")
 
 
-@query("W6_var_norm_runs", sql("run_signal", "SELECT run, node_id, frame, round((value - avg(value) OVER w) / CASE WHEN stddev_pop(value) OVER w > 1e-8 THEN stddev_pop(value) OVER w ELSE 1 END, 6) + 0.0 AS value FROM run_signal WINDOW w AS (PARTITION BY run, node_id)"))
+@query("W6_var_norm_runs", sql("run_signal", "SELECT run, node_id, frame, round((value - avg(value) OVER w) / CASE WHEN stddev_pop(value) OVER w > 1e-8 THEN stddev_pop(value) OVER w ELSE 1 END + 1e-9, 6) + 0.0 AS value FROM run_signal WINDOW w AS (PARTITION BY run, node_id)"))
 def _(spark, d):
     return rounded(op.demean_runs(run_signal(spark, d), True, 1e-8), "value")
 
 
-@query("W7_standardise", sql("signal", "SELECT node_id, frame, round((value - avg(value) OVER w) / CASE WHEN stddev_pop(value) OVER w > 0 THEN stddev_pop(value) OVER w ELSE 1 END, 6) + 0.0 AS value FROM signal WINDOW w AS (PARTITION BY node_id)"))
+@query("W7_standardise", sql("signal", "SELECT node_id, frame, round((value - avg(value) OVER w) / CASE WHEN stddev_pop(value) OVER w > 0 THEN stddev_pop(value) OVER w ELSE 1 END + 1e-9, 6) + 0.0 AS value FROM signal WINDOW w AS (PARTITION BY node_id)"))
 def _(spark, d):
     return rounded(op.standardise(signal(spark, d), ["value"], ["node_id"]), "value")
 
 
-@query("W7_standardise_sample", sql("signal", "SELECT node_id, frame, round((value - avg(value) OVER w) / greatest(stddev_samp(value) OVER w, 1e-5), 6) + 0.0 AS value FROM signal WINDOW w AS (PARTITION BY node_id)"))
+@query("W7_standardise_sample", sql("signal", "SELECT node_id, frame, round((value - avg(value) OVER w) / greatest(stddev_samp(value) OVER w, 1e-5) + 1e-9, 6) + 0.0 AS value FROM signal WINDOW w AS (PARTITION BY node_id)"))
 def _(spark, d):
     return rounded(op.standardise(signal(spark, d), ["value"], ["node_id"], True, 1e-5), "value")
 
@@ -63,14 +63,14 @@ _TWELVE = [*P, *[f"d_{p}" for p in P]]
 _Z = "({0} - avg({0}) OVER (PARTITION BY run)) / greatest(stddev_samp({0}) OVER (PARTITION BY run), 1e-5)"
 
 
-@query("W8_expand_motion24", sql("motion", "SELECT run, frame, " + ", ".join([f"round({c}, 6) + 0.0 AS {c}" for c in _TWELVE] + [f"round({_Z.format(c + '_sq')}, 6) + 0.0 AS {c}_sq" for c in _TWELVE]) + " FROM s",
+@query("W8_expand_motion24", sql("motion", "SELECT run, frame, " + ", ".join([f"round({c} + 1e-9, 6) + 0.0 AS {c}" for c in _TWELVE] + [f"round({_Z.format(c + '_sq')} + 1e-9, 6) + 0.0 AS {c}_sq" for c in _TWELVE]) + " FROM s",
     "b AS (SELECT run, frame, " + ", ".join([*P, *[f"coalesce({p} - {_LAG.format(p)}, 0.0) AS d_{p}" for p in P]]) + " FROM motion), z AS (SELECT run, frame, " + ", ".join(f"{_Z.format(c)} AS {c}" for c in _TWELVE) + " FROM b), s AS (SELECT *, " + ", ".join(f"{c} * {c} AS {c}_sq" for c in _TWELVE) + " FROM z)"))
 def _(spark, d):
     out = op.expand_motion24(motion(spark, d))
     return rounded(out, *[c for c in out.columns if c not in ("run", "frame")])
 
 
-@query("W9_linear_detrend", sql("signal", "SELECT node_id, frame, round(value - avg(value) OVER w - x * sum(x * value) OVER w / (n * (n + 1) / (3.0 * (n - 1))), 6) + 0.0 AS value FROM (SELECT *, 2.0::DOUBLE * (row_number() OVER (PARTITION BY node_id ORDER BY frame) - 1) / (n - 1) - 1 AS x FROM (SELECT *, count(*) OVER (PARTITION BY node_id) AS n FROM signal)) WINDOW w AS (PARTITION BY node_id)"))
+@query("W9_linear_detrend", sql("signal", "SELECT node_id, frame, round(value - avg(value) OVER w - x * sum(x * value) OVER w / (n * (n + 1) / (3.0 * (n - 1))) + 1e-9, 6) + 0.0 AS value FROM (SELECT *, 2.0::DOUBLE * (row_number() OVER (PARTITION BY node_id ORDER BY frame) - 1) / (n - 1) - 1 AS x FROM (SELECT *, count(*) OVER (PARTITION BY node_id) AS n FROM signal)) WINDOW w AS (PARTITION BY node_id)"))
 def _(spark, d):
     return rounded(op.linear_detrend(signal(spark, d), ["value"], ["node_id"]), "value")
 
@@ -92,7 +92,7 @@ def _(spark, d):
     return op.renumber(table(spark, d, "documents").select(label.alias("label")))
 
 
-@query("W15_slice_timing", "WITH t AS (SELECT o_custkey AS series, list(o_totalprice ORDER BY o_orderkey) AS times FROM orders GROUP BY 1), e AS (SELECT series, len(times) // 2 AS n, unnest(times) AS time, generate_subscripts(times, 1) - 1 AS pos FROM t), p AS (SELECT *, row_number() OVER (PARTITION BY series ORDER BY time, pos) - 1 AS place FROM e WHERE pos < n) SELECT series, (band * n + pos)::INTEGER AS slice, round((floor(n / 2.0 + 0.5) - 1 - place) / n, 6) + 0.0 AS shift FROM p, (VALUES (0), (1)) b(band)")
+@query("W15_slice_timing", "WITH t AS (SELECT o_custkey AS series, list(o_totalprice ORDER BY o_orderkey) AS times FROM orders GROUP BY 1), e AS (SELECT series, len(times) // 2 AS n, unnest(times) AS time, generate_subscripts(times, 1) - 1 AS pos FROM t), p AS (SELECT *, row_number() OVER (PARTITION BY series ORDER BY time, pos) - 1 AS place FROM e WHERE pos < n) SELECT series, (band * n + pos)::INTEGER AS slice, round((floor(n / 2.0 + 0.5) - 1 - place) / n + 1e-9, 6) + 0.0 AS shift FROM p, (VALUES (0), (1)) b(band)")
 def _(spark, d):
     t = table(spark, d, "orders").groupBy(F.col("o_custkey").alias("series")).agg(F.transform(F.array_sort(F.collect_list(F.struct("o_orderkey", "o_totalprice"))), lambda x: x["o_totalprice"]).alias("times"))
     return rounded(op.slice_timing(t, 2), "shift")
@@ -118,12 +118,12 @@ def _(spark, d):
     return op.spaced_baselines(f.withColumn("vol", vol).select("series", "vol", "bval"), 300, 4)
 
 
-@query("W19_demean_regressors", sql("motion", "SELECT run, frame, " + ", ".join(f"round({p} - avg({p}) OVER (PARTITION BY run), 6) + 0.0 AS {p}" for p in P) + " FROM motion"))
+@query("W19_demean_regressors", sql("motion", "SELECT run, frame, " + ", ".join(f"round({p} - avg({p}) OVER (PARTITION BY run) + 1e-9, 6) + 0.0 AS {p}" for p in P) + " FROM motion"))
 def _(spark, d):
     return rounded(op.demean_regressors(motion(spark, d)), *P)
 
 
-@query("P7_censor", sql("run_signal motion", "SELECT node_id, frame, round(value, 6) + 0.0 AS value FROM run_signal WHERE frame IN (SELECT frame FROM f WHERE fd < 1000)", f"f AS (SELECT frame, {_FD} AS fd FROM motion)"))
+@query("P7_censor", sql("run_signal motion", "SELECT node_id, frame, round(value + 1e-9, 6) + 0.0 AS value FROM run_signal WHERE frame IN (SELECT frame FROM f WHERE fd < 1000)", f"f AS (SELECT frame, {_FD} AS fd FROM motion)"))
 def _(spark, d):
     out = op.censor(run_signal(spark, d), op.framewise_displacement(motion(spark, d)), 1000.0)
     return rounded(out, "value").select("node_id", "frame", "value")
@@ -144,12 +144,12 @@ def _(spark, d):
 _CONCAT = "n AS (SELECT run, count(DISTINCT frame) AS n, min(frame) AS f0 FROM run_signal GROUP BY run), x AS (SELECT run, f0, coalesce(sum(n) OVER (ORDER BY run ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS start, row_number() OVER (ORDER BY run)::INTEGER AS scan FROM n)"
 
 
-@query("U1_concat_runs", sql("run_signal", "SELECT scan, node_id, (start + frame - f0)::INTEGER AS global_frame, round(value - avg(value) OVER (PARTITION BY run, node_id), 6) + 0.0 AS value FROM run_signal JOIN x USING (run)", _CONCAT))
+@query("U1_concat_runs", sql("run_signal", "SELECT scan, node_id, (start + frame - f0)::INTEGER AS global_frame, round(value - avg(value) OVER (PARTITION BY run, node_id) + 1e-9, 6) + 0.0 AS value FROM run_signal JOIN x USING (run)", _CONCAT))
 def _(spark, d):
     return rounded(op.concat_runs(run_signal(spark, d)), "value")
 
 
-@query("U2_split_runs", sql("run_signal", "SELECT run, node_id, (frame - f0)::INTEGER AS frame, round(value, 6) + 0.0 AS value FROM run_signal JOIN x USING (run)", _CONCAT))
+@query("U2_split_runs", sql("run_signal", "SELECT run, node_id, (frame - f0)::INTEGER AS frame, round(value + 1e-9, 6) + 0.0 AS value FROM run_signal JOIN x USING (run)", _CONCAT))
 def _(spark, d):
     s = run_signal(spark, d)
     runs = s.groupBy("run").agg(F.countDistinct("frame").alias("n_frames"))

@@ -117,7 +117,7 @@ def _(spark, d):
     return rounded(op.apply_weights(signal(spark, d), w), "value")
 
 
-@query("J13_extract_runs", sql("run_signal", "SELECT run::VARCHAR AS run, CASE run WHEN 2 THEN 0 ELSE 1 END::INTEGER AS position, node_id, (frame - f0)::INTEGER AS frame, round(value - avg(value) OVER (PARTITION BY run, node_id), 6) + 0.0 AS value FROM run_signal JOIN x USING (run) WHERE run IN (0, 2)", _CONCAT))
+@query("J13_extract_runs", sql("run_signal", "SELECT run::VARCHAR AS run, CASE run WHEN 2 THEN 0 ELSE 1 END::INTEGER AS position, node_id, (frame - f0)::INTEGER AS frame, round(value - avg(value) OVER (PARTITION BY run, node_id) + 1e-9, 6) + 0.0 AS value FROM run_signal JOIN x USING (run) WHERE run IN (0, 2)", _CONCAT))
 def _(spark, d):
     s = run_signal(spark, d)
     extent = frames.run_extent(s.groupBy("run").agg(F.countDistinct("frame").alias("n_frames"))).withColumn("run", F.col("run").cast("string"))

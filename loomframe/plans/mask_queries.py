@@ -242,7 +242,7 @@ def _(spark, d):
     return table(spark, d, "orders").select("o_orderkey", r6(fn.clip(F.col("o_totalprice"), 50_000.0, 200_000.0)).alias("price"))
 
 
-@query("F9_te_units", "SELECT l_orderkey, CASE WHEN a < b THEN round(a * f, 6) + 0.0 END AS te1, CASE WHEN a < b THEN round(b * f, 6) + 0.0 END AS te2 FROM (SELECT l_orderkey, min(l_quantity) AS a, max(l_quantity) AS b, CASE WHEN max(l_quantity) > 1 THEN 0.001::DOUBLE ELSE 1 END AS f FROM lineitem GROUP BY 1)")
+@query("F9_te_units", "SELECT l_orderkey, CASE WHEN a < b THEN round(a * f + 1e-9, 6) + 0.0 END AS te1, CASE WHEN a < b THEN round(b * f + 1e-9, 6) + 0.0 END AS te2 FROM (SELECT l_orderkey, min(l_quantity) AS a, max(l_quantity) AS b, CASE WHEN max(l_quantity) > 1 THEN 0.001::DOUBLE ELSE 1 END AS f FROM lineitem GROUP BY 1)")
 def _(spark, d):
     t = table(spark, d, "lineitem").groupBy("l_orderkey").agg(F.array(F.min("l_quantity"), F.max("l_quantity")).alias("te"))
     return rounded(t.select("l_orderkey", fn.te_units(F.col("te")).alias("te")).select("l_orderkey", F.col("te")[0].alias("te1"), F.col("te")[1].alias("te2")), "te1", "te2")
@@ -253,7 +253,7 @@ def _(spark, d):
     return table(spark, d, "orders").select("o_orderkey", fn.format_g(F.col("o_totalprice") / 1e5).alias("text"))
 
 
-@query("F11_expand_range", "SELECT s_suppkey, round(unnest([0.001, 0.002, 0.003, 0.004, 0.5]), 6) + 0.0 AS density FROM supplier")
+@query("F11_expand_range", "SELECT s_suppkey, round(unnest([0.001, 0.002, 0.003, 0.004, 0.5]) + 1e-9, 6) + 0.0 AS density FROM supplier")
 def _(spark, d):
     values = fn.expand_range("0.001:0.001:0.004, 0.5")
     return rounded(table(spark, d, "supplier").select("s_suppkey", F.explode(F.array(*[F.lit(v) for v in values])).alias("density")), "density")
@@ -291,7 +291,7 @@ def _(spark, d):
     return table(spark, d, "events").select("event_id", fn.json_get(p, "k", F.lit("none")).alias("k"), fn.json_get(p, "missing", F.lit("default")).alias("missing"))
 
 
-@query("F19_fill_non_finite", "SELECT l_orderkey, l_linenumber, l_quantity, CASE WHEN l_discount = 0 THEN -1.0 ELSE round(l_quantity / l_discount, 6) + 0.0 END AS v FROM lineitem")
+@query("F19_fill_non_finite", "SELECT l_orderkey, l_linenumber, l_quantity, CASE WHEN l_discount = 0 THEN -1.0 ELSE round(l_quantity / l_discount + 1e-9, 6) + 0.0 END AS v FROM lineitem")
 def _(spark, d):
     return table(spark, d, "lineitem").select("l_orderkey", "l_linenumber", "l_quantity", r6(fn.fill_non_finite(F.try_divide("l_quantity", "l_discount"), -1.0)).alias("v"))
 

@@ -8,7 +8,8 @@ from loomframe.operators import stats as op
 from loomframe.plans.adapters import echoes, nodes, rounded, run_signal, signal, sql, table, vectors
 from loomframe.plans.registry import query
 
-R = "round({0}, 6) + 0.0 AS {1}".format
+#: As adapters.r6: a value half-way between two roundings goes up in both engines.
+R = "round({0} + 1e-9, 6) + 0.0 AS {1}".format
 
 
 @query("A1_temporal_reduce", sql("signal", f"SELECT node_id, {R('avg(value)', 'mean')}, {R('stddev_samp(value)', 'sd')}, min(value) AS low, max(value) AS high FROM signal GROUP BY 1"))

@@ -33,7 +33,7 @@ def _(spark, d):
     return spark.read.parquet(f"{at}/out/series").select("series", "role")
 
 
-@query("R2_censor_stream", sql("motion", f"SELECT run, frame, round({_FD}, 6) + 0.0 AS fd, {_FD} < 1000 AS keep FROM motion"))
+@query("R2_censor_stream", sql("motion", f"SELECT run, frame, round({_FD} + 1e-9, 6) + 0.0 AS fd, {_FD} < 1000 AS keep FROM motion"))
 def _(spark, d):
     at = scratch(spark)
     m = motion(spark, d).withColumns({"run": F.col("run").cast("int"), "frame": F.col("frame").cast("int"), "ts": F.timestamp_seconds(F.lit(1704067200) + F.col("frame") * 86400)}).select("run", "frame", "ts", *MOTION)
@@ -51,7 +51,7 @@ def _(spark, d):
     return spark.read.schema("o_orderkey bigint, o_totalprice string").csv(at, sep="\t", header=True)
 
 
-@query("S13_write_incremental", sql("motion", f"SELECT frame % 3 + 1 AS session, frame, round({_FD}, 6) + 0.0 AS fd FROM motion"))
+@query("S13_write_incremental", sql("motion", f"SELECT frame % 3 + 1 AS session, frame, round({_FD} + 1e-9, 6) + 0.0 AS fd FROM motion"))
 def _(spark, d):
     at = scratch(spark)
     fd = rounded(framewise_displacement(motion(spark, d)), "fd").select((F.col("frame") % 3 + 1).alias("session"), "frame", "fd")
