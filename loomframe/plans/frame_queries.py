@@ -109,7 +109,14 @@ def _(spark, d):
     return op.cumulative_cap(table(spark, d, "supplier"), "s_acctbal", "s_acctbal", "s_suppkey", 0.6).select("s_suppkey", "kept")
 
 
-@query("W18_spaced_baselines")
+#: One volume of every series a step.
+_SPACED = """WITH RECURSIVE f AS (SELECT user_id AS series, (row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) - 1)::INTEGER AS vol, event_id * 37 % 1000 AS bval FROM events),
+s(series, vol, pick) AS (SELECT series, vol, CASE WHEN bval < 300 THEN 0 ELSE -1 END::INTEGER FROM f WHERE vol = 0
+UNION ALL SELECT f.series, f.vol, CASE WHEN bval < 300 AND (pick < 0 OR f.vol - pick >= 4) THEN f.vol ELSE pick END FROM s JOIN f ON f.series = s.series AND f.vol = s.vol + 1)
+SELECT series, vol, pick FROM s"""
+
+
+@query("W18_spaced_baselines", _SPACED)
 def _(spark, d):
     f = table(spark, d, "events").select(F.col("user_id").alias("series"), "ts", "event_id", (F.col("event_id") * 37 % 1000).cast("int").alias("bval"))
     from pyspark.sql import Window

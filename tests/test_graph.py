@@ -1,5 +1,6 @@
 """Graph invariants, plans without nested loops, small negative cases."""
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -125,3 +126,25 @@ def test_densities_follow_the_number_of_nodes(spark, tmp_path):
     graphs = catalog.QUERIES["G1_density_graphs"](spark, str(tmp_path)).collect()
     assert {(r.src, r.dst) for r in graphs if r.density == 0.004} == want[5]
     assert {(r.src, r.dst) for r in graphs if r.density == 0.01} == want[12]
+
+
+def test_pairs_of_directions_are_the_mean_tensors_axes(spark):
+    rng = np.random.default_rng(4)
+    rows = {side: [(s, 3 * i + 1, float(b), *map(float, v / np.linalg.norm(v))) for s, n in sizes.items() for i, (b, v) in enumerate(zip(rng.integers(500, 3000, n), rng.normal(size=(n, 3))))] for side, sizes in (("p", {1: 4, 2: 2}), ("n", {1: 2, 2: 3}))}
+    kind = "series int, vol int, bval double, bx double, by double, bz double"
+    pos, neg = (spark.createDataFrame(rows[side], kind) for side in "pn")
+    want = {}
+    for s in (1, 2):
+        p, n = ([r for r in rows[side] if r[0] == s] for side in "pn")
+        for i in range(max(len(p), len(n))):
+            pair = [side[i] for side in (p, n) if i < len(side)]
+            tensor = sum(r[2] * np.outer(r[3:], r[3:]) for r in pair) / len(pair)
+            want[s, p[i][1] if i < len(p) else -1, n[i][1] if i < len(n) else -1] = tensor
+    got = {(r["series"], r["pos_vol"], r["neg_vol"]): r for r in joins.pair_directions(pos, neg).collect()}
+    assert got.keys() == want.keys()
+    for k, tensor in want.items():
+        v = np.array([got[k]["bx"], got[k]["by"], got[k]["bz"]])
+        assert np.allclose(tensor @ v, got[k]["bval"] * v) and np.isclose(np.linalg.norm(v), 1)
+        assert np.isclose(got[k]["bval"], np.linalg.norm(tensor, 2))
+    both = joins.pair_directions(pos, neg, combine_only=True).select("series", "pos_vol", "neg_vol").collect()
+    assert sorted(map(tuple, both)) == sorted(k for k in want if -1 not in k)
