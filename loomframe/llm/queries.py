@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from importlib import import_module
 
-MODULES = ["topk", "pii", "url_filter", "sharding", "near_dedup", "suffix_dedup", "packing", "quality", "secret_scan", "bpe", "whitening", "warc"]
+MODULES = ["topk", "pii", "url_filter", "sharding", "near_dedup", "suffix_dedup", "packing", "quality", "secret_scan", "bpe", "whitening", "warc", "conversations"]
 
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
