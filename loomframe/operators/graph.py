@@ -10,8 +10,6 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from loomframe.operators.frames import in_total_order, settled
-from loomframe.operators.linear import _blocks
-from loomframe.operators.stats import outer_sums, wide_maps
 
 
 def most_edges(n: int, density: float) -> int:
@@ -335,40 +333,3 @@ def spaced_reference(nodes: DataFrame, near: DataFrame, seed: int = 0) -> DataFr
         chosen = joins if chosen is None else chosen.unionByName(joins)
         gone = joins.union(edges.join(joins.withColumnRenamed("node_id", "dst"), "dst", "left_semi").select("src"))
         left = settled(left.join(gone, "node_id", "left_anti"))
-
-
-def _zscores(y: np.ndarray) -> np.ndarray:
-    sd = y.std(1, keepdims=True)
-    return (y - y.mean(1, keepdims=True)) / np.where(sd > 0, sd, 1)
-
-
-def ridge_fusion(vectors: DataFrame, priors: DataFrame, near: DataFrame | None = None, lam: float = 10.0, spatial_weight: float = 1.0) -> DataFrame:
-    """L25, J9. node_id, network_id, beta, p: connectivity of each target with the sources, K betas by ridge regression on the network maps,
-    z-scored over the networks, plus weighted log spatial priors, softmax.
-
-    W (X y) = (W X) y: the K network series are one aggregate over the sources, each target needs K products; connectivity
-    of near sources is taken out by a correction over near pairs. The n x n matrix never exists.
-    """
-    nets, wide = wide_maps(priors, "network_id", "fc")
-    k = len(nets)
-    z = _blocks(vectors, _zscores, "z")
-    j = wide.join(z, "node_id")
-    inverse = np.linalg.inv(outer_sums(j, "a", "a") + lam * np.eye(k))
-    ax = outer_sums(j, "a", "z")
-    t = ax.shape[1]
-    wx = inverse @ ax / max(t - 1, 1)
-    beta = _blocks(vectors, lambda y: _zscores(y) @ wx.T, "b")
-    if near is not None:
-        src = j.select(F.col("node_id").alias("dst"), "a", F.col("z").alias("zs"))
-        fc = F.aggregate(F.zip_with("z", "zs", lambda a, b: a * b), F.lit(0.0), lambda s, v: s + v) / max(t - 1, 1)
-        part = near.select("src", "dst").join(src, "dst").join(z.select(F.col("node_id").alias("src"), "z"), "src").select("src", "a", fc.alias("fc"))
-        wa = [sum((F.col("a")[q] * float(inverse[i, q]) for q in range(k)), F.lit(0.0)) * F.col("fc") for i in range(k)]
-        cut = part.groupBy(F.col("src").alias("node_id")).agg(F.array(*[F.sum(w) for w in wa]).alias("c"))
-        beta = beta.join(cut, "node_id", "left").select("node_id", F.when(F.col("c").isNull(), F.col("b")).otherwise(F.zip_with("b", "c", lambda x, y: x - y)).alias("b"))
-    long = beta.select("node_id", F.posexplode("b").alias("i", "beta")).select("node_id", F.element_at(F.array(*[F.lit(n) for n in nets]), F.col("i") + 1).alias("network_id"), "beta")
-    w = Window.partitionBy("node_id")
-    sd = F.stddev_pop("beta").over(w)
-    score = (F.col("beta") - F.avg("beta").over(w)) / F.when(sd > 1e-8, sd).otherwise(1.0) + spatial_weight * F.log(F.greatest("spatial", F.lit(1e-6)))
-    scored = long.join(priors.select("node_id", "network_id", "spatial"), ["node_id", "network_id"], "left").na.fill({"spatial": 0.5}).withColumn("score", score)
-    e = scored.withColumn("_e", F.exp(F.col("score") - F.max("score").over(w)))
-    return e.select("node_id", "network_id", "beta", (F.col("_e") / F.greatest(F.sum("_e").over(w), F.lit(1e-8))).alias("p"))

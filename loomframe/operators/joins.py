@@ -7,6 +7,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from loomframe.operators.blocks import sparse_product
 from loomframe.operators.frames import frames_of
 
 
@@ -130,10 +131,9 @@ def voxel_adjacency(nodes: DataFrame, mesh: DataFrame | None = None) -> DataFram
     return one.union(one.select("dst", "src")).distinct()
 
 
-def apply_weights(signal: DataFrame, weights: DataFrame) -> DataFrame:
-    """J12. node_id, frame, value: weighted mean over the sources of each target."""
-    j = signal.join(weights.select(F.col("src").alias("node_id"), "dst", "w"), "node_id")
-    return j.groupBy(F.col("dst").alias("node_id"), "frame").agg((F.sum(F.col("w") * F.col("value")) / F.sum("w")).alias("value"))
+def apply_weights(vectors: DataFrame, weights: DataFrame) -> DataFrame:
+    """J12. node_id, ts: weighted mean (src, dst, w) over the sources of each target, frame by frame over those with a value, by products of blocks."""
+    return sparse_product(weights, vectors)
 
 
 def extract_runs(concat: DataFrame, extent: DataFrame, names: list[str]) -> DataFrame:

@@ -10,12 +10,13 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from loomframe.functions.scalars import t_to_z
-from loomframe.operators.joins import near_pairs
+from loomframe.operators.blocks import near_means
+from loomframe.operators.dual import map_blocks
 from loomframe.operators.stats import global_signal, gram, outer_sums, scalar, wide_maps
 
 
-def to_vectors(signal: DataFrame, frames: int) -> DataFrame:
-    """node_id, ts: one array per node in frame order; missing cells are 0, of a cell that occurs twice the last one stands."""
+def to_vectors(signal: DataFrame, frames: int, missing: float | None = 0.0) -> DataFrame:
+    """node_id, ts: one array per node in frame order; cells that are missing get that value (None: null), of a cell that occurs twice the last one stands."""
     cells = signal.filter(F.col("value").isNotNull()).groupBy("node_id").agg(F.array_sort(F.collect_list(F.struct(F.col("frame").cast("int").alias("frame"), F.col("value").cast("double").alias("value")))).alias("v"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -24,9 +25,9 @@ def to_vectors(signal: DataFrame, frames: int) -> DataFrame:
             row = np.repeat(np.arange(batch.num_rows), np.diff(batch.column(1).offsets.to_numpy()))
             frame = flat.field("frame").to_numpy(zero_copy_only=False)
             inside = (frame >= 0) & (frame < frames)
-            out = np.zeros((batch.num_rows, frames))
+            out = np.full((batch.num_rows, frames), np.nan if missing is None else missing)
             out[row[inside], frame[inside]] = flat.field("value").to_numpy(zero_copy_only=False)[inside]
-            lists = pa.ListArray.from_arrays(pa.array(np.arange(0, out.size + 1, frames, dtype=np.int32)), pa.array(out.ravel()))
+            lists = pa.ListArray.from_arrays(pa.array(np.arange(0, out.size + 1, frames, dtype=np.int32)), pa.array(out.ravel(), from_pandas=missing is None))
             yield pa.RecordBatch.from_arrays([batch.column(0), lists], ["node_id", "ts"])
 
     return cells.mapInArrow(run, f"node_id {dict(signal.dtypes)['node_id']}, ts array<double>")
@@ -198,17 +199,6 @@ def dual_regression(maps: DataFrame, signal: DataFrame, frames: int, weights: Da
     return out.select(F.element_at(F.array(*[F.lit(c) for c in k]), F.col("at") + 1).alias("component_id"), "node_id", "loading")
 
 
-def alignment_weights(own: DataFrame, group: DataFrame, neighbours: DataFrame) -> DataFrame:
-    """L14. node_id, w from per-dimension maps (dim, node_id, value) of a subject and the group: products of z-scored maps stand
-    for local agreement; mean over dimensions of atanh, minus its smoothed version plus the mean, positive part cubed."""
-    z = lambda t, n: t.withColumn(n, (F.col("value") - F.avg("value").over(Window.partitionBy("dim"))) / F.stddev_pop("value").over(Window.partitionBy("dim"))).select("dim", "node_id", n)
-    j = z(own, "a").join(z(group, "b"), ["dim", "node_id"])
-    r = j.groupBy("node_id").agg(F.corr("a", "b").alias("r")).select("node_id", F.atanh(F.greatest(F.lit(-0.999999), F.least(F.lit(0.999999), F.coalesce("r", F.lit(0.0))))).alias("value"))
-    s = smooth(r, neighbours).withColumnRenamed("value", "smooth")
-    c = r.join(s, "node_id").crossJoin(scalar(r, F.avg("value").alias("_m")))
-    return c.select("node_id", F.pow(F.greatest(F.lit(0.0), F.col("value") - F.col("smooth") + F.col("_m")), F.lit(3)).alias("w"))
-
-
 def vn_concat(signal: DataFrame, floor: float = 0.001) -> DataFrame:
     """L15. run, node_id, frame, value: demeaned series over the run's noise map, which is scaled to mean 1 and floored."""
     per = signal.groupBy("run", "node_id").agg(F.avg("value").alias("m"), F.stddev_samp("value").alias("s"))
@@ -315,15 +305,23 @@ def gaussian_highpass(vectors: DataFrame, frames: int, sigma: float, keep_mean:
     return _blocks(vectors, f)
 
 
-def near_signal_regression(signal: DataFrame, nodes: DataFrame, mm: float) -> DataFrame:
-    """L24. Subcortical nodes (is_cortex false) lose the mean series of the cortical nodes within mm and of themselves; cortex is unchanged."""
-    sub = nodes.filter("NOT is_cortex")
-    pairs = near_pairs(sub, mm, nodes)
-    x = pairs.join(signal.select(F.col("node_id").alias("dst"), "frame", F.col("value").alias("v")), "dst").groupBy(F.col("src").alias("node_id"), "frame").agg(F.avg("v").alias("x"))
-    j = signal.join(x, ["node_id", "frame"])
-    fit = j.groupBy("node_id").agg(F.coalesce(F.regr_slope("value", "x"), F.lit(0.0)).alias("b"), F.avg("value").alias("my"), F.avg("x").alias("mx"))
-    clean = j.join(fit, "node_id").select("node_id", "frame", (F.col("value") - F.col("my") - F.col("b") * (F.col("x") - F.col("mx"))).alias("value"))
-    return clean.unionByName(signal.join(nodes.filter("is_cortex").select("node_id"), "node_id", "left_semi").select("node_id", "frame", "value"))
+def near_signal_regression(vectors: DataFrame, nodes: DataFrame, mm: float) -> DataFrame:
+    """L24. node_id, ts: subcortical nodes (is_cortex false) lose the part that the mean series of all nodes within mm (their own included) explains beside an
+    intercept; cortex is unchanged. Means come from block products, so no row exists for a pair of nodes. Frames without a value, here or nearby, stay out of the
+    fit and null; a mean without variance explains nothing."""
+    placed = vectors.select("node_id", F.col("ts").alias("v")).join(nodes.select("node_id", *"xyz", "is_cortex"), "node_id")
+    means = near_means(placed.filter("NOT is_cortex"), placed, mm)
+
+    def clean(y: np.ndarray, x: np.ndarray) -> np.ndarray:
+        both = ~(np.isnan(x) | np.isnan(y))
+        n = np.maximum(both.sum(1, keepdims=True), 1)
+        x, y = (np.where(both, m - np.where(both, m, 0).sum(1, keepdims=True) / n, 0.0) for m in (x, y))
+        sxx = (x * x).sum(1, keepdims=True)
+        return np.where(both, y - x * np.divide((x * y).sum(1, keepdims=True), sxx, out=np.zeros_like(sxx), where=sxx > 0), np.nan)
+
+    left = placed.select("node_id", "v").join(means, "node_id")
+    done = map_blocks(left, ["v", "x"], clean, "ts").withColumn("ts", F.transform("ts", lambda e: F.when(~F.isnan(e), e)))
+    return done.unionByName(placed.filter("is_cortex").select("node_id", F.col("v").alias("ts")))
 
 
 def smooth(maps: DataFrame, weights: DataFrame, mask: DataFrame | None = None) -> DataFrame:
@@ -409,15 +407,3 @@ def optimal_combination(echoes: DataFrame, t2s: DataFrame) -> DataFrame:
     """L33. node_id, value: echoes weighted by TE * exp(-TE / T2*)."""
     w = F.col("te") * F.exp(-F.col("te") / F.col("t2s"))
     return echoes.join(t2s.filter("t2s IS NOT NULL").select("node_id", "t2s"), "node_id").groupBy("node_id").agg((F.sum(w * F.col("value")) / F.sum(w)).alias("value"))
-
-
-def exclusive_regression(maps: DataFrame, signal: DataFrame, frames: int) -> DataFrame:
-    """L34. component_id, frame, value: for each component the other maps are regressed out of its map and of the data; the series is the
-    regression of what is left of the data on what is left of the map. By sums over nodes: a K x K Gram and K x frames products."""
-    k, wide = wide_maps(maps, "component_id", "loading")
-    inverse = np.linalg.pinv(outer_sums(wide, "a", "a"))
-    # the partial regression coefficient of a map beside all others is its coefficient in the joint regression
-    series = outer_sums(to_vectors(signal, frames).join(wide, "node_id"), "ts", "a") @ inverse.T
-    rows = [(c, t, float(series[t, i])) for i, c in enumerate(k) for t in range(len(series))]
-    kind = dict(maps.dtypes)["component_id"]
-    return maps.sparkSession.createDataFrame(rows, f"component_id {kind}, frame int, value double")

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from loomframe.operators import graph as op
+from loomframe.operators import mapping
 from loomframe.operators.joins import functional_connectivity, near_pairs
 from loomframe.plans.adapters import nodes, r6, rounded, sql, table, vectors
 from loomframe.plans.join_queries import _ADJ, _FC, _NEAR, adjacency, priors
@@ -159,9 +160,9 @@ def spatial_priors(spark, d):
 
 @query("L25_ridge_fusion")
 def _(spark, d):
-    return rounded(op.ridge_fusion(vectors(spark, d), spatial_priors(spark, d)), "beta", "p")
+    return rounded(mapping.ridge_fusion(vectors(spark, d), spatial_priors(spark, d)), "beta", "p", "r2")
 
 
 @query("J9_local_exclusion")
 def _(spark, d):
-    return rounded(op.ridge_fusion(vectors(spark, d), spatial_priors(spark, d), near_pairs(nodes(spark, d), 0.1)), "beta", "p")
+    return rounded(mapping.ridge_fusion(vectors(spark, d), spatial_priors(spark, d), (nodes(spark, d), 0.1)), "beta", "p", "r2")

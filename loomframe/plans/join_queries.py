@@ -8,6 +8,7 @@ from loomframe.operators import components as comp
 from loomframe.operators import frames
 from loomframe.operators import joins as op
 from loomframe.operators import masks
+from loomframe.operators.linear import to_vectors
 from loomframe.plans.adapters import components, nodes, r6, rounded, run_signal, signal, sql, table, vectors
 from loomframe.plans.frame_queries import _CONCAT
 from loomframe.plans.mask_queries import _MAPS
@@ -114,7 +115,8 @@ def _(spark, d):
 @query("J12_apply_weights", sql("signal", f"SELECT dst AS node_id, frame, {R('sum(w * value) / sum(w)', 'value')} FROM signal JOIN (SELECT DISTINCT ps.l_suppkey AS src, (ps.l_partkey % 20) AS dst, 1 + ps.l_suppkey % 3 AS w FROM lineitem ps) ON src = node_id GROUP BY 1, 2"))
 def _(spark, d):
     w = table(spark, d, "lineitem").select(F.col("l_suppkey").alias("src"), (F.col("l_partkey") % 20).alias("dst"), (1 + F.col("l_suppkey") % 3).alias("w")).distinct()
-    return rounded(op.apply_weights(signal(spark, d), w), "value")
+    vectors_ = to_vectors(signal(spark, d), 28, None)
+    return rounded(op.apply_weights(vectors_, w).select("node_id", F.posexplode("ts").alias("frame", "value")).filter("value IS NOT NULL"), "value")
 
 
 @query("J13_extract_runs", sql("run_signal", "SELECT run::VARCHAR AS run, CASE run WHEN 2 THEN 0 ELSE 1 END::INTEGER AS position, node_id, (frame - f0)::INTEGER AS frame, round(value - avg(value) OVER (PARTITION BY run, node_id) + 1e-9, 6) + 0.0 AS value FROM run_signal JOIN x USING (run) WHERE run IN (0, 2)", _CONCAT))

@@ -5,8 +5,8 @@ from __future__ import annotations
 import numpy as np
 from pyspark.sql import functions as F
 
+from loomframe.operators import dual, stats
 from loomframe.operators import linear as op
-from loomframe.operators import stats
 
 from loomframe.operators.joins import near_pairs
 from loomframe.plans.adapters import echoes, nodes, r6, rounded, run_signal, signal, sql, vectors
@@ -129,12 +129,23 @@ def near_weights(spark, d, mm: float = 0.08, sigma: float = 0.05):
     return op.gaussian_weights(near_pairs(nodes(spark, d), mm), sigma)
 
 
+def likeness(spark, d, key):
+    """node_id, a: each node's likeness (cosine) to the mean vector of every class of a key, in the order of keys. The classes are few."""
+    v = vectors(spark, d).withColumn("_k", key)
+    means = v.select("_k", F.posexplode("ts").alias("i", "x")).groupBy("_k", "i").agg(F.avg("x").alias("x"))
+    wide = means.toPandas().pivot(index="_k", columns="i", values="x").sort_index().to_numpy()
+    unit = lambda m: m / np.linalg.norm(m, axis=1, keepdims=True)
+    return dual.map_blocks(v.select("node_id", "ts"), ["ts"], lambda y: unit(y) @ unit(wide).T, "a")
+
+
 @query("L14_alignment_weights")
 def _(spark, d):
-    long_ = vectors(spark, d).select("node_id", F.posexplode("ts").alias("dim", "value"))
-    group = long_.join(vectors(spark, d).select("node_id", "label_id"), "node_id").groupBy("label_id", "dim").agg(F.avg("value").alias("value"))
-    other = vectors(spark, d).select("node_id", "label_id").join(group, "label_id").select("dim", "node_id", "value")
-    return rounded(op.alignment_weights(long_, other, near_weights(spark, d)), "w")
+    low = [likeness(spark, d, F.col("label_id")), likeness(spark, d, F.col("node_id") % 5)]
+    n = nodes(spark, d)
+    areas = n.select("node_id", (F.abs("x") + 0.5).alias("w"))
+    fit, weights = dual.reweighted_dual_regression(vectors(spark, d), low, likeness(spark, d, F.col("label_id") * 2 + F.col("node_id") % 2), n, 0.08, 0.05, areas)
+    out = fit.maps.join(weights, "node_id").select("node_id", r6("w").alias("w"), F.posexplode("b").alias("component_id", "loading"))
+    return rounded(out, "loading")
 
 
 @query("L15_vn_concat", sql("run_signal", f"SELECT run, node_id, frame, {R('(value - m) / greatest(coalesce(s, 0) / a, 0.001)', 'value')} FROM run_signal JOIN (SELECT *, avg(s) OVER (PARTITION BY run) AS a FROM (SELECT run, node_id, avg(value) AS m, stddev_samp(value) AS s FROM run_signal GROUP BY 1, 2)) USING (run, node_id)"))
@@ -173,10 +184,20 @@ def _(spark, d):
     return long(op.gaussian_highpass(wide_signal(spark, d), FRAMES, 5.0))
 
 
-@query("L24_near_signal_regression", sql("vectors nodes", f"SELECT node_id, frame, {R('value - avg(value) OVER w - coalesce(b, 0) * (x - avg(x) OVER w)', 'value')} FROM j JOIN (SELECT node_id, regr_slope(value, x) AS b FROM j GROUP BY 1) USING (node_id) WINDOW w AS (PARTITION BY node_id) UNION ALL SELECT node_id, frame, {R('value', 'value')} FROM s JOIN nodes USING (node_id) WHERE label_id < 4", _NEAR.format(0.08) + ", s AS (SELECT node_id, c - 1 AS frame, ts[c] AS value FROM vectors, range(1, 65) r(c)), x AS (SELECT src AS node_id, frame, avg(value) AS x FROM near JOIN nodes n ON n.node_id = src AND n.label_id >= 4 JOIN s ON s.node_id = dst GROUP BY 1, 2), j AS (SELECT * FROM s JOIN x USING (node_id, frame))"))
+#: Near pairs of L24 by cells, so that SQL doesn't compare all nodes; each step is kept.
+_L24 = """cell AS MATERIALIZED (SELECT node_id, label_id, x, y, z, floor(x / 0.08)::INTEGER AS cx, floor(y / 0.08)::INTEGER AS cy, floor(z / 0.08)::INTEGER AS cz FROM nodes),
+step AS (SELECT unnest([-1, 0, 1]) AS o),
+pair AS MATERIALIZED (SELECT a.node_id AS src, b.node_id AS dst FROM (SELECT * FROM cell WHERE label_id >= 4) a CROSS JOIN step i CROSS JOIN step j CROSS JOIN step k JOIN cell b ON b.cx = a.cx + i.o AND b.cy = a.cy + j.o AND b.cz = a.cz + k.o WHERE sqrt((a.x - b.x) ** 2 + (a.y - b.y) ** 2 + (a.z - b.z) ** 2) <= 0.08),
+s AS MATERIALIZED (SELECT node_id, unnest(range(0, 64)) AS frame, unnest(ts) AS value FROM vectors),
+x AS MATERIALIZED (SELECT src AS node_id, frame, avg(value) AS x FROM pair JOIN s ON s.node_id = dst GROUP BY 1, 2),
+j AS MATERIALIZED (SELECT node_id, frame, value, x FROM s JOIN x USING (node_id, frame)),
+f AS (SELECT node_id, coalesce(regr_slope(value, x), 0) AS b, avg(value) AS my, avg(x) AS mx FROM j GROUP BY 1)"""
+
+
+@query("L24_near_signal_regression", sql("vectors nodes", f"SELECT node_id, frame, {R('value - my - b * (x - mx)', 'value')} FROM j JOIN f USING (node_id) UNION ALL SELECT node_id, frame, {R('value', 'value')} FROM s JOIN nodes USING (node_id) WHERE label_id < 4", _L24))
 def _(spark, d):
     n = nodes(spark, d).withColumn("is_cortex", F.col("label_id") < 4)
-    return rounded(op.near_signal_regression(op.to_long(vectors(spark, d)), n, 0.08), "value")
+    return long(op.near_signal_regression(vectors(spark, d), n, 0.08))
 
 
 #: Centred unit vectors, and those of the first ten nodes as references.
@@ -253,4 +274,4 @@ def _(spark, d):
 
 @query("L34_exclusive_regression")
 def _(spark, d):
-    return rounded(op.exclusive_regression(spatial_maps(spark, d), signal(spark, d), FRAMES), "value")
+    return rounded(dual.exclusive_regression(spatial_maps(spark, d), wide_signal(spark, d)), "value")
