@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from dataclasses import dataclass
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from loomframe.functions.scalars import clip, log_ratio
-from loomframe.operators.frames import in_total_order
+from loomframe.operators.frames import cumulative_cap, in_total_order
 from loomframe.operators.joins import manual_overrides
 from loomframe.operators.stats import outer_sums, wide_maps
 
@@ -46,35 +48,80 @@ def template_rho(maps: DataFrame, priors: DataFrame) -> DataFrame:
     return c.groupBy("component_id").agg(F.coalesce(F.max(F.abs("r")), F.lit(0.0)).alias("rho"))
 
 
-def rank_kill_candidates(components: DataFrame, weights: tuple[float, float, float] = (1.0, 1.0, 1.0)) -> DataFrame:
-    """T4. priority: weighted z-scores of -log ratio, -score and +variance, and position by falling priority."""
-    c = components.withColumn("_lr", log_ratio(F.col("kappa"), F.col("rho")))
+#: Of doubles; the floor of ratios in decisions.
+EPS = 2.220446049250313e-16
+
+
+def kill_priority(components: DataFrame, weights: tuple[float, float, float] = (1.0, 1.0, 1.0), eps: float = 1e-8) -> DataFrame:
+    """components with priority: weighted z-scores (population sd; without spread 0) of -log ratio, -score and +variance."""
+    c = components.withColumn("_lr", log_ratio(F.col("kappa"), F.col("rho"), eps))
     names = [("_lr", -weights[0]), ("r2", -weights[1]), ("variance_explained", weights[2])]
     s = c.agg(*[F.avg(n).alias(f"m_{n}") for n, _ in names], *[F.stddev_pop(n).alias(f"s_{n}") for n, _ in names])
     z = sum((w * (F.col(n) - F.col(f"m_{n}")) / F.when(F.col(f"s_{n}") > 0, F.col(f"s_{n}")).otherwise(1.0) for n, w in names), F.lit(0.0))
-    out = c.crossJoin(F.broadcast(s)).withColumn("priority", z)
+    return c.crossJoin(F.broadcast(s)).withColumn("priority", z).select(*components.columns, "priority")
+
+
+def rank_kill_candidates(components: DataFrame, weights: tuple[float, float, float] = (1.0, 1.0, 1.0)) -> DataFrame:
+    """T4. priority: weighted z-scores of -log ratio, -score and +variance, and position by falling priority."""
+    out = kill_priority(components, weights)
     return in_total_order(out, [F.desc("priority"), F.asc("component_id")]).withColumnRenamed("_position", "position").select(*components.columns, "priority", "position")
 
 
+@dataclass(frozen=True)
+class KillPriority:
+    """Of kill candidates, those with at least the var_floor quantile of the candidates' variance go, by falling priority, until cap of their variance is reached."""
+
+    weights: tuple[float, float, float] = (0.50, 0.30, 0.20)
+    var_floor: float = 0.60
+    cap: float = 0.95
+
+
+def _finite(c: Column) -> Column:
+    """Whether a value is neither null, NaN nor infinite."""
+    return c.isNotNull() & ~F.isnan(c) & (F.abs(c) < float("inf"))
+
+
+def _sure(condition: Column) -> Column:
+    return F.coalesce(condition, F.lit(False))
+
+
 def refine_components(
-    components: DataFrame, rescue: float = 0.10, rescue_quantile: float = 0.5, kill: float = 0.02, adaptive: tuple[float, float, float, float] = (0.10, 0.05, 0.02, 0.50),
-    ratio_most: float = 1.0, accept: DataFrame | None = None, reject: DataFrame | None = None,
+    components: DataFrame, rescue: float = 0.20, rescue_quantile: float = 0.10, kill: float | None = None, adaptive: tuple[float, float, float, float] = (0.10, 0.50, 0.02, 0.10),
+    guardrail: bool = True, ratio_most: float = 5.0, priority: KillPriority | None = KillPriority(), accept: DataFrame | None = None, reject: DataFrame | None = None,
 ) -> DataFrame:
-    """L22. keep, rescued, killed of components (kappa, rho, r2, ratio, variance_explained, keep).
+    """L22. Components (component_id, kappa, rho, r2 the score, ratio, variance_explained, keep) with keep decided anew, and initial, rescued, killed, kill_candidate.
+
+    initial is keep, with the guardrail only where kappa > rho. Rescue: not initial, and the score reaches both ``rescue`` and the quantile of
+    the initial ones' finite scores (infinite, if there are none); with the guardrail kappa > rho too. Candidates: initial, and the score is under ``kill``, or if that
+    is None under the adaptive limit clip(a - b * log ratio, lo, hi); not where kappa > rho and the finite subcortical ratio reaches ratio_most. All candidates are killed, or
+    with a priority those that it selects; ties go to the smaller id. Last the guardrail again, then manual ids, rejection winning.
 
-    Rescue: not kept, kappa > rho, and the score reaches both the threshold and the quantile of the kept scores. Kill: kept, and
-    the score is under the fixed or under the adaptive threshold clip(a - b * log ratio, lo, hi); components of low subcortical ratio only.
-    With nothing kept the quantile is infinite. Manual ids come last, rejection winning.
+    A component whose score isn't finite is neither rescued nor a candidate. Comparisons with NaN or null are false; a variance that isn't finite counts as 0,
+    a null keep as false.
     """
     a, b, lo, hi = adaptive
-    score = F.coalesce(F.when(~F.isnan("r2"), F.col("r2")), F.lit(0.0))
-    floor = components.agg(F.coalesce(F.expr(f"percentile(CASE WHEN keep THEN r2 END, {rescue_quantile})"), F.lit(float("inf"))).alias("_q"))
-    c = components.withColumn("_s", score).crossJoin(F.broadcast(floor))
-    ahead = F.col("kappa") > F.col("rho")
-    limit = F.greatest(F.lit(kill), clip(F.lit(a) - b * log_ratio(F.col("kappa"), F.col("rho")), lo, hi))
-    rescued = ~F.col("keep") & ahead & (F.col("_s") >= rescue) & (F.col("_s") >= F.col("_q"))
-    killed = F.col("keep") & (F.col("_s") < limit) & (F.col("ratio") <= ratio_most)
-    c = c.withColumns({"rescued": rescued, "killed": killed}).withColumn("keep", (F.col("keep") | F.col("rescued")) & ~F.col("killed")).drop("_s", "_q")
+    kappa, rho, score, ratio = (F.col(n).cast("double") for n in ("kappa", "rho", "r2", "ratio"))
+    ahead = _sure((kappa > rho) & ~F.isnan(kappa) & ~F.isnan(rho))
+    initial = _sure(F.col("keep")) & (ahead if guardrail else F.lit(True))
+    c = components.withColumns({"initial": initial, "_ahead": ahead, "_fin": _finite(score)})
+    quantile = F.expr(f"percentile(CASE WHEN initial AND _fin THEN CAST(r2 AS double) END, {rescue_quantile})")
+    c = c.crossJoin(F.broadcast(c.agg(F.coalesce(quantile, F.lit(float("inf"))).alias("_q"))))
+    rescued = F.col("_fin") & ~F.col("initial") & (score >= rescue) & (score >= F.col("_q")) & (F.col("_ahead") if guardrail else F.lit(True))
+    level = F.lit(a) - b * log_ratio(kappa, rho, EPS)
+    limit = F.lit(kill) if kill is not None else F.when(level.isNotNull() & ~F.isnan(level), clip(level, lo, hi))
+    guarded = _sure(_finite(ratio) & F.col("_ahead") & (ratio >= ratio_most))
+    c = c.withColumns({"rescued": _sure(rescued), "kill_candidate": _sure(F.col("_fin") & F.col("initial") & (score < limit)) & ~guarded})
+    if priority is None:
+        c = c.withColumn("killed", F.col("kill_candidate"))
+    else:
+        variance = F.when(_finite(F.col("variance_explained").cast("double")), F.col("variance_explained").cast("double")).otherwise(0.0)
+        pool = c.filter("kill_candidate").select("component_id", kappa.alias("kappa"), rho.alias("rho"), score.alias("r2"), variance.alias("variance_explained"))
+        floor = pool.agg(F.expr(f"percentile(variance_explained, {priority.var_floor})").alias("_f"))
+        pool = pool.crossJoin(F.broadcast(floor)).filter(F.col("variance_explained") >= F.col("_f")).drop("_f")
+        chosen = cumulative_cap(kill_priority(pool, priority.weights, EPS), "variance_explained", "priority", "component_id", priority.cap)
+        c = c.join(chosen.filter("kept").select("component_id", F.lit(True).alias("killed")), "component_id", "left").withColumn("killed", _sure(F.col("killed")))
+    final = (F.col("initial") | F.col("rescued")) & ~F.col("killed") & (F.col("_ahead") if guardrail else F.lit(True))
+    c = c.withColumn("keep", final).select(*components.columns, *[n for n in ("initial", "rescued", "killed", "kill_candidate") if n not in components.columns])
     if accept is not None or reject is not None:
         none = components.select("component_id").limit(0)
         c = manual_overrides(c, accept if accept is not None else none, reject if reject is not None else none)
@@ -91,7 +138,7 @@ def decision_summary(components: DataFrame) -> DataFrame:
     i, k = F.col("initial"), F.col("keep")
     return components.agg(
         F.count_if(i).alias("initial_accept"), F.count_if(~i).alias("initial_reject"), F.count_if("rescued").alias("rescued"), F.count_if("killed").alias("killed"),
-        F.count_if(F.col("rescued") | F.col("killed")).alias("candidates"), F.count_if(i != k).alias("changed"), F.count_if(k).alias("final_accept"),
+        F.count_if("kill_candidate").alias("candidates"), F.count_if(i != k).alias("changed"), F.count_if(k).alias("final_accept"),
     )
 
 

@@ -187,21 +187,35 @@ def _(spark, d):
 
 
 _LR = "log10(kappa / greatest(rho, 1e-8) + 1e-8)"
-_LIMIT = f"greatest(0.02, greatest(0.02, least(0.10 - 0.05 * {_LR}, 0.5)))"
-_DECIDED = f"k AS (SELECT *, {_KEEP} AS keep FROM components), q AS (SELECT coalesce(quantile_cont(r2, 0.5) FILTER (keep), 'inf'::DOUBLE) AS q FROM k), dec AS (SELECT component_id, manual_reject, keep AS initial, NOT keep AND kappa > rho AND r2 >= 0.1 AND r2 >= q AS rescued, keep AND r2 < {_LIMIT} AND ratio <= 1 AS killed FROM k, q)"
+#: The decision rules over rows with NaN, null and equal values: one CTE for each step.
+_DECIDED = f"""k AS (SELECT component_id, manual_reject, kappa * 1.6 AS kappa, rho, {_KEEP} AS keep,
+  CASE WHEN component_id % 13 = 0 THEN 'NaN'::DOUBLE WHEN component_id % 17 = 0 THEN NULL ELSE r2 END AS s,
+  CASE WHEN component_id % 5 = 0 THEN 'NaN'::DOUBLE WHEN component_id % 7 = 0 THEN NULL ELSE ratio END AS ratio,
+  CASE WHEN component_id % 19 = 0 THEN 0 ELSE variance_explained END AS v FROM components),
+i AS (SELECT *, keep AND kappa > rho AS ki, s IS NOT NULL AND NOT isnan(s) AS fin, log10(kappa / greatest(rho, 2.220446049250313e-16) + 2.220446049250313e-16) AS lr FROM k),
+q AS (SELECT coalesce(quantile_cont(s, 0.10) FILTER (ki AND fin), 'inf'::DOUBLE) AS q FROM i),
+r AS (SELECT *, coalesce(fin AND NOT ki AND s >= 0.20 AND s >= q AND kappa > rho, false) AS rescued,
+  coalesce(fin AND ki AND s < greatest(0.02, least(0.10 - 0.50 * lr, 0.10)), false) AND NOT coalesce(ratio IS NOT NULL AND NOT isnan(ratio) AND kappa > rho AND ratio >= 1.0, false) AS cand FROM i, q),
+p AS (SELECT * FROM r WHERE cand AND v >= (SELECT quantile_cont(v, 0.60) FROM r WHERE cand)),
+m AS (SELECT avg(lr) AS ml, stddev_pop(lr) AS sl, avg(s) AS ms, stddev_pop(s) AS ss, avg(v) AS mv, stddev_pop(v) AS sv, sum(v) AS total FROM p),
+o AS (SELECT component_id, v, total, -0.5 * (lr - ml) / CASE WHEN sl > 0 THEN sl ELSE 1 END - 0.3 * (s - ms) / CASE WHEN ss > 0 THEN ss ELSE 1 END + 0.2 * (v - mv) / CASE WHEN sv > 0 THEN sv ELSE 1 END AS score FROM p, m),
+g AS (SELECT component_id, total <= 0 OR coalesce(sum(v) OVER (ORDER BY score DESC, component_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) <= 0.95 * total AS chosen FROM o),
+dec AS (SELECT r.*, coalesce(chosen, false) AS killed, (ki OR rescued) AND NOT coalesce(chosen, false) AND kappa > rho AND NOT manual_reject AS f FROM r LEFT JOIN g USING (component_id))"""
 
 
 def decided(spark, d):
     c = masks.initial_keep(components(spark, d))
-    return comp.refine_components(c.withColumn("initial", F.col("keep")), reject=c.filter("manual_reject").select("component_id"))
+    own = lambda n, m, v: F.when(F.col("component_id") % n == 0, float("nan")).when(F.col("component_id") % m == 0, None).otherwise(F.col(v))
+    c = c.withColumns({"kappa": F.col("kappa") * 1.6, "r2": own(13, 17, "r2"), "ratio": own(5, 7, "ratio"), "variance_explained": F.when(F.col("component_id") % 19 == 0, float("nan")).otherwise(F.col("variance_explained"))})
+    return comp.refine_components(c, ratio_most=1.0, reject=c.filter("manual_reject").select("component_id"))
 
 
-@query("L22_refine_components", sql("components", "SELECT component_id, (initial OR rescued) AND NOT killed AND NOT manual_reject AS keep, rescued, killed FROM dec", _DECIDED))
+@query("L22_refine_components", sql("components", "SELECT component_id, ki AS initial, f AS keep, rescued, killed, cand AS kill_candidate FROM dec", _DECIDED))
 def _(spark, d):
-    return decided(spark, d).select("component_id", "keep", "rescued", "killed")
+    return decided(spark, d).select("component_id", "initial", "keep", "rescued", "killed", "kill_candidate")
 
 
-@query("A9_decision_summary", sql("components", "SELECT count(*) FILTER (initial) AS initial_accept, count(*) FILTER (NOT initial) AS initial_reject, count(*) FILTER (rescued) AS rescued, count(*) FILTER (killed) AS killed, count(*) FILTER (rescued OR killed) AS candidates, count(*) FILTER (initial <> f) AS changed, count(*) FILTER (f) AS final_accept FROM (SELECT *, (initial OR rescued) AND NOT killed AND NOT manual_reject AS f FROM dec)", _DECIDED))
+@query("A9_decision_summary", sql("components", "SELECT count(*) FILTER (ki) AS initial_accept, count(*) FILTER (NOT ki) AS initial_reject, count(*) FILTER (rescued) AS rescued, count(*) FILTER (killed) AS killed, count(*) FILTER (cand) AS candidates, count(*) FILTER (ki <> f) AS changed, count(*) FILTER (f) AS final_accept FROM dec", _DECIDED))
 def _(spark, d):
     return comp.decision_summary(decided(spark, d))
 
