@@ -231,42 +231,54 @@ def normalise_to_input(betas: DataFrame, maps: DataFrame) -> DataFrame:
     return betas.withColumn("_z", z).join(F.broadcast(want), "component_id").select("component_id", "node_id", (F.col("_z") * F.col("_s") + F.col("_m")).alias("loading"))
 
 
-def dimensionality_scores(values: np.ndarray, n: int) -> list[tuple[int, float, float, float, float]]:
-    """(k, laplace, bic, aic, mdl) for each number of dimensions, from falling eigenvalues and the number of samples.
+def _to_unit(x: np.ndarray) -> np.ndarray:
+    spread = np.nanmax(x) - np.nanmin(x)
+    return (x - np.nanmin(x)) / spread if spread > 0 else np.zeros(len(x))
 
-    Scores are those that the analysed pipelines rank by, which are not the textbook's in two places: the curvature term counts with its full
-    positive weight (both of its sums), and AIC and MDL are of the likelihood of what lies beyond k alone. The scale is left as it is.
+
+def dimensionality_scores(values: np.ndarray, n: int) -> list[tuple[int, float, float, float | None, float | None]]:
+    """(k, laplace, bic, aic, mdl) for each number of dimensions from falling eigenvalues above 0 and the number of samples, each score scaled to 0..1,
+    better ones higher; aic and mdl have no value for all dimensions.
+
+    Laplace's evidence of k axes: the uniform prior over frames of k axes, the likelihood with the noise b_k (the mean of the eigenvalues behind k; the last
+    eigenvalue for all), and a curvature term for each pair of an axis i up to k and any axis j behind i, (a_i - a_j) and (1 / b_j - 1 / a_i). Pairs whose difference
+    isn't positive don't count. Both differences have their full weight, and aic and mdl are of the likelihood of what lies beyond k alone: the scores
+    that the analysed pipelines rank by, which differ from the textbook's there.
     """
     from math import lgamma, log, pi
 
-    v = np.maximum(np.asarray(values, float), 1e-12)
-    d, out = len(v), []
-    pu, curve = 0.0, 0.0
-    for k in range(1, d):
-        rest = v[k:]
-        noise = rest.mean()
-        # uniform prior over the frames of k axes
-        pu += lgamma((d - k + 1) / 2) - (d - k + 1) / 2 * log(pi) - log(2)
-        gaps = v[k - 1] - rest
-        own = 1 / noise - 1 / v[k - 1]
-        # terms of the k-th axis against all behind it; those that aren't positive don't count
-        curve += float(np.log(gaps[gaps > 0]).sum()) + (log(own) * len(rest) if own > 0 else 0.0)
-        m = d * k - k * (k + 1) / 2
-        spread, kept = -n / 2 * (d - k) * log(noise), -n / 2 * float(np.log(v[:k]).sum())
-        laplace = pu + spread + curve + kept + (m + k) / 2 * log(2 * pi) - k / 2 * log(n)
-        bic = kept + spread - (m + k) / 2 * log(n)
-        beyond = float(np.log(rest).mean()) - log(noise)
-        free = 1 + d * k + 0.5 * (k - 1)
-        out.append((k, laplace, bic, -2 * n * (d - k) * beyond + 2 * free, -n * (d - k) * beyond + 0.5 * free * log(n)))
-    return out
+    a = np.asarray(values, float)
+    d = len(a)
+    k = np.arange(1, d + 1)
+    left = d - k
+    behind = np.concatenate([np.cumsum(a[::-1])[::-1][1:], [0.0]])
+    b = np.append(behind[:-1] / left[:-1], a[-1])
+    prior = np.cumsum([lgamma((d - i + 1) / 2) - (d - i + 1) / 2 * log(pi) - log(2) for i in k])
+    noise = -n / 2 * left * np.log(b)
+    kept = -n / 2 * np.cumsum(np.log(a))
+    later = np.triu(np.ones((d, d), bool), 1)
+    curve = np.zeros(d)
+    for gaps in (a[:, None] - a[None], 1 / b[None] - 1 / a[:, None]):
+        curve += np.log(np.where(later & (gaps > 0), gaps, 1.0)).sum(1)
+    m = d * k - k * (k + 1) / 2
+    laplace = prior + noise + np.cumsum(curve) + kept + (m + k) / 2 * log(2 * pi) - k / 2 * log(n)
+    bic = kept + noise - (m + k) / 2 * log(n)
+    logs = np.concatenate([np.cumsum(np.log(a)[::-1])[::-1][1:], [0.0]])
+    with np.errstate(divide="ignore", invalid="ignore"):
+        beyond = np.where(left > 0, logs / left - np.log(behind / left), np.nan)
+    free = 1 + d * k + 0.5 * (k - 1)
+    aic, mdl = -2 * n * left * beyond + 2 * free, -n * left * beyond + 0.5 * free * log(n)
+    scores = [_to_unit(laplace), _to_unit(bic), *(1 - _to_unit(x) if d > 1 else np.full(d, np.nan) for x in (aic, mdl))]
+    return [(int(i), *(None if np.isnan(x[i - 1]) else float(x[i - 1]) for x in scores)) for i in k]
 
 
 def pca_dimensionality(signal: DataFrame, frames: int) -> DataFrame:
-    """L18. k, laplace, bic, aic, mdl; the largest laplace score tells the number of components."""
+    """L18. k, laplace, bic, aic, mdl; the largest laplace score tells the number of components. Eigenvalues that are nothing beside the largest are left out."""
     centred = signal.withColumn("value", F.col("value") - F.avg("value").over(Window.partitionBy("node_id")))
     n = signal.select("node_id").distinct().count()
     values = np.linalg.eigvalsh(gram_matrix(centred, frames) / max(n - 1, 1))[::-1]
-    return signal.sparkSession.createDataFrame(dimensionality_scores(values, n), "k int, laplace double, bic double, aic double, mdl double")
+    values = values[values > len(values) * np.finfo(float).eps * max(values[0], 0)]
+    return signal.sparkSession.createDataFrame(dimensionality_scores(values, n) if len(values) else [], "k int, laplace double, bic double, aic double, mdl double")
 
 
 def variance_normalise(signal: DataFrame, frames: int, k: int, floor: float = 0.001) -> DataFrame:
