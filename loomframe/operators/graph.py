@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from loomframe.operators.frames import in_total_order, settled
+from loomframe.operators.joins import near_pairs
 
 
 def most_edges(n: int, density: float) -> int:
@@ -34,29 +35,6 @@ def density_graphs(fc: DataFrame, n: int, densities: list[float]) -> DataFrame:
     return top.groupBy("density", F.least("src", "dst").alias("src"), F.greatest("src", "dst").alias("dst")).agg(F.max("fc").alias("w"))
 
 
-def communities(edges: DataFrame) -> DataFrame:
-    """G2. node_id, community by weighted label propagation; edges (src, dst, w) in both directions.
-
-    A node would take the label of most weight among its neighbours (the lowest of equals) if it has more weight than its own label. In each
-    round, of neighbours that would, only the one of the smallest hash does. So the weight inside communities grows with every round, and
-    the propagation ends when no node gains, whatever the graph.
-    """
-    labels = edges.select(F.col("src").alias("node_id")).distinct().withColumn("community", F.col("node_id"))
-    turn = 0
-    while True:
-        votes = edges.join(labels.select(F.col("node_id").alias("dst"), "community"), "dst").groupBy(F.col("src").alias("node_id"), "community").agg(F.round(F.sum("w"), 9).alias("w"))
-        best = votes.groupBy("node_id").agg(F.max_by(F.struct("community", "w"), F.struct("w", -F.col("community"))).alias("b"))
-        own = labels.join(votes.withColumnRenamed("w", "own"), ["node_id", "community"], "left").select("node_id", "community", F.coalesce("own", F.lit(0.0)).alias("own"))
-        wish = own.join(best, "node_id").filter("b.w > own").select("node_id", F.col("b.community").alias("to"), F.xxhash64("node_id", F.lit(turn)).alias("h"))
-        wish = settled(wish)
-        if wish.isEmpty():
-            return labels
-        rival = edges.filter("src <> dst").select("src", "dst").join(wish.select(F.col("node_id").alias("dst"), F.col("h").alias("oh")), "dst").groupBy(F.col("src").alias("node_id")).agg(F.min(F.struct("oh", "dst")).alias("r"))
-        moves = wish.join(rival, "node_id", "left").filter(F.col("r").isNull() | (F.struct("h", "node_id") < F.col("r"))).select("node_id", "to")
-        labels = settled(labels.join(moves, "node_id", "left").select("node_id", F.coalesce("to", "community").alias("community")))
-        turn += 1
-
-
 def drop_small(membership: DataFrame, n: int) -> DataFrame:
     """G3. Communities under n nodes become 0, per density."""
     size = F.count(F.lit(1)).over(Window.partitionBy("density", "community"))
@@ -249,21 +227,21 @@ def erode(mask: DataFrame, edges: DataFrame, rounds: int = 1) -> DataFrame:
     return mask
 
 
-def boundary_table(parcels: DataFrame, edges: DataFrame, gradient: DataFrame) -> DataFrame:
-    """a < b, g: mean gradient along the boundary of two parcels."""
+def _boundaries(parcels: DataFrame, weighted: DataFrame) -> DataFrame:
+    """a < b, g: mean weight of the edges (src, dst, g) between two parcels."""
     side = lambda n, c: parcels.select(F.col("node_id").alias(n), F.col("parcel").alias(c))
-    j = edges.select("src", "dst").join(side("src", "a"), "src").join(side("dst", "b"), "dst").filter("a < b")
-    g = gradient.select(F.col("node_id").alias("src"), F.col("value").alias("gs"))
-    h = gradient.select(F.col("node_id").alias("dst"), F.col("value").alias("gd"))
-    return j.join(g, "src").join(h, "dst").groupBy("a", "b").agg(F.avg((F.col("gs") + F.col("gd")) / 2).alias("g"))
+    return weighted.join(side("src", "a"), "src").join(side("dst", "b"), "dst").filter("a < b").groupBy("a", "b").agg(F.avg("g").alias("g"))
 
 
 def merge_parcels(parcels: DataFrame, edges: DataFrame, gradient: DataFrame, least: int, threshold: float) -> DataFrame:
     """G12. node_id, parcel. In each round a parcel that is too small, or has a boundary below the threshold, joins the neighbour of its weakest
     boundary; of a mutual or chained choice only moves to a smaller id count, so a round can't swap. Each round with a move leaves fewer parcels; it ends
-    without a move."""
+    without a move. Edges and the gradient along them are stored once."""
+    g = gradient.select("node_id", "value")
+    ends = edges.select("src", "dst").join(g.select(F.col("node_id").alias("src"), F.col("value").alias("gs")), "src").join(g.select(F.col("node_id").alias("dst"), F.col("value").alias("gd")), "dst")
+    weighted = settled(ends.select("src", "dst", ((F.col("gs") + F.col("gd")) / 2).alias("g")))
     while True:
-        b = boundary_table(parcels, edges, gradient)
+        b = _boundaries(parcels, weighted)
         both = b.union(b.select("b", "a", "g"))
         weakest = both.groupBy("a").agg(F.min_by("b", F.struct("g", "b")).alias("b"), F.min("g").alias("g"))
         small = parcels.groupBy(F.col("parcel").alias("a")).agg((F.count(F.lit(1)) < least).alias("small"))
@@ -319,10 +297,9 @@ def assign_parcels(parts: DataFrame, labels: DataFrame, networks: DataFrame) ->
     return j.join(named.select("parcel", "name"), "parcel").select("node_id", "parcel", "name")
 
 
-def spaced_reference(nodes: DataFrame, near: DataFrame, seed: int = 0) -> DataFrame:
-    """T5. node_id of a largest-possible set without two near nodes: in rounds, nodes of the smallest hash among their near ones join, and their near ones leave."""
-    left = nodes.select("node_id", F.xxhash64("node_id", F.lit(seed)).alias("h"))
-    edges = near.filter("src <> dst").select("src", "dst")
+def _spaced(left: DataFrame, edges: DataFrame) -> DataFrame:
+    """node_id of a maximal set without two near nodes (edges: src, dst both ways) among left (node_id, h): in rounds, nodes of the smallest hash among their
+    near ones join, and their near ones leave."""
     chosen = None
     while True:
         other = left.select(F.col("node_id").alias("dst"), F.col("h").alias("oh"))
@@ -333,3 +310,77 @@ def spaced_reference(nodes: DataFrame, near: DataFrame, seed: int = 0) -> DataFr
         chosen = joins if chosen is None else chosen.unionByName(joins)
         gone = joins.union(edges.join(joins.withColumnRenamed("node_id", "dst"), "dst", "left_semi").select("src"))
         left = settled(left.join(gone, "node_id", "left_anti"))
+
+
+def _add_spread(core: np.ndarray, rows: np.ndarray, radius: float, most: int) -> np.ndarray:
+    """core (x, y, z of each) and rows of rows (node, x, y, z) that are farther than radius from all before, in their order; no more than most + 1 in all."""
+    picked = []
+    far = np.full(len(rows), np.inf)
+    for c in core:
+        far = np.minimum(far, ((rows[:, 1:] - c) ** 2).sum(1))
+    while len(core) + len(picked) <= most:
+        left = np.flatnonzero(np.sqrt(far) > radius)
+        if not len(left):
+            break
+        picked.append(left[0])
+        far = np.minimum(far, ((rows[:, 1:] - rows[left[0], 1:]) ** 2).sum(1))
+    return rows[picked]
+
+
+def _net(placed: DataFrame, core: np.ndarray, radius: float, most: int) -> np.ndarray:
+    """core (rows of node, x, y, z) with nodes added until every node has one within radius, or there are more than most. Partitions pick among their nodes, picks
+    of up to sixteen partitions meet in one task until one is left; nodes that then still have none within the radius go through another round."""
+    schema = "node_id long, x double, y double, z double"
+    while len(core) <= most:
+        now = core[:, 1:]
+
+        def pick(batches):
+            found = np.zeros((0, 4))
+            for batch in batches:
+                if len(now) + len(found) <= most:
+                    rows = batch[["node_id", "x", "y", "z"]].to_numpy(float)
+                    found = np.vstack([found, _add_spread(np.vstack([now, found[:, 1:]]), rows, radius, most)])
+            yield pd.DataFrame(found, columns=["node_id", "x", "y", "z"]).astype({"node_id": "int64"})
+
+        found = placed.mapInPandas(pick, schema)
+        parts = placed.rdd.getNumPartitions()
+        while parts > 1:
+            parts = -(-parts // 16)
+            found = found.coalesce(parts).mapInPandas(pick, schema)
+        new = found.toPandas().to_numpy(float)
+        if not len(new):
+            break
+        core = np.vstack([core, new])
+    return core
+
+
+def spaced_reference(nodes: DataFrame, mm: float, most: int | None = None, seed: int = 0) -> DataFrame:
+    """T5. node_id of nodes (node_id, x, y, z) no two of which are mm or nearer, so that every node has one within mm. With most, at most so many of them, spread out.
+
+    Without most: in rounds over near pairs, stored once, nodes of the smallest hash among their near ones join and their near ones leave.
+
+    With most: nets at falling radii, each keeping the nodes of the one before, from one node for all down to the smallest radius at which most nodes suffice (found
+    by halving, then by bisection to a hundredth), but not below mm. All nodes lie within that radius of a pick and picks are farther apart than it; the next net has more
+    than most nodes, so no choice of most nodes covers with less than half of its radius: the radius is within 2.02 times that of farthest-point picks. What is left of
+    most goes to nodes of that next net. The driver holds the picks (most rows), which each pass over the nodes gets. Nodes without coordinates are left out.
+    """
+    known = nodes.filter("x IS NOT NULL AND y IS NOT NULL AND z IS NOT NULL").select("node_id", *"xyz")
+    placed = settled(known.withColumn("h", F.xxhash64("node_id", F.lit(seed))))
+    if most is None:
+        return _spaced(placed.select("node_id", "h"), settled(near_pairs(placed, mm).filter("src <> dst").select("src", "dst")))
+    placed = settled(placed.sortWithinPartitions("h", "node_id"))
+    ends = placed.agg(*[F.min(c).alias(f"lo{c}") for c in "xyz"], *[F.max(c).alias(f"hi{c}") for c in "xyz"]).first()
+    kept = np.zeros((0, 4))
+    if ends["lox"] is not None and most > 0:
+        wide = max(mm, 1.001 * sum((ends[f"hi{c}"] - ends[f"lo{c}"]) ** 2 for c in "xyz") ** 0.5)
+        kept, narrow, finer = _net(placed, kept, wide, most), 0.0, None
+        while wide > mm and wide > 1.01 * narrow:
+            radius = max(mm, wide / 2 if not narrow else (wide * narrow) ** 0.5)
+            found = _net(placed, kept, radius, most)
+            if len(found) <= most:
+                kept, wide = found, radius
+            else:
+                finer, narrow = found, radius
+        if finer is not None:
+            kept = np.vstack([kept, _add_spread(kept[:, 1:], finer, narrow, most - 1)])
+    return nodes.sparkSession.createDataFrame([(int(k),) for k in kept[:, 0]], f"node_id {dict(nodes.dtypes)['node_id']}")

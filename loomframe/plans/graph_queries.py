@@ -6,6 +6,8 @@ from pyspark.sql import functions as F
 
 from loomframe.operators import graph as op
 from loomframe.operators import mapping
+from loomframe.operators.communities import communities
+from loomframe.operators.frames import settled
 from loomframe.operators.joins import functional_connectivity, near_pairs
 from loomframe.plans.adapters import nodes, r6, rounded, sql, table, vectors
 from loomframe.plans.join_queries import _ADJ, _FC, _NEAR, adjacency, priors
@@ -32,9 +34,13 @@ def _(spark, d):
     return rounded(op.density_graphs(*fc(spark, d, 0.01), [0.004, 0.01]), "w")
 
 
+DENSITIES = [k / 1000 for k in range(1, 10)]
+
+
 @query("G2_communities")
 def _(spark, d):
-    return op.communities(op.topk_edges(*fc(spark, d, 0.01), 0.01))
+    e = settled(op.density_graphs(*fc(spark, d, DENSITIES[-1]), DENSITIES))
+    return communities(e.unionByName(e.select("density", F.col("dst").alias("src"), F.col("src").alias("dst"), "w")))
 
 
 @query("G3_drop_small", sql("nodes", "SELECT density, node_id, CASE WHEN count(*) OVER (PARTITION BY density, community) < 6 THEN 0 ELSE community END AS community FROM (SELECT label_id AS density, node_id, i + 20 AS community FROM nodes)"))
@@ -149,8 +155,12 @@ def _(spark, d):
 
 @query("T5_spaced_reference")
 def _(spark, d):
-    n = nodes(spark, d)
-    return op.spaced_reference(n, near_pairs(n, 0.12))
+    return op.spaced_reference(nodes(spark, d), 0.12)
+
+
+@query("T5_spread_reference")
+def _(spark, d):
+    return op.spaced_reference(nodes(spark, d), 0.12, most=40)
 
 
 def spatial_priors(spark, d):

@@ -45,13 +45,36 @@ def test_morphology(spark, path):
 def test_spaced_reference_is_spaced_and_maximal(spark):
     n = nodes(spark, SF).limit(200)
     near = joins.near_pairs(n, 0.1)
-    chosen = {r.node_id for r in graph.spaced_reference(n, near).collect()}
+    chosen = {r.node_id for r in graph.spaced_reference(n, 0.1).collect()}
     pairs = [(r.src, r.dst) for r in near.collect() if r.src != r.dst]
     assert not any(a in chosen and b in chosen for a, b in pairs)
     reached = chosen | {a for a, b in pairs if b in chosen}
     assert reached == {r.node_id for r in n.collect()}
 
 
+@pytest.mark.parametrize("most,mm", [(1, 0.01), (9, 0.01), (40, 0.2), (0, 0.1)])
+def test_spread_reference(spark, most, mm):
+    table = nodes(spark, SF).select("node_id", "x", "y", "z").repartition(5)
+    rows = table.collect() + [table.first()]
+    ids, xyz = [r.node_id for r in rows], np.array([(r.x, r.y, r.z) for r in rows])
+    at = {n: p for n, p in zip(ids, xyz)}
+    got = [r.node_id for r in graph.spaced_reference(table, mm, most).collect()]
+    assert len(got) == len(set(got)) <= most
+    if not most:
+        return
+    picks = np.array([at[n] for n in got])
+    apart = np.sqrt(((picks[:, None] - picks[None]) ** 2).sum(2))[np.triu_indices(len(picks), 1)]
+    assert not len(apart) or apart.min() > mm
+    cover = np.sqrt(((xyz[:, None] - picks[None]) ** 2).sum(2)).min(1).max()
+    # farthest-point picks
+    greedy = [0]
+    far = np.sqrt(((xyz - xyz[0]) ** 2).sum(1))
+    while len(greedy) < most and far.max() >= mm:
+        greedy.append(int(far.argmax()))
+        far = np.minimum(far, np.sqrt(((xyz - xyz[greedy[-1]]) ** 2).sum(1)))
+    assert cover <= max(mm, 2.05 * far.max())
+
+
 def test_near_pairs_is_an_equi_join(spark):
     plan = joins.near_pairs(nodes(spark, SF), 0.05)._jdf.queryExecution().toString()
     assert "NestedLoop" not in plan and "Cartesian" not in plan
