@@ -113,11 +113,11 @@ _SAFE_LAST = re.compile(rb"(?s).*[\x21-\x7E](?=[\x20\t\r\n])")
 
 @dataclass
 class Chunk:
-    """ids and decoded text of a chunk that was encoded by itself, and its certain part, from ids[head] to ids[tail] (bytes first to last):
+    """ids of a chunk that was encoded by itself, the text they decode to (before, in and behind its certain part), and its certain part, from ids[head] to ids[tail] (bytes first to last):
     between two places where every tokenization splits. A chunk without two such places has no certain part."""
 
     ids: np.ndarray
-    decoded: bytes
+    decoded: tuple[bytes, bytes, bytes]
     head: int
     tail: int
     first: int
@@ -139,22 +139,21 @@ class ChunkCoder:
         self.held = self.encoded = self.reused = self.repaired = 0
 
     def _kept(self, key: tuple | bytes, make: Callable[[], tuple[object, int]]) -> object:
-        got = self.young.get(key)
-        if got is not None:
+        entry = self.young.get(key)
+        if entry is not None:
             self.reused += 1
-            return got
-        got = self.old.get(key)
-        if got is None:
-            got, size = make()
+            return entry[0]
+        entry = self.old.get(key)
+        if entry is None:
+            entry = make()
             self.encoded += 1
         else:
             self.reused += 1
-            size = 400
-        self.held += size
+        self.held += entry[1]
         if self.held > CACHE_BYTES:
-            self.young, self.old, self.held = {}, self.young, size
-        self.young[key] = got
-        return got
+            self.young, self.old, self.held = {}, self.young, entry[1]
+        self.young[key] = entry
+        return entry[0]
 
     def _code(self, raw: bytes) -> tuple[list[int], bytes]:
         ids = self.bpe.encode(raw.decode())
@@ -169,15 +168,18 @@ class ChunkCoder:
 
     def _chunk(self, raw: bytes) -> Chunk:
         def make() -> tuple[object, int]:
-            ids, decoded = self._code(raw)
+            ids = self.bpe.encode(raw.decode())
             a, b = _SAFE.search(raw), _SAFE_LAST.match(raw)
-            out = Chunk(np.array(ids, np.uint32), decoded, 0, 0, 0, 0)
+            out = Chunk(np.array(ids, np.uint32), (b"", b"", b""), 0, 0, 0, 0)
             if a and b.end() > a.start():
                 edges = np.cumsum([0, *[len(self.bpe.table[i]) for i in ids]])
                 head, tail = np.searchsorted(edges, (a.start(), b.end())).tolist()
                 # an end between two ids; bytes that an id doesn't hold as they are leave the chunk without a certain part
                 if edges[-1] == len(raw) and edges[head] == a.start() and edges[tail] == b.end():
                     out.head, out.tail, out.first, out.last = head, tail, a.start(), b.end()
+            if self.decode:
+                # places where every tokenization splits are between characters
+                out.decoded = tuple(self.bpe.decode(part) for part in (ids[: out.head], ids[out.head : out.tail], ids[out.tail :]))
             return out, len(raw) * 3 + 500
 
         return self._kept(raw, make)
@@ -185,7 +187,7 @@ class ChunkCoder:
     def _joined(self, chunks: list[bytes]) -> tuple[np.ndarray, bytes]:
         if len(chunks) == 1:
             one = self._chunk(chunks[0])
-            return one.ids, one.decoded
+            return one.ids, b"".join(one.decoded)
         ids: list[np.ndarray] = []
         decoded: list[bytes] = []
         window = b""
@@ -211,7 +213,7 @@ class ChunkCoder:
             window += raw[:first]
             close()
             ids.append(chunk.ids[head:tail])
-            decoded.append(raw[first:last] if self.decode else b"")
+            decoded.append(b"".join(chunk.decoded[0 if left else 1 : 3 if right else 2]))
             window = raw[last:]
         close()
         return np.concatenate(ids) if ids else np.empty(0, np.uint32), b"".join(decoded)

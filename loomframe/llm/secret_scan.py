@@ -53,8 +53,9 @@ _JOIN = re.compile(r"[ \t\r\n\\)(]*+(?:\+|\.\.?)[ \t\r\n\\(]*+|[ \t]++|(?<=[\"']
 _JOIN_OPEN = re.compile(r"[ \t\r\n\\)(]*+(?:\+|\.\.?)[ \t\r\n\\(]*+|[ \t\r\n\\]++|(?<=[\"'])(?=[\"'])")
 _QUOTE = re.compile(r"""(?:[rRbBuUfF]{1,2}+(?=["']))?(\"{3}|'{3}|\\?["']|`)""")
 _END = {'"': re.compile(r'(?:[^"\\\n]|\\.)*+"'), "'": re.compile(r"(?:[^'\\\n]|\\.)*+'"), "`": re.compile(r"[^`\n]*+`"), '\\"': re.compile(r'[^"\\\n]*+\\"'), "\\'": re.compile(r"[^'\\\n]*+\\'")}
-#: A block of YAML text: its indented lines.
-_FOLDED = re.compile(r"[ \t]*+[|>][+-]?[0-9]?[ \t]*+\r?\n((?:[ \t]++[^\n]*+(?:\n|\Z))++)")
+#: What opens a block of YAML text, behind the colon.
+_FOLDED = re.compile(r"[ \t]*+[|>][+-]?[0-9]?[ \t]*+\r?\n(?=[ \t\r\n])")
+_INDENT = re.compile(r"^([ \t]*+)(\S?)[^\n]*+", re.MULTILINE)
 _BARE = re.compile(r"""[^\s"',;(){}\[\]<>]++""")
 _REFERENCE = re.compile(r"[A-Za-z_][\w.\-]*+", re.ASCII)
 _PART = re.compile(r"[A-Z]+(?![a-z])|[A-Z]?[a-z]+|[0-9]+")
@@ -125,16 +126,39 @@ class Lexer:
 
     Strings (one line, triple, back-quoted, escaped quotes inside another string), comments, typed and chained assignments, quoted keys,
     concatenations, YAML blocks and tags with text are told apart. A quote opens a string only where a word doesn't end, so that apostrophes of prose
-    don't; one that isn't closed is an ordinary character, and so are its like up to the line's end. What a string holds is lexed in its turn.
+    don't; one that isn't closed is an ordinary character, and so are its like up to the line's end. What a string or a block holds is lexed in its turn,
+    quoted keys of any length included. What a search has found behind a place is kept, so that time stays linear.
     """
 
     def __init__(self, text: str):
         self.text, self.out = text, []
         self.dead: dict[str, int] = {}
+        self.blocks: dict[int, int] | None = None
         todo = [(0, len(text), False)]
         while todo:
             todo += self._region(*todo.pop())
 
+    def _block_end(self, line: int) -> int:
+        """Where the lines that are indented deeper than the line from a place end, blank ones between them included. All lines are measured once."""
+        if self.blocks is None:
+            self.blocks, deeper = {}, []
+            for m in [*_INDENT.finditer(self.text)][::-1]:
+                if m[2]:
+                    depth, stop = len(m[1]), min(m.end() + 1, len(self.text))
+                    while deeper and deeper[-1][0] > depth:
+                        stop = max(stop, deeper.pop()[1])
+                    self.blocks[m.start()] = stop
+                    deeper.append((depth, stop))
+        return self.blocks.get(line, line)
+
+    def _next(self, what: str, at: int, end: int) -> int:
+        """The first place of a mark from at on, or end; one that was found further on needs no search."""
+        place = self.ahead.get(what, -1)
+        if place < at:
+            found = self.text.find(what, at, end)
+            place = self.ahead[what] = found if found >= 0 else end
+        return place
+
     def _string(self, at: int, end: int) -> tuple[int, int, int] | None:
         """(start, end, place after) of the string whose quote stands at a place."""
         m = _QUOTE.match(self.text, at, end)
@@ -187,15 +211,11 @@ class Lexer:
             op, at, also = "=", typed.end(), _LAST.search(typed[0])[0]
         into = Assignment(name, start, not comment and op not in ("==", "==="))
         if op == ":" and (block := _FOLDED.match(text, at, end)):
-            lead = re.match(r"[ \t]*", text[text.rfind("\n", 0, start) + 1 : start])[0]
-            stop = block.start(1)
-            for line in block[1].splitlines(True):
-                if line.strip() and len(line) - len(line.lstrip(" \t")) <= len(lead):
-                    break
-                stop += len(line)
-            into.pieces.append((block.start(1), stop))
-            self.out.append(into)
-            return stop, []
+            stop = min(end, self._block_end(text.rfind("\n", 0, start) + 1))
+            if stop > block.end():
+                into.pieces.append((block.end(), stop))
+                self.out.append(into)
+            return block.end(), []
         after, strings = self._expression(into, at, end)
         if not strings:
             begin = _LEAD.match(text, at, end).end()
@@ -213,7 +233,7 @@ class Lexer:
 
     def _region(self, start: int, end: int, comment: bool) -> list[tuple[int, int, bool]]:
         text, at, note = self.text, start, end if comment else -1
-        self.until, self.dead = 0, {}
+        self.until, self.dead, self.ahead = 0, {}, {}
         inner: list[tuple[int, int, bool]] = []
         key = None
         while m := _EVENT.search(text, at, end):
@@ -228,19 +248,17 @@ class Lexer:
                     continue
                 at = found[2]
                 key = _AFTER_KEY.match(text, at, end)
-                if key and found[1] - found[0] <= 200 and "\n" not in text[found[0] : found[1]]:
+                if key and "\n" not in text[found[0] : found[1]]:
                     at, strings = self._assign(text[found[0] : found[1]], found[0], key[1], key.end(), end, inside)
-                else:
-                    strings = [found[:2]]
+                strings = [*strings, found[:2]]
             elif m["tag"]:
                 self.out.append(Assignment(m["tag"], m.start(), False, [m.span("inner")]))
                 at = m.end("inner")
             elif m["line"]:
-                line = text.find("\n", m.end(), end)
-                note, at = max(note, line if line >= 0 else end), m.end()
+                note, at = max(note, self._next("\n", m.end(), end)), m.end()
             else:
-                close = text.find("*/", m.end(), end)
-                note, at = max(note, close if close >= 0 else m.end()), m.end()
+                close = self._next("*/", m.end(), end)
+                note, at = max(note, close if close < end else m.end()), m.end()
             inner += [(a, b, inside) for a, b in strings if b - a >= 10 and ("=" in text[a:b] or ":" in text[a:b])]
         return inner
 

@@ -351,3 +351,62 @@ RANDOM = "q7Rz2mW9xK4tB8vN3pL6sD1fG5"
 ])
 def test_secret_lexer(text, left):
     assert masked(text) == left
+
+
+def literals(text):
+    base, added = secret_scan.find_secrets(text)
+    return [text[a:b] for a, b, _ in added]
+
+
+@pytest.mark.parametrize("n", [5, 199, 209, 5000])
+def test_quoted_keys_of_any_length(n):
+    value = "Xk29fLq8ZtR4mWv7PbN3"
+    text = '{"' + "a" * n + '_pwd": "' + value + '"}'
+    assert literals(text) == [value]
+
+
+def test_blocks_are_lexed():
+    value = "Xk29fLq8ZtR4mWv7PbN3"
+    line = f'  client_pwd = "{value}"'
+    for text in (f"data: |\n{line}\n", f"kind: ConfigMap\ndata:\n  app.ini: |-\n    [db]\n\n  {line}\n    port = 1\nnext: 3\n", f"a: >\n  b: |\n  {line}\n"):
+        assert value in literals(text)
+    # a block under a sensitive name is a literal whole, blank lines included, and ends with its indentation
+    pem = "  MIIEvQIBADANBgkq9x1\n\n  hkiG9w0BAQEFAASCBK4\n"
+    assert literals(f"private_key: |\n{pem}other: 1\n") == [pem]
+
+
+@pytest.mark.parametrize("unit", ["/* pwd=", "// pwd=", "a: |\n  ", '"pwd" : ', "/* */ pwd= /*", "x: >\n y: |\n"])
+def test_unclosed_marks_take_linear_time(unit):
+    import time
+
+    took = []
+    for n in (10_000, 40_000):
+        began = time.process_time()
+        secret_scan.find_secrets(unit * n)
+        took.append(time.process_time() - began)
+    assert took[1] < 10 * max(took[0], 0.05)
+
+
+def test_comments_end_where_they_end():
+    assert [a.defines for a in secret_scan.Lexer("/* a = 1 */ b = 2 /* c = 3").out] == [False, True, True]
+
+
+def test_decoded_text_comes_from_ids(tokenizer):
+    coder = bpe.ChunkCoder(bpe.load(bpe.default_path()), True)
+    text = ("the cat sat on the mat and looked at all of it \u00e9 " * 300).encode()
+    chunks = [text[a : a + 700] for a in range(0, len(text), 700)]
+    chunks = [c for c in chunks if c.decode(errors="ignore").encode() == c]
+    right = coder._joined(chunks)
+    assert right[1] == b"".join(chunks)
+    # a wrong id of the same length shows in the decoded text
+    real, wrong = coder.bpe.encode, {}
+
+    def encode(t):
+        ids = real(t)
+        return [wrong.get(i, i) for i in ids]
+
+    cat, dog = real(" cat")[0], real(" dog")[0]
+    wrong[cat] = dog
+    broken = bpe.ChunkCoder(coder.bpe, True)
+    broken.bpe = type("Coder", (), {"encode": staticmethod(encode), "decode": coder.bpe.decode, "table": coder.bpe.table})()
+    assert broken._joined(chunks)[1] == b"".join(chunks).replace(b" cat", b" dog")
