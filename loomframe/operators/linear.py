@@ -169,6 +169,49 @@ def tissue_signal_regression(vectors: DataFrame, wm: np.ndarray, csf: np.ndarray
     return vectors.join(out, "node_id").select("node_id", F.col("clean").alias("ts"), F.try_divide(var(F.col("clean")), var(F.col("ts"))).alias("ratio"))
 
 
+TISSUES = ("wm", "csf", "both")
+
+
+def clean_tissue(series: np.ndarray, mixing: np.ndarray, noise: list[int], motion: np.ndarray, highpass: np.ndarray) -> np.ndarray:
+    """Tissue series (frames x m) cleaned as the nodes are: high-pass, without motion, without the noise components, without their means."""
+    move = motion @ np.linalg.pinv(motion, 1e-6)
+    still = lambda x: x - move @ x
+    mix, out = still(mixing), still(highpass @ (series - series.mean(0)))
+    out = out - mix[:, noise] @ (np.linalg.pinv(mix, 1e-6) @ out)[noise]
+    return out - out.mean(0)
+
+
+def tissue_variances(vectors: DataFrame, mixing: np.ndarray, noise: list[int], motion: np.ndarray, highpass: np.ndarray, wm: np.ndarray, csf: np.ndarray) -> DataFrame:
+    """L10. node_id, and sample variances after the cleaning stages: bold (cleaned minus unstructured), and for each of wm, csf and both the variance that
+    regressing the cleaned tissue series out of the cleaned data takes (wm_variance, ...), the bold variance that is left (wm_bold, ...) and its ratio to bold (wm_ratio,
+    ...; 0 without any bold). One pass over the nodes; what is broadcast are frames x components."""
+    move = motion @ np.linalg.pinv(motion, 1e-6)
+    mix = mixing - move @ mixing
+    inverse = np.linalg.pinv(mix, 1e-6)
+    good = [k for k in range(mixing.shape[1]) if k not in set(noise)]
+    tissue = clean_tissue(np.column_stack([wm, csf]), mixing, noise, motion, highpass)
+    designs = [tissue[:, :1], tissue[:, 1:], tissue]
+    projectors = [x @ np.linalg.pinv(x, 1e-6) for x in designs]
+
+    def stages(y: np.ndarray) -> np.ndarray:
+        unmoved = y @ highpass.T
+        unmoved = unmoved - unmoved @ move.T
+        beta = unmoved @ inverse.T
+        clean = unmoved - beta[:, noise] @ mix[:, noise].T
+        rest = clean - beta[:, good] @ mix[:, good].T
+        var = lambda v: v.var(1, ddof=1)
+        bold = var(clean - rest)
+        out = [bold]
+        for p in projectors:
+            taken = clean @ p.T
+            left = var(clean - taken - rest)
+            out += [var(taken), left, np.divide(left, bold, out=np.zeros_like(bold), where=bold > 0)]
+        return np.column_stack(out)
+
+    names = ["bold", *[f"{t}_{n}" for t in TISSUES for n in ("variance", "bold", "ratio")]]
+    return _blocks(vectors, stages, "v").select("node_id", *[F.col("v")[i].alias(n) for i, n in enumerate(names)])
+
+
 def noise_sd_map(vectors: DataFrame, mixing: np.ndarray, signal_ids: list[int], floor: float = 0.001) -> DataFrame:
     """L11. node_id, sd of what remains without the signal components, floored."""
     part = mixing[:, signal_ids] @ np.linalg.pinv(mixing)[signal_ids]
@@ -199,11 +242,21 @@ def dual_regression(maps: DataFrame, signal: DataFrame, frames: int, weights: Da
     return out.select(F.element_at(F.array(*[F.lit(c) for c in k]), F.col("at") + 1).alias("component_id"), "node_id", "loading")
 
 
+def noise_maps(signal: DataFrame, floor: float = 0.001) -> DataFrame:
+    """run, node_id, mean, vn: each node's mean and its noise (sample sd) in a run, the noise scaled to mean 1 over the run's nodes and floored."""
+    per = signal.groupBy("run", "node_id").agg(F.avg("value").alias("mean"), F.stddev_samp("value").alias("s"))
+    return per.select("run", "node_id", "mean", F.greatest(F.coalesce(F.col("s"), F.lit(0.0)) / F.avg("s").over(Window.partitionBy("run")), F.lit(floor)).alias("vn"))
+
+
 def vn_concat(signal: DataFrame, floor: float = 0.001) -> DataFrame:
     """L15. run, node_id, frame, value: demeaned series over the run's noise map, which is scaled to mean 1 and floored."""
-    per = signal.groupBy("run", "node_id").agg(F.avg("value").alias("m"), F.stddev_samp("value").alias("s"))
-    scaled = per.withColumn("vn", F.greatest(F.coalesce(F.col("s"), F.lit(0.0)) / F.avg("s").over(Window.partitionBy("run")), F.lit(floor)))
-    return signal.join(scaled.select("run", "node_id", "m", "vn"), ["run", "node_id"]).select("run", "node_id", "frame", ((F.col("value") - F.col("m")) / F.col("vn")).alias("value"))
+    return signal.join(noise_maps(signal, floor), ["run", "node_id"]).select("run", "node_id", "frame", ((F.col("value") - F.col("mean")) / F.col("vn")).alias("value"))
+
+
+def restored_betas(betas: DataFrame, signal: DataFrame, floor: float = 0.001) -> DataFrame:
+    """L15. betas (node_id, loading, ...) of noise-normalised runs in the data's own units: times the mean noise map over the runs that the node is in."""
+    mean = noise_maps(signal, floor).groupBy("node_id").agg(F.avg("vn").alias("_vn"))
+    return betas.join(mean, "node_id").withColumn("loading", F.col("loading") * F.col("_vn")).select(*betas.columns)
 
 
 def beta_z(vectors: DataFrame, design: np.ndarray) -> DataFrame:

@@ -104,6 +104,13 @@ def _(spark, d):
     return rounded(op.tissue_signal_regression(wide_signal(spark, d), x[:, 0], x[:, 1]).select("node_id", "ratio"), "ratio")
 
 
+@query("L10_tissue_variances")
+def _(spark, d):
+    x, t = design(spark, d, 6), design(spark, d, 2)
+    out = op.tissue_variances(wide_signal(spark, d), x, [1, 4], x[:, :1] ** 2 / 1e4, op.highpass_matrix(FRAMES, 5.0), t[:, 0], t[:, 1])
+    return rounded(out, *[c for c in out.columns if c != "node_id"])
+
+
 @query("L11_noise_sd_map")
 def _(spark, d):
     return rounded(op.noise_sd_map(wide_signal(spark, d), design(spark, d, 5), [1, 2]), "sd")
@@ -153,6 +160,18 @@ def _(spark, d):
     return rounded(op.vn_concat(run_signal(spark, d)), "value")
 
 
+_VN = "vn AS (SELECT run, node_id, m, greatest(coalesce(s, 0) / avg(s) OVER (PARTITION BY run), 0.001) AS vn FROM (SELECT run, node_id, avg(value) AS m, stddev_samp(value) AS s FROM run_signal GROUP BY 1, 2)), c AS (SELECT run, node_id, frame, (value - m) / vn AS v FROM run_signal JOIN vn USING (run, node_id)), x AS (SELECT run, frame, avg(v) AS x FROM c GROUP BY 1, 2)"
+
+
+@query("L15_restored_betas", sql("run_signal", f"SELECT node_id, {R('b * vn', 'loading')} FROM (SELECT node_id, regr_slope(v, x) AS b FROM c JOIN x USING (run, frame) GROUP BY 1) JOIN (SELECT node_id, avg(vn) AS vn FROM vn GROUP BY 1) USING (node_id)", _VN))
+def _(spark, d):
+    s = run_signal(spark, d)
+    concat = op.vn_concat(s)
+    level = concat.groupBy("run", "frame").agg(F.avg("value").alias("x"))
+    betas = concat.join(level, ["run", "frame"]).groupBy("node_id").agg(F.regr_slope("value", "x").alias("loading"))
+    return rounded(op.restored_betas(betas, s), "loading")
+
+
 @query("L16_beta_z")
 def _(spark, d):
     return rounded(op.beta_z(wide_signal(spark, d), design(spark, d)), "beta", "z")
