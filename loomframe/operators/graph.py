@@ -117,13 +117,13 @@ def _kmeans(x: np.ndarray, k: int, seed: int, least: int) -> np.ndarray:
 
 
 def _contrast(x: np.ndarray, label: np.ndarray) -> float:
-    u = x / (np.linalg.norm(x, axis=1, keepdims=True) + 1e-8)
-    c = np.array([u[label == j].mean(0) for j in range(label.max() + 1)])
-    c = c / (np.linalg.norm(c, axis=1, keepdims=True) + 1e-8)
-    s = u @ c.T
-    own = s[np.arange(len(s)), label]
-    s[np.arange(len(s)), label] = -np.inf
-    return float((own - s.max(1)).mean()) if s.shape[1] > 1 else 0.0
+    """Mean over rows of the cosine with the own cluster's mean less the largest with another's; -inf for one cluster."""
+    members = label[:, None] == np.unique(label)[None]
+    if members.shape[1] < 2:
+        return -np.inf
+    means = members.T @ x / members.sum(0)[:, None]
+    cosine = (x @ means.T) / np.outer(np.linalg.norm(x, axis=1) + 1e-8, np.linalg.norm(means, axis=1) + 1e-8)
+    return float((np.where(members, cosine, 0).sum(1) - np.where(members, -np.inf, cosine).max(1)).mean())
 
 
 def _edge_lists(nodes: pd.DataFrame, links: pd.DataFrame) -> tuple[np.ndarray, np.ndarray]:
@@ -169,15 +169,16 @@ def _inside(parts: DataFrame, edges: DataFrame) -> DataFrame:
 
 
 def split_patch(features: DataFrame, bounds: DataFrame, edges: DataFrame, least: int = 8, dims: int = 64, lam: float = 1.0, rounds: int = 5, seed: int = 7, most_nodes: int = 50_000) -> DataFrame:
-    """G8, G9. patch, node_id, part, k, contrast: each patch is projected to dims, clustered for every k up to its ceiling (parts of least nodes), the
-    labels are diffused over its edges, and the k of the best mean contrast between the own and the best other centre stays, on all features.
+    """G8, G9. patch, node_id, part, k, contrast: each patch is projected to dims, clustered for every k from its ceiling (k_max) less its window to the ceiling (parts of
+    least nodes), the labels are diffused over its edges, and the k of the largest mean contrast between the own and the best other mean stays, on all features; of
+    equal ones the smallest. Where no k leaves two parts, the patch is one part with a null contrast.
 
     A patch is one task group, so it must be small enough for one task: patches come from ``connected_patches``; one of more than most_nodes
     nodes is an error.
     """
     size = features.groupBy("patch").agg(F.count(F.lit(1)).alias("_n"))
     checked = F.when(F.col("_n") <= most_nodes, F.col("k_max")).otherwise(F.raise_error(F.concat(F.lit("a patch has too many nodes: "), F.col("_n").cast("string"))).cast("int"))
-    held = features.join(bounds.select("patch", "k_max").join(size, "patch").select("patch", checked.alias("k_max")), "patch").select("patch", "node_id", "ts", "k_max")
+    held = features.join(bounds.select("patch", "k_max", "window").join(size, "patch").select("patch", checked.alias("k_max"), "window"), "patch").select("patch", "node_id", "ts", "k_max", "window")
 
     def one(rows: pd.DataFrame, links: pd.DataFrame) -> pd.DataFrame:
         rows = rows.sort_values("node_id").reset_index(drop=True)
@@ -188,12 +189,13 @@ def split_patch(features: DataFrame, bounds: DataFrame, edges: DataFrame, least:
             _, axes = np.linalg.eigh(centred.T @ centred)
             x = centred @ axes[:, ::-1][:, :dims]
         src, dst = _edge_lists(rows, links)
-        best = (0.0, np.zeros(len(x), int))
-        for k in range(2, min(int(rows["k_max"].iloc[0]), len(x) // least) + 1):
+        most, window = int(rows["k_max"].iloc[0]), int(rows["window"].iloc[0])
+        best = (-np.inf, np.zeros(len(x), int))
+        for k in sorted({max(1, min(c, len(x) // least)) for c in range(max(1, most - window), most + 1)}):
             label = np.unique(_diffused(_kmeans(x, k, seed, least), src, dst, lam, rounds), return_inverse=True)[1]
-            if label.max() > 0 and (c := _contrast(full, label)) > best[0]:
+            if (c := _contrast(full, label)) > best[0]:
                 best = (c, label)
-        return pd.DataFrame({"patch": rows["patch"], "node_id": rows["node_id"], "part": best[1], "k": best[1].max() + 1, "contrast": best[0]})
+        return pd.DataFrame({"patch": rows["patch"], "node_id": rows["node_id"], "part": best[1], "k": best[1].max() + 1, "contrast": best[0] if np.isfinite(best[0]) else None}).astype({"contrast": float})
 
     return held.groupBy("patch").cogroup(_inside(features, edges).groupBy("place")).applyInPandas(one, "patch long, node_id long, part int, k int, contrast double")
 

@@ -85,6 +85,34 @@ def test_near_is_inclusive(spark):
     assert {(r.src, r.dst) for r in joins.near_pairs(n, 5.0).filter("src < dst").collect()} == {(0, 1), (1, 2)}
 
 
+def test_patches_are_split_within_the_window(spark):
+    rng = np.random.default_rng(5)
+    centres = np.eye(6)[:4] * 5
+    rows, edges = [], []
+    for p, parts in ((1, 3), (2, 4), (3, 1)):
+        for i in range(12 * parts):
+            rows.append((p, p * 100 + i, [float(v) for v in centres[i // 12] + rng.normal(0, 0.1, 6)]))
+            edges += [(p * 100 + i, p * 100 + i + 1), (p * 100 + i + 1, p * 100 + i)] if i % 12 < 11 else []
+    features = spark.createDataFrame(rows, "patch long, node_id long, ts array<double>")
+    bounds = spark.createDataFrame([(1, 4, 2), (2, 4, 1), (3, 1, 1)], "patch long, k_max int, window int")
+    got = graph.split_patch(features, bounds, spark.createDataFrame(edges, "src long, dst long"), 4).orderBy("node_id").toPandas()
+    for p, parts in ((1, 3), (2, 4), (3, 1)):
+        mine = got[got["patch"] == p]
+        x, label = np.array([r[2] for r in rows if r[0] == p]), np.arange(12 * parts) // 12
+        assert set(mine["k"]) == {parts} and len(set(zip(label, mine["part"]))) == parts
+        if parts == 1:
+            assert mine["contrast"].isna().all()
+            continue
+        means = np.array([x[label == k].mean(0) for k in range(parts)])
+        cosine = (x @ means.T) / np.linalg.norm(x, axis=1)[:, None] / np.linalg.norm(means, axis=1)
+        own = cosine[np.arange(len(x)), label]
+        cosine[np.arange(len(x)), label] = -9
+        assert np.allclose(mine["contrast"], (own - cosine.max(1)).mean(), atol=1e-6)
+    # a window that leaves out the best number of parts
+    only = graph.split_patch(features.filter("patch = 1"), spark.createDataFrame([(1, 2, 0)], "patch long, k_max int, window int"), spark.createDataFrame(edges, "src long, dst long"), 4)
+    assert {r.k for r in only.collect()} == {2}
+
+
 def test_merge_parcels_meets_the_minimum(spark, path):
     parcels = spark.createDataFrame([(0, 1), (1, 1), (2, 2), (3, 3), (4, 3), (5, 4), (6, 4)], "node_id long, parcel long")
     gradient = spark.createDataFrame([(i, 0.9) for i in range(7)], "node_id long, value double")
