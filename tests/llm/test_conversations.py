@@ -160,7 +160,7 @@ def brute(rows):
 @pytest.mark.parametrize("long_", [False, True])
 def test_damaged_conversations(spark, tmp_path, long_, monkeypatch):
     if long_:  # conversations in blocks of blocks, keys beyond the broadcast bound
-        for name, value in (("LONG_TURNS", 3), ("BLOCK", 3), ("FAN", 2), ("BROADCAST_ROWS", 2)):
+        for name, value in (("LONG_TURNS", 3), ("LONG_BYTES", 60), ("BLOCK", 3), ("FAN", 2), ("BROADCAST_ROWS", 2)):
             monkeypatch.setattr(cv, name, value)
     rows = conversations()
     path = str(tmp_path)
