@@ -113,6 +113,88 @@ def test_patches_are_split_within_the_window(spark):
     assert {r.k for r in only.collect()} == {2}
 
 
+def grid_graph(spark, rng, side=9):
+    """Labels and edges of a grid, as tables and as dictionaries."""
+    near = {(r, c): [(r + a, c + b) for a, b in ((0, 1), (1, 0), (0, -1), (-1, 0)) if 0 <= r + a < side and 0 <= c + b < side] for r in range(side) for c in range(side)}
+    near = {r * side + c: [a * side + b for a, b in v] for (r, c), v in near.items()}
+    edges = spark.createDataFrame([(a, b) for a, v in near.items() for b in v], "src long, dst long")
+    return near, edges, {n: int(x) for n, x in enumerate(rng.integers(0, 4, side * side))}
+
+
+def components_of(label, near):
+    out = {}
+    for n in sorted(label):
+        if label[n] > 0 and n not in out:
+            todo = [n]
+            while todo:
+                k = todo.pop()
+                if k not in out:
+                    out[k] = n
+                    todo += [m for m in near[k] if label[m] == label[n]]
+    return out
+
+
+def test_pruning_is_the_vote_of_other_labels(spark):
+    near, edges, label = grid_graph(spark, np.random.default_rng(1))
+    got = graph.prune_small_patches(spark.createDataFrame(list(label.items()), "node_id long, label_id int"), edges, 4, passes=2)
+    for _ in range(2):
+        patch = components_of(label, near)
+        size = {p: list(patch.values()).count(p) for p in patch.values()}
+        new = dict(label)
+        for n, p in patch.items():
+            others = [label[m] for m in near[n] if label[m] not in (0, label[n])]
+            if size[p] < 4 and others:
+                new[n] = min(sorted(set(others)), key=lambda x: (-others.count(x), x))
+        label = new
+    assert {r.node_id: r.label_id for r in got.collect()} == label
+
+
+def test_diffusion_is_the_dense_solution(spark):
+    rng = np.random.default_rng(2)
+    near, edges, _ = grid_graph(spark, rng, 6)
+    part = rng.integers(0, 3, 36)
+    got = graph.diffuse_labels(spark.createDataFrame([(n // 18, n, int(part[n])) for n in range(36)], "patch long, node_id long, part int"), edges, 0.7, 4)
+    got = {r.node_id: r.part for r in got.collect()}
+    for p in (0, 1):
+        ids = range(18 * p, 18 * p + 18)
+        w = np.array([[float(b in near[a]) for b in ids] for a in ids])
+        a = np.eye(18) * (1 + 1e-6) + 0.7 * (np.diag(w.sum(1)) - w)
+        label = part[18 * p : 18 * p + 18]
+        for _ in range(4):
+            label = np.round(np.linalg.solve(a, np.eye(3)[label]), 9).argmax(1)
+        assert [got[n] for n in ids] == label.tolist()
+
+
+def test_merging_follows_the_rule_of_a_round(spark):
+    rng = np.random.default_rng(3)
+    near, edges, _ = grid_graph(spark, rng)
+    parcel, value = {n: n // 27 * 3 + n % 9 // 3 + 1 for n in near}, {n: round(float(v), 3) for n, v in enumerate(rng.random(81))}
+    parcel[0], parcel[80] = 50, 60
+    got = graph.merge_parcels(spark.createDataFrame(list(parcel.items()), "node_id long, parcel long"), edges, spark.createDataFrame(list(value.items()), "node_id long, value double"), 3, 0.45)
+    while True:
+        along = {}
+        for n, others in near.items():
+            for m in others:
+                if parcel[n] != parcel[m]:
+                    along.setdefault((parcel[n], parcel[m]), []).append((value[n] + value[m]) / 2)
+        weak = {}
+        for (a, b), v in along.items():
+            weak[a] = min(weak.get(a, (9, 0)), (round(float(np.mean(v)), 12), b))
+        size = {p: list(parcel.values()).count(p) for p in parcel.values()}
+        moves = {}
+        for a, (g, b) in weak.items():
+            small = size[a] < 3
+            if small or g < 0.45:
+                if b < a:
+                    moves[a] = min(moves.get(a, b), b)
+                elif small:
+                    moves[b] = min(moves.get(b, a), a)
+        if not moves:
+            break
+        parcel = {n: moves.get(p, p) for n, p in parcel.items()}
+    assert {r.node_id: r.parcel for r in got.collect()} == parcel
+
+
 def test_merge_parcels_meets_the_minimum(spark, path):
     parcels = spark.createDataFrame([(0, 1), (1, 1), (2, 2), (3, 3), (4, 3), (5, 4), (6, 4)], "node_id long, parcel long")
     gradient = spark.createDataFrame([(i, 0.9) for i in range(7)], "node_id long, value double")
