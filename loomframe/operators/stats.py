@@ -76,11 +76,13 @@ def parcellate(signal: DataFrame, labels: DataFrame) -> DataFrame:
     return signal.join(labels.filter("label_id > 0"), "node_id").groupBy(F.col("label_id").alias("parcel"), "frame").agg(F.avg("value").alias("value"))
 
 
-def group_average(maps: DataFrame, n_sd: float = 3.0) -> DataFrame:
-    """A12. node_id, mean, sd, n over subjects without values beyond n_sd sample sds of the node's mean."""
-    w = Window.partitionBy("node_id")
-    m, s = F.avg("value").over(w), F.stddev_samp("value").over(w)
-    kept = maps.withColumn("ok", F.coalesce(F.abs(F.col("value") - m) <= n_sd * s, F.lit(True))).filter("ok")
+def group_average(maps: DataFrame, n_sd: float | None = 3.0, absolute: bool = False) -> DataFrame:
+    """A12. node_id, mean, sd, n over subjects, of the values or their absolute values, without those beyond n_sd sample sds of the node's mean (None: all count)."""
+    kept = maps.withColumn("value", F.abs("value")) if absolute else maps
+    if n_sd is not None:
+        w = Window.partitionBy("node_id")
+        m, s = F.avg("value").over(w), F.stddev_samp("value").over(w)
+        kept = kept.withColumn("ok", F.coalesce(F.abs(F.col("value") - m) <= n_sd * s, F.lit(True))).filter("ok")
     return kept.groupBy("node_id").agg(F.avg("value").alias("mean"), F.stddev_samp("value").alias("sd"), F.count(F.lit(1)).alias("n"))
 
 

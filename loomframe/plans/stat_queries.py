@@ -83,6 +83,12 @@ def _(spark, d):
     return rounded(op.group_average(maps, 1.5), "mean", "sd")
 
 
+@query("A12_group_mean_absolute", sql("run_signal", f"SELECT frame AS node_id, {R('avg(abs(value - 50))', 'mean')}, {R('stddev_samp(abs(value - 50))', 'sd')}, count(*) AS n FROM run_signal GROUP BY 1"))
+def _(spark, d):
+    maps = run_signal(spark, d).select(F.col("frame").alias("node_id"), (F.col("value") - 50).alias("value"))
+    return rounded(op.group_average(maps, None, absolute=True), "mean", "sd")
+
+
 @query("A13_group_mode", "SELECT l_partkey AS node_id, l_linenumber AS label FROM (SELECT l_partkey, l_linenumber, row_number() OVER (PARTITION BY l_partkey ORDER BY count(*) DESC, min(l_orderkey), l_linenumber) AS k FROM lineitem GROUP BY 1, 2) WHERE k = 1")
 def _(spark, d):
     t = table(spark, d, "lineitem").select(F.col("l_partkey").alias("node_id"), F.col("l_linenumber").alias("label"), "l_orderkey")
