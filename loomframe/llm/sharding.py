@@ -7,7 +7,7 @@ from collections import defaultdict
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loomframe.llm.common import placed, row_numbers, table, text_or_empty
+from loomframe.llm.common import Sheltered, placed, row_numbers, table, text_or_empty
 
 #: A leaf of the tree: (region, rack, shard, weight).
 Leaf = tuple[str, str, int, float]
@@ -46,7 +46,8 @@ def hash_tree_shard(df: DataFrame, key: Column, tree: list[Leaf], out: str = "sh
 
     A node's draws depend on the key and on the child's name only. When the weight of one child changes, a row
     either stays below its old child or moves to (from) that child, so movement is confined to the subtree that
-    changed. Leaves with weight 0 or less take no rows. A null key is a key of its own. Nothing is shuffled.
+    changed. Leaves with weight 0 or less take no rows. A null key is a key of its own. Nothing is shuffled. Repeated rows get the same shard, an empty
+    table gives an empty table; columns of df may have any name, and one with the name of the added one is replaced.
     """
     regions: dict[str, float] = defaultdict(float)
     racks: dict[str, dict[str, float]] = defaultdict(lambda: defaultdict(float))
@@ -58,10 +59,11 @@ def hash_tree_shard(df: DataFrame, key: Column, tree: list[Leaf], out: str = "sh
             leaves[f"{region}/{rack}"][str(shard)] += weight
     if not regions:
         raise ValueError("the tree has no leaf with a positive weight")
-    df = df.withColumn("_tree_root", F.lit("root"))
-    df = _level(df, key, "_tree_root", {"root": dict(regions)}, "_tree_region")
-    df = _level(df, key, "_tree_region", racks, "_tree_rack")
-    return _level(df, key, "_tree_rack", leaves, "_tree_leaf").withColumn(out, F.col("_tree_leaf").cast("int")).drop("_tree_root", "_tree_region", "_tree_rack", "_tree_leaf")
+    held = Sheltered(df, {"_tree_key": key, "_tree_root": F.lit("root")})
+    drawn = F.col("_tree_key")
+    rows = _level(held.inside, drawn, "_tree_root", {"root": dict(regions)}, "_tree_region")
+    rows = _level(rows, drawn, "_tree_region", racks, "_tree_rack")
+    return held.outside(_level(rows, drawn, "_tree_rack", leaves, "_tree_leaf"), {out: F.col("_tree_leaf").cast("int")})
 
 
 def shard_documents(docs: DataFrame, shards: int = 40) -> DataFrame:

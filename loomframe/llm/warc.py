@@ -170,6 +170,7 @@ def write_warc(
     pages: DataFrame, root: str, key: str = "page_id", url: str = "url", payload: str = "html", least_bytes: int = 0, shard_bytes: int = SHARD_BYTES, least_shards: int | None = None, file_bytes: int = FILE_BYTES,
 ) -> DataFrame:
     """Writes a record for each row into WARC files under root, a folder that all executors share, and returns the manifest (name, bytes, records, sha256).
+    root is a path or a URI that both Spark and pyarrow's file systems open (file, hdfs, s3, gs).
 
     Records stand in order of (key, digest, url); shards are ranges of keys of about shard_bytes payload bytes (smaller where the table would
     give fewer than least_shards, the session's shuffle partitions by default), and a shard's file is closed before its compressed size passes file_bytes. So

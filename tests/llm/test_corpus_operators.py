@@ -344,3 +344,16 @@ def test_row_numbers_stay_when_the_splits_change(spark, monkeypatch, place):
         assert sorted(map(tuple, frame.select("_row", "text").collect()), key=str) == before
     finally:
         spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+
+
+def test_sharding_keeps_other_columns(spark):
+    from pyspark.sql import functions as F
+
+    df = spark.createDataFrame([(1, "a", 5), (2, "b", 6), (None, "c", 7), (2, "b", 6)], "doc_id long, _tree_leaf string, _tree_root int")
+    tree = sharding.standard_tree(8)
+    got = sharding.hash_tree_shard(df, F.col("doc_id"), tree)
+    plain = sharding.hash_tree_shard(df.select("doc_id"), F.col("doc_id"), tree)
+    assert got.columns == [*df.columns, "shard"]
+    assert sorted((str(r.doc_id), r._tree_leaf, r._tree_root) for r in got.collect()) == sorted((str(r.doc_id), r._tree_leaf, r._tree_root) for r in df.collect())
+    assert {(r.doc_id, r.shard) for r in got.collect()} == {(r.doc_id, r.shard) for r in plain.collect()}
+    assert sharding.hash_tree_shard(df.limit(0), F.col("doc_id"), tree).count() == 0
