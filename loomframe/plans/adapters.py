@@ -71,10 +71,12 @@ def components(spark: SparkSession, sf_dir: str) -> DataFrame:
     """component_id, kappa, rho, variance_explained, r2 and classification, from documents and their labels."""
     d, q = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
     text = F.coalesce("text", F.lit(""))
+    # numbers of the texts first: texts aren't dealt out for the join
+    d = d.select("doc_id", "n_chars", (F.length(text) - F.length(F.replace(text, F.lit(" "), F.lit("")))).cast("double").alias("rho"))
     out = d.join(q, "doc_id", "left").select(
         F.col("doc_id").alias("component_id"),
         (F.col("n_chars") / 10.0).alias("kappa"),
-        (F.length(text) - F.length(F.replace(text, F.lit(" "), F.lit("")))).cast("double").alias("rho"),
+        "rho",
         (F.col("n_chars") % 97 / 10.0).alias("variance_explained"),
         (F.col("n_chars") % 101 / 101.0).alias("r2"),
         (F.col("n_chars") % 7 / 5.0).alias("ratio"),
