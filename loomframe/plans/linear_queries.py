@@ -8,7 +8,6 @@ from pyspark.sql import functions as F
 from loomframe.operators import dual, stats
 from loomframe.operators import linear as op
 
-from loomframe.operators.joins import near_pairs
 from loomframe.plans.adapters import echoes, nodes, r6, rounded, run_signal, signal, sql, vectors
 from loomframe.plans.join_queries import _NEAR
 from loomframe.plans.mask_queries import _MAPS
@@ -133,7 +132,7 @@ def _(spark, d):
 
 
 def near_weights(spark, d, mm: float = 0.08, sigma: float = 0.05):
-    return op.gaussian_weights(near_pairs(nodes(spark, d), mm), sigma)
+    return nodes(spark, d), mm, sigma
 
 
 def likeness(spark, d, key):
