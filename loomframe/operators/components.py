@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from loomframe.functions.scalars import clip, log_ratio
-from loomframe.operators.frames import cumulative_cap, in_total_order
+from loomframe.operators.frames import cumulative_cap, in_total_order, settled
 from loomframe.operators.joins import manual_overrides
 from loomframe.operators.stats import outer_sums, wide_maps
 
@@ -52,19 +52,39 @@ def template_rho(maps: DataFrame, priors: DataFrame) -> DataFrame:
 EPS = 2.220446049250313e-16
 
 
+def steady_moments(rows: DataFrame, names: list[str]) -> DataFrame:
+    """m_<name>, s_<name>: mean and population sd of each column, the same to the last digit in whatever order and partitions rows are. Values less the smallest one, over the
+    range, and squared deviations, over the largest, are added up as decimals of 18 places. A column with values that aren't finite has its plain mean and sd."""
+    total = lambda x: F.sum(x.try_cast("decimal(28,18)")).cast("double")
+    ends = rows.agg(*[f(n).alias(f"{k}_{n}") for n in names for k, f in (("lo", F.min), ("hi", F.max), ("n", F.count), ("pm", F.avg), ("ps", F.stddev_pop))])
+    at = lambda k, n: F.col(f"{k}_{n}")
+    wide = lambda n: at("hi", n) - at("lo", n)
+    plain = lambda n: F.isnan(wide(n)) | (F.abs(wide(n)) == float("inf"))
+    ends = rows.sparkSession.createDataFrame(ends.collect(), ends.schema)
+    of = lambda w: F.when(w > 0, w).otherwise(1.0)
+    parts = rows.crossJoin(F.broadcast(ends)).agg(*[total((F.col(n) - at("lo", n)) / of(wide(n))).alias(f"t_{n}") for n in names])
+    means = ends.crossJoin(parts).withColumns({f"m_{n}": F.when(plain(n), at("pm", n)).otherwise(at("lo", n) + wide(n) * (at("t", n) / at("n", n))) for n in names})
+    means = means.withColumns({f"w_{n}": of(F.greatest(at("hi", n) - at("m", n), at("m", n) - at("lo", n))) for n in names})
+    means = rows.sparkSession.createDataFrame(means.collect(), means.schema)
+    over = lambda n: (F.col(n) - at("m", n)) / at("w", n)
+    squares = rows.crossJoin(F.broadcast(means)).agg(*[total(over(n) * over(n)).alias(f"q_{n}") for n in names])
+    sd = lambda n: F.when(plain(n), at("ps", n)).otherwise(at("w", n) * F.sqrt(at("q", n) / at("n", n)))
+    return means.crossJoin(squares).select(*[at("m", n) for n in names], *[sd(n).alias(f"s_{n}") for n in names])
+
+
 def kill_priority(components: DataFrame, weights: tuple[float, float, float] = (1.0, 1.0, 1.0), eps: float = 1e-8) -> DataFrame:
-    """components with priority: weighted z-scores (population sd; without spread 0) of -log ratio, -score and +variance."""
-    c = components.withColumn("_lr", log_ratio(F.col("kappa"), F.col("rho"), eps))
+    """components with priority: weighted z-scores (population sd; without spread 0) of -log ratio, -score and +variance. components are stored once."""
+    c = settled(components.withColumn("_lr", log_ratio(F.col("kappa"), F.col("rho"), eps)))
     names = [("_lr", -weights[0]), ("r2", -weights[1]), ("variance_explained", weights[2])]
-    s = c.agg(*[F.avg(n).alias(f"m_{n}") for n, _ in names], *[F.stddev_pop(n).alias(f"s_{n}") for n, _ in names])
+    s = steady_moments(c, [n for n, _ in names])
     z = sum((w * (F.col(n) - F.col(f"m_{n}")) / F.when(F.col(f"s_{n}") > 0, F.col(f"s_{n}")).otherwise(1.0) for n, w in names), F.lit(0.0))
     return c.crossJoin(F.broadcast(s)).withColumn("priority", z).select(*components.columns, "priority")
 
 
 def rank_kill_candidates(components: DataFrame, weights: tuple[float, float, float] = (1.0, 1.0, 1.0)) -> DataFrame:
-    """T4. priority: weighted z-scores of -log ratio, -score and +variance, and position by falling priority."""
-    out = kill_priority(components, weights)
-    return in_total_order(out, [F.desc("priority"), F.asc("component_id")]).withColumnRenamed("_position", "position").select(*components.columns, "priority", "position")
+    """T4. priority: weighted z-scores of -log ratio, -score and +variance, and position by falling priority, to nine digits; the smaller id on ties."""
+    out = kill_priority(components, weights).withColumn("_by", F.round("priority", 9))
+    return in_total_order(out, [F.desc("_by"), F.asc("component_id")]).withColumnRenamed("_position", "position").select(*components.columns, "priority", "position")
 
 
 @dataclass(frozen=True)

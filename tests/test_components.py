@@ -69,3 +69,14 @@ def test_manual_ids_come_last_and_nothing_kept(spark):
     # nothing initial has a score, so nothing is rescued; a score that is not a number leaves a kept one alone
     assert got == {1: False, 2: True, 3: True}
     assert op.refine_components(spark.createDataFrame([], SCHEMA)).count() == 0
+
+
+def test_priorities_of_any_order(spark):
+    rng = np.random.default_rng(3)
+    rows = [(i, float(k), float(r), float(s), float(v)) for i, (k, r, s, v) in enumerate(zip(*rng.lognormal(0, 2, (4, 5000))))]
+    table = lambda some, n: spark.createDataFrame(some, "component_id long, kappa double, rho double, r2 double, variance_explained double").repartition(n)
+    one, other = (sorted(map(tuple, op.rank_kill_candidates(t).collect())) for t in (table(rows, 1), table(rows[::-1], 7)))
+    assert one == other
+    x = np.array(rows)
+    z = lambda v: (v - v.mean()) / v.std()
+    assert np.allclose([r[-2] for r in one], -z(np.log10(x[:, 1] / x[:, 2] + 1e-8)) - z(x[:, 3]) + z(x[:, 4]), atol=1e-12)
