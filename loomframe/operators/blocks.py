@@ -14,7 +14,7 @@ MOST = 4096
 #: Blocks with more nodes than MOST whose sizes are broadcast at most; with more of them, sizes are joined by shuffling.
 BROADCAST_BLOCKS = 100_000
 #: Cells of a matrix that is formed at once.
-CELLS = 1 << 22
+CELLS = 1 << 18
 
 Product = Callable[[np.ndarray, np.ndarray, np.ndarray], np.ndarray]
 
@@ -76,35 +76,59 @@ def _near_cubes(targets: DataFrame, sources: DataFrame, mm: float, cells: int, m
 
 def _distances(a: pd.DataFrame, b: pd.DataFrame) -> Iterator[tuple[int, np.ndarray]]:
     """Distances of targets and sources, some targets at a time: the first one's place, targets x sources."""
-    at, bt = a[["tx", "ty", "tz"]].to_numpy(float), b[["sx", "sy", "sz"]].to_numpy(float)
+    return _apart(a[["tx", "ty", "tz"]].to_numpy(float), b[["sx", "sy", "sz"]].to_numpy(float))
+
+
+def _apart(at: np.ndarray, bt: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
     step = max(1, CELLS // max(1, len(bt)))
     for k in range(0, len(at) if len(bt) else 0, step):
         # coordinate by coordinate, so that the rounding is that of the pairs' own formula
         yield k, np.sqrt(sum((at[k : k + step, None, c] - bt[None, :, c]) ** 2 for c in range(3)))
 
 
-def near_sums(targets: DataFrame, sources: DataFrame, mm: float, product: Product, cells: int = 4) -> DataFrame:
+def _close(at: np.ndarray, bt: np.ndarray, mm: float) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Places of the targets of one small cube (of mm / 2, larger if that has few of them), and of the sources that may be within mm of one of them."""
+    known = np.flatnonzero(np.isfinite(at).all(1))
+    side, group = mm / 4, np.zeros(len(known), int)
+    while len(known):
+        side *= 2
+        found, group = np.unique(np.floor(at[known] / side), axis=0, return_inverse=True)
+        if len(found) * 8 <= len(known) or side >= 2 * mm:
+            break
+    order = np.argsort(group.ravel(), kind="stable")
+    for own in np.split(known[order], np.flatnonzero(np.diff(group.ravel()[order])) + 1):
+        if len(own):
+            gap = np.maximum(np.maximum(at[own].min(0) - bt, bt - at[own].max(0)), 0)
+            others = np.flatnonzero((gap * gap).sum(1) <= (mm * (1 + 1e-9)) ** 2)
+            if len(others):
+                yield own, others
+
+
+def near_sums(targets: DataFrame, sources: DataFrame, mm: float, product: Product, cells: int = 4, most: int | None = None) -> DataFrame:
     """node_id, s (array<double>) of targets that have a source within mm (inclusive): product(dist, tv, sv) over all sources near them.
 
     targets and sources: node_id, x, y, z, v (array<double> of one length on each side). product gets blocks: distances (targets x sources, infinite
-    beyond mm) and the two sides' vectors, and returns targets x anything; it must be a sum over sources. A node without coordinates is near nothing.
+    beyond mm) and the two sides' vectors, and returns targets x anything; it must be a sum over sources. Blocks are small cubes of targets with what may be near
+    them, so that few of the pairs that are looked at are far. A task holds at most most (MOST) nodes of a side. A node without coordinates is near nothing.
     """
 
     def multiply(a: pd.DataFrame, b: pd.DataFrame) -> pd.DataFrame:
         ids, out = [], []
         if len(a) and len(b):
-            av, bv = _stack(a["tv"]), _stack(b["sv"])
-            for k, dist in _distances(a, b):
-                near = dist <= mm
-                some = near.any(1)
-                if some.any():
-                    got = product(np.where(near, dist, np.inf)[some], av[k : k + len(dist)][some], bv)
-                    ids.append(a["node_id"].to_numpy()[k : k + len(dist)][some])
-                    out += list(got)
+            av, bv, names = _stack(a["tv"]), _stack(b["sv"]), a["node_id"].to_numpy()
+            at, bt = a[["tx", "ty", "tz"]].to_numpy(float), b[["sx", "sy", "sz"]].to_numpy(float)
+            for own, others in _close(at, bt, mm):
+                v = bv[others]
+                for k, dist in _apart(at[own], bt[others]):
+                    near, rows = dist <= mm, own[k : k + len(dist)]
+                    some = near.any(1)
+                    if some.any():
+                        ids.append(names[rows[some]])
+                        out += list(product(np.where(near, dist, np.inf)[some], av[rows[some]], v))
         return _sums_frame(np.concatenate(ids) if ids else np.zeros(0, np.int64), out)
 
     kind = dict(targets.dtypes)["node_id"]
-    parts, several = _near_cubes(targets, sources, mm, cells, MOST, multiply, f"node_id {kind}, s array<double>")
+    parts, several = _near_cubes(targets, sources, mm, cells, most or MOST, multiply, f"node_id {kind}, s array<double>")
     return _summed(parts, several)
 
 

@@ -6,7 +6,7 @@ import numpy as np
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from loomframe.operators.blocks import edge_sums, near_sums
+from loomframe.operators.blocks import MOST, edge_sums, near_sums
 from loomframe.operators.dual import block_sums, map_blocks
 from loomframe.operators.stats import wide_maps
 
@@ -68,7 +68,7 @@ def ridge_fusion(
             cut = edge_sums(near, tv, sv, edge)
         else:
             places = near[0].select("node_id", *"xyz")
-            cut = near_sums(tv.join(places, "node_id"), sv.join(places, "node_id"), near[1], block)
+            cut = near_sums(tv.join(places, "node_id"), sv.join(places, "node_id"), near[1], block, most=4 * MOST)
         targets = z.join(cut, "node_id", "left").withColumn("s", F.coalesce("s", F.array_repeat(F.lit(0.0), k + 2)))
     fitted = map_blocks(targets.select("node_id", "z", "s"), ["z", "s"], fit, "b")
     long = fitted.select("node_id", F.col("b")[k].alias("r2"), F.posexplode(F.slice("b", 1, k)).alias("i", "beta"))
